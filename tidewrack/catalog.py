@@ -167,3 +167,200 @@ SELECT * FROM (VALUES ('feed', 0, (SELECT count(*) FROM feed)), ('with_text', 1,
 ) t(stage, seq, rows)""")
 def q_funnel(spark, sf):
     return corpus.funnel(load_feed(spark, sf))
+
+
+# --- posts table operators -----------------------------------------------------------
+
+from tidewrack.operators import table as TB  # noqa: E402
+from tidewrack.operators.order import global_row_number  # noqa: E402
+
+
+def _posts_table(spark, sf):
+    return TB.full_refresh(corpus.feed_to_posts(load_feed(spark, sf)))
+
+
+_TABLE = O.with_posts("tbl AS (SELECT id, date, raw_text, CAST(NULL AS VARCHAR) AS clean_text FROM posts)")
+
+
+@register("full_refresh", _TABLE + "\nSELECT * FROM tbl")
+def q_full_refresh(spark, sf):
+    return _posts_table(spark, sf)
+
+
+@register("constraint_check", _TABLE + """
+SELECT CAST(count(*) AS BIGINT) AS rows, CAST(count(*) FILTER (WHERE id IS NULL) AS BIGINT) AS null_ids,
+       CAST(count(*) FILTER (WHERE date IS NULL) AS BIGINT) AS null_dates,
+       CAST(count(*) FILTER (WHERE raw_text IS NULL) AS BIGINT) AS null_raw_texts,
+       CAST(count(*) - count(DISTINCT id) AS BIGINT) AS duplicate_ids FROM tbl""")
+def q_constraint_check(spark, sf):
+    return TB.constraint_violations(_posts_table(spark, sf))
+
+
+@register("ordered_scan", _TABLE + """
+SELECT id, date, raw_text, clean_text, CAST(row_number() OVER (ORDER BY date, id) AS BIGINT) AS seq FROM tbl""")
+def q_ordered_scan(spark, sf):
+    return global_row_number(_posts_table(spark, sf), ["date", "id"], "seq")
+
+
+@register("corpus_texts", _TABLE + """
+SELECT raw_text, CAST(row_number() OVER (ORDER BY date, id) AS BIGINT) AS seq FROM tbl""")
+def q_corpus_texts(spark, sf):
+    return global_row_number(_posts_table(spark, sf), ["date", "id"], "seq").select("raw_text", "seq")
+
+
+@register("probe_raw_text", _TABLE + f""",
+probes AS (SELECT conv_id, turn, {O.collapse_whitespace('text')} AS raw_text FROM conversations)
+SELECT conv_id, turn, raw_text, EXISTS (SELECT 1 FROM tbl WHERE tbl.raw_text = probes.raw_text) AS "exists"
+FROM probes""")
+def q_probe_raw_text(spark, sf):
+    conv = read_table(spark, sf, "conversations")
+    probes = conv.select("conv_id", "turn", T.collapse_whitespace("text").alias("raw_text"))
+    return TB.probe_raw_text(_posts_table(spark, sf), probes).select("conv_id", "turn", "raw_text", "exists")
+
+
+_BATCH_DATE = "2024-01-01T00:00:00Z"
+
+
+def _insert_batch(spark, sf, table):
+    """Batch for S9: every existing post again (with a clean text, must be ignored) and
+    each benchmark text twice (the first copy must win)."""
+    old = table.select("id", "date", "raw_text", T.clean_post_text("raw_text").alias("clean_text"),
+                       F.lit(-1).cast("long").alias("ord"))
+    b = read_table(spark, sf, "benchmark")
+    new = b.select(T.content_id(F.lit(_BATCH_DATE), "text").alias("id"), F.lit(_BATCH_DATE).alias("date"),
+                   F.col("text").alias("raw_text"), "item_id")
+    first = new.select("id", "date", "raw_text", T.clean_post_text("raw_text").alias("clean_text"),
+                       (F.col("item_id") * 2).alias("ord"))
+    second = new.select("id", "date", "raw_text", F.upper("raw_text").alias("clean_text"),
+                        (F.col("item_id") * 2 + 1).alias("ord"))
+    return old.unionByName(first).unionByName(second)
+
+
+@register("insert_or_ignore", _TABLE + f""",
+batch AS (
+  SELECT {O.content_id(O.lit(_BATCH_DATE), 'text')} AS id, {O.lit(_BATCH_DATE)} AS date, text AS raw_text,
+         {O.clean_post_text('text')} AS clean_text, item_id * 2 AS ord FROM benchmark
+  UNION ALL
+  SELECT {O.content_id(O.lit(_BATCH_DATE), 'text')}, {O.lit(_BATCH_DATE)}, text, upper(text), item_id * 2 + 1
+  FROM benchmark),
+firsts AS (SELECT id, arg_min(date, ord) AS date, arg_min(raw_text, ord) AS raw_text,
+                  arg_min(clean_text, ord) AS clean_text FROM batch GROUP BY id)
+SELECT * FROM tbl UNION ALL SELECT * FROM firsts WHERE id NOT IN (SELECT id FROM tbl)""")
+def q_insert_or_ignore(spark, sf):
+    table = _posts_table(spark, sf)
+    return TB.insert_or_ignore(table, _insert_batch(spark, sf, table))
+
+
+def _updates(spark, sf, table):
+    """Updates for S10: a clean text for every post, a later null for posts whose raw
+    text has even length, and updates for ids that do not exist."""
+    first = table.select("id", T.clean_post_text("raw_text").alias("clean_text"), F.lit(1).alias("seq"))
+    later = table.where(F.length("raw_text") % 2 == 0).select(
+        "id", F.lit(None).cast("string").alias("clean_text"), F.lit(2).alias("seq"))
+    b = read_table(spark, sf, "benchmark")
+    unknown = b.select(F.sha2("text", 256).alias("id"), F.col("text").alias("clean_text"), F.lit(1).alias("seq"))
+    return first.unionByName(later).unionByName(unknown)
+
+
+@register("update_clean_text", _TABLE + f""",
+upd AS (
+  SELECT id, {O.clean_post_text('raw_text')} AS clean_text, 1 AS seq FROM tbl
+  UNION ALL SELECT id, NULL, 2 FROM tbl WHERE length(raw_text) % 2 = 0
+  UNION ALL SELECT sha256(text), text, 1 FROM benchmark),
+last AS (SELECT id, arg_max_null(clean_text, seq) AS clean_text FROM upd GROUP BY id)
+SELECT tbl.id, tbl.date, tbl.raw_text, CASE WHEN last.id IS NOT NULL THEN last.clean_text ELSE tbl.clean_text END AS clean_text
+FROM tbl LEFT JOIN last ON tbl.id = last.id""")
+def q_update_clean_text(spark, sf):
+    table = _posts_table(spark, sf)
+    return TB.update_clean_text(table, _updates(spark, sf, table))
+
+
+# --- pages: sink, scan, validation, backlog, paging, facets --------------------------
+
+from tidewrack.session import scratch_path  # noqa: E402
+from tidewrack.sources import pages as PG  # noqa: E402
+
+
+def _written_pages(spark, sf):
+    path = scratch_path(spark, "pages")
+    PG.write_pages(PG.build_pages(PG.feed_item_json(load_feed(spark, sf))), path)
+    return path
+
+
+@register("page_scan", f"WITH {O.FEED} SELECT page + 1 AS page, pos, date, platform, deleted_flag, text FROM feed")
+def q_page_scan(spark, sf):
+    items = PG.scan_pages(spark, _written_pages(spark, sf))
+    return items.select("page", "pos", "date", "platform", "deleted_flag", "text")
+
+
+@register("page_sink", f"""WITH {O.FEED},
+num AS (SELECT page + 1 AS page, row_number() OVER (ORDER BY page, pos) AS rn FROM feed),
+pp AS (SELECT page, CAST(count(*) AS BIGINT) AS n_items, CAST(min(rn) AS BIGINT) AS "from" FROM num GROUP BY page)
+SELECT lpad(CAST(page AS VARCHAR), 4, '0') AS file_key, page, n_items, "from",
+       (SELECT CAST(count(*) AS BIGINT) FROM feed) AS total_hits,
+       (SELECT CAST(count(*) AS BIGINT) FROM pp) AS page_count,
+       CASE WHEN page > 1 THEN 'page=' || CAST(page - 1 AS VARCHAR) END AS previous_page,
+       CASE WHEN page < (SELECT count(*) FROM pp) THEN 'page=' || CAST(page + 1 AS VARCHAR) END AS next_page
+FROM pp""")
+def q_page_sink(spark, sf):
+    pages = PG.read_pages(spark, _written_pages(spark, sf))
+    return pages.select("file_key", F.col("meta.page").alias("page"), F.size("data").cast("long").alias("n_items"),
+                        F.col("meta.from").alias("from"), F.col("meta.total_hits").alias("total_hits"),
+                        F.col("meta.page_count").alias("page_count"),
+                        F.col("meta.pagination.previous_page").alias("previous_page"),
+                        F.col("meta.pagination.next_page").alias("next_page"))
+
+
+@register("schema_validation", f"""WITH {O.FEED},
+v AS (SELECT page + 1 AS page, pos, platform,
+        CASE WHEN platform = 'Truth Social' AND pos = 5 THEN 'account_url' ELSE '' END AS missing FROM feed)
+SELECT page, pos, platform, missing, missing = '' AS valid,
+       bool_and(missing = '') OVER (PARTITION BY page) AS page_valid FROM v""")
+def q_schema_validation(spark, sf):
+    raw = spark.read.option("wholetext", True).text(_written_pages(spark, sf))
+    return PG.validate_items(raw).select("page", "pos", "platform", "missing", "valid", "page_valid")
+
+
+@register("page_backlog", """WITH here AS (SELECT DISTINCT page_id + 1 AS page FROM pages WHERE starts_with(url, 'https')),
+n AS (SELECT max(page_id) + 1 AS n FROM pages),
+s AS (SELECT range AS page FROM range(1, (SELECT n FROM n) + 1)),
+f AS (SELECT s.page, h1.page IS NOT NULL AS present, h1.page IS NOT NULL AND h2.page IS NOT NULL AS both_
+      FROM s LEFT JOIN here h1 ON h1.page = s.page LEFT JOIN here h2 ON h2.page = s.page + 1)
+SELECT page, present, page = 1 OR NOT both_ AS fetch, CASE WHEN page = 1 THEN NOT present ELSE NOT both_ END AS save FROM f""")
+def q_page_backlog(spark, sf):
+    p = read_table(spark, sf, "pages")
+    total = int(p.agg(F.max("page_id")).first()[0]) + 1
+    here = p.where(F.col("url").startswith("https")).select((F.col("page_id") + 1).alias("page"))
+    return PG.backlog(spark, here, total)
+
+
+def _paging_sql(desc: bool) -> str:
+    d = " DESC" if desc else ""
+    return f"""WITH num AS (SELECT row_number() OVER (ORDER BY ts{d}, event_id{d}) AS rn FROM events),
+pp AS (SELECT CAST(ceil(rn / 50) AS BIGINT) AS page, CAST(count(*) AS BIGINT) AS page_size,
+              CAST(min(rn) AS BIGINT) AS "from" FROM num GROUP BY 1),
+t AS (SELECT CAST(count(*) AS BIGINT) AS total_hits FROM events)
+SELECT page, page_size, "from", total_hits, CAST(ceil(total_hits / 50) AS BIGINT) AS page_count,
+       CASE WHEN page > 1 THEN page - 1 END AS previous_page,
+       CASE WHEN page < ceil(total_hits / 50) THEN page + 1 END AS next_page FROM pp, t"""
+
+
+@register("paging", _paging_sql(False))
+def q_paging(spark, sf):
+    return PG.paging(read_table(spark, sf, "events"), ["ts", "event_id"], 50)
+
+
+@register("paging_desc", _paging_sql(True))
+def q_paging_desc(spark, sf):
+    return PG.paging(read_table(spark, sf, "events"), ["ts", "event_id"], 50, descending=True)
+
+
+@register("facet_counts", f"""WITH {O.FEED}
+SELECT CAST(count(*) FILTER (WHERE deleted_flag) AS BIGINT) AS deleted,
+       CAST(count(*) FILTER (WHERE NOT deleted_flag) AS BIGINT) AS not_deleted,
+       CAST(count(*) FILTER (WHERE platform = 'Truth Social') AS BIGINT) AS truth_social,
+       CAST(count(*) FILTER (WHERE platform = 'Twitter') AS BIGINT) AS x_twitter,
+       CAST(count(*) FILTER (WHERE platform IS NULL OR platform NOT IN ('Truth Social', 'Twitter')) AS BIGINT) AS unknown
+FROM feed""")
+def q_facet_counts(spark, sf):
+    return PG.facet_counts(load_feed(spark, sf))
