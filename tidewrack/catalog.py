@@ -364,3 +364,252 @@ SELECT CAST(count(*) FILTER (WHERE deleted_flag) AS BIGINT) AS deleted,
 FROM feed""")
 def q_facet_counts(spark, sf):
     return PG.facet_counts(load_feed(spark, sf))
+
+
+# --- rules, prompts, inference --------------------------------------------------------
+
+from tidewrack.operators import infer as INF  # noqa: E402
+from tidewrack.operators import prompts as PR  # noqa: E402
+
+
+def _w(*ctes: str) -> str:
+    return O.with_posts(*ctes)
+
+
+_NP, _NP_LAST = O.normalised("posts", "id", "raw_text")
+
+
+@register("rule_normalise", _w(*_NP) + f"\nSELECT id, clean_text FROM {_NP_LAST}")
+def q_rule_normalise(spark, sf):
+    posts = corpus.feed_to_posts(load_feed(spark, sf))
+    return INF.normalise(posts.select("id", "raw_text")).select("id", "clean_text")
+
+
+_ND, _ND_LAST = O.normalised("documents", "doc_id", "text", "dd")
+
+
+@register("rule_normalise_documents", "WITH " + ",\n".join(_ND) + f"\nSELECT doc_id, clean_text FROM {_ND_LAST}")
+def q_rule_normalise_documents(spark, sf):
+    d = read_table(spark, sf, "documents").select("doc_id", "text")
+    return INF.normalise(d, "text").select("doc_id", "clean_text")
+
+
+def _block_sql(cfg: PR.PromptConfig, examples_sql: str) -> str:
+    ex_line = (f"'{chr(10)}{chr(10)}' || {O.lit(PR.RAW_LABEL)} || e.raw_text || '`{chr(10)}' || "
+               f"{O.lit(PR.NORMALISED_LABEL)} || e.output || '`{chr(10)}'")
+    return f"""ex AS ({examples_sql}),
+present AS (SELECT * FROM ex e WHERE EXISTS (SELECT 1 FROM posts p WHERE p.raw_text = e.raw_text)),
+blk AS (SELECT {O.lit(cfg.header())} || coalesce(string_agg({ex_line.replace('e.', '')}, '' ORDER BY idx), '') AS block,
+               CAST(count(*) AS BIGINT) AS n_examples FROM present)"""
+
+
+def _config_examples_sql(cfg: PR.PromptConfig) -> str:
+    rows = ", ".join(f"({i}, {O.lit(a)}, {O.lit(b)})" for i, (a, b) in enumerate(cfg.examples))
+    return f"SELECT * FROM (VALUES {rows}) v(idx, raw_text, output)"
+
+
+_CFG = PR.PromptConfig.default()
+_SYS_EXAMPLES_SQL = (f"SELECT CAST(conv_id * 1000 + turn AS BIGINT) AS idx, {O.collapse_whitespace('text')} AS raw_text, "
+                     f"{O.clean_post_text('text')} AS output FROM conversations WHERE role = 'system'")
+
+
+def _system_examples(spark, sf):
+    c = read_table(spark, sf, "conversations").where(F.col("role") == "system")
+    return c.select((F.col("conv_id") * 1000 + F.col("turn")).cast("long").alias("idx"),
+                    T.collapse_whitespace("text").alias("raw_text"), T.clean_post_text("text").alias("output"))
+
+
+@register("instruction_block", _w(_block_sql(_CFG, _config_examples_sql(_CFG))) + "\nSELECT block, n_examples FROM blk")
+def q_instruction_block(spark, sf):
+    posts = corpus.feed_to_posts(load_feed(spark, sf))
+    return PR.instruction_block(_CFG, posts)
+
+
+@register("instruction_block_data", _w(_block_sql(_CFG, _SYS_EXAMPLES_SQL)) + "\nSELECT block, n_examples FROM blk")
+def q_instruction_block_data(spark, sf):
+    posts = corpus.feed_to_posts(load_feed(spark, sf))
+    return PR.instruction_block(_CFG, posts, _system_examples(spark, sf))
+
+
+_TPL = PR.ChatTemplate()
+_CLOSE = "\n" + "\n".join(PR.CLOSING_LINES) + "\n" + PR.RAW_LABEL
+
+
+@register("cleaning_prompts", _w(_block_sql(_CFG, _SYS_EXAMPLES_SQL)) + f"""
+SELECT id, blk.block || {O.lit(_CLOSE)} || raw_text || {O.lit('`' + chr(10) + PR.NORMALISED_LABEL)} AS prompt,
+  '<|user|>' || chr(10) || blk.block || {O.lit(_CLOSE)} || raw_text || {O.lit('`' + chr(10) + PR.NORMALISED_LABEL)}
+  || chr(10) || {O.lit(_TPL.generation)} AS chat
+FROM posts, blk""")
+def q_cleaning_prompts(spark, sf):
+    posts = corpus.feed_to_posts(load_feed(spark, sf))
+    block = PR.instruction_block(_CFG, posts, _system_examples(spark, sf))
+    rows = PR.with_prompts(posts.select("id", "raw_text"), block)
+    return rows.select("id", "prompt", _TPL.render(PR.user_chat(F.col("prompt"))).alias("chat"))
+
+
+@register("conversation_chats", f"""SELECT conv_id, CAST(count(*) AS BIGINT) AS n_messages,
+  string_agg('<|' || role || '|>' || chr(10) || coalesce(text, '') || chr(10), '' ORDER BY turn) || {O.lit(_TPL.generation)} AS chat
+FROM conversations GROUP BY conv_id""")
+def q_conversation_chats(spark, sf):
+    return PR.conversation_chats(read_table(spark, sf, "conversations"), _TPL)
+
+
+def _table_after_updates(spark, sf):
+    table = _posts_table(spark, sf)
+    return TB.update_clean_text(table, _updates(spark, sf, table))
+
+
+_NL, _NL_LAST = O.normalised("todo", "id", "raw_text", "nl")
+
+
+@register("normalise_posts", _TABLE + f""",
+upd AS (
+  SELECT id, {O.clean_post_text('raw_text')} AS clean_text, 1 AS seq FROM tbl
+  UNION ALL SELECT id, NULL, 2 FROM tbl WHERE length(raw_text) % 2 = 0
+  UNION ALL SELECT sha256(text), text, 1 FROM benchmark),
+last AS (SELECT id, arg_max_null(clean_text, seq) AS clean_text FROM upd GROUP BY id),
+t2 AS (SELECT tbl.id, tbl.date, tbl.raw_text, CASE WHEN last.id IS NOT NULL THEN last.clean_text ELSE tbl.clean_text END AS clean_text
+       FROM tbl LEFT JOIN last ON tbl.id = last.id),
+todo AS (SELECT id, raw_text FROM t2 WHERE clean_text IS NULL OR clean_text = ''),
+{",".join(_NL)}
+SELECT t2.id, t2.date, t2.raw_text, CASE WHEN n.id IS NOT NULL THEN n.clean_text ELSE t2.clean_text END AS clean_text
+FROM t2 LEFT JOIN {_NL_LAST} n ON t2.id = n.id""")
+def q_normalise_posts(spark, sf):
+    return INF.normalise_posts(_table_after_updates(spark, sf))
+
+
+# --- preference data -------------------------------------------------------------------
+
+from tidewrack.operators import prefs as PF  # noqa: E402
+
+
+def _labelling(posts, shift: int = 0):
+    """Proposals (rule backend) and decisions derived from the posts: the choice cycles
+    y / n / s with the head's feed position; the human text is the P9 cleaning."""
+    proposals = INF.normalise(posts.select("id", "raw_text")).select("id", F.col("clean_text").alias("proposal"))
+    choice = F.element_at(F.array(F.lit("y"), F.lit("n"), F.lit("s")), ((F.col("pos") + shift) % 3 + 1).cast("int"))
+    decisions = posts.select("id", choice.alias("choice"), T.clean_post_text("raw_text").alias("human_text"))
+    return proposals, decisions
+
+
+def _pairs(spark, sf):
+    posts = corpus.feed_to_posts(load_feed(spark, sf), keep_position=True)
+    proposals, decisions = _labelling(posts)
+    return posts, PF.feedback_pairs(posts.select("id", "raw_text", "page", "pos"), proposals, decisions)
+
+
+_PP, _PP_LAST = O.normalised("posts", "id, page, pos", "raw_text", "pp")
+_PAIRS_SQL = _w(*_PP, f"""pairs AS (
+  SELECT p.id, p.raw_text AS input, {O.strip(O.clean_post_text('p.raw_text'))} AS accepted, [n.clean_text] AS rejected, p.page, p.pos
+  FROM posts p JOIN {_PP_LAST} n ON p.id = n.id WHERE p.pos % 3 = 1)""")
+
+
+@register("feedback_pairs", _PAIRS_SQL + """
+SELECT id, input, accepted, rejected[1] AS rejected_0, CAST(len(rejected) AS BIGINT) AS n_rejected FROM pairs""")
+def q_feedback_pairs(spark, sf):
+    _, pairs = _pairs(spark, sf)
+    return pairs.select("id", "input", "accepted", F.col("rejected")[0].alias("rejected_0"),
+                        F.size("rejected").cast("long").alias("n_rejected"))
+
+
+@register("exclude_labelled", _PAIRS_SQL + "\nSELECT id, raw_text FROM posts WHERE id NOT IN (SELECT id FROM pairs)")
+def q_exclude_labelled(spark, sf):
+    posts, pairs = _pairs(spark, sf)
+    return PF.exclude_labelled(posts, pairs).select("id", "raw_text")
+
+
+@register("sample_posts", _PAIRS_SQL + """
+SELECT id, raw_text FROM posts WHERE id NOT IN (SELECT id FROM pairs) ORDER BY sha256('42' || id) LIMIT 25""")
+def q_sample_posts(spark, sf):
+    posts, pairs = _pairs(spark, sf)
+    return PF.sample(PF.exclude_labelled(posts, pairs), 25, seed="42").select("id", "raw_text")
+
+
+@register("append_pairs", _PAIRS_SQL + f""",
+rest AS (SELECT * FROM posts WHERE id NOT IN (SELECT id FROM pairs)),
+more AS (SELECT r.id, r.raw_text AS input, {O.strip(O.clean_post_text('r.raw_text'))} AS accepted, [n.clean_text] AS rejected
+         FROM rest r JOIN {_PP_LAST} n ON r.id = n.id WHERE (r.pos + 1) % 3 = 1),
+allp AS (SELECT id, input, accepted, rejected FROM pairs UNION ALL SELECT * FROM more)
+SELECT id, input, accepted, rejected[1] AS rejected_0 FROM allp""")
+def q_append_pairs(spark, sf):
+    from tidewrack.session import scratch_path
+    posts, pairs = _pairs(spark, sf)
+    path = scratch_path(spark, "pairs")
+    PF.write_pairs(pairs, path)
+    stored = PF.read_pairs(spark, path)
+    rest = PF.exclude_labelled(posts, stored)
+    proposals, decisions = _labelling(rest, shift=1)
+    more = PF.feedback_pairs(rest.select("id", "raw_text"), proposals, decisions)
+    out = PF.append_pairs(stored, more)
+    return out.select("id", "input", "accepted", F.col("rejected")[0].alias("rejected_0"))
+
+
+@register("reward_rows", _PAIRS_SQL + """
+SELECT accepted AS chosen, rejected[1] AS rejected FROM pairs WHERE accepted <> '' AND len(rejected) > 0""")
+def q_reward_rows(spark, sf):
+    _, pairs = _pairs(spark, sf)
+    return PF.reward_rows(pairs)
+
+
+@register("ppo_rows", _PAIRS_SQL + """
+SELECT input AS prompt, input AS chosen_user, accepted AS chosen_assistant, input AS rejected_user,
+       rejected[1] AS rejected_assistant FROM pairs""")
+def q_ppo_rows(spark, sf):
+    _, pairs = _pairs(spark, sf)
+    r = PF.ppo_rows(pairs.select("id", "input", "accepted", "rejected"))
+    return r.select("prompt", F.col("chosen")[0]["content"].alias("chosen_user"),
+                    F.col("chosen")[1]["content"].alias("chosen_assistant"),
+                    F.col("rejected")[0]["content"].alias("rejected_user"),
+                    F.col("rejected")[1]["content"].alias("rejected_assistant"))
+
+
+@register("positional_split", _PAIRS_SQL + """,
+num AS (SELECT id, CAST(row_number() OVER (ORDER BY page, pos) AS BIGINT) AS row_number, count(*) OVER () AS n FROM pairs)
+SELECT id, row_number, CASE WHEN row_number <= n - floor(n / 2) THEN 'train' ELSE 'eval' END AS split FROM num""")
+def q_positional_split(spark, sf):
+    _, pairs = _pairs(spark, sf)
+    return PF.positional_split(pairs, ["page", "pos"]).select("id", "row_number", "split")
+
+
+# --- token datasets -------------------------------------------------------------------
+
+from tidewrack.operators import lm as LM  # noqa: E402
+
+
+def _vocab_sql(src: str, text: str) -> str:
+    return f"""toks AS (SELECT unnest({O.word_tokens(text)}) AS token FROM {src}),
+counts AS (SELECT token, CAST(count(*) AS BIGINT) AS count FROM toks GROUP BY token),
+vocab AS (SELECT token, CAST(row_number() OVER (ORDER BY count DESC, token) + 1 AS BIGINT) AS id, count FROM counts
+          UNION ALL SELECT '[PAD]', 0, 0 UNION ALL SELECT '[UNK]', 1, 0)"""
+
+
+@register("vocabulary", f"WITH {_vocab_sql('documents', 'text')} SELECT token, id, count FROM vocab")
+def q_vocabulary(spark, sf):
+    return LM.vocabulary(read_table(spark, sf, "documents"))
+
+
+def _encode_sql(src: str, key: str, text: str) -> str:
+    return f"""tl AS (SELECT {key}, {O.word_tokens(text)} AS tok FROM {src}),
+tp AS (SELECT {key}, unnest(tok) AS token, generate_subscripts(tok, 1) AS p FROM tl),
+enc AS (SELECT tp.{key}, list(coalesce(v.id, 1) ORDER BY p) AS ids FROM tp LEFT JOIN vocab v ON tp.token = v.token GROUP BY tp.{key}),
+encoded AS (SELECT s.{key}, coalesce(enc.ids, []) AS ids FROM {src} s LEFT JOIN enc ON s.{key} = enc.{key})"""
+
+
+@register("encode_tokens", f"""WITH {_vocab_sql('documents', 'text')}, {_encode_sql('documents', 'doc_id', 'text')}
+SELECT doc_id, CAST(len(ids) AS BIGINT) AS n_ids, array_to_string(ids, ',') AS ids FROM encoded""")
+def q_encode_tokens(spark, sf):
+    d = read_table(spark, sf, "documents").select("doc_id", "text")
+    enc = LM.encode(d, LM.vocabulary(d), "doc_id")
+    return enc.select("doc_id", F.size("input_ids").cast("long").alias("n_ids"),
+                      F.array_join(F.col("input_ids").cast("array<string>"), ",").alias("ids"))
+
+
+@register("lm_rows", _w(_vocab_sql("posts", "raw_text"), _encode_sql("posts", "id", "raw_text")) + """
+SELECT id, array_to_string(list_resize(ids, 128, 0), ',') AS input_ids,
+       array_to_string(list_resize(list_transform(ids, lambda x: 1), 128, 0), ',') AS attention_mask,
+       array_to_string(list_resize(ids, 128, 0), ',') AS labels FROM encoded""")
+def q_lm_rows(spark, sf):
+    posts = corpus.feed_to_posts(load_feed(spark, sf)).select("id", "raw_text")
+    rows = LM.lm_rows(LM.encode(posts, LM.vocabulary(posts, "raw_text"), "id", "raw_text"), "id")
+    s = lambda c: F.array_join(F.col(c).cast("array<string>"), ",").alias(c)
+    return rows.select("id", s("input_ids"), s("attention_mask"), s("labels"))

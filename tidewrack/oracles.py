@@ -122,3 +122,66 @@ POSTS = """posts AS (
 def with_posts(*extra: str) -> str:
     """WITH clause that defines feed -> cleaned -> kept -> merged -> keyed -> posts."""
     return "WITH " + ",\n".join([FEED, CLEANED, KEPT, MERGED, KEYED, POSTS, *extra])
+
+
+# --- rule chain (R1-R14) as a CTE chain ------------------------------------------------
+
+def _rep(r: str) -> str:
+    import re as _re
+    return _re.sub(r"\$(\d)", r"\\\1", r)
+
+
+def _camel(x: str, initials: bool = True) -> str:
+    from tidewrack.functions.rules import CAMEL_STEPS, INITIAL_STEP
+    steps = CAMEL_STEPS + ([INITIAL_STEP] if initials else [])
+    for pat, rep in steps:
+        x = f"regexp_replace({x}, {lit(pat)}, {lit(_rep(rep))}, 'g')"
+    return x
+
+
+def _rule_step(kind: str, pat: str, rep: str, t: str) -> str:
+    from tidewrack.functions import rules as R
+    if kind == "re":
+        return f"regexp_replace({t}, {lit(pat)}, {lit(_rep(rep))}, 'g')"
+    if kind == "rt_names":
+        body = f"regexp_replace({t}, {lit(R.RT_PREFIX)}, '')"
+        names = "|".join(R.SELF_NAMES)
+        named = f"regexp_replace(regexp_replace({body}, {lit(chr(92) + 'b(?:' + names + ')' + chr(39) + 's' + chr(92) + 'b')}, 'my', 'g'), {lit(chr(92) + 'b(?:' + names + ')' + chr(92) + 'b')}, 'me', 'g')"
+        return f"CASE WHEN regexp_matches({t}, {lit(R.RT_PREFIX)}) THEN {named} ELSE {t} END"
+    if kind == "lead_mention":
+        name = f"regexp_extract({t}, '^@([A-Za-z0-9_]+)', 1)"
+        rest = f"regexp_replace({t}, {lit('^@[A-Za-z0-9_]+[:,]?[' + WS + ']*')}, '')"
+        return f"CASE WHEN {name} <> '' THEN {_camel(name)} || ', ' || {rest} ELSE {t} END"
+    if kind == "mentions":
+        tok = (f"CASE WHEN regexp_matches(w, {lit(R.MENTION)}) THEN {_camel(f'regexp_extract(w, {lit(R.MENTION)}, 1)')}"
+               f" || regexp_extract(w, {lit(R.MENTION)}, 2) ELSE w END")
+        return f"array_to_string(list_transform(string_split({t}, ' '), lambda w: {tok}), ' ')"
+    if kind == "hashtags":
+        body = f"regexp_extract(w, {lit(R.HASHTAG)}, 1)"
+        rest = f"regexp_extract(w, {lit(R.HASHTAG)}, 2)"
+        noise = ", ".join(lit(n) for n in R.NOISE_HASHTAGS)
+        word = (f"CASE WHEN lower({body}) IN ({noise}) THEN {rest} "
+                f"WHEN regexp_matches({body}, {lit(R.ACRONYM_OR_WORD)}) THEN {body} || {rest} "
+                f"ELSE lower({_camel(body, False)}) || {rest} END")
+        tok = f"CASE WHEN regexp_matches(w, {lit(R.HASHTAG)}) THEN {word} ELSE w END"
+        return f"array_to_string(list_transform(string_split({t}, ' '), lambda w: {tok}), ' ')"
+    if kind == "final_period":
+        return f"CASE WHEN {t} <> '' AND NOT regexp_matches({t}, {lit(R.FINAL_MARK)}) THEN {t} || '.' ELSE {t} END"
+    raise ValueError(kind)
+
+
+def rules_ctes(src: str, keys: str, text_expr: str, prefix: str = "rr") -> tuple[list[str], str]:
+    """CTEs applying the rule chain to ``text_expr`` of ``src``; returns (ctes, last name).
+    The last CTE has ``keys``, ``t`` (rule output) and ``src_text`` (input)."""
+    from tidewrack.functions.rules import STEPS
+    ctes = [f"{prefix}0 AS (SELECT {keys}, {text_expr} AS src_text, coalesce({text_expr}, '') AS t FROM {src})"]
+    for i, step in enumerate(STEPS, 1):
+        ctes.append(f"{prefix}{i} AS (SELECT {keys}, src_text, {_rule_step(*step, 't')} AS t FROM {prefix}{i - 1})")
+    return ctes, f"{prefix}{len(STEPS)}"
+
+
+def normalised(src: str, keys: str, text_expr: str, prefix: str = "rr") -> tuple[list[str], str]:
+    """Rule chain plus the blank short-circuit; last CTE has ``keys`` and ``clean_text``."""
+    ctes, last = rules_ctes(src, keys, text_expr, prefix)
+    ctes.append(f"{prefix}_out AS (SELECT {keys}, CASE WHEN {is_blank('src_text')} THEN '' ELSE t END AS clean_text FROM {last})")
+    return ctes, f"{prefix}_out"
