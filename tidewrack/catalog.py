@@ -613,3 +613,34 @@ def q_lm_rows(spark, sf):
     rows = LM.lm_rows(LM.encode(posts, LM.vocabulary(posts, "raw_text"), "id", "raw_text"), "id")
     s = lambda c: F.array_join(F.col(c).cast("array<string>"), ",").alias(c)
     return rows.select("id", s("input_ids"), s("attention_mask"), s("labels"))
+
+
+# --- streaming ingest -------------------------------------------------------------------
+
+from tidewrack.streaming import ingest as ST  # noqa: E402
+
+
+def _landed(spark, sf):
+    pages_dir = _written_pages(spark, sf)
+    landed = scratch_path(spark, "landed")
+    q = ST.start_ingest(spark, pages_dir, landed, scratch_path(spark, "stream-ckpt"), max_files_per_trigger=64)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return ST.read_landed(spark, landed)
+
+
+@register("stream_ingest", f"""WITH {O.FEED}, {O.CLEANED}
+SELECT CAST(page AS VARCHAR) || '-' || CAST(pos AS VARCHAR) AS item_id, page + 1 AS page, pos, text,
+       {O.keep_feed_text('text')} AS keep FROM cleaned""")
+def q_stream_ingest(spark, sf):
+    return _landed(spark, sf).select("item_id", "page", "pos", "text", "keep")
+
+
+@register("stream_feed_posts", O.with_posts() + "\nSELECT id, date, raw_text FROM posts")
+def q_stream_feed_posts(spark, sf):
+    from tidewrack.operators.thread import thread_merge
+    kept = _landed(spark, sf).where("keep")
+    merged = thread_merge(kept, carry=("date",))
+    return corpus.sort_posts(corpus.dedupe_posts(corpus.keyed_posts(merged, session_tz(spark)))).select(
+        "id", "date", "raw_text")
