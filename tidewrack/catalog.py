@@ -644,3 +644,15 @@ def q_stream_feed_posts(spark, sf):
     merged = thread_merge(kept, carry=("date",))
     return corpus.sort_posts(corpus.dedupe_posts(corpus.keyed_posts(merged, session_tz(spark)))).select(
         "id", "date", "raw_text")
+
+
+# --- preference scorer (rows-only check: an iterative fit has no SQL spelling) ----------
+
+@register("preference_scorer")
+def q_preference_scorer(spark, sf):
+    from tidewrack.operators import score as SC
+    _, pairs = _pairs(spark, sf)
+    rows = PF.reward_rows(pairs)
+    model = SC.train(rows)
+    scored = SC.score(model, SC.score(model, rows, "chosen", "score_chosen"), "rejected", "score_rejected")
+    return scored.select("chosen", "rejected", "score_chosen", "score_rejected")
