@@ -8,6 +8,8 @@ from tidewrack.operators.order import global_row_number, range_blocks
 def test_row_number_matches_sorted_order(spark):
     df = spark.range(0, 1000).select(((F.col("id") * 7919) % 1000).alias("k"), F.col("id"))
     got = global_row_number(df, ["k", "id"], num_blocks=7).orderBy("rn").collect()
+    desc = global_row_number(df, [("k", False), "id"], num_blocks=5).orderBy("rn").collect()
+    assert [(r.k, r.id) for r in desc] == sorted(((r.k, r.id) for r in desc), key=lambda x: (-x[0], x[1]))
     assert [r.rn for r in got] == list(range(1, 1001))
     assert [r.k for r in got] == sorted(r.k for r in got)
 

@@ -156,7 +156,7 @@ def q_dedupe_posts(spark, sf):
 SELECT id, date, CAST(row_number() OVER (ORDER BY date, page, pos) AS BIGINT) AS seq FROM posts""")
 def q_sort_posts(spark, sf):
     from tidewrack.operators.order import global_row_number
-    posts = corpus.feed_to_posts(load_feed(spark, sf), keep_position=True)
+    posts = corpus.feed_to_posts(load_feed(spark, sf), keep_position=True, sort=False)
     return global_row_number(posts, ["date", "page", "pos"], "seq").select("id", "date", "seq")
 
 
@@ -176,7 +176,7 @@ from tidewrack.operators.order import global_row_number  # noqa: E402
 
 
 def _posts_table(spark, sf):
-    return TB.full_refresh(corpus.feed_to_posts(load_feed(spark, sf)))
+    return TB.full_refresh(corpus.feed_to_posts(load_feed(spark, sf), sort=False))
 
 
 _TABLE = O.with_posts("tbl AS (SELECT id, date, raw_text, CAST(NULL AS VARCHAR) AS clean_text FROM posts)")
@@ -381,7 +381,7 @@ _NP, _NP_LAST = O.normalised("posts", "id", "raw_text")
 
 @register("rule_normalise", _w(*_NP) + f"\nSELECT id, clean_text FROM {_NP_LAST}")
 def q_rule_normalise(spark, sf):
-    posts = corpus.feed_to_posts(load_feed(spark, sf))
+    posts = corpus.feed_to_posts(load_feed(spark, sf), sort=False)
     return INF.normalise(posts.select("id", "raw_text")).select("id", "clean_text")
 
 
@@ -421,13 +421,13 @@ def _system_examples(spark, sf):
 
 @register("instruction_block", _w(_block_sql(_CFG, _config_examples_sql(_CFG))) + "\nSELECT block, n_examples FROM blk")
 def q_instruction_block(spark, sf):
-    posts = corpus.feed_to_posts(load_feed(spark, sf))
+    posts = corpus.feed_to_posts(load_feed(spark, sf), sort=False)
     return PR.instruction_block(_CFG, posts)
 
 
 @register("instruction_block_data", _w(_block_sql(_CFG, _SYS_EXAMPLES_SQL)) + "\nSELECT block, n_examples FROM blk")
 def q_instruction_block_data(spark, sf):
-    posts = corpus.feed_to_posts(load_feed(spark, sf))
+    posts = corpus.feed_to_posts(load_feed(spark, sf), sort=False)
     return PR.instruction_block(_CFG, posts, _system_examples(spark, sf))
 
 
@@ -441,7 +441,7 @@ SELECT id, blk.block || {O.lit(_CLOSE)} || raw_text || {O.lit('`' + chr(10) + PR
   || chr(10) || {O.lit(_TPL.generation)} AS chat
 FROM posts, blk""")
 def q_cleaning_prompts(spark, sf):
-    posts = corpus.feed_to_posts(load_feed(spark, sf))
+    posts = corpus.feed_to_posts(load_feed(spark, sf), sort=False)
     block = PR.instruction_block(_CFG, posts, _system_examples(spark, sf))
     rows = PR.with_prompts(posts.select("id", "raw_text"), block)
     return rows.select("id", "prompt", _TPL.render(PR.user_chat(F.col("prompt"))).alias("chat"))
@@ -493,7 +493,7 @@ def _labelling(posts, shift: int = 0):
 
 
 def _pairs(spark, sf):
-    posts = corpus.feed_to_posts(load_feed(spark, sf), keep_position=True)
+    posts = corpus.feed_to_posts(load_feed(spark, sf), keep_position=True, sort=False)
     proposals, decisions = _labelling(posts)
     return posts, PF.feedback_pairs(posts.select("id", "raw_text", "page", "pos"), proposals, decisions)
 
@@ -609,7 +609,7 @@ SELECT id, array_to_string(list_resize(ids, 128, 0), ',') AS input_ids,
        array_to_string(list_resize(list_transform(ids, lambda x: 1), 128, 0), ',') AS attention_mask,
        array_to_string(list_resize(ids, 128, 0), ',') AS labels FROM encoded""")
 def q_lm_rows(spark, sf):
-    posts = corpus.feed_to_posts(load_feed(spark, sf)).select("id", "raw_text")
+    posts = corpus.feed_to_posts(load_feed(spark, sf), sort=False).select("id", "raw_text")
     rows = LM.lm_rows(LM.encode(posts, LM.vocabulary(posts, "raw_text"), "id", "raw_text"), "id")
     s = lambda c: F.array_join(F.col(c).cast("array<string>"), ",").alias(c)
     return rows.select("id", s("input_ids"), s("attention_mask"), s("labels"))

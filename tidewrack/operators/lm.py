@@ -29,7 +29,7 @@ def vocabulary(texts: DataFrame, text: str = "text") -> DataFrame:
     global row number over range blocks (the vocabulary grows with the corpus)."""
     counts = texts.select(F.explode(word_tokens(text)).alias("token")).groupBy("token").agg(
         F.count(F.lit(1)).cast("long").alias("count"))
-    ranked = global_row_number(counts, [F.col("count").desc(), F.col("token").asc()], "_rank")
+    ranked = global_row_number(counts, [("count", False), ("token", True)], "_rank")
     spark = texts.sparkSession
     reserved = spark.createDataFrame([(t, i, 0) for i, t in enumerate(RESERVED)], "token string, id long, count long")
     return reserved.unionByName(ranked.select("token", (F.col("_rank") + len(RESERVED) - 1).alias("id"), "count"))

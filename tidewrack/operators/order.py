@@ -1,20 +1,25 @@
 """Global order without a one-partition window over the data.
 
 Several operators need a position in one global order: the thread merge (a running
-count of thread heads), the positional split, paging a sorted feed, ranking a
+count of thread heads), the positional split, paging a sorted table, ranking a
 vocabulary. ``row_number() OVER (ORDER BY ...)`` would pull every row into one task.
 
 Instead the data is cut into contiguous *range blocks*:
 
-1. ``repartitionByRange(n, order)`` samples the order key and cuts it into ``n`` ranges.
-   The key is the full order, so a hot page (or any hot prefix) is split across blocks.
-2. Rows are sorted inside each block; ``monotonically_increasing_id`` then encodes
-   (block, index inside block) in its upper/lower bits.
-3. The blocked rows are staged (reliable checkpoint) so block ids stay stable if tasks
-   are re-run after an executor loss, and so the data is not computed twice.
-4. A per-block summary (row count and any additive columns) has exactly ``n`` rows;
-   a prefix sum over it is a window over ``n`` rows, and that table is broadcast. Its
-   size is bounded by ``n``, a configuration value, not by the data.
+1. The input is staged once (a parquet table in the shared checkpoint folder), so the
+   work that produced it runs once and every later read is a cheap scan.
+2. A bounded sample of the order key (about ``SAMPLES_PER_BLOCK`` keys per block) gives
+   ``n - 1`` boundaries. The key is the full order, so a hot page (or any hot prefix)
+   is split across blocks.
+3. Each row's block is a deterministic expression (binary search over the boundaries),
+   so block ids are stable when tasks are re-run after an executor loss.
+4. A per-block summary (row count and any additive columns) has at most ``n`` rows; its
+   prefix sum is a window over ``n`` rows, and that table is broadcast. Its size is
+   bounded by ``n``, a configuration value, not by the data.
+5. Inside a block, a window partitioned by the block gives the local position or
+   running sum; global value = block offset + local value.
+
+Order keys must be unique for a well-defined numbering (all callers use unique keys).
 """
 
 from __future__ import annotations
@@ -26,10 +31,11 @@ from pyspark.sql import functions as F
 
 from tidewrack.session import stage
 
-_LOCAL_BITS = 33
-_LOCAL_MASK = (1 << _LOCAL_BITS) - 1
 # Upper bound of range blocks; keeps the broadcast offset table small on any cluster.
 MAX_BLOCKS = 100_000
+SAMPLES_PER_BLOCK = 20
+
+Order = Sequence[str | tuple[str, bool]]  # column name, or (column name, ascending)
 
 
 def _num_blocks(df: DataFrame, num_blocks: int | None) -> int:
@@ -38,23 +44,64 @@ def _num_blocks(df: DataFrame, num_blocks: int | None) -> int:
     return max(1, min(int(num_blocks), MAX_BLOCKS))
 
 
-def range_blocks(df: DataFrame, order: Sequence[str | Column], num_blocks: int | None = None,
-                 staged: bool = True) -> DataFrame:
-    """Add ``_blk`` (range block id) and ``_local`` (0-based index inside the block).
+def _spec(order: Order) -> list[tuple[str, bool]]:
+    return [(o, True) if isinstance(o, str) else (o[0], bool(o[1])) for o in order]
+
+
+def _key(df: DataFrame, spec) -> Column:
+    """One struct whose natural ascending order is the requested order. Descending
+    columns are negated (timestamps and dates through their epoch number)."""
+    fields = []
+    for i, (c, asc) in enumerate(spec):
+        col, typ = F.col(c), df.schema[c].dataType.typeName()
+        if not asc:
+            if typ in ("timestamp", "timestamp_ntz"):
+                col = -F.unix_micros(col.cast("timestamp"))
+            elif typ == "date":
+                col = -F.unix_date(col)
+            elif typ in ("string", "binary", "boolean", "struct", "array", "map"):
+                raise NotImplementedError(f"descending order on {typ} column {c}")
+            else:
+                col = -col
+        fields.append(col.alias(f"k{i}"))
+    return F.struct(*fields)
+
+
+def _sort_cols(spec) -> list[Column]:
+    return [F.col(c).asc() if asc else F.col(c).desc() for c, asc in spec]
+
+
+def _bucket(key: Column, bounds: list[Column], lo: int, hi: int) -> Column:
+    """Index i in [lo, hi] such that bounds[i-1] <= key < bounds[i] (binary search)."""
+    if lo == hi:
+        return F.lit(lo)
+    mid = (lo + hi + 1) // 2
+    return F.when(key >= bounds[mid - 1], _bucket(key, bounds, mid, hi)).otherwise(_bucket(key, bounds, lo, mid - 1))
+
 
-    (``_blk``, ``_local``) ascending is the global order given by ``order``; ties in
-    ``order`` are broken arbitrarily but consistently once staged."""
+def range_blocks(df: DataFrame, order: Order, num_blocks: int | None = None, staged: bool = True) -> DataFrame:
+    """Add ``_blk``: contiguous ranges of the global order, about equal in size."""
+    spec = _spec(order)
     n = _num_blocks(df, num_blocks)
-    seq = F.monotonically_increasing_id()
-    blocked = (
-        df.repartitionByRange(n, *order)
-        .sortWithinPartitions(*order)
-        .withColumn("_seq", seq)
-        .withColumn("_blk", F.shiftright(F.col("_seq"), _LOCAL_BITS))
-        .withColumn("_local", F.col("_seq").bitwiseAND(F.lit(_LOCAL_MASK)))
-        .drop("_seq")
-    )
-    return stage(blocked) if staged else blocked
+    base = stage(df, "blocks") if staged else df
+    keyed = base.withColumn("_key", _key(base, spec))
+    bounds: list = []
+    if n > 1:
+        total = base.count()
+        want = n * SAMPLES_PER_BLOCK
+        sample = keyed.select("_key")
+        if total > want:
+            sample = sample.sample(fraction=min(1.0, 2.0 * want / total), seed=17)
+        keys = [r[0] for r in sample.orderBy("_key").collect()]  # bounded: ~2 * want rows
+        picks = [keys[(i * len(keys)) // n] for i in range(1, n)] if keys else []
+        for k in picks:
+            if not bounds or k != bounds[-1]:
+                bounds.append(k)
+    key_type = keyed.schema["_key"].dataType
+    lits = [F.lit(None).cast(key_type) if b is None else
+            F.struct(*[F.lit(v).cast(key_type[i].dataType).alias(f"k{i}") for i, v in enumerate(b)]) for b in bounds]
+    blk = _bucket(F.col("_key"), lits, 0, len(lits)) if lits else F.lit(0)
+    return keyed.withColumn("_blk", blk.cast("int")).drop("_key")
 
 
 def block_offsets(blocked: DataFrame, sums: Sequence[str] = ()) -> DataFrame:
@@ -73,17 +120,19 @@ def with_global_offsets(blocked: DataFrame, sums: Sequence[str] = ()) -> DataFra
     return blocked.join(F.broadcast(block_offsets(blocked, sums)), "_blk")
 
 
-def global_row_number(df: DataFrame, order: Sequence[str | Column], name: str = "rn",
-                      num_blocks: int | None = None) -> DataFrame:
+def global_row_number(df: DataFrame, order: Order, name: str = "rn", num_blocks: int | None = None) -> DataFrame:
     """1-based row number in a global order, computed without a global window."""
-    blocked = with_global_offsets(range_blocks(df, order, num_blocks))
-    return blocked.withColumn(name, F.col("_off_n") + F.col("_local") + F.lit(1)).drop("_blk", "_local", "_off_n")
+    spec = _spec(order)
+    blocked = with_global_offsets(range_blocks(df, spec, num_blocks))
+    inside = Window.partitionBy("_blk").orderBy(*_sort_cols(spec))
+    return blocked.withColumn(name, F.col("_off_n") + F.row_number().over(inside)).drop("_blk", "_off_n")
 
 
-def global_running_sum(df: DataFrame, order: Sequence[str | Column], value: str, name: str,
+def global_running_sum(df: DataFrame, order: Order, value: str, name: str,
                        num_blocks: int | None = None) -> DataFrame:
-    """Inclusive running sum of ``value`` in a global order. Keeps ``_blk``/``_local``
-    so callers can sort or group by block afterwards."""
-    blocked = with_global_offsets(range_blocks(df, order, num_blocks), [value])
-    inside = Window.partitionBy("_blk").orderBy("_local").rowsBetween(Window.unboundedPreceding, 0)
+    """Inclusive running sum of ``value`` in a global order. Keeps ``_blk`` so callers
+    can group by block afterwards."""
+    spec = _spec(order)
+    blocked = with_global_offsets(range_blocks(df, spec, num_blocks), [value])
+    inside = Window.partitionBy("_blk").orderBy(*_sort_cols(spec)).rowsBetween(Window.unboundedPreceding, 0)
     return blocked.withColumn(name, F.col(f"_off_{value}") + F.sum(value).over(inside)).drop("_off_n", f"_off_{value}")

@@ -36,7 +36,8 @@ def thread_merge(feed: DataFrame, order: Sequence[str] = ("page", "pos"), text:
     heads = feed.withColumn("_head", F.when(F.col(text).startswith("..."), 0).otherwise(1))
     numbered = global_running_sum(heads, list(order), "_head", "_island", num_blocks)
     keep = list(dict.fromkeys([*order, *carry]))
-    part = F.struct(F.col("_blk"), F.col("_local"), F.col(text).alias("_t"), *[F.col(c) for c in keep])
+    # Sorting the structs orders the parts by the feed order (the leading fields).
+    part = F.struct(*[F.col(c) for c in order], F.col(text).alias("_t"), *[F.col(c) for c in keep if c not in order])
     grouped = numbered.groupBy("_island").agg(F.array_sort(F.collect_list(part)).alias("_parts"))
     pieces = F.transform(
         "_parts",

@@ -60,10 +60,13 @@ def sort_posts(posts: DataFrame) -> DataFrame:
 
 
 def feed_to_posts(feed: DataFrame, tz: str | None = None, num_blocks: int | None = None,
-                  keep_position: bool = False) -> DataFrame:
+                  keep_position: bool = False, sort: bool = True) -> DataFrame:
+    """L1. ``sort=False`` leaves out the final date sort (M3) when the posts only feed
+    other operators (joins, aggregates), where a global sort would be wasted work."""
     tz = tz or session_tz(feed.sparkSession)
     merged = thread_merge(filter_feed(clean_feed(feed)), carry=("date",), num_blocks=num_blocks)
-    posts = sort_posts(dedupe_posts(keyed_posts(merged, tz)))
+    posts = dedupe_posts(keyed_posts(merged, tz))
+    posts = sort_posts(posts) if sort else posts
     return posts if keep_position else posts.select("id", "date", "raw_text")
 
 

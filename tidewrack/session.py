@@ -57,19 +57,34 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tidewrack-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def stage(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared checkpoint folder.
+def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Cut lineage by writing ``df`` as a parquet table in the shared checkpoint folder
+    and reading it back.
 
     Used where a plan would otherwise read its input twice, or where ids derived from
-    partition layout must stay stable if an executor is lost and tasks are re-run.
+    partition layout must stay stable if an executor is lost and tasks are re-run. One
+    write job computes ``df`` once (``Dataset.checkpoint`` would compute it twice:
+    once to count, once to save), and later reads get column pruning.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def session_tz(spark: SparkSession) -> str:
     return spark.conf.get("spark.sql.session.timeZone") or "UTC"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give CPU-heavy column work at least one partition per core.
+
+    A scan of many files already has more splits than cores and is returned as is (no
+    shuffle). Only a scan with fewer splits than ``defaultParallelism`` (e.g. one
+    parquet row group) is spread round-robin; column pruning and filters still reach the
+    scan below the repartition."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))

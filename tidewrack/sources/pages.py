@@ -98,7 +98,10 @@ def build_pages(items: DataFrame) -> DataFrame:
 def write_pages(pages: DataFrame, path: str, mode: str = "overwrite") -> None:
     """One file per page, ``file_key=NNNN/``. Dynamic partition overwrite replaces
     only the pages present in ``pages`` (a refreshed page replaces its old file)."""
-    (pages.select("file_key", "body").repartition("file_key").write
+    # An explicit partition count: AQE must not coalesce this shuffle into a few tasks,
+    # since each task writes one file per page it holds.
+    n = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (pages.select("file_key", "body").repartition(n, "file_key").write
      .option("partitionOverwriteMode", "dynamic").partitionBy("file_key").mode(mode).text(path))
 
 
@@ -195,8 +198,7 @@ def backlog(spark: SparkSession, present_pages: DataFrame, total_pages: int) ->
 def paging(rows: DataFrame, order: Sequence[str], page_size: int, descending: bool = False) -> DataFrame:
     """Page a sorted table like the feed API: per page (page, page_size, from,
     total_hits, page_count, previous_page, next_page)."""
-    cols = [F.col(c).desc() for c in order] if descending else [F.col(c).asc() for c in order]
-    numbered = global_row_number(rows, cols, "_rn")
+    numbered = global_row_number(rows, [(c, not descending) for c in order], "_rn")
     per_page = numbered.groupBy(F.ceil(F.col("_rn") / F.lit(page_size)).cast("long").alias("page")).agg(
         F.count(F.lit(1)).cast("long").alias("page_size"), F.min("_rn").cast("long").alias("from"),
     )
