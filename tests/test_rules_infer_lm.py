@@ -72,3 +72,26 @@ def test_vocabulary_reserves_pad(spark):
     df = spark.createDataFrame([("b a a",), ("c",)], "text string")
     v = {r.token: (r.id, r["count"]) for r in LM.vocabulary(df).collect()}
     assert v == {"[PAD]": (0, 0), "[UNK]": (1, 0), "a": (2, 2), "b": (3, 1), "c": (4, 1)}
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+PIECES = st.sampled_from(["a", "B", " ", "  ", "\t", '"', "@Foo_Bar", "#CamelTag", "#news", "RT @x:", "Trump", "Donald J. Trump",
+                          "says Donald Trump", "via @realDonaldTrump", " - ", " -- ", " @ ", "w/", "w/over", ",", ".", "!",
+                          "http://t.co/x", "BREAKING:", "FLASHBACK –", "—", "9pm"])
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.lists(PIECES, max_size=10).map("".join), min_size=1, max_size=30))
+def test_guards_are_exact(spark, texts):
+    from tidewrack.functions import rules as R
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "k long, raw_text string")
+    guarded = [r.clean_text for r in R.apply_rules(df, "raw_text").orderBy("k").collect()]
+    saved = R.GUARDS
+    try:
+        R.GUARDS = {}
+        plain = [r.clean_text for r in R.apply_rules(df, "raw_text").orderBy("k").collect()]
+    finally:
+        R.GUARDS = saved
+    assert guarded == plain

@@ -70,6 +70,29 @@ STEPS: list[tuple[str, str, str]] = [
     ("final_period", "", ""),
 ]
 
+# Cheap exact pre-tests (on UTF-8 bytes, no regex): a step whose guard is false cannot
+# match, so it is skipped. Index -> list of literals of which one must occur
+# ("^x" = starts with x). Steps without a guard always run. After step 0 the only
+# whitespace left is the plain space, which the guards rely on.
+GUARDS: dict[int, tuple[str, ...]] = {
+    2: tuple("^" + t for t in LEAD_IN_TAGS),
+    3: ("://",),
+    5: ("Donald J. Trump",),
+    6: ("says Donald Trump",),
+    7: (f"via @{SELF_HANDLE}",),
+    8: ('^"',),
+    9: ('^"',),
+    10: ("@",),
+    11: ('^"',),
+    15: (" -- ",),
+    16: (" - ",),
+    17: (" @ ",),
+    18: ("w/over",),
+    19: ("w/",),
+    20: (",",),
+    21: (".",),
+}
+
 CAMEL_STEPS = [("_", " "), ("([a-z0-9])([A-Z])", "$1 $2"), ("([A-Z])([A-Z][a-z])", "$1 $2")]
 INITIAL_STEP = ("(^| )([A-Z])( |\\z)", "$1$2.$3")
 RT_PREFIX = f"^RT{_W}+@[A-Za-z0-9_]+:?{_W}*"
@@ -107,14 +130,14 @@ def _step(kind: str, pat: str, rep: str, c: Column) -> Column:
     if kind == "re":
         return F.regexp_replace(c, pat, rep)
     if kind == "rt_names":
-        is_rt = c.rlike(RT_PREFIX)
+        is_rt = c.startswith("RT") & c.rlike(RT_PREFIX)
         body = F.regexp_replace(c, RT_PREFIX, "")
         named = F.regexp_replace(F.regexp_replace(body, f"\\b(?:{_NAMES})'s\\b", "my"), f"\\b(?:{_NAMES})\\b", "me")
         return F.when(is_rt, named).otherwise(c)
     if kind == "lead_mention":
         name = F.regexp_extract(c, "^@([A-Za-z0-9_]+)", 1)
         rest = F.regexp_replace(c, f"^@[A-Za-z0-9_]+[:,]?{_W}*", "")
-        return F.when(name != "", F.concat(camel_words(name), F.lit(", "), rest)).otherwise(c)
+        return F.when(c.startswith("@") & (name != ""), F.concat(camel_words(name), F.lit(", "), rest)).otherwise(c)
     if kind == "mentions":
         # Only texts holding an '@' are split into words (same result, far less work).
         return F.when(c.contains("@"), F.array_join(F.transform(F.split(c, " "), _mention_token), " ")).otherwise(c)
@@ -125,11 +148,23 @@ def _step(kind: str, pat: str, rep: str, c: Column) -> Column:
     raise ValueError(kind)
 
 
+def _guard(c: Column, lits: tuple[str, ...]) -> Column:
+    tests = [c.startswith(x[1:]) if x.startswith("^") else c.contains(x) for x in lits]
+    out = tests[0]
+    for t in tests[1:]:
+        out = out | t
+    return out
+
+
 def apply_rules(df: DataFrame, text: str, out: str = "clean_text") -> DataFrame:
     """Run the rule chain on ``text`` into ``out``. One projection per step; Spark keeps
     them separate where collapsing would repeat an expensive expression."""
     tmp = "_rule_t"
     df = df.withColumn(tmp, F.coalesce(F.col(text), F.lit("")))
-    for kind, pat, rep in STEPS:
-        df = df.withColumn(tmp, _step(kind, pat, rep, F.col(tmp)))
+    for i, (kind, pat, rep) in enumerate(STEPS):
+        c = F.col(tmp)
+        step = _step(kind, pat, rep, c)
+        if i in GUARDS:
+            step = F.when(_guard(c, GUARDS[i]), step).otherwise(c)
+        df = df.withColumn(tmp, step)
     return df.withColumnRenamed(tmp, out) if out not in df.columns else df.withColumn(out, F.col(tmp)).drop(tmp)

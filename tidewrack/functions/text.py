@@ -114,13 +114,16 @@ def content_id(date_col, text_col) -> Column:
 def clean_post_text(col) -> Column:
     """Remove URLs (keeping a ``...`` that follows one), fix spacing around
     punctuation, rejoin split numbers and ``a. m``-style times, strip."""
-    c = F.regexp_replace(_c(col), f"([{WS}]*:[{WS}]*)?https?://[^{WS}]+(\\.\\.\\.)", "$1$2")
-    c = F.regexp_replace(c, f"([{WS}]*:[{WS}]*)?https?://[^{WS}]+", "")
+    c = _c(col)
+    # URL steps only for texts holding "://" (exact pre-test, no regex).
+    has_url = c.contains("://")
+    c = F.when(has_url, F.regexp_replace(c, f"([{WS}]*:[{WS}]*)?https?://[^{WS}]+(\\.\\.\\.)", "$1$2")).otherwise(c)
+    c = F.when(has_url, F.regexp_replace(c, f"([{WS}]*:[{WS}]*)?https?://[^{WS}]+", "")).otherwise(c)
     c = F.replace(c, F.lit("\n"), F.lit(" "))
     c = F.regexp_replace(c, f"[{WS}]*(\\.\\.\\.|,|;|\\.|!|\\?)[{WS},;.!?]*", "$1 ")
     c = F.regexp_replace(c, WS_RUN, " ")
     c = F.regexp_replace(c, f"(\\p{{Nd}}+[,.])[{WS}](\\p{{Nd}}+)", "$1$2")
-    c = F.regexp_replace(c, "([aApP])\\. ([mM])", "$1.$2")
+    c = F.when(c.contains(". m") | c.contains(". M"), F.regexp_replace(c, "([aApP])\\. ([mM])", "$1.$2")).otherwise(c)
     return strip(c)
 
 

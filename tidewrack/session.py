@@ -23,6 +23,9 @@ def get_spark(master: str | None = None, app: str = "tidewrack", shuffle_partiti
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Small shuffle outputs stay spread over the cores (text work is CPU-bound);
+        # at cluster scale partitions are far larger than this and it has no effect.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus)))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "16g")
@@ -68,7 +71,7 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return spread(df.sparkSession.read.parquet(path))
 
 
 def session_tz(spark: SparkSession) -> str:
