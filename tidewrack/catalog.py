@@ -656,3 +656,20 @@ def q_preference_scorer(spark, sf):
     model = SC.train(rows)
     scored = SC.score(model, SC.score(model, rows, "chosen", "score_chosen"), "rejected", "score_rejected")
     return scored.select("chosen", "rejected", "score_chosen", "score_rejected")
+
+
+# --- L3: preference data -> training sets ----------------------------------------------
+
+@register("training_sets", _PAIRS_SQL + f""",
+num AS (SELECT input AS prompt, CAST(row_number() OVER (ORDER BY page, pos) AS BIGINT) AS row_number,
+               count(*) OVER () AS n FROM pairs),
+sp AS (SELECT row_number, prompt, CASE WHEN row_number <= n - floor(n / 2) THEN 'train' ELSE 'eval' END AS split FROM num),
+{_vocab_sql('sp', 'prompt')}, {_encode_sql('sp', 'row_number', 'prompt')}
+SELECT e.row_number, sp.split, CAST(len(e.ids) AS BIGINT) AS n_ids, array_to_string(e.ids, ',') AS ids
+FROM encoded e JOIN sp ON e.row_number = sp.row_number""")
+def q_training_sets(spark, sf):
+    from tidewrack.plans.training import training_sets
+    _, pairs = _pairs(spark, sf)
+    t = training_sets(pairs, ["page", "pos"]).tokens
+    return t.select("row_number", "split", F.size("input_ids").cast("long").alias("n_ids"),
+                    F.array_join(F.col("input_ids").cast("array<string>"), ",").alias("ids"))
