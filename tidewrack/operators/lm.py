@@ -40,19 +40,17 @@ def encode(texts: DataFrame, vocab: DataFrame, key: str, text: str = "text") ->
     vocabulary. A vocabulary counted to at most ``BROADCAST_MAX_ROWS`` is broadcast;
     a larger one is joined with the token side salted, so a very common token is spread
     over ``SALTS`` tasks. Ids are regrouped per text in position order."""
-    toks = texts.select(key, F.posexplode(word_tokens(text)).alias("p", "token"))
+    # posexplode_outer keeps texts without tokens as one row with a null position.
+    toks = texts.select(key, F.posexplode_outer(word_tokens(text)).alias("p", "token"))
     v = vocab.select("token", F.col("id").alias("_tid"))
     if v.limit(BROADCAST_MAX_ROWS + 1).count() <= BROADCAST_MAX_ROWS:
         j = toks.join(F.broadcast(v), "token", "left")
     else:
         j = salted_join(toks, v, "token", SALTS, "p", "left")
     j = j.withColumn("_tid", F.coalesce("_tid", F.lit(RESERVED.index(UNK)).cast("long")))
-    ids = j.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("p", "_tid"))).alias("_ids"))
-    out = ids.select(key, F.transform("_ids", lambda x: x["_tid"]).alias("input_ids"))
-    # Texts without any token keep an empty id list.
-    empty = texts.select(key).join(out.select(key), key, "left_anti").withColumn(
-        "input_ids", F.array().cast("array<bigint>"))
-    return out.unionByName(empty)
+    part = F.when(F.col("p").isNotNull(), F.struct("p", "_tid"))  # collect_list skips nulls
+    ids = j.groupBy(key).agg(F.array_sort(F.collect_list(part)).alias("_ids"))
+    return ids.select(key, F.transform("_ids", lambda x: x["_tid"]).alias("input_ids"))
 
 
 def fixed_length(ids: Column, length: int = MAX_LENGTH, pad_id: int = 0):
