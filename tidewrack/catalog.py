@@ -161,7 +161,8 @@ def q_sort_posts(spark, sf):
 
 
 @register("funnel", O.with_posts() + """
-SELECT * FROM (VALUES ('feed', 0, (SELECT count(*) FROM feed)), ('with_text', 1, (SELECT count(*) FROM cleaned)),
+SELECT stage, CAST(seq AS BIGINT) AS seq, CAST(rows AS BIGINT) AS rows FROM (VALUES
+  ('feed', 0, (SELECT count(*) FROM feed)), ('with_text', 1, (SELECT count(*) FROM cleaned)),
   ('kept', 2, (SELECT count(*) FROM kept)), ('merged', 3, (SELECT count(*) FROM merged)),
   ('non_blank', 4, (SELECT count(*) FROM keyed)), ('distinct_ids', 5, (SELECT count(DISTINCT id) FROM keyed))
 ) t(stage, seq, rows)""")
