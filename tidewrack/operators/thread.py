@@ -9,13 +9,13 @@ Spark form (gaps and islands, no one-partition window over the feed):
 * ``island`` = global running count of heads (rows not starting with ``...``), from
   ``order.global_running_sum``. Rows before the first head share island 0, whose first
   row is the global first row - exactly the "first row always starts a post" rule.
-* ``groupBy(island)`` collects (block, index, text, head columns), sorts the array by
-  position, keeps element 0 as is and strips the leading dots of the others, and joins
-  with spaces. Head columns (date, page, ...) come from element 0.
-
-Skew: a thread is one output row by definition, so a very long thread lands in one
-group; Spark's partial (map-side) aggregation still combines its rows per block before
-the shuffle.
+* Pre-aggregation inside range blocks: the rows are already hash-partitioned by block
+  for the running sum, so grouping by (island, block) needs no new shuffle. Each group
+  becomes one partial: its first row (raw and stripped text, head columns) and the
+  already joined tail `` piece piece ...``.
+* ``groupBy(island)`` then only moves partials: a thread spanning many blocks arrives
+  as at most one string per block (bounded by the block count), not as one row per
+  feed item. The first partial keeps its first text raw; later ones use the stripped one.
 """
 
 from __future__ import annotations
@@ -29,23 +29,36 @@ from tidewrack.functions.text import WS
 from tidewrack.operators.order import global_running_sum
 
 
+def _strip_dots(c):
+    return F.regexp_replace(c, f"^\\.+[{WS}]*", "")
+
+
 def thread_merge(feed: DataFrame, order: Sequence[str] = ("page", "pos"), text: str = "text",
                  carry: Sequence[str] = ("date",), num_blocks: int | None = None) -> DataFrame:
     """Returns one row per merged post: ``order`` columns and ``carry`` columns of the
     head row, the merged ``text`` and ``n_parts`` (rows merged)."""
     heads = feed.withColumn("_head", F.when(F.col(text).startswith("..."), 0).otherwise(1))
     numbered = global_running_sum(heads, list(order), "_head", "_island", num_blocks)
-    keep = list(dict.fromkeys([*order, *carry]))
-    # Sorting the structs orders the parts by the feed order (the leading fields).
-    part = F.struct(*[F.col(c) for c in order], F.col(text).alias("_t"), *[F.col(c) for c in keep if c not in order])
-    grouped = numbered.groupBy("_island").agg(F.array_sort(F.collect_list(part)).alias("_parts"))
-    pieces = F.transform(
-        "_parts",
-        lambda x, i: F.when(i == 0, x["_t"]).otherwise(F.regexp_replace(x["_t"], f"^\\.+[{WS}]*", "")),
+    order = list(order)
+    extra = [c for c in dict.fromkeys(carry) if c not in order]
+    # Sorting the structs orders the rows by the feed order (the leading fields).
+    row = F.struct(*[F.col(c) for c in order], F.col(text).alias("_t"), *[F.col(c) for c in extra])
+    in_block = numbered.groupBy("_island", "_blk").agg(F.array_sort(F.collect_list(row)).alias("_rows"))
+    first = F.col("_rows")[0]
+    tail = F.array_join(F.transform(F.slice("_rows", 2, F.size("_rows")),
+                                    lambda x: F.concat(F.lit(" "), _strip_dots(x["_t"]))), "")
+    partial = in_block.select(
+        "_island",
+        F.struct(*[first[c].alias(c) for c in order], first["_t"].alias("_raw"),
+                 _strip_dots(first["_t"]).alias("_stripped"), tail.alias("_tail"),
+                 F.size("_rows").cast("long").alias("_n"), *[first[c].alias(c) for c in extra]).alias("_p"),
     )
-    head = F.col("_parts")[0]
-    return grouped.select(
-        *[head[c].alias(c) for c in keep],
-        F.array_join(pieces, " ").alias(text),
-        F.size("_parts").cast("long").alias("n_parts"),
+    merged = partial.groupBy("_island").agg(F.array_sort(F.collect_list("_p")).alias("_ps"))
+    head = F.col("_ps")[0]
+    later = F.array_join(F.transform(F.slice("_ps", 2, F.size("_ps")),
+                                     lambda x: F.concat(F.lit(" "), x["_stripped"], x["_tail"])), "")
+    return merged.select(
+        *[head[c].alias(c) for c in [*order, *extra]],
+        F.concat(head["_raw"], head["_tail"], later).alias(text),
+        F.aggregate("_ps", F.lit(0).cast("long"), lambda acc, x: acc + x["_n"]).alias("n_parts"),
     )
