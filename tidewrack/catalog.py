@@ -436,14 +436,16 @@ _TPL = PR.ChatTemplate()
 _CLOSE = "\n" + "\n".join(PR.CLOSING_LINES) + "\n" + PR.RAW_LABEL
 
 
-@register("cleaning_prompts", _w(_block_sql(_CFG, _SYS_EXAMPLES_SQL)) + f"""
+@register("cleaning_prompts", _w(_block_sql(_CFG, _config_examples_sql(_CFG))) + f"""
 SELECT id, blk.block || {O.lit(_CLOSE)} || raw_text || {O.lit('`' + chr(10) + PR.NORMALISED_LABEL)} AS prompt,
   '<|user|>' || chr(10) || blk.block || {O.lit(_CLOSE)} || raw_text || {O.lit('`' + chr(10) + PR.NORMALISED_LABEL)}
   || chr(10) || {O.lit(_TPL.generation)} AS chat
 FROM posts, blk""")
 def q_cleaning_prompts(spark, sf):
     posts = corpus.feed_to_posts(load_feed(spark, sf), sort=False)
-    block = PR.instruction_block(_CFG, posts, _system_examples(spark, sf))
+    # Per-row prompts use the configured few-shot examples: the block's size is bounded
+    # by the config file, never by the data, before it is attached to every row.
+    block = PR.instruction_block(_CFG, posts)
     rows = PR.with_prompts(posts.select("id", "raw_text"), block)
     return rows.select("id", "prompt", _TPL.render(PR.user_chat(F.col("prompt"))).alias("chat"))
 

@@ -22,6 +22,7 @@ RESERVED = (PAD, UNK)
 MAX_LENGTH = 128
 # ----------------------------------------------------------------------------------------
 SALTS = 16
+BUCKET = 4096  # positions per first-level group
 
 
 def vocabulary(texts: DataFrame, text: str = "text") -> DataFrame:
@@ -48,9 +49,14 @@ def encode(texts: DataFrame, vocab: DataFrame, key: str, text: str = "text") ->
     else:
         j = salted_join(toks, v, "token", SALTS, "p", "left")
     j = j.withColumn("_tid", F.coalesce("_tid", F.lit(RESERVED.index(UNK)).cast("long")))
+    # Two levels: ids are first regrouped per (text, position bucket) - a very long text
+    # is spread over many tasks - then the ordered buckets are concatenated per text.
     part = F.when(F.col("p").isNotNull(), F.struct("p", "_tid"))  # collect_list skips nulls
-    ids = j.groupBy(key).agg(F.array_sort(F.collect_list(part)).alias("_ids"))
-    return ids.select(key, F.transform("_ids", lambda x: x["_tid"]).alias("input_ids"))
+    bucket = F.coalesce(F.floor(F.col("p") / BUCKET), F.lit(0)).cast("long")
+    pieces = j.groupBy(key, bucket.alias("_b")).agg(F.array_sort(F.collect_list(part)).alias("_ids"))
+    pieces = pieces.select(key, F.struct("_b", F.transform("_ids", lambda x: x["_tid"]).alias("_v")).alias("_piece"))
+    ids = pieces.groupBy(key).agg(F.array_sort(F.collect_list("_piece")).alias("_pieces"))
+    return ids.select(key, F.flatten(F.transform("_pieces", lambda x: x["_v"])).alias("input_ids"))
 
 
 def fixed_length(ids: Column, length: int = MAX_LENGTH, pad_id: int = 0):

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from importlib import resources
 
 import yaml
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewrack.operators.table import probe_raw_text
@@ -31,6 +31,7 @@ CLOSING_LINES = (
 RAW_LABEL = "RAW TEXT:\n`"
 NORMALISED_LABEL = "NORMALIZED TEXT:\n`"
 # ------------------------------------------------------------------------------------------
+CHAT_BUCKET = 1024  # turns per first-level group
 
 
 @dataclass(frozen=True)
@@ -126,10 +127,16 @@ def conversation_chats(turns: DataFrame, template: ChatTemplate = ChatTemplate()
     through the shuffle."""
     head, mid, tail = template._pieces()
     msg = turns.select(key, order, F.concat(F.lit(head), "role", F.lit(mid), F.coalesce("text", F.lit("")), F.lit(tail)).alias("_m"))
-    chats = msg.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(order, "_m"))).alias("_ms"))
-    return chats.select(key, F.size("_ms").cast("long").alias("n_messages"),
-                        F.concat(F.array_join(F.transform("_ms", lambda x: x["_m"]), ""), F.lit(template.generation)).alias("chat"))
+    # Two levels: messages are joined per (conversation, turn bucket) first, so a very
+    # long conversation is spread over many tasks; then the buckets are joined in order.
+    bucket = F.floor(F.col(order) / CHAT_BUCKET).cast("long").alias("_b")
+    part = msg.groupBy(key, bucket).agg(F.array_sort(F.collect_list(F.struct(order, "_m"))).alias("_ms"))
+    part = part.select(key, F.struct("_b", F.array_join(F.transform("_ms", lambda x: x["_m"]), "").alias("_s"),
+                                     F.size("_ms").cast("long").alias("_n")).alias("_p"))
+    chats = part.groupBy(key).agg(F.array_sort(F.collect_list("_p")).alias("_ps"))
+    return chats.select(key, F.aggregate("_ps", F.lit(0).cast("long"), lambda a, x: a + x["_n"]).alias("n_messages"),
+                        F.concat(F.array_join(F.transform("_ps", lambda x: x["_s"]), ""), F.lit(template.generation)).alias("chat"))
 
 
 __all__ = ["PromptConfig", "ChatTemplate", "instruction_block", "cleaning_prompt", "with_prompts", "user_chat",
-           "conversation_chats", "Window"]
+           "conversation_chats"]
