@@ -34,6 +34,7 @@ from tidewrack.session import stage
 # Upper bound of range blocks; keeps the broadcast offset table small on any cluster.
 MAX_BLOCKS = 100_000
 SAMPLES_PER_BLOCK = 20
+MAX_SAMPLE = 1_000_000  # keys sampled in total (bounded driver-side sort of boundaries)
 
 Order = Sequence[str | tuple[str, bool]]  # column name, or (column name, ascending)
 
@@ -88,11 +89,11 @@ def range_blocks(df: DataFrame, order: Order, num_blocks: int | None = None, sta
     bounds: list = []
     if n > 1:
         total = base.count()
-        want = n * SAMPLES_PER_BLOCK
+        want = min(n * SAMPLES_PER_BLOCK, MAX_SAMPLE)
         sample = keyed.select("_key")
         if total > want:
             sample = sample.sample(fraction=min(1.0, 2.0 * want / total), seed=17)
-        keys = [r[0] for r in sample.orderBy("_key").collect()]  # bounded: ~2 * want rows
+        keys = [r[0] for r in sample.orderBy("_key").collect()]  # bounded: about 2 * MAX_SAMPLE
         picks = [keys[(i * len(keys)) // n] for i in range(1, n)] if keys else []
         for k in picks:
             if not bounds or k != bounds[-1]:
