@@ -26,3 +26,12 @@ def test_chain_evaluated_once(spark):
     # The cleaning chain is bound by a Generate, so filters on it are not pushed below it.
     p = corpus.filter_feed(corpus.clean_feed(load_feed(spark, SF0001)))._jdf.queryExecution().optimizedPlan().toString()
     assert p.count("Generate") == 1
+
+
+def test_observed_funnel_matches_counts(spark):
+    from tidewrack.session import scratch_path
+    posts, obs = corpus.feed_to_posts_observed(load_feed(spark, SF0001))
+    posts.write.parquet(scratch_path(spark, "observed"))
+    got = {k: o.get["rows"] for k, o in obs.items()}
+    want = {r.stage: r.rows for r in corpus.funnel(load_feed(spark, SF0001)).collect()}
+    assert all(got[k] == want[k] for k in got)

@@ -51,3 +51,14 @@ def test_reward_and_ppo_rows(spark):
         PF.ppo_rows(pairs).collect()  # an empty rejected list fails, as in the original
     tolerant = PF.ppo_rows(pairs, tolerant=True).collect()
     assert tolerant[2].rejected[1].content is None
+
+
+def test_pair_document_export_roundtrip(spark):
+    pairs = spark.createDataFrame([("2", "i2", "a2", ["r2"]), ("1", "i1", "a1", ["r1", "x"])],
+                                  "id string, input string, accepted string, rejected array<string>")
+    path = scratch_path(spark, "pairs-doc")
+    PF.export_pairs_document(pairs, path)
+    back = [tuple(r) for r in PF.read_pairs(spark, path).collect()]
+    assert sorted(back) == sorted(tuple(r) for r in pairs.collect())
+    with pytest.raises(ValueError):
+        PF.export_pairs_document(pairs, scratch_path(spark, "pairs-doc2"), max_pairs=1)

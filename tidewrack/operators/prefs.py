@@ -70,17 +70,48 @@ def read_pairs(spark: SparkSession, path: str) -> DataFrame:
         warnings.warn(f"preference dataset {path} does not exist", stacklevel=2)
         return spark.createDataFrame([], PAIR)
     if fs.getFileStatus(p).isFile() and path.endswith(".json"):
-        doc = spark.read.option("multiLine", True).schema(f"comparison_pairs array<{PAIR.simpleString()}>").json(path)
-        return doc.select(F.explode("comparison_pairs").alias("p")).select("p.*")
+        return _explode_document(spark.read.option("multiLine", True).schema(_DOC).json(path))
+    if fs.exists(jvm.org.apache.hadoop.fs.Path(path, "_EXPORT")):
+        return _explode_document(spark.read.schema(_DOC).json(path))
     return spark.read.schema(PAIR).json(path)
 
 
+_DOC = f"comparison_pairs array<{PAIR.simpleString()}>"
+
+
+def _explode_document(doc: DataFrame) -> DataFrame:
+    return doc.select(F.posexplode("comparison_pairs").alias("_i", "p")).orderBy("_i").select("p.*")
+
+
 def write_pairs(pairs: DataFrame, path: str) -> None:
     """Replace the stored set (JSON lines, written in parallel)."""
     cols = [f.name for f in PAIR.fields]
     pairs.select(*cols).write.mode("overwrite").json(path)
 
 
+# A one-document export holds every pair in one JSON object, so it is only written for
+# sets whose size has been checked.
+EXPORT_MAX_PAIRS = 100_000
+
+
+def export_pairs_document(pairs: DataFrame, path: str, max_pairs: int = EXPORT_MAX_PAIRS) -> None:
+    """S11 export: ``{"comparison_pairs": [...]}`` as one JSON document (the original
+    file format), in pair order (``id`` breaks no ties: the caller orders the pairs).
+    Refuses sets larger than ``max_pairs`` (counted with a bounded ``limit``); large sets
+    stay in the parallel JSON-lines form of ``write_pairs``."""
+    n = pairs.limit(max_pairs + 1).count()
+    if n > max_pairs:
+        raise ValueError(f"{n}+ pairs: too many for a one-document export; use write_pairs")
+    cols = [f.name for f in PAIR.fields]
+    numbered = pairs.select(*cols).withColumn("_i", F.monotonically_increasing_id())
+    doc = numbered.agg(F.array_sort(F.collect_list(F.struct("_i", *cols))).alias("_ps")).select(
+        F.to_json(F.struct(F.transform("_ps", lambda x: x.dropFields("_i")).alias("comparison_pairs"))).alias("value"))
+    doc.coalesce(1).write.mode("overwrite").text(path)
+    jvm = pairs.sparkSession.sparkContext._jvm
+    marker = jvm.org.apache.hadoop.fs.Path(path, "_EXPORT")
+    marker.getFileSystem(pairs.sparkSession.sparkContext._jsc.hadoopConfiguration()).create(marker, True).close()
+
+
 def reward_rows(pairs: DataFrame) -> DataFrame:
     """(chosen, rejected) for pairs with a non-empty accepted and rejected list;
     rejected is the first rejected text."""

@@ -70,6 +70,23 @@ def feed_to_posts(feed: DataFrame, tz: str | None = None, num_blocks: int | None
     return posts if keep_position else posts.select("id", "date", "raw_text")
 
 
+def feed_to_posts_observed(feed: DataFrame, tz: str | None = None, num_blocks: int | None = None):
+    """L1 with the M6 funnel collected while it runs (``DataFrame.observe``): returns
+    (posts, observations). Each observation's ``.get`` holds ``{"rows": n}`` once the
+    posts have been written; no extra job counts the stages."""
+    from pyspark.sql import Observation
+
+    tz = tz or session_tz(feed.sparkSession)
+    obs = {k: Observation(f"funnel_{k}") for k in ("feed", "with_text", "kept", "merged", "non_blank")}
+    count = F.count(F.lit(1)).alias("rows")
+    feed = feed.observe(obs["feed"], count)
+    cleaned = clean_feed(feed).observe(obs["with_text"], count)
+    kept = filter_feed(cleaned).observe(obs["kept"], count)
+    merged = thread_merge(kept, carry=("date",), num_blocks=num_blocks).observe(obs["merged"], count)
+    keyed = keyed_posts(merged, tz).observe(obs["non_blank"], count)
+    return dedupe_posts(keyed).select("id", "date", "raw_text"), obs
+
+
 def funnel(feed: DataFrame, tz: str | None = None, num_blocks: int | None = None) -> DataFrame:
     """M6: rows per stage of L1, as one small table (stage, seq, rows)."""
     tz = tz or session_tz(feed.sparkSession)
