@@ -11,7 +11,7 @@ Instead the data is cut into contiguous *range blocks*:
 2. A bounded sample of the order key (about ``SAMPLES_PER_BLOCK`` keys per block) gives
    ``n - 1`` boundaries. The key is the full order, so a hot page (or any hot prefix)
    is split across blocks.
-3. Each row's block is a deterministic expression (binary search over the boundaries),
+3. Each row's block is a deterministic expression (binary search over the boundary array),
    so block ids are stable when tasks are re-run after an executor loss.
 4. A per-block summary (row count and any additive columns) has at most ``n`` rows; its
    prefix sum is a window over ``n`` rows, and that table is broadcast. Its size is
@@ -24,6 +24,7 @@ Order keys must be unique for a well-defined numbering (all callers use unique k
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -72,12 +73,20 @@ def _sort_cols(spec) -> list[Column]:
     return [F.col(c).asc() if asc else F.col(c).desc() for c, asc in spec]
 
 
-def _bucket(key: Column, bounds: list[Column], lo: int, hi: int) -> Column:
-    """Index i in [lo, hi] such that bounds[i-1] <= key < bounds[i] (binary search)."""
-    if lo == hi:
-        return F.lit(lo)
-    mid = (lo + hi + 1) // 2
-    return F.when(key >= bounds[mid - 1], _bucket(key, bounds, mid, hi)).otherwise(_bucket(key, bounds, lo, mid - 1))
+def _block_of(key: Column, bounds: Column, nb: int) -> Column:
+    """Number of boundaries <= key, i.e. the block index in [0, nb]: a binary search over
+    the sorted boundary array (log2(nb) steps per row, one array literal in the plan)."""
+    steps = max(1, math.ceil(math.log2(nb + 1)))
+    init = F.struct(F.lit(0).alias("lo"), F.lit(nb).alias("hi"))
+
+    def step(acc, _):
+        lo, hi = acc["lo"], acc["hi"]
+        mid = F.shiftright(lo + hi + 1, 1)
+        up = F.struct(mid.alias("lo"), hi.alias("hi"))
+        down = F.struct(lo.alias("lo"), (mid - 1).alias("hi"))
+        return F.when(lo >= hi, acc).when(F.element_at(bounds, mid) <= key, up).otherwise(down)
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step, lambda acc: acc["lo"])
 
 
 def range_blocks(df: DataFrame, order: Order, num_blocks: int | None = None, staged: bool = True) -> DataFrame:
@@ -100,11 +109,12 @@ def range_blocks(df: DataFrame, order: Order, num_blocks: int | None = None, sta
         for k in picks:
             if not bounds or k != bounds[-1]:
                 bounds.append(k)
+    if not bounds:
+        return keyed.withColumn("_blk", F.lit(0)).drop("_key")
     key_type = keyed.schema["_key"].dataType
-    lits = [F.lit(None).cast(key_type) if b is None else
-            F.struct(*[F.lit(v).cast(key_type[i].dataType).alias(f"k{i}") for i, v in enumerate(b)]) for b in bounds]
-    blk = _bucket(F.col("_key"), lits, 0, len(lits)) if lits else F.lit(0)
-    return keyed.withColumn("_blk", blk.cast("int")).drop("_key")
+    arr = F.array(*[F.struct(*[F.lit(v).cast(key_type[i].dataType).alias(f"k{i}") for i, v in enumerate(b)])
+                    for b in bounds])  # folded into one literal by the optimizer
+    return keyed.withColumn("_blk", _block_of(F.col("_key"), arr, len(bounds)).cast("int")).drop("_key")
 
 
 def block_offsets(blocked: DataFrame, sums: Sequence[str] = ()) -> DataFrame:

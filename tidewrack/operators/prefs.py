@@ -142,7 +142,6 @@ def positional_split(rows: DataFrame, order: Sequence[str]) -> DataFrame:
     Row numbers come from range blocks, not a one-partition window."""
     numbered = global_row_number(rows, list(order), "_rn")
     # Counted on the numbered rows (a scan of the staged table), not on ``rows``.
-    total = numbered.agg(F.count(F.lit(1)).cast("long").alias("_n"))
-    j = numbered.crossJoin(F.broadcast(total))  # one row
-    split = F.when(F.col("_rn") <= F.col("_n") - F.floor(F.col("_n") / 2), F.lit("train")).otherwise(F.lit("eval"))
-    return j.withColumn("split", split).drop("_n").withColumnRenamed("_rn", "row_number")
+    n = numbered.agg(F.count(F.lit(1)).cast("long")).scalar()  # scalar subquery, run once
+    split = F.when(F.col("_rn") <= n - F.floor(n / 2), F.lit("train")).otherwise(F.lit("eval"))
+    return numbered.withColumn("split", split).withColumnRenamed("_rn", "row_number")

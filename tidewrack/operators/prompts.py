@@ -91,9 +91,9 @@ def cleaning_prompt(block: Column, raw_text: Column) -> Column:
 
 
 def with_prompts(rows: DataFrame, block: DataFrame, text: str = "raw_text", out: str = "prompt") -> DataFrame:
-    """Attach the one-row block (broadcast, size one row) and build each row's prompt."""
-    return rows.crossJoin(F.broadcast(block.select(F.col("block").alias("_block")))).withColumn(
-        out, cleaning_prompt(F.col("_block"), F.col(text))).drop("_block")
+    """Build each row's prompt; the one-row block enters as a scalar subquery (computed
+    once, its size bounded by the prompt config)."""
+    return rows.withColumn(out, cleaning_prompt(block.select("block").scalar(), F.col(text)))
 
 
 @dataclass(frozen=True)

@@ -36,14 +36,13 @@ def full_refresh(posts: DataFrame, previous: DataFrame | None = None) -> DataFra
 def constraint_violations(table: DataFrame) -> DataFrame:
     """Primary-key and NOT NULL checks as one aggregate row."""
     per_id = table.groupBy("id").agg(F.count(F.lit(1)).alias("_n"))
-    dup = per_id.agg(F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n") - 1)), F.lit(0)).cast("long").alias("duplicate_ids"))
-    nulls = table.agg(
+    dup = per_id.agg(F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n") - 1)), F.lit(0)).cast("long")).scalar()
+    return table.agg(
         F.count(F.lit(1)).cast("long").alias("rows"),
         F.count_if(F.col("id").isNull()).cast("long").alias("null_ids"),
         F.count_if(F.col("date").isNull()).cast("long").alias("null_dates"),
         F.count_if(F.col("raw_text").isNull()).cast("long").alias("null_raw_texts"),
-    )
-    return nulls.crossJoin(dup)  # one row x one row
+    ).withColumn("duplicate_ids", dup)
 
 
 def ordered_scan(table: DataFrame) -> DataFrame:

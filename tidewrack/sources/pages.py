@@ -66,8 +66,8 @@ def build_pages(items: DataFrame) -> DataFrame:
     (page, file_key, body). ``from`` is the 1-based global index of the page's first item,
     from a global row number (no global window)."""
     numbered = global_row_number(items, ["page", "pos"], "_rn")
-    totals = items.agg(F.count(F.lit(1)).cast("long").alias("total_hits"),
-                       F.countDistinct("page").cast("long").alias("page_count"))
+    total_hits = numbered.agg(F.count(F.lit(1)).cast("long")).scalar()  # scalar subqueries
+    page_count = numbered.agg(F.countDistinct("page").cast("long")).scalar()
     per_page = numbered.groupBy("page").agg(
         F.array_sort(F.collect_list(F.struct("pos", "item"))).alias("_items"),
         F.min("_rn").cast("long").alias("from"),
@@ -75,7 +75,7 @@ def build_pages(items: DataFrame) -> DataFrame:
         F.count_if(F.col("deleted_flag")).cast("long").alias("_del"),
         F.count_if(F.col("platform") == "Truth Social").cast("long").alias("_ts"),
         F.count_if(F.col("platform") == "Twitter").cast("long").alias("_tw"),
-    ).crossJoin(F.broadcast(totals))  # totals is one row
+    ).withColumn("total_hits", total_hits).withColumn("page_count", page_count)
     link = lambda p: F.concat(F.lit("page="), p.cast("string"))
     meta = F.struct(
         F.lit(0).cast("long").alias("milliseconds"), F.col("total_hits"), F.col("page_size"),
@@ -202,8 +202,8 @@ def paging(rows: DataFrame, order: Sequence[str], page_size: int, descending: bo
     per_page = numbered.groupBy(F.ceil(F.col("_rn") / F.lit(page_size)).cast("long").alias("page")).agg(
         F.count(F.lit(1)).cast("long").alias("page_size"), F.min("_rn").cast("long").alias("from"),
     )
-    total = rows.agg(F.count(F.lit(1)).cast("long").alias("total_hits"))
-    out = per_page.crossJoin(F.broadcast(total))  # one row
+    total = numbered.agg(F.count(F.lit(1)).cast("long")).scalar()  # scalar subquery
+    out = per_page.withColumn("total_hits", total)
     out = out.withColumn("page_count", F.ceil(F.col("total_hits") / F.lit(page_size)).cast("long"))
     return out.select(
         "page", "page_size", "from", "total_hits", "page_count",
