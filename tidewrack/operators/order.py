@@ -114,7 +114,10 @@ def range_blocks(df: DataFrame, order: Order, num_blocks: int | None = None, sta
     key_type = keyed.schema["_key"].dataType
     arr = F.array(*[F.struct(*[F.lit(v).cast(key_type[i].dataType).alias(f"k{i}") for i, v in enumerate(b)])
                     for b in bounds])  # folded into one literal by the optimizer
-    return keyed.withColumn("_blk", _block_of(F.col("_key"), arr, len(bounds)).cast("int")).drop("_key")
+    # Non-nullable, so joins on _blk add no inferred IsNotNull filter that would run the
+    # search a second time.
+    blk = F.coalesce(_block_of(F.col("_key"), arr, len(bounds)).cast("int"), F.lit(0))
+    return keyed.withColumn("_blk", blk).drop("_key")
 
 
 def block_offsets(blocked: DataFrame, sums: Sequence[str] = ()) -> DataFrame:
