@@ -12,7 +12,7 @@ def norm(spark, texts):
     return [r.clean_text for r in INF.normalise(df).orderBy("k").collect()]
 
 
-def test_reference_normaliser_cases(spark):
+def test_normaliser_golden_cases(spark):
     got = norm(spark, ["The Blue Monster at Trump National Doral. http://fb.me/1mtpR0yqs",
                        "Trump Towers, Istanbul, Sisli will be one of the country’s top landmarks http://bit.ly/UD6fK0"])
     assert got == ["The Blue Monster at Trump National Doral.",
