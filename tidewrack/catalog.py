@@ -676,3 +676,13 @@ def q_training_sets(spark, sf):
     t = training_sets(pairs, ["page", "pos"]).tokens
     return t.select("row_number", "split", F.size("input_ids").cast("long").alias("n_ids"),
                     F.array_join(F.col("input_ids").cast("array<string>"), ",").alias("ids"))
+
+
+# --- the whole feed job: page files -> posts table version ------------------------------
+
+@register("pages_to_posts_table", _TABLE + "\nSELECT * FROM tbl")
+def q_pages_to_posts_table(spark, sf):
+    from tidewrack.sources import table_store
+    root = scratch_path(spark, "posts-table")
+    corpus.refresh_posts_table(spark, _written_pages(spark, sf), root)
+    return table_store.read(spark, root)

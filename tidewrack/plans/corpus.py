@@ -107,3 +107,17 @@ def funnel(feed: DataFrame, tz: str | None = None, num_blocks: int | None = None
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def refresh_posts_table(spark, pages_dir: str, table_root: str, total_pages: int | None = None) -> int:
+    """The whole feed job without the HTTP fetch: scan the page files (S1, completeness
+    checked), build posts (L1), replace the table content (S5) as a new version. Returns
+    the version written."""
+    from tidewrack.operators.table import full_refresh
+    from tidewrack.sources import table_store
+    from tidewrack.sources.pages import scan_pages
+
+    items = scan_pages(spark, pages_dir, total_pages)
+    feed = items.select("page", "pos", "date", "platform", "deleted_flag", "text")
+    table_store.create_if_absent(spark, table_root)
+    return table_store.write(full_refresh(feed_to_posts(feed, sort=True)), table_root)
