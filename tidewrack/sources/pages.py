@@ -198,7 +198,8 @@ def backlog(spark: SparkSession, present_pages: DataFrame, total_pages: int) ->
 def paging(rows: DataFrame, order: Sequence[str], page_size: int, descending: bool = False) -> DataFrame:
     """Page a sorted table like the feed API: per page (page, page_size, from,
     total_hits, page_count, previous_page, next_page)."""
-    numbered = global_row_number(rows, [(c, not descending) for c in order], "_rn")
+    # Only the order columns are staged: page meta needs positions, not the rows' payload.
+    numbered = global_row_number(rows.select(*order), [(c, not descending) for c in order], "_rn")
     per_page = numbered.groupBy(F.ceil(F.col("_rn") / F.lit(page_size)).cast("long").alias("page")).agg(
         F.count(F.lit(1)).cast("long").alias("page_size"), F.min("_rn").cast("long").alias("from"),
     )
