@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tidewrack.functions.text import word_tokens
 from tidewrack.operators.joins import BROADCAST_MAX_ROWS, salted_join
 from tidewrack.operators.order import global_row_number
+from tidewrack.session import stage
 
 # --- fixed values ---------------------------------------------------------------------
 PAD, UNK = "[PAD]", "[UNK]"
@@ -26,14 +27,17 @@ BUCKET = 4096  # positions per first-level group
 
 
 def vocabulary(texts: DataFrame, text: str = "text") -> DataFrame:
-    """(token, id, count). Counting is a map-side-combined aggregate; the rank is a
-    global row number over range blocks (the vocabulary grows with the corpus)."""
+    """(token, id, count), staged. Counting is a map-side-combined aggregate; the rank is
+    a global row number over range blocks (the vocabulary grows with the corpus)."""
     counts = texts.select(F.explode(word_tokens(text)).alias("token")).groupBy("token").agg(
         F.count(F.lit(1)).cast("long").alias("count"))
     ranked = global_row_number(counts, [("count", False), ("token", True)], "_rank")
     spark = texts.sparkSession
     reserved = spark.createDataFrame([(t, i, 0) for i, t in enumerate(RESERVED)], "token string, id long, count long")
-    return reserved.unionByName(ranked.select("token", (F.col("_rank") + len(RESERVED) - 1).alias("id"), "count"))
+    vocab = reserved.unionByName(ranked.select("token", (F.col("_rank") + len(RESERVED) - 1).alias("id"), "count"))
+    # Staged once: the size check and the join then read a small parquet table instead of
+    # re-running the ranking (the vocabulary is far smaller than the corpus).
+    return stage(vocab, "vocab")
 
 
 def encode(texts: DataFrame, vocab: DataFrame, key: str, text: str = "text") -> DataFrame:
