@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tidewrack import oracles as O
 from tidewrack.functions import text as T
 from tidewrack.plans import corpus
-from tidewrack.session import read_table, session_tz
+from tidewrack.session import read_table, session_tz, stage
 from tidewrack.sources.feed import load_feed
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -177,7 +177,8 @@ from tidewrack.operators.order import global_row_number  # noqa: E402
 
 
 def _posts_table(spark, sf):
-    return TB.full_refresh(corpus.feed_to_posts(load_feed(spark, sf), sort=False))
+    # Staged: the table feeds several branches (target, batches, updates).
+    return stage(TB.full_refresh(corpus.feed_to_posts(load_feed(spark, sf), sort=False)), "posts")
 
 
 _TABLE = O.with_posts("tbl AS (SELECT id, date, raw_text, CAST(NULL AS VARCHAR) AS clean_text FROM posts)")
@@ -496,7 +497,8 @@ def _labelling(posts, shift: int = 0):
 
 
 def _pairs(spark, sf):
-    posts = corpus.feed_to_posts(load_feed(spark, sf), keep_position=True, sort=False)
+    # Staged: the posts feed the proposals, the decisions and the fold.
+    posts = stage(corpus.feed_to_posts(load_feed(spark, sf), keep_position=True, sort=False), "posts")
     proposals, decisions = _labelling(posts)
     return posts, PF.feedback_pairs(posts.select("id", "raw_text", "page", "pos"), proposals, decisions)
 
