@@ -2,7 +2,7 @@
 
     python -m tidewrack ingest    --pages DIR --table DIR [--total-pages N]
     python -m tidewrack stream    --pages DIR --landed DIR --checkpoint DIR
-    python -m tidewrack normalise --table DIR [--force]
+    python -m tidewrack normalise --table DIR [--force] [--model module:factory]
     python -m tidewrack sample    --table DIR --pairs DIR --n N [--seed S] --out DIR
     python -m tidewrack prepare   --pairs DIR --out DIR
     python -m tidewrack corpus    --table DIR --out DIR [--clean] [--length 128]
@@ -31,9 +31,18 @@ def _stream(spark, a):
     q.awaitTermination()
 
 
+def load_factory(spec: str):
+    """``package.module:function`` -> the model factory (called once per Python worker)."""
+    import importlib
+    mod, _, name = spec.partition(":")
+    return getattr(importlib.import_module(mod), name)
+
+
 def _normalise(spark, a):
+    from tidewrack.operators.infer import ModelBackend
     from tidewrack.plans.training import normalise_table
-    print(f"posts table {a.table}: version {normalise_table(spark, a.table, a.force)}")
+    backend = ModelBackend(load_factory(a.model)) if a.model else None
+    print(f"posts table {a.table}: version {normalise_table(spark, a.table, a.force, backend)}")
 
 
 def _sample(spark, a):
@@ -78,6 +87,7 @@ def build_parser() -> argparse.ArgumentParser:
     s = sub.add_parser("normalise")
     s.add_argument("--table", required=True)
     s.add_argument("--force", action="store_true")
+    s.add_argument("--model", default=None, help="module:factory of a model backend (default: rules)")
     s = sub.add_parser("sample")
     s.add_argument("--table", required=True)
     s.add_argument("--pairs", required=True)
