@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewrack import schemas
-from tidewrack.operators.order import global_row_number
+from tidewrack.operators.order import global_row_number, global_running_sum
 
 
 class MissingPagesError(RuntimeError):
@@ -63,19 +63,22 @@ def feed_item_json(feed: DataFrame, page_base: int = 1) -> DataFrame:
 
 def build_pages(items: DataFrame) -> DataFrame:
     """(page, pos, item JSON, deleted_flag, platform) -> one JSON document per page:
-    (page, file_key, body). ``from`` is the 1-based global index of the page's first item,
-    from a global row number (no global window)."""
-    numbered = global_row_number(items, ["page", "pos"], "_rn")
-    total_hits = numbered.agg(F.count(F.lit(1)).cast("long")).scalar()  # scalar subqueries
-    page_count = numbered.agg(F.countDistinct("page").cast("long")).scalar()
-    per_page = numbered.groupBy("page").agg(
+    (page, file_key, body). ``from`` (1-based global index of the page's first item) is
+    a prefix sum of page sizes over range blocks of the small per-page table - the
+    items themselves are never staged or globally ordered."""
+    per_page = items.groupBy("page").agg(
         F.array_sort(F.collect_list(F.struct("pos", "item"))).alias("_items"),
-        F.min("_rn").cast("long").alias("from"),
         F.count(F.lit(1)).cast("long").alias("page_size"),
         F.count_if(F.col("deleted_flag")).cast("long").alias("_del"),
         F.count_if(F.col("platform") == "Truth Social").cast("long").alias("_ts"),
         F.count_if(F.col("platform") == "Twitter").cast("long").alias("_tw"),
-    ).withColumn("total_hits", total_hits).withColumn("page_count", page_count)
+    )
+    sizes = items.groupBy("page").agg(F.count(F.lit(1)).cast("long").alias("_size"))
+    starts = global_running_sum(sizes, ["page"], "_size", "_cum").select(
+        "page", (F.col("_cum") - F.col("_size") + 1).cast("long").alias("from"))
+    total_hits = sizes.agg(F.sum("_size").cast("long")).scalar()  # scalar subqueries
+    page_count = sizes.agg(F.count(F.lit(1)).cast("long")).scalar()
+    per_page = per_page.join(starts, "page").withColumn("total_hits", total_hits).withColumn("page_count", page_count)
     link = lambda p: F.concat(F.lit("page="), p.cast("string"))
     meta = F.struct(
         F.lit(0).cast("long").alias("milliseconds"), F.col("total_hits"), F.col("page_size"),
@@ -121,10 +124,13 @@ def check_complete(pages: DataFrame, total_pages: int | None = None) -> None:
     """Every page 1..N must be present (N = ``total_pages`` or the largest
     ``meta.page_count``); raises ``MissingPagesError`` naming up to 10 missing pages."""
     spark = pages.sparkSession
+    st = pages.agg(F.countDistinct("meta.page").alias("n"), F.min("meta.page").alias("lo"),
+                   F.max("meta.page").alias("hi"), F.max("meta.page_count").alias("declared")).first()
+    total_pages = int(total_pages if total_pages is not None else (st.declared or 0))
+    if st.n == total_pages and (total_pages == 0 or (st.lo == 1 and st.hi == total_pages)):
+        return  # n distinct pages, all inside 1..N: complete (one aggregate job)
     present = pages.select(F.col("meta.page").alias("page")).distinct()
-    if total_pages is None:
-        total_pages = pages.agg(F.max("meta.page_count")).first()[0] or 0
-    expected = spark.range(1, int(total_pages) + 1).withColumnRenamed("id", "page")
+    expected = spark.range(1, total_pages + 1).withColumnRenamed("id", "page")
     missing = expected.join(present, "page", "left_anti").orderBy("page").limit(10).collect()
     if missing:
         raise MissingPagesError(f"missing pages: {[r.page for r in missing]}")
