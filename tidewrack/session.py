@@ -47,6 +47,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            # Staged tables must be readable by every executor: never a machine-local folder.
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         configured = tempfile.mkdtemp(prefix="tidewrack-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
