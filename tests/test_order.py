@@ -21,3 +21,10 @@ def test_blocks_are_contiguous(spark):
     spans = sorted((tuple(r.lo), tuple(r.hi)) for r in per.collect())
     for (lo1, hi1), (lo2, _) in zip(spans, spans[1:]):
         assert hi1 < lo2
+
+
+def test_null_keys_sort_first(spark):
+    df = spark.range(0, 300).select(F.when(F.col("id") % 7 == 0, None).otherwise(F.col("id") % 50).alias("k"), "id")
+    got = global_row_number(df, ["k", "id"], num_blocks=5).orderBy("rn").collect()
+    want = sorted(((r.k, r.id) for r in got), key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
+    assert [r.rn for r in got] == list(range(1, 301)) and [(r.k, r.id) for r in got] == want
