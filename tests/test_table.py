@@ -50,3 +50,12 @@ def test_versioned_store(spark):
     cur = TS.read(spark, root)
     v = TS.write(TB.update_clean_text(cur, spark.createDataFrame([("a", "c", 1)], "id string, clean_text string, seq int")), root)
     assert v == 3 and TS.read(spark, root).first().clean_text == "c"
+
+
+def test_probe_large_path_matches(spark, monkeypatch):
+    t = spark.createDataFrame([("a", "d", "A", None)] * 5 + [("b", "d", "B", None)], SCHEMA)
+    probes = spark.createDataFrame([("A",), ("Q",), ("B",)], "raw_text string")
+    small = {r.raw_text: r.exists for r in TB.probe_raw_text(t, probes).collect()}
+    monkeypatch.setattr(TB, "BROADCAST_MAX_ROWS", 1)
+    large = {r.raw_text: r.exists for r in TB.probe_raw_text(t, probes).collect()}
+    assert small == large == {"A": True, "Q": False, "B": True}

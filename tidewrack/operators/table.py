@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewrack.operators.joins import small_side
+from tidewrack.operators.joins import BROADCAST_MAX_ROWS
 
 POSTS_SCHEMA = T.StructType([
     T.StructField("id", T.StringType(), False),
@@ -61,7 +61,14 @@ def probe_raw_text(table: DataFrame, probes: DataFrame, column: str = "raw_text"
     The table is scanned once and semi-joined against the probe texts; the probe set is
     broadcast only when its size has been checked, else the join shuffles."""
     keys = probes.select(F.col(column).alias("_k")).distinct()
-    hits = table.select(F.col("raw_text").alias("_k")).join(small_side(keys), "_k", "left_semi").distinct()
+    texts = table.select(F.col("raw_text").alias("_k"))
+    if keys.limit(BROADCAST_MAX_ROWS + 1).count() <= BROADCAST_MAX_ROWS:
+        # Probe set of checked size: broadcast it; the table is scanned without a shuffle.
+        hits = texts.join(F.broadcast(keys), "_k", "left_semi").distinct()
+    else:
+        # Large probe set: distinct texts first, so partial aggregation collapses a very
+        # common text to one row per task before the shuffle join.
+        hits = texts.distinct().join(keys, "_k", "left_semi")
     hits = hits.withColumn("exists", F.lit(True))
     out = probes.join(hits, probes[column] == hits["_k"], "left").drop("_k")
     return out.withColumn("exists", F.coalesce(F.col("exists"), F.lit(False)))
