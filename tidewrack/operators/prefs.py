@@ -39,8 +39,9 @@ def feedback_pairs(posts: DataFrame, proposals: DataFrame, decisions: DataFrame)
 
 
 def exclude_labelled(posts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """M4: posts that have no pair yet (anti join on id)."""
-    return posts.join(pairs.select("id"), "id", "left_anti")
+    """M4: posts that have no pair yet (anti join on id). Pairs are append-only, so one
+    post may be labelled many times: ids are made distinct first (map-side combined)."""
+    return posts.join(pairs.select("id").distinct(), "id", "left_anti")
 
 
 def sample(rows: DataFrame, n: int, seed: str = "0", key: str = "id") -> DataFrame:
