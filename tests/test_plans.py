@@ -35,3 +35,15 @@ def test_observed_funnel_matches_counts(spark):
     got = {k: o.get["rows"] for k, o in obs.items()}
     want = {r.stage: r.rows for r in corpus.funnel(load_feed(spark, SF0001)).collect()}
     assert all(got[k] == want[k] for k in got)
+
+
+def test_only_single_partition_exchange_is_block_offsets(spark):
+    # AQE off here so the whole physical plan is visible up front.
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        p = plan(corpus.feed_to_posts(load_feed(spark, SF0001)))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert p.count("SinglePartition") == 1
+    offsets = p[p.index("SinglePartition") - 400: p.index("SinglePartition") + 200]
+    assert "_blk" in offsets
