@@ -40,9 +40,31 @@ MAX_SAMPLE = 1_000_000  # keys sampled in total (bounded driver-side sort of bou
 Order = Sequence[str | tuple[str, bool]]  # column name, or (column name, ascending)
 
 
-def _num_blocks(df: DataFrame, num_blocks: int | None) -> int:
+# Staged bytes per block when the block count follows the data size.
+TARGET_BLOCK_BYTES = 128 * 1024 * 1024
+
+
+def _bytes_on_disk(df: DataFrame) -> int:
+    """Size of the files a (staged) DataFrame reads, from the file system's metadata."""
+    files = df.inputFiles()
+    if not files:
+        return 0
+    sc = df.sparkSession.sparkContext
+    conf, jvm = sc._jsc.hadoopConfiguration(), sc._jvm
+    total = 0
+    for d in {f.rsplit("/", 1)[0] for f in files}:
+        path = jvm.org.apache.hadoop.fs.Path(d)
+        total += path.getFileSystem(conf).getContentSummary(path).getLength()
+    return total
+
+
+def _num_blocks(df: DataFrame, num_blocks: int | None, staged: bool = False) -> int:
+    """Explicit ``num_blocks``, else the larger of the shuffle partitions and one block
+    per ``TARGET_BLOCK_BYTES`` of staged input - so blocks stay bounded as data grows."""
     if num_blocks is None:
         num_blocks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        if staged:
+            num_blocks = max(num_blocks, math.ceil(_bytes_on_disk(df) / TARGET_BLOCK_BYTES))
     return max(1, min(int(num_blocks), MAX_BLOCKS))
 
 
@@ -92,8 +114,8 @@ def _block_of(key: Column, bounds: Column, nb: int) -> Column:
 def range_blocks(df: DataFrame, order: Order, num_blocks: int | None = None, staged: bool = True) -> DataFrame:
     """Add ``_blk``: contiguous ranges of the global order, about equal in size."""
     spec = _spec(order)
-    n = _num_blocks(df, num_blocks)
     base = stage(df, "blocks") if staged else df
+    n = _num_blocks(base, num_blocks, staged)
     keyed = base.withColumn("_key", _key(base, spec))
     bounds: list = []
     if n > 1:
