@@ -1,0 +1,8 @@
+import pytest
+
+from tidewrack.session import get_spark
+
+
+@pytest.fixture(scope="session")
+def spark():
+    return get_spark()

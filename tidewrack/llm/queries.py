@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tidewrack.llm import line_rules, mixing
+from tidewrack.llm import line_rules, mixing, suffix_dedup
 
 QUERIES = {
     "op8_quality_rules": line_rules.op8_quality_rules,
     "op9_mixing": mixing.op9_mixing,
+    "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
 }
 ORACLES = {"op9_mixing": mixing.ORACLE}
