@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from tidewrack.llm import line_rules, mixing, suffix_dedup
+from tidewrack.llm import jaccard_join, line_rules, mixing, quality, suffix_dedup
 
 QUERIES = {
+    "op2_quality_classifier": quality.op2_quality_classifier,
+    "op7_jaccard_join": jaccard_join.op7_jaccard_join,
     "op8_quality_rules": line_rules.op8_quality_rules,
     "op9_mixing": mixing.op9_mixing,
     "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
