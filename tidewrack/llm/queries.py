@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
-from tidewrack.llm import jaccard_join, line_rules, mixing, quality, suffix_dedup
+from tidewrack.llm import chat, decontaminate, jaccard_join, line_rules, mixing, pii, quality, suffix_dedup
 
 QUERIES = {
     "op2_quality_classifier": quality.op2_quality_classifier,
+    "op3_decontaminate": decontaminate.op3_decontaminate,
+    "op5_chat_format": chat.op5_chat_format,
+    "op6_pii": pii.op6_pii,
     "op7_jaccard_join": jaccard_join.op7_jaccard_join,
     "op8_quality_rules": line_rules.op8_quality_rules,
     "op9_mixing": mixing.op9_mixing,
     "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
 }
-ORACLES = {"op9_mixing": mixing.ORACLE}
+ORACLES = {
+    "op3_decontaminate": decontaminate.ORACLE,
+    "op5_chat_format": chat.ORACLE,
+    "op9_mixing": mixing.ORACLE,
+}
