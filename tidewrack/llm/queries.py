@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tidewrack.llm import chat, decontaminate, jaccard_join, line_rules, mixing, pii, quality, suffix_dedup
+from tidewrack.llm import chat, decontaminate, jaccard_join, line_rules, lm_score, mixing, pii, quality, suffix_dedup
 
 QUERIES = {
     "op2_quality_classifier": quality.op2_quality_classifier,
     "op3_decontaminate": decontaminate.op3_decontaminate,
+    "op4_lm_score": lm_score.op4_lm_score,
     "op5_chat_format": chat.op5_chat_format,
     "op6_pii": pii.op6_pii,
     "op7_jaccard_join": jaccard_join.op7_jaccard_join,
@@ -16,6 +17,7 @@ QUERIES = {
 }
 ORACLES = {
     "op3_decontaminate": decontaminate.ORACLE,
+    "op4_lm_score": lm_score.ORACLE,
     "op5_chat_format": chat.ORACLE,
     "op9_mixing": mixing.ORACLE,
 }
