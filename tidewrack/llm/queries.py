@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tidewrack.llm import chat, decontaminate, jaccard_join, line_rules, lm_score, mixing, pii, quality, suffix_dedup
+from tidewrack.llm import chat, decontaminate, jaccard_join, licenses, line_rules, lm_score, mixing, pii, quality, suffix_dedup
 
 QUERIES = {
+    "op1_license_scan": licenses.op1_license_scan,
     "op2_quality_classifier": quality.op2_quality_classifier,
     "op3_decontaminate": decontaminate.op3_decontaminate,
     "op4_lm_score": lm_score.op4_lm_score,
@@ -16,6 +17,7 @@ QUERIES = {
     "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
 }
 ORACLES = {
+    "op1_license_scan": licenses.ORACLE,
     "op3_decontaminate": decontaminate.ORACLE,
     "op4_lm_score": lm_score.ORACLE,
     "op5_chat_format": chat.ORACLE,
