@@ -37,6 +37,25 @@ def test_observed_funnel_matches_counts(spark):
     assert all(got[k] == want[k] for k in got)
 
 
+def test_range_blocks_scan_in_parallel(spark):
+    """Every job that builds the blocks of a many-split table runs on its splits: no scan
+    in one task, and the build does not depend on the number of blocks."""
+    from tidewrack.operators.order import range_blocks
+    from tidewrack.session import scratch_path
+    path = scratch_path(spark, "splits")
+    spark.range(0, 64_000, 1, 40).selectExpr("id", "id % 7 AS k").write.parquet(path)
+    df = spark.read.option("mergeSchema", "false").parquet(path)
+    splits = df.rdd.getNumPartitions()
+    tracker, group = spark.sparkContext.statusTracker(), "range-blocks"
+    spark.sparkContext.setJobGroup(group, group)
+    range_blocks(df, ["k", "id"], num_blocks=500)
+    jobs = tracker.getJobIdsForGroup(group)
+    tasks = [tracker.getStageInfo(s).numTasks for j in jobs for s in tracker.getJobInfo(j).stageIds if tracker.getStageInfo(s)]
+    spark.sparkContext.setJobGroup("", "")
+    assert splits > 1 and len([t for t in tasks if t in (splits, 500)]) >= 2
+    assert not [t for t in tasks if t == 1]
+
+
 def test_only_single_partition_exchange_is_block_offsets(spark):
     # AQE off here so the whole physical plan is visible up front.
     spark.conf.set("spark.sql.adaptive.enabled", "false")

@@ -6,25 +6,22 @@ vocabulary. ``row_number() OVER (ORDER BY ...)`` would pull every row into one t
 
 Instead the data is cut into contiguous *range blocks*:
 
-1. The input is staged once (a parquet table in the shared checkpoint folder), so the
-   work that produced it runs once and every later read is a cheap scan.
-2. A bounded sample of the order key (about ``SAMPLES_PER_BLOCK`` keys per block) gives
-   ``n - 1`` boundaries. The key is the full order, so a hot page (or any hot prefix)
-   is split across blocks.
-3. Each row's block is a deterministic expression (binary search over the boundary array),
-   so block ids are stable when tasks are re-run after an executor loss.
-4. A per-block summary (row count and any additive columns) has at most ``n`` rows; its
-   prefix sum is a window over ``n`` rows, and that table is broadcast. Its size is
-   bounded by ``n``, a configuration value, not by the data.
-5. Inside a block, a window partitioned by the block gives the local position or
+1. ``repartitionByRange`` over the full order key (so a hot page, or any hot prefix, is
+   split across blocks) deals the rows out; Spark samples the keys on the executors.
+2. The sorted partitions are written once to the shared checkpoint folder with their
+   partition number as a column ``_blk``. The number is then a fact of the file: it does
+   not change when a task is run again or the table is read in other splits.
+3. A per-block summary (row count and any additive columns) has one row per block; its
+   prefix sum is a window over these rows, and that table is joined back.
+4. Inside a block, a window partitioned by the block gives the local position or
    running sum; global value = block offset + local value.
 
-Order keys must be unique for a well-defined numbering (all callers use unique keys).
+The number of blocks is ``spark.sql.shuffle.partitions`` unless it is given. Order keys
+must be unique for a well-defined numbering (all callers use unique keys).
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -32,119 +29,28 @@ from pyspark.sql import functions as F
 
 from tidewrack.session import stage
 
-# Upper bound of range blocks; keeps the broadcast offset table small on any cluster.
-MAX_BLOCKS = 100_000
-SAMPLES_PER_BLOCK = 20
-MAX_SAMPLE = 1_000_000  # keys sampled in total (bounded driver-side sort of boundaries)
-
 Order = Sequence[str | tuple[str, bool]]  # column name, or (column name, ascending)
 
 
-# Staged bytes per block when the block count follows the data size.
-TARGET_BLOCK_BYTES = 128 * 1024 * 1024
-
-
-def _bytes_on_disk(df: DataFrame) -> int:
-    """Size of the files a (staged) DataFrame reads, from the file system's metadata."""
-    files = df.inputFiles()
-    if not files:
-        return 0
-    sc = df.sparkSession.sparkContext
-    conf, jvm = sc._jsc.hadoopConfiguration(), sc._jvm
-    total = 0
-    for d in {f.rsplit("/", 1)[0] for f in files}:
-        path = jvm.org.apache.hadoop.fs.Path(d)
-        total += path.getFileSystem(conf).getContentSummary(path).getLength()
-    return total
-
-
-def _num_blocks(df: DataFrame, num_blocks: int | None, staged: bool = False) -> int:
-    """Explicit ``num_blocks``, else the larger of the shuffle partitions and one block
-    per ``TARGET_BLOCK_BYTES`` of staged input - so blocks stay bounded as data grows."""
-    if num_blocks is None:
-        num_blocks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        if staged:
-            num_blocks = max(num_blocks, math.ceil(_bytes_on_disk(df) / TARGET_BLOCK_BYTES))
-    return max(1, min(int(num_blocks), MAX_BLOCKS))
-
-
 def _spec(order: Order) -> list[tuple[str, bool]]:
     return [(o, True) if isinstance(o, str) else (o[0], bool(o[1])) for o in order]
 
 
-def _key(df: DataFrame, spec) -> Column:
-    """One struct whose natural ascending order is the requested order. Descending
-    columns are negated (timestamps and dates through their epoch number)."""
-    fields = []
-    for i, (c, asc) in enumerate(spec):
-        col, typ = F.col(c), df.schema[c].dataType.typeName()
-        if not asc:
-            if typ in ("timestamp", "timestamp_ntz"):
-                col = -F.unix_micros(col.cast("timestamp"))
-            elif typ == "date":
-                col = -F.unix_date(col)
-            elif typ in ("string", "binary", "boolean", "struct", "array", "map"):
-                raise NotImplementedError(f"descending order on {typ} column {c}")
-            else:
-                col = -col
-        fields.append(col.alias(f"k{i}"))
-    return F.struct(*fields)
-
-
 def _sort_cols(spec) -> list[Column]:
     return [F.col(c).asc() if asc else F.col(c).desc() for c, asc in spec]
 
 
-def _block_of(key: Column, bounds: Column, nb: int) -> Column:
-    """Number of boundaries <= key, i.e. the block index in [0, nb]: a binary search over
-    the sorted boundary array (log2(nb) steps per row, one array literal in the plan)."""
-    steps = max(1, math.ceil(math.log2(nb + 1)))
-    init = F.struct(F.lit(0).alias("lo"), F.lit(nb).alias("hi"))
-
-    def step(acc, _):
-        lo, hi = acc["lo"], acc["hi"]
-        mid = F.shiftright(lo + hi + 1, 1)
-        up = F.struct(mid.alias("lo"), hi.alias("hi"))
-        down = F.struct(lo.alias("lo"), (mid - 1).alias("hi"))
-        return F.when(lo >= hi, acc).when(F.element_at(bounds, mid) <= key, up).otherwise(down)
-
-    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step, lambda acc: acc["lo"])
-
-
-def range_blocks(df: DataFrame, order: Order, num_blocks: int | None = None, staged: bool = True) -> DataFrame:
+def range_blocks(df: DataFrame, order: Order, num_blocks: int | None = None) -> DataFrame:
     """Add ``_blk``: contiguous ranges of the global order, about equal in size."""
-    spec = _spec(order)
-    base = stage(df, "blocks") if staged else df
-    n = _num_blocks(base, num_blocks, staged)
-    keyed = base.withColumn("_key", _key(base, spec))
-    bounds: list = []
-    if n > 1:
-        total = base.count()
-        want = min(n * SAMPLES_PER_BLOCK, MAX_SAMPLE)
-        sample = keyed.select("_key")
-        if total > want:
-            sample = sample.sample(fraction=min(1.0, 2.0 * want / total), seed=17)
-        # The sample is bounded (about 2 * MAX_SAMPLE keys), so one sorted partition is fine
-        # and saves the sampling job a global orderBy would start.
-        keys = [r[0] for r in sample.coalesce(1).sortWithinPartitions("_key").collect()]
-        picks = [keys[(i * len(keys)) // n] for i in range(1, n)] if keys else []
-        for k in picks:
-            if not bounds or k != bounds[-1]:
-                bounds.append(k)
-    if not bounds:
-        return keyed.withColumn("_blk", F.lit(0)).drop("_key")
-    key_type = keyed.schema["_key"].dataType
-    arr = F.array(*[F.struct(*[F.lit(v).cast(key_type[i].dataType).alias(f"k{i}") for i, v in enumerate(b)])
-                    for b in bounds])  # folded into one literal by the optimizer
-    # Non-nullable, so joins on _blk add no inferred IsNotNull filter that would run the
-    # search a second time.
-    blk = F.coalesce(_block_of(F.col("_key"), arr, len(bounds)).cast("int"), F.lit(0))
-    return keyed.withColumn("_blk", blk).drop("_key")
+    n = num_blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = _sort_cols(_spec(order))
+    dealt = df.repartitionByRange(max(1, int(n)), *keys).sortWithinPartitions(*keys)
+    return stage(dealt.withColumn("_blk", F.spark_partition_id()), "blocks")
 
 
 def block_offsets(blocked: DataFrame, sums: Sequence[str] = ()) -> DataFrame:
     """Exclusive prefix sums per block: ``_off_n`` rows before the block, and
-    ``_off_<c>`` for every additive column ``c``. At most ``MAX_BLOCKS`` rows."""
+    ``_off_<c>`` for every additive column ``c``. One row per block."""
     aggs = [F.count(F.lit(1)).alias("_n")] + [F.sum(F.col(c)).alias(f"_s_{c}") for c in sums]
     summary = blocked.groupBy("_blk").agg(*aggs)
     before = Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
@@ -154,7 +60,7 @@ def block_offsets(blocked: DataFrame, sums: Sequence[str] = ()) -> DataFrame:
 
 
 def with_global_offsets(blocked: DataFrame, sums: Sequence[str] = ()) -> DataFrame:
-    """Join the bounded offset table back (broadcast: at most MAX_BLOCKS rows)."""
+    """Join the offset table back: one row per block, a configured number."""
     return blocked.join(F.broadcast(block_offsets(blocked, sums)), "_blk")
 
 
