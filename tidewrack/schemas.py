@@ -54,7 +54,26 @@ SOCIAL_COMMON_REQUIRED = (
 SOCIAL_TRUTH_SOCIAL_REQUIRED = SOCIAL_COMMON_REQUIRED + ("media_filesizes",)
 SOCIAL_TWITTER_REQUIRED = SOCIAL_COMMON_REQUIRED
 PLATFORMS = ("Truth Social", "Twitter")
+# JSON kinds of the fields; "?" allows null. A key that is not required may be absent.
+ITEM_KINDS = {
+    "browse_flag": "boolean", "date": "string", "document_id": "string", "image_url": "string", "media_type": "string",
+    "sequence": "integer", "speaker": "string", "speaker_id": "string", "subject": "string", "text": "string?", "type": "string",
+    "word_count": "integer?", "deleted_flag": "boolean", "handle": "string", "id": "string", "post_url": "string",
+    "search_id": "string",
+}
+TRUTH_SOCIAL_KINDS = {"account_url": "string", "social.media_filesizes": "array"}
+TWITTER_KINDS = {"client": "string?", "social.post_text": "string"}
+SOCIAL_KINDS = {
+    "author": "string", "deleted_date": "string?", "favorite_count": "integer?", "hashtags": "strings",
+    "media_filenames": "array", "media_urls": "strings", "quote_flag": "boolean", "repost_count": "integer?",
+    "repost_flag": "boolean", "urls": "strings", "user_mentions": "array", "repost_id": "string?", "quote_id": "string?",
+    "post_html": "string?", "post_text": "string?",
+}
+META_KINDS = {k: "integer" for k in ("milliseconds", "total_hits", "page_size", "page", "from", "page_count")} | {
+    "pagination.previous_page": "string?", "pagination.next_page": "string?"}
+STATS_KINDS = {k: "integer" for k in ("deleted.deleted", "deleted.not_deleted", "platform.truth_social", "platform.x_twitter", "platform.unknown")}
 # ------------------------------------------------------------------------------------
 
+STORED_PAIR = T.StructType([_f("id", S), _f("input", S), _f("accepted", S), _f("rejected", ARR_S), _f("seq", T.LongType()), _f("batch", T.IntegerType())])
 PAIR = T.StructType([_f("id", S), _f("input", S), _f("accepted", S), _f("rejected", ARR_S)])
 CHAT_MESSAGE = T.StructType([_f("content", S), _f("role", S)])

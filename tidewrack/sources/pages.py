@@ -2,14 +2,16 @@
 (S1-S4, S14, S15).
 
 A page is one JSON document ``{"meta": {...}, "data": [item, ...], "stats": {...}}``.
-Pages are stored one file per page under ``file_key=NNNN/`` (4-digit page number).
+Pages are stored one file per page under ``file_key=NNNN/`` (page number with at least
+four digits). A refreshed page may come as a revision of its own, ``file_key=NNNN-R/``;
+the highest R counts (none: 0).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -95,7 +97,7 @@ def build_pages(items: DataFrame) -> DataFrame:
         F.lit('{"meta":'), F.to_json(meta, {"ignoreNullFields": "false"}), F.lit(',"data":['),
         F.array_join(F.transform("_items", lambda x: x["item"]), ","), F.lit('],"stats":'), F.to_json(stats), F.lit("}"),
     )
-    return per_page.select("page", F.lpad(F.col("page").cast("string"), 4, "0").alias("file_key"), body.alias("body"))
+    return per_page.select("page", F.format_string("%04d", "page").alias("file_key"), body.alias("body"))
 
 
 def write_pages(pages: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -136,9 +138,31 @@ def check_complete(pages: DataFrame, total_pages: int | None = None) -> None:
         raise MissingPagesError(f"missing pages: {[r.page for r in missing]}")
 
 
+def page_revision() -> tuple[Column, Column]:
+    """Page number and revision in a ``file_key``: NNNN, NNNN-R or NNNN-rR."""
+    number = F.regexp_extract("file_key", "^([0-9]+)", 1).try_cast("long")
+    revision = F.regexp_extract("file_key", "-[^0-9]*([0-9]+)$", 1).try_cast("long")
+    return number, F.coalesce(revision, F.lit(0).cast("long"))
+
+
+def newest_revisions(pages: DataFrame) -> DataFrame:
+    """Of several revisions of a page only the newest. Which one that is follows
+    from the folder names alone, so the page documents are not read for it; files without a
+    page number in their name all count."""
+    number, revision = page_revision()
+    place = F.row_number().over(Window.partitionBy("_no").orderBy(F.col("_rev").desc(), F.col("_key").desc()))
+    old = pages.select(F.col("file_key").alias("_key"), number.alias("_no"), revision.alias("_rev")).where("_no IS NOT NULL").distinct()
+    old = old.withColumn("_place", place).where("_place > 1").select("_key")
+    return pages.join(old, F.col("file_key") == F.col("_key"), "left_anti")
+
+
 def scan_pages(spark: SparkSession, path: str, total_pages: int | None = None) -> DataFrame:
-    pages = read_pages(spark, path)
+    """The items of pages 1..N (``total_pages``, or all that the pages declare), each
+    page in its newest revision; a missing page raises."""
+    pages = newest_revisions(read_pages(spark, path))
     check_complete(pages, total_pages)
+    if total_pages is not None:
+        pages = pages.where(F.col("meta.page").between(1, int(total_pages)))
     return page_items(pages)
 
 
@@ -146,30 +170,60 @@ def _required(keys: Sequence[str]):
     return F.array(*[F.lit(k) for k in keys])
 
 
-def validate_items(raw_pages: DataFrame) -> DataFrame:
-    """Required-key validation of both item branches, per item and per page.
+#: kind -> type names of a JSON value
+_TYPES = {"string": ("STRING",), "integer": ("BIGINT",), "boolean": ("BOOLEAN",), "strings": ("ARRAY<STRING>", "ARRAY<VOID>"), "array": ("ARRAY",)}
 
-    ``raw_pages`` has one column ``value`` holding a page document. Extra keys are
-    ignored; a missing required key (top level or in ``social``) or an unknown platform
-    makes the item invalid, and an invalid item makes its whole page invalid."""
-    parsed = raw_pages.select(F.from_json("value", "meta struct<page: long>, data array<string>").alias("p"))
-    items = parsed.select(F.col("p.meta.page").alias("page"), F.posexplode("p.data").alias("pos", "item"))
+
+def _wrong_kinds(doc: Column, kinds: dict[str, str], prefix: str = "", required: bool = False) -> Column:
+    """Names of the fields that are there with another kind; with ``required`` also of
+    those that are not."""
+    found = []
+    for name, kind in kinds.items():
+        t = F.schema_of_variant(F.variant_get(doc, f"$.{prefix}{name}", "variant"))
+        allowed = _TYPES[kind.rstrip("?")]
+        ok = t.startswith("ARRAY") if kind == "array" else t.isin(*allowed)
+        ok = ok | (t == "VOID") if kind.endswith("?") else ok
+        found.append(F.when(~F.coalesce(ok, F.lit(not required)), F.lit(prefix + name)))
+    return F.array_compact(F.array(*found))
+
+
+def validate_items(raw_pages: DataFrame) -> DataFrame:
+    """Validation of both item branches, per item and per page.
+
+    ``raw_pages`` has a column ``value`` holding a page document. Extra keys are ignored.
+    ``missing`` names absent required keys (top level or in ``social``), ``wrong`` names
+    fields of another JSON kind, null where it is not allowed included; an unknown or null
+    platform is wrong as well. ``meta`` and ``stats`` are checked like items. An invalid
+    item, and a fault of the page itself, make the whole page invalid; a document that is
+    no JSON page is one row without an item. Kinds are strict: nothing is converted."""
+    parsed = raw_pages.select(
+        F.from_json("value", "meta struct<page: long>, data array<string>").alias("p"),
+        F.try_parse_json("value").alias("doc"), F.xxhash64("value").alias("_file"))
+    page_wrong = F.concat(_wrong_kinds(F.col("doc"), schemas.META_KINDS, "meta.", True), _wrong_kinds(F.col("doc"), schemas.STATS_KINDS, "stats.", True))
+    page_wrong = F.when(F.col("doc").isNull() | F.col("p.data").isNull(), F.array(F.lit("document"))).otherwise(page_wrong)
+    items = parsed.select(F.col("p.meta.page").alias("page"), "_file", page_wrong.alias("_page_wrong"), F.posexplode_outer("p.data").alias("pos", "item"))
+    items = items.withColumn("_v", F.try_parse_json("item"))
     platform = F.get_json_object("item", "$.platform")
-    is_ts = platform == "Truth Social"
-    keys = F.json_object_keys("item")
-    social_keys = F.coalesce(F.json_object_keys(F.get_json_object("item", "$.social")), F.array().cast("array<string>"))
+    is_ts = F.coalesce(platform == "Truth Social", F.lit(False))
+    none = F.array().cast("array<string>")
+    keys = F.coalesce(F.json_object_keys("item"), none)
+    social_keys = F.coalesce(F.json_object_keys(F.get_json_object("item", "$.social")), none)
     top_missing = F.when(is_ts, F.array_except(_required(schemas.TRUTH_SOCIAL_REQUIRED), keys)).otherwise(
         F.array_except(_required(schemas.TWITTER_REQUIRED), keys))
     social_missing = F.when(is_ts, F.array_except(_required(schemas.SOCIAL_TRUTH_SOCIAL_REQUIRED), social_keys)).otherwise(
         F.array_except(_required(schemas.SOCIAL_TWITTER_REQUIRED), social_keys))
     missing = F.concat(top_missing, F.transform(social_missing, lambda k: F.concat(F.lit("social."), k)))
+    unknown = F.when(F.coalesce(~platform.isin(*schemas.PLATFORMS), F.lit(True)), F.array(F.lit("platform"))).otherwise(none)
+    branch = F.when(is_ts, _wrong_kinds(F.col("_v"), schemas.TRUTH_SOCIAL_KINDS)).otherwise(_wrong_kinds(F.col("_v"), schemas.TWITTER_KINDS))
+    wrong = F.array_distinct(F.concat(_wrong_kinds(F.col("_v"), schemas.ITEM_KINDS), _wrong_kinds(F.col("_v"), schemas.SOCIAL_KINDS, "social."), branch, unknown))
     out = items.select(
-        "page", F.col("pos").cast("long").alias("pos"), "item", platform.alias("platform"),
-        F.array_join(missing, ",").alias("missing"),
+        "page", F.col("pos").cast("long").alias("pos"), "item", platform.alias("platform"), "_file",
+        F.when(F.col("item").isNull(), "").otherwise(F.array_join(missing, ",")).alias("missing"),
+        F.array_join(F.concat("_page_wrong", F.when(F.col("item").isNull(), none).otherwise(wrong)), ",").alias("wrong"),
     )
-    out = out.withColumn("valid", F.col("platform").isin(*schemas.PLATFORMS) & (F.col("missing") == ""))
-    page_ok = Window.partitionBy("page")
-    return out.withColumn("page_valid", F.min(F.col("valid").cast("int")).over(page_ok) == 1)
+    out = out.withColumn("valid", (F.col("missing") == "") & (F.col("wrong") == ""))
+    page_ok = Window.partitionBy("page", "_file")
+    return out.withColumn("page_valid", F.min(F.col("valid").cast("int")).over(page_ok) == 1).drop("_file")
 
 
 def quarantine(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -178,8 +232,9 @@ def quarantine(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def failfast(validated: DataFrame) -> DataFrame:
-    """The original behaviour: any invalid page fails the run."""
-    bad = validated.where("NOT valid").select("page", "pos", "missing").limit(5).collect()
+    """The original behaviour: any invalid page fails the run. The message names the
+    first few faults."""
+    bad = validated.where("NOT valid").select("page", "pos", "missing", "wrong").limit(5).collect()
     if bad:
         raise InvalidPageError(f"invalid items: {[tuple(r) for r in bad]}")
     return validated

@@ -1,16 +1,17 @@
 """Incremental page ingest with Structured Streaming.
 
-New page files (``file_key=NNNN/...``, or any new file name for a refreshed page) are
-picked up by the file source; each micro-batch runs the stateless part of the feed
-cleaner (P3 null filter, P1, P2, and the P4-P6 keep flag) and lands its rows.
+New page files (``file_key=NNNN/...``, or ``NNNN-R`` for a refreshed page) are picked up
+by the file source; each micro-batch runs the stateless part of the feed cleaner (P1, P2,
+and the P4-P6 keep flag) and lands its rows, those without a text included.
 
 Landing is append-only and idempotent: micro-batch ``b`` writes ``batch=<b>/`` with
 overwrite, so a batch retried after a failure replaces its own output (exactly-once
-with the checkpointed source offsets). Readers take, per feed item id, the row of the
-newest batch - a refreshed page therefore replaces the rows it had before.
+with the checkpointed source offsets). Readers take, per page, the newest (revision,
+batch) and only then drop rows without a text (P3): a refreshed page replaces all the rows
+it had before, also items that it nulls or no longer holds.
 
-The thread merge (M1) and everything after it run in batch over the landed table,
-because a continuation can arrive a micro-batch after its head.
+The thread merge (M1) and everything after it run in batch over the landed table
+(``landed_posts``), because a continuation can arrive a micro-batch after its head.
 """
 
 from __future__ import annotations
@@ -22,17 +23,21 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidewrack import schemas
 from tidewrack.functions.text import clean_feed_text, keep_feed_text
-from tidewrack.sources.pages import page_items
+from tidewrack.operators.thread import thread_merge
+from tidewrack.plans.corpus import dedupe_posts, keyed_posts
+from tidewrack.sources.pages import page_revision
 
 LANDED_COLUMNS = ("item_id", "page", "pos", "date", "platform", "deleted_flag", "text", "keep")
 
 
-def clean_items(items: DataFrame) -> DataFrame:
-    """Stateless per-row cleaning of page items: (item_id, page, pos, ..., text, keep)."""
-    rows = items.where(F.col("text").isNotNull())
-    rows = rows.select(F.col("id").alias("item_id"), "page", "pos", "date", "platform", "deleted_flag",
-                       F.explode(F.array(clean_feed_text("text"))).alias("text"))
-    return rows.withColumn("keep", keep_feed_text("text"))
+def clean_items(pages: DataFrame) -> DataFrame:
+    """Stateless per-row cleaning of pages: ``LANDED_COLUMNS`` and ``revision``. A page
+    without items is one row without an item."""
+    _, revision = page_revision()
+    rows = pages.select(F.col("meta.page").alias("page"), revision.alias("revision"), F.posexplode_outer("data").alias("pos", "item"))
+    rows = rows.select(F.col("item.id").alias("item_id"), "page", F.col("pos").cast("long").alias("pos"), "item.date", "item.platform", "item.deleted_flag",
+                       F.explode(F.array(clean_feed_text("item.text"))).alias("text"), "revision")
+    return rows.withColumn("keep", F.coalesce(keep_feed_text("text"), F.lit(False)))
 
 
 def start_ingest(spark: SparkSession, pages_dir: str, landed_dir: str, checkpoint_location: str,
@@ -42,7 +47,7 @@ def start_ingest(spark: SparkSession, pages_dir: str, landed_dir: str, checkpoin
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     pages = reader.json(pages_dir)
-    cleaned = clean_items(page_items(pages))
+    cleaned = clean_items(pages)
 
     def land(batch: DataFrame, batch_id: int) -> None:
         (batch.withColumn("batch", F.lit(batch_id).cast("long")).write
@@ -54,7 +59,14 @@ def start_ingest(spark: SparkSession, pages_dir: str, landed_dir: str, checkpoin
 
 
 def read_landed(spark: SparkSession, landed_dir: str) -> DataFrame:
-    """Latest row per feed item id (newest micro-batch wins); map-side combined."""
+    """The rows with a text of every page's newest (revision, batch)."""
     landed = spark.read.parquet(landed_dir)
-    latest = landed.groupBy("item_id").agg(F.max_by(F.struct(*LANDED_COLUMNS[1:]), F.col("batch")).alias("_r"))
-    return latest.select("item_id", "_r.*")
+    newest = landed.groupBy(F.col("page").alias("_page")).agg(F.max(F.struct("revision", "batch")).alias("_newest"))
+    rows = landed.join(newest, F.col("page") == F.col("_page")).where(F.struct("revision", "batch") == F.col("_newest"))
+    return rows.where(F.col("text").isNotNull()).select(*LANDED_COLUMNS)
+
+
+def landed_posts(landed: DataFrame) -> DataFrame:
+    """The batch part of L1 over landed rows: merge, key, dedupe (with position)."""
+    merged = thread_merge(landed.where("keep"), carry=("date",))
+    return dedupe_posts(keyed_posts(merged))
