@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 def _ingest(spark, a):
     from tidewrack.plans.corpus import refresh_posts_table
-    v = refresh_posts_table(spark, a.pages, a.table, a.total_pages)
+    v = refresh_posts_table(spark, a.pages, a.table, a.total_pages, a.validation, a.quarantine)
     print(f"posts table {a.table}: version {v}")
 
 
@@ -53,13 +53,31 @@ def _sample(spark, a):
     PF.sample(todo, a.n, seed=a.seed).write.mode("overwrite").parquet(a.out)
 
 
+def _label(spark, a):
+    """Folds decisions (id, choice, human_text, proposal) and appends the pairs."""
+    from tidewrack.operators import prefs as PF
+    from tidewrack.sources import table_store as TS
+    decisions = spark.read.parquet(a.decisions)
+    pairs = PF.feedback_pairs(TS.read(spark, a.table).select("id", "raw_text"), decisions.select("id", "proposal"), decisions.select("id", "choice", "human_text"))
+    print(f"pairs {a.pairs}: batch {PF.append_pairs(spark, a.pairs, pairs)}")
+
+
+def _posts(spark, a):
+    """Landed stream rows -> posts table version."""
+    from tidewrack.operators.table import full_refresh
+    from tidewrack.plans import corpus
+    from tidewrack.sources import table_store as TS
+    from tidewrack.streaming import ingest as ST
+    posts = ST.landed_posts(ST.read_landed(spark, a.landed))
+    print(f"posts table {a.table}: version {TS.write(full_refresh(corpus.sort_posts(posts).select('id', 'date', 'raw_text')), a.table)}")
+
+
 def _prepare(spark, a):
     from tidewrack.operators import prefs as PF
     from tidewrack.plans.training import training_sets
-    pairs = PF.read_pairs(spark, a.pairs).withColumn("_order", F.monotonically_increasing_id())
-    t = training_sets(pairs, ["_order"])
+    t = training_sets(PF.read_pairs(spark, a.pairs), ["batch", "seq"])
     t.reward.write.mode("overwrite").parquet(f"{a.out}/reward")
-    t.ppo.drop("_order").write.mode("overwrite").parquet(f"{a.out}/ppo")
+    t.ppo.drop("batch", "seq").write.mode("overwrite").parquet(f"{a.out}/ppo")
     t.tokens.write.mode("overwrite").parquet(f"{a.out}/tokens")
 
 
@@ -68,7 +86,7 @@ def _corpus(spark, a):
     from tidewrack.sources import table_store as TS
     col = "clean_text" if a.clean else "raw_text"
     texts = TS.read(spark, a.table).select("id", F.col(col).alias("text")).where(F.col("text").isNotNull())
-    rows = LM.lm_rows(LM.encode(texts, LM.vocabulary(texts), "id"), "id", a.length)
+    rows = LM.lm_rows(LM.encode(texts, LM.vocabulary(texts), "id", length=a.length), "id", a.length)
     rows.write.mode("overwrite").parquet(f"{a.out}/sequences")
 
 
@@ -79,11 +97,16 @@ def build_parser() -> argparse.ArgumentParser:
     s.add_argument("--pages", required=True)
     s.add_argument("--table", required=True)
     s.add_argument("--total-pages", type=int, default=None)
+    s.add_argument("--validation", choices=("failfast", "quarantine", "off"), default="failfast")
+    s.add_argument("--quarantine", default=None, help="folder for the items of invalid pages")
     s = sub.add_parser("stream")
     s.add_argument("--pages", required=True)
     s.add_argument("--landed", required=True)
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--continuous", action="store_true")
+    s = sub.add_parser("posts")
+    s.add_argument("--landed", required=True)
+    s.add_argument("--table", required=True)
     s = sub.add_parser("normalise")
     s.add_argument("--table", required=True)
     s.add_argument("--force", action="store_true")
@@ -94,6 +117,10 @@ def build_parser() -> argparse.ArgumentParser:
     s.add_argument("--n", type=int, required=True)
     s.add_argument("--seed", default="0")
     s.add_argument("--out", required=True)
+    s = sub.add_parser("label")
+    s.add_argument("--table", required=True)
+    s.add_argument("--decisions", required=True, help="parquet: id, proposal, choice, human_text")
+    s.add_argument("--pairs", required=True)
     s = sub.add_parser("prepare")
     s.add_argument("--pairs", required=True)
     s.add_argument("--out", required=True)
@@ -105,8 +132,8 @@ def build_parser() -> argparse.ArgumentParser:
     return p
 
 
-COMMANDS = {"ingest": _ingest, "stream": _stream, "normalise": _normalise, "sample": _sample,
-            "prepare": _prepare, "corpus": _corpus}
+COMMANDS = {"ingest": _ingest, "stream": _stream, "posts": _posts, "normalise": _normalise, "sample": _sample,
+            "label": _label, "prepare": _prepare, "corpus": _corpus}
 
 
 def main(argv: list[str] | None = None, spark=None) -> int:

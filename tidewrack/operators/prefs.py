@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from tidewrack.functions.text import strip
 from tidewrack.operators.order import global_row_number
-from tidewrack.schemas import PAIR
+from tidewrack.schemas import PAIR, STORED_PAIR
+from tidewrack.session import stage
 
 
 class SampleTooLargeError(ValueError):
@@ -55,39 +56,59 @@ def sample(rows: DataFrame, n: int, seed: str = "0", key: str = "id") -> DataFra
     return rows.withColumn("_h", h).orderBy("_h").limit(n).drop("_h")
 
 
-def append_pairs(existing: DataFrame, new: DataFrame) -> DataFrame:
-    """union all, no dedupe."""
+def append_pairs(spark: SparkSession, path: str, new: DataFrame, order: Sequence[str] = ("id",)) -> int:
+    """add pairs behind the stored ones, no dedupe. They go to a folder of their own,
+    ``batch=N``, with their place in it by ``order`` as ``seq``, so nothing that is stored
+    (and may be read by this very job) is touched. Returns the batch number."""
+    batch = 1 + max(_batches(spark, path), default=0)
+    _numbered(new, order).write.mode("errorifexists").json(f"{path}/batch={batch}")
+    return batch
+
+
+def _numbered(pairs: DataFrame, order: Sequence[str]) -> DataFrame:
     cols = [f.name for f in PAIR.fields]
-    return existing.select(*cols).unionByName(new.select(*cols))
+    extra = [c for c in order if c not in cols]
+    return global_row_number(pairs.select(*cols, *extra), list(order), "seq").select(*cols, "seq")
+
+
+def _batches(spark: SparkSession, path: str) -> list[int]:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
+    return [int(n[6:]) for n in names if n.startswith("batch=")]
 
 
 def read_pairs(spark: SparkSession, path: str) -> DataFrame:
-    """Pairs stored as JSON lines (one pair per line), or the single-object export
-    ``{"comparison_pairs": [...]}``. A missing path is an empty set, with a warning."""
+    """Pairs stored as JSON lines in batches, or the single-object export
+    ``{"comparison_pairs": [...]}``. A missing path is an empty set, with a warning.
+    ``batch`` and ``seq`` give the stored order."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(p):
         warnings.warn(f"preference dataset {path} does not exist", stacklevel=2)
-        return spark.createDataFrame([], PAIR)
+        return spark.createDataFrame([], STORED_PAIR)
     if fs.getFileStatus(p).isFile() and path.endswith(".json"):
         return _explode_document(spark.read.option("multiLine", True).schema(_DOC).json(path))
     if fs.exists(jvm.org.apache.hadoop.fs.Path(path, "_EXPORT")):
         return _explode_document(spark.read.schema(_DOC).json(path))
-    return spark.read.schema(PAIR).json(path)
+    return spark.read.schema(STORED_PAIR).json(path)
 
 
 _DOC = f"comparison_pairs array<{PAIR.simpleString()}>"
 
 
 def _explode_document(doc: DataFrame) -> DataFrame:
-    return doc.select(F.posexplode("comparison_pairs").alias("_i", "p")).orderBy("_i").select("p.*")
+    return doc.select(F.posexplode("comparison_pairs").alias("_i", "p")).select(
+        "p.*", (F.col("_i") + 1).cast("long").alias("seq"), F.lit(0).alias("batch"))
 
 
-def write_pairs(pairs: DataFrame, path: str) -> None:
-    """Replace the stored set (JSON lines, written in parallel)."""
-    cols = [f.name for f in PAIR.fields]
-    pairs.select(*cols).write.mode("overwrite").json(path)
+def write_pairs(pairs: DataFrame, path: str, order: Sequence[str] = ("id",)) -> None:
+    """Replace the stored set by one batch. ``pairs`` may come from ``path`` itself:
+    they are staged before the old files go."""
+    staged = stage(_numbered(pairs, order), "pairs")
+    staged.withColumn("batch", F.lit(1)).write.mode("overwrite").partitionBy("batch").json(path)
 
 
 # A one-document export holds every pair in one JSON object, so it is only written for
@@ -97,16 +118,15 @@ EXPORT_MAX_PAIRS = 100_000
 
 def export_pairs_document(pairs: DataFrame, path: str, max_pairs: int = EXPORT_MAX_PAIRS) -> None:
     """S11 export: ``{"comparison_pairs": [...]}`` as one JSON document (the original
-    file format), in pair order (``id`` breaks no ties: the caller orders the pairs).
+    file format), by (batch, seq).
     Refuses sets larger than ``max_pairs`` (counted with a bounded ``limit``); large sets
     stay in the parallel JSON-lines form of ``write_pairs``."""
     n = pairs.limit(max_pairs + 1).count()
     if n > max_pairs:
         raise ValueError(f"{n}+ pairs: too many for a one-document export; use write_pairs")
     cols = [f.name for f in PAIR.fields]
-    numbered = pairs.select(*cols).withColumn("_i", F.monotonically_increasing_id())
-    doc = numbered.agg(F.array_sort(F.collect_list(F.struct("_i", *cols))).alias("_ps")).select(
-        F.to_json(F.struct(F.transform("_ps", lambda x: x.dropFields("_i")).alias("comparison_pairs"))).alias("value"))
+    doc = pairs.agg(F.array_sort(F.collect_list(F.struct("batch", "seq", *cols))).alias("_ps")).select(
+        F.to_json(F.struct(F.transform("_ps", lambda x: x.dropFields("batch", "seq")).alias("comparison_pairs"))).alias("value"))
     doc.coalesce(1).write.mode("overwrite").text(path)
     jvm = pairs.sparkSession.sparkContext._jvm
     marker = jvm.org.apache.hadoop.fs.Path(path, "_EXPORT")
