@@ -13,6 +13,7 @@ def norm(spark, texts):
 
 
 def test_normaliser_golden_cases(spark):
+    # Input and output of the two cases.
     got = norm(spark, ["The Blue Monster at Trump National Doral. http://fb.me/1mtpR0yqs",
                        "Trump Towers, Istanbul, Sisli will be one of the country’s top landmarks http://bit.ly/UD6fK0"])
     assert got == ["The Blue Monster at Trump National Doral.",
@@ -47,6 +48,38 @@ def test_model_backend_runs_per_worker(spark):
     assert out == {"1": "HELLO", "2": ""}
 
 
+def test_model_is_built_once_per_worker(spark, tmp_path):
+    def factory():
+        import os
+        import uuid
+        (tmp_path / f"{os.getpid()}-{uuid.uuid4().hex}").touch()
+        return lambda prompts: ["x"] * len(prompts)
+
+    backend = INF.ModelBackend(factory)
+    df = spark.range(0, 400, 1, 40).selectExpr("CAST(id AS STRING) AS id", "concat('t', id) AS raw_text")
+    for _ in range(2):
+        assert INF.normalise(df, backend=backend).count() == 400
+        INF.normalise(df, backend=backend).collect()
+    built = [p.name.split("-")[0] for p in tmp_path.iterdir()]
+    assert built and len(built) == len(set(built))  # 40 tasks a run, one model per process
+    assert INF.ModelBackend(factory).key != backend.key
+
+
+RULE_CASES = [  # rule, input, output; traced by hand from the rule list
+    ("R1", "two\n\n lines", "two lines."), ("R2", "ICYMI – read this", "read this."), ("R2", "FLASHBACK: then", "then."),
+    ("R3", "go ftp://a.b/c now", "go now."), ("R4", "RT @Some_One: Donald Trump's plan, says Trump", "my plan, says me."),
+    ("R5", '"We won" via @FoxNews', "We won."), ("R6", "@J_R_Smith hello", "J. R. Smith, hello."), ("R7", "ask @J_R_Smith now", "ask J. R. Smith now."),
+    ("R8", "so #CamelTag and #MAGA #update", "so camel tag and MAGA."), ("R9", "Big day — Donald J. Trump", "Big day."), ("R9", "Enjoy via @realDonaldTrump", "Enjoy."),
+    ("R10", "a,b,c", "a, b, c."), ("R10", "Great!!! Yes??", "Great!!! Yes??"), ("R10", "w/ us - now", "with us. now."), ("R11", '"All of it"', "All of it."),
+    ("R12", "USA Today", "USA Today."), ("R14", "No end", "No end."), ("R14", "An end!", "An end!"),
+]
+
+
+def test_each_rule_by_hand(spark):
+    got = norm(spark, [t for _, t, _ in RULE_CASES])
+    assert [(r, g) for (r, _, _), g in zip(RULE_CASES, got, strict=True)] == [(r, w) for r, _, w in RULE_CASES]
+
+
 def test_prompt_layout(spark):
     cfg = PR.PromptConfig("R", "T", ("a", "b"), (("in1", "out1"), ("in2", "out2")))
     posts = spark.createDataFrame([("in2",)], "raw_text string")
@@ -82,6 +115,19 @@ PIECES = st.sampled_from(["a", "B", " ", "  ", "\t", '"', "@Foo_Bar", "#CamelTag
                           "http://t.co/x", "BREAKING:", "FLASHBACK –", "—", "9pm"])
 
 
+def letters(text):
+    return "".join(c.lower() for c in text if c.isalnum())
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.lists(PIECES, max_size=10).map(" ".join), min_size=1, max_size=30))
+def test_no_new_words(spark, texts):
+    """What comes out was there before, but for the words of the literal table."""
+    for text, out in zip(texts, norm(spark, texts), strict=True):
+        for word in out.split():
+            assert letters(word) in letters(text) or letters(word) in ("me", "my", "at", "with", "withover"), (text, out)
+
+
 @settings(max_examples=20, deadline=None)
 @given(st.lists(st.lists(PIECES, max_size=10).map("".join), min_size=1, max_size=30))
 def test_guards_are_exact(spark, texts):

@@ -61,6 +61,8 @@ STEPS: list[tuple[str, str, str]] = [
     ("re", " @ ", " at "),
     ("re", "(^| )w/over( |\\z)", "$1with over$2"),
     ("re", "(^| )w/ ?", "$1with "),
+    # Twice: a match takes the letter that the next one begins with.
+    ("re", "([A-Za-z]),([A-Za-z])", "$1, $2"),
     ("re", "([A-Za-z]),([A-Za-z])", "$1, $2"),
     ("re", "([a-z])\\.([A-Z])", "$1. $2"),
     ("re", f"{_W}+([,.!?;:])", "$1"),
@@ -90,7 +92,8 @@ GUARDS: dict[int, tuple[str, ...]] = {
     18: ("w/over",),
     19: ("w/",),
     20: (",",),
-    21: (".",),
+    21: (",",),
+    22: (".",),
 }
 
 CAMEL_STEPS = [("_", " "), ("([a-z0-9])([A-Z])", "$1 $2"), ("([A-Z])([A-Z][a-z])", "$1 $2")]
@@ -106,7 +109,8 @@ def camel_words(c: Column, initials: bool = True) -> Column:
     for pat, rep in CAMEL_STEPS:
         c = F.regexp_replace(c, pat, rep)
     if initials:
-        c = F.regexp_replace(c, *INITIAL_STEP)
+        # Twice: neighbouring initials share the space between them.
+        c = F.regexp_replace(F.regexp_replace(c, *INITIAL_STEP), *INITIAL_STEP)
     return c
 
 

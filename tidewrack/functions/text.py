@@ -96,14 +96,19 @@ def keep_feed_text(col) -> Column:
     return ~is_media(col) & ~is_only_handle_repost(col) & ~is_url(col)
 
 
-def to_utc_iso(col, tz: str = "UTC") -> Column:
-    """Offset timestamp string -> ``YYYY-MM-DDTHH:MM:SSZ`` in UTC.
+def to_utc_iso(col) -> Column:
+    """Offset timestamp string -> ``YYYY-MM-DDTHH:MM:SS[.ffffff]Z`` in UTC.
 
-    ``tz`` is the session time zone; the shift makes the output independent of it."""
-    ts = F.to_timestamp(_c(col))
-    if tz != "UTC":
-        ts = F.to_utc_timestamp(ts, tz)
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    The instant is counted from the epoch in zoneless time, so neither the session's zone
+    nor its daylight saving plays a part; a string without an offset is read in the zone of
+    the session. Fractions are kept (six digits) where there are any."""
+    micros = F.unix_micros(F.to_timestamp(_c(col)))
+    part = F.pmod(micros, F.lit(1_000_000))
+    seconds = ((micros - part) / 1_000_000).cast("decimal(18,6)")
+    zero = F.lit(0)
+    clock = F.expr("timestamp_ntz'1970-01-01 00:00:00'") + F.make_dt_interval(zero, zero, zero, seconds)
+    fraction = F.when(part == 0, "").otherwise(F.format_string(".%06d", part))
+    return F.concat(F.replace(clock.cast("string"), F.lit(" "), F.lit("T")), fraction, F.lit("Z"))
 
 
 def content_id(date_col, text_col) -> Column:
@@ -137,9 +142,3 @@ def trim_backticks(col) -> Column:
 def word_tokens(col) -> Column:
     """Lower-cased word tokens (letter/digit runs and single symbols)."""
     return F.regexp_extract_all(F.lower(_c(col)), F.lit(TOKEN_PATTERN), 0)
-
-
-def strip_leading_dots(col) -> Column:
-    """Continuation text as appended by the thread merge: leading dots and the
-    whitespace after them removed."""
-    return F.regexp_replace(_c(col), f"^\\.+[{WS}]*", "")

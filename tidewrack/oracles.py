@@ -65,7 +65,9 @@ def keep_feed_text(x: str) -> str:
 
 
 def to_utc_iso(x: str) -> str:
-    return f"strftime(CAST({x} AS TIMESTAMPTZ) AT TIME ZONE 'UTC', '%Y-%m-%dT%H:%M:%SZ')"
+    utc = f"(CAST({x} AS TIMESTAMPTZ) AT TIME ZONE 'UTC')"
+    fraction = f"CASE WHEN microsecond({utc}) % 1000000 = 0 THEN '' ELSE strftime({utc}, '.%f') END"
+    return f"(strftime({utc}, '%Y-%m-%dT%H:%M:%S') || {fraction} || 'Z')"
 
 
 def content_id(d: str, t: str) -> str:
@@ -133,7 +135,7 @@ def _rep(r: str) -> str:
 
 def _camel(x: str, initials: bool = True) -> str:
     from tidewrack.functions.rules import CAMEL_STEPS, INITIAL_STEP
-    steps = CAMEL_STEPS + ([INITIAL_STEP] if initials else [])
+    steps = CAMEL_STEPS + ([INITIAL_STEP, INITIAL_STEP] if initials else [])
     for pat, rep in steps:
         x = f"regexp_replace({x}, {lit(pat)}, {lit(_rep(rep))}, 'g')"
     return x

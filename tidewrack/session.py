@@ -77,10 +77,6 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     return spread(df.sparkSession.read.parquet(path))
 
 
-def session_tz(spark: SparkSession) -> str:
-    return spark.conf.get("spark.sql.session.timeZone") or "UTC"
-
-
 def spread(df: DataFrame) -> DataFrame:
     """Give CPU-heavy column work at least one partition per core.
 
