@@ -20,8 +20,19 @@ def test_salted_join_equals_plain_join(spark):
 def test_small_side_checks_size(spark):
     small = spark.range(0, 10)
     big = spark.range(0, 100)
-    assert "broadcast" in small_side(small, 10)._jdf.queryExecution().logical().toString().lower()
-    assert "broadcast" not in small_side(big, 10)._jdf.queryExecution().logical().toString().lower()
+    hinted = lambda df: "broadcast" in df._jdf.queryExecution().logical().toString().lower()
+    assert hinted(small_side(small, 10 * 64, row_bytes=64)) and not hinted(small_side(big, 10 * 64, row_bytes=64))
+    texts = spark.createDataFrame([("x" * 1000,), (None,)], "t string")
+    assert hinted(small_side(texts, 1064)) and not hinted(small_side(texts, 1063))
+
+
+def test_aborted_write_does_not_block_the_table(spark):
+    root = scratch_path(spark, "aborted")
+    df = spark.createDataFrame([("a", "d", "r", None)], TS.POSTS_SCHEMA)
+    assert TS.write(df, root) == 1
+    spark.range(1).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{root}/v=00000002")
+    assert TS.versions(spark, root) == [1] and TS.write(df, root) == 3
+    assert TS.read(spark, root).count() == 1
 
 
 def test_normalise_table_writes_next_version(spark):
@@ -51,3 +62,9 @@ def test_stream_refreshed_page_replaces_rows(spark):
     ST.start_ingest(spark, pages_dir, landed, ckpt).awaitTermination()
     got = sorted((r.pos, r.text) for r in ST.read_landed(spark, landed).collect())
     assert got == [(0, "A2"), (1, "...b2"), (2, "C")]
+    # A refresh that nulls one item and drops another; an older revision comes late.
+    PG.write_pages(_page(spark, 1, [None, "...b3"]).withColumn("file_key", F.lit("0001-r10")), pages_dir, mode="append")
+    PG.write_pages(_page(spark, 1, ["late"]).withColumn("file_key", F.lit("0001-r9")), pages_dir, mode="append")
+    ST.start_ingest(spark, pages_dir, landed, ckpt).awaitTermination()
+    assert [(r.pos, r.text) for r in ST.read_landed(spark, landed).collect()] == [(1, "...b3")]
+    assert [r.raw_text for r in ST.landed_posts(ST.read_landed(spark, landed)).collect()] == ["...b3"]

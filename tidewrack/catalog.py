@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tidewrack import oracles as O
 from tidewrack.functions import text as T
 from tidewrack.plans import corpus
-from tidewrack.session import read_table, session_tz, stage
+from tidewrack.session import read_table, stage
 from tidewrack.sources.feed import load_feed
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,7 +85,7 @@ def q_url_predicate_pages(spark, sf):
 @register("utc_dates", f"WITH {O.FEED} SELECT page, pos, date, {O.to_utc_iso('date')} AS date_utc FROM feed")
 def q_utc_dates(spark, sf):
     f = load_feed(spark, sf)
-    return f.select("page", "pos", "date", T.to_utc_iso("date", session_tz(spark)).alias("date_utc"))
+    return f.select("page", "pos", "date", T.to_utc_iso("date").alias("date_utc"))
 
 
 @register("content_ids",
@@ -149,7 +149,7 @@ def q_dedupe_posts(spark, sf):
     f = load_feed(spark, sf)
     from tidewrack.operators.thread import thread_merge
     merged = thread_merge(corpus.filter_feed(corpus.clean_feed(f)), carry=("date",))
-    return corpus.dedupe_posts(corpus.keyed_posts(merged, session_tz(spark)))
+    return corpus.dedupe_posts(corpus.keyed_posts(merged))
 
 
 @register("sort_posts", O.with_posts() + """
@@ -201,13 +201,13 @@ def q_constraint_check(spark, sf):
 @register("ordered_scan", _TABLE + """
 SELECT id, date, raw_text, clean_text, CAST(row_number() OVER (ORDER BY date, id) AS BIGINT) AS seq FROM tbl""")
 def q_ordered_scan(spark, sf):
-    return global_row_number(_posts_table(spark, sf), ["date", "id"], "seq")
+    return TB.ordered_scan(_posts_table(spark, sf))
 
 
 @register("corpus_texts", _TABLE + """
 SELECT raw_text, CAST(row_number() OVER (ORDER BY date, id) AS BIGINT) AS seq FROM tbl""")
 def q_corpus_texts(spark, sf):
-    return global_row_number(_posts_table(spark, sf), ["date", "id"], "seq").select("raw_text", "seq")
+    return TB.corpus_texts(_posts_table(spark, sf))
 
 
 @register("probe_raw_text", _TABLE + f""",
@@ -298,7 +298,7 @@ def q_page_scan(spark, sf):
 @register("page_sink", f"""WITH {O.FEED},
 num AS (SELECT page + 1 AS page, row_number() OVER (ORDER BY page, pos) AS rn FROM feed),
 pp AS (SELECT page, CAST(count(*) AS BIGINT) AS n_items, CAST(min(rn) AS BIGINT) AS "from" FROM num GROUP BY page)
-SELECT lpad(CAST(page AS VARCHAR), 4, '0') AS file_key, page, n_items, "from",
+SELECT printf('%04d', page) AS file_key, page, n_items, "from",
        (SELECT CAST(count(*) AS BIGINT) FROM feed) AS total_hits,
        (SELECT CAST(count(*) AS BIGINT) FROM pp) AS page_count,
        CASE WHEN page > 1 THEN 'page=' || CAST(page - 1 AS VARCHAR) END AS previous_page,
@@ -315,12 +315,13 @@ def q_page_sink(spark, sf):
 
 @register("schema_validation", f"""WITH {O.FEED},
 v AS (SELECT page + 1 AS page, pos, platform,
-        CASE WHEN platform = 'Truth Social' AND pos = 5 THEN 'account_url' ELSE '' END AS missing FROM feed)
-SELECT page, pos, platform, missing, missing = '' AS valid,
-       bool_and(missing = '') OVER (PARTITION BY page) AS page_valid FROM v""")
+        CASE WHEN platform = 'Truth Social' AND pos = 5 THEN 'account_url' ELSE '' END AS missing,
+        CASE WHEN platform = 'Twitter' AND text IS NULL THEN 'social.post_text' ELSE '' END AS wrong FROM feed)
+SELECT page, pos, platform, missing, wrong, missing || wrong = '' AS valid,
+       bool_and(missing || wrong = '') OVER (PARTITION BY page) AS page_valid FROM v""")
 def q_schema_validation(spark, sf):
     raw = spark.read.option("wholetext", True).text(_written_pages(spark, sf))
-    return PG.validate_items(raw).select("page", "pos", "platform", "missing", "valid", "page_valid")
+    return PG.validate_items(raw).select("page", "pos", "platform", "missing", "wrong", "valid", "page_valid")
 
 
 @register("page_backlog", """WITH here AS (SELECT DISTINCT page_id + 1 AS page FROM pages WHERE starts_with(url, 'https')),
@@ -381,6 +382,28 @@ def _w(*ctes: str) -> str:
 _NP, _NP_LAST = O.normalised("posts", "id", "raw_text")
 
 
+_LETTERS = "abcdefghijklmnopqrstuvwxyz"
+
+
+def upper_model():
+    """A stand-in model: answers with the prompt's raw text in capitals (ASCII)."""
+    from tidewrack.operators.prompts import NORMALISED_LABEL, RAW_LABEL
+    capitals = str.maketrans(_LETTERS, _LETTERS.upper())
+
+    def generate(prompts: list[str]) -> list[str]:
+        raw = [p.rsplit("`\n" + NORMALISED_LABEL, 1)[0].rsplit(RAW_LABEL, 1)[1] for p in prompts]
+        return [f"`{r.translate(capitals)}`" for r in raw]
+
+    return generate
+
+
+@register("model_normalise", O.with_posts() + f"""
+SELECT id, CASE WHEN {O.strip('raw_text')} = '' THEN '' ELSE translate(raw_text, '{_LETTERS}', '{_LETTERS.upper()}') END AS clean_text FROM posts""")
+def q_model_normalise(spark, sf):
+    posts = stage(corpus.feed_to_posts(load_feed(spark, sf), sort=False).select("id", "raw_text"), "posts")
+    return INF.normalise(posts, backend=INF.ModelBackend(upper_model)).select("id", "clean_text")
+
+
 @register("rule_normalise", _w(*_NP) + f"\nSELECT id, clean_text FROM {_NP_LAST}")
 def q_rule_normalise(spark, sf):
     posts = corpus.feed_to_posts(load_feed(spark, sf), sort=False)
@@ -532,21 +555,22 @@ def q_sample_posts(spark, sf):
 
 @register("append_pairs", _PAIRS_SQL + f""",
 rest AS (SELECT * FROM posts WHERE id NOT IN (SELECT id FROM pairs)),
-more AS (SELECT r.id, r.raw_text AS input, {O.strip(O.clean_post_text('r.raw_text'))} AS accepted, [n.clean_text] AS rejected
+more AS (SELECT r.id, r.raw_text AS input, {O.strip(O.clean_post_text('r.raw_text'))} AS accepted, [n.clean_text] AS rejected, r.page, r.pos
          FROM rest r JOIN {_PP_LAST} n ON r.id = n.id WHERE (r.pos + 1) % 3 = 1),
-allp AS (SELECT id, input, accepted, rejected FROM pairs UNION ALL SELECT * FROM more)
-SELECT id, input, accepted, rejected[1] AS rejected_0 FROM allp""")
+allp AS (SELECT id, input, accepted, rejected, page, pos, 1 AS batch FROM pairs UNION ALL SELECT *, 2 FROM more),
+numbered AS (SELECT *, row_number() OVER (ORDER BY batch, page, pos) AS rn, count(*) OVER () AS n FROM allp)
+SELECT id, input, accepted, rejected[1] AS rejected_0, CAST(rn AS BIGINT) AS row_number, CASE WHEN rn <= n - floor(n / 2) THEN 'train' ELSE 'eval' END AS split FROM numbered""")
 def q_append_pairs(spark, sf):
     from tidewrack.session import scratch_path
     posts, pairs = _pairs(spark, sf)
     path = scratch_path(spark, "pairs")
-    PF.write_pairs(pairs, path)
-    stored = PF.read_pairs(spark, path)
-    rest = PF.exclude_labelled(posts, stored)
+    PF.write_pairs(pairs, path, ["page", "pos"])
+    rest = PF.exclude_labelled(posts, PF.read_pairs(spark, path))
     proposals, decisions = _labelling(rest, shift=1)
-    more = PF.feedback_pairs(rest.select("id", "raw_text"), proposals, decisions)
-    out = PF.append_pairs(stored, more)
-    return out.select("id", "input", "accepted", F.col("rejected")[0].alias("rejected_0"))
+    more = PF.feedback_pairs(rest.select("id", "raw_text", "page", "pos"), proposals, decisions)
+    PF.append_pairs(spark, path, more, ["page", "pos"])
+    out = PF.positional_split(PF.read_pairs(spark, path), ["batch", "seq"])
+    return out.select("id", "input", "accepted", F.col("rejected")[0].alias("rejected_0"), "row_number", "split")
 
 
 @register("reward_rows", _PAIRS_SQL + """
@@ -615,7 +639,7 @@ SELECT id, array_to_string(list_resize(ids, 128, 0), ',') AS input_ids,
        array_to_string(list_resize(ids, 128, 0), ',') AS labels FROM encoded""")
 def q_lm_rows(spark, sf):
     posts = corpus.feed_to_posts(load_feed(spark, sf), sort=False).select("id", "raw_text")
-    rows = LM.lm_rows(LM.encode(posts, LM.vocabulary(posts, "raw_text"), "id", "raw_text"), "id")
+    rows = LM.lm_rows(LM.encode(posts, LM.vocabulary(posts, "raw_text"), "id", "raw_text", LM.MAX_LENGTH), "id")
     s = lambda c: F.array_join(F.col(c).cast("array<string>"), ",").alias(c)
     return rows.select("id", s("input_ids"), s("attention_mask"), s("labels"))
 
@@ -644,11 +668,7 @@ def q_stream_ingest(spark, sf):
 
 @register("stream_feed_posts", O.with_posts() + "\nSELECT id, date, raw_text FROM posts")
 def q_stream_feed_posts(spark, sf):
-    from tidewrack.operators.thread import thread_merge
-    kept = _landed(spark, sf).where("keep")
-    merged = thread_merge(kept, carry=("date",))
-    return corpus.sort_posts(corpus.dedupe_posts(corpus.keyed_posts(merged, session_tz(spark)))).select(
-        "id", "date", "raw_text")
+    return corpus.sort_posts(ST.landed_posts(_landed(spark, sf))).select("id", "date", "raw_text")
 
 
 # --- preference scorer (rows-only check: an iterative fit has no SQL spelling) ----------
@@ -686,5 +706,5 @@ def q_training_sets(spark, sf):
 def q_pages_to_posts_table(spark, sf):
     from tidewrack.sources import table_store
     root = scratch_path(spark, "posts-table")
-    corpus.refresh_posts_table(spark, _written_pages(spark, sf), root)
+    corpus.refresh_posts_table(spark, _written_pages(spark, sf), root, validation="off")
     return table_store.read(spark, root)

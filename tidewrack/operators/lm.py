@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewrack.functions.text import word_tokens
-from tidewrack.operators.joins import BROADCAST_MAX_ROWS, salted_join
+from tidewrack.operators.joins import salted_join, small_side
 from tidewrack.operators.order import global_row_number
 from tidewrack.session import stage
 
@@ -23,7 +23,6 @@ RESERVED = (PAD, UNK)
 MAX_LENGTH = 128
 # ----------------------------------------------------------------------------------------
 SALTS = 16
-BUCKET = 4096  # positions per first-level group
 
 
 def vocabulary(texts: DataFrame, text: str = "text") -> DataFrame:
@@ -40,27 +39,28 @@ def vocabulary(texts: DataFrame, text: str = "text") -> DataFrame:
     return stage(vocab, "vocab")
 
 
-def encode(texts: DataFrame, vocab: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """(key, input_ids). Tokens are exploded with their position and joined to the
-    vocabulary. A vocabulary counted to at most ``BROADCAST_MAX_ROWS`` is broadcast;
-    a larger one is joined with the token side salted, so a very common token is spread
-    over ``SALTS`` tasks. Ids are regrouped per text in position order."""
+def encode(texts: DataFrame, vocab: DataFrame, key: str, text: str = "text", length: int | None = None) -> DataFrame:
+    """(key, input_ids), of the first ``length`` tokens if given (they are cut before
+    they are exploded; F11 needs no more).
+
+    The texts are dealt by key once. The exploded tokens keep that partitioning, so with a
+    broadcast vocabulary (bytes checked) they are regrouped without another shuffle. A
+    larger vocabulary is joined with the token side salted, so a very common token is
+    spread over ``SALTS`` tasks; only then the ids are shuffled back by key."""
+    tokens = word_tokens(text)
+    tokens = F.slice(tokens, 1, length) if length else tokens
     # posexplode_outer keeps texts without tokens as one row with a null position.
-    toks = texts.select(key, F.posexplode_outer(word_tokens(text)).alias("p", "token"))
     v = vocab.select("token", F.col("id").alias("_tid"))
-    if v.limit(BROADCAST_MAX_ROWS + 1).count() <= BROADCAST_MAX_ROWS:
-        j = toks.join(F.broadcast(v), "token", "left")
+    small = small_side(v)
+    if small is not v:
+        toks = texts.select(key, text).repartition(key).select(key, F.posexplode_outer(tokens).alias("p", "token"))
+        j = toks.join(small, "token", "left")
     else:
+        toks = texts.select(key, F.posexplode_outer(tokens).alias("p", "token"))
         j = salted_join(toks, v, "token", SALTS, "p", "left")
-    j = j.withColumn("_tid", F.coalesce("_tid", F.lit(RESERVED.index(UNK)).cast("long")))
-    # Two levels: ids are first regrouped per (text, position bucket) - a very long text
-    # is spread over many tasks - then the ordered buckets are concatenated per text.
-    part = F.when(F.col("p").isNotNull(), F.struct("p", "_tid"))  # collect_list skips nulls
-    bucket = F.coalesce(F.floor(F.col("p") / BUCKET), F.lit(0)).cast("long")
-    pieces = j.groupBy(key, bucket.alias("_b")).agg(F.array_sort(F.collect_list(part)).alias("_ids"))
-    pieces = pieces.select(key, F.struct("_b", F.transform("_ids", lambda x: x["_tid"]).alias("_v")).alias("_piece"))
-    ids = pieces.groupBy(key).agg(F.array_sort(F.collect_list("_piece")).alias("_pieces"))
-    return ids.select(key, F.flatten(F.transform("_pieces", lambda x: x["_v"])).alias("input_ids"))
+    part = F.when(F.col("p").isNotNull(), F.struct("p", F.coalesce("_tid", F.lit(RESERVED.index(UNK)).cast("long")).alias("_tid")))  # collect_list skips nulls
+    ids = j.groupBy(key).agg(F.array_sort(F.collect_list(part)).alias("_ids"))
+    return ids.select(key, F.transform("_ids", lambda x: x["_tid"]).alias("input_ids"))
 
 
 def fixed_length(ids: Column, length: int = MAX_LENGTH, pad_id: int = 0):

@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewrack.operators.joins import BROADCAST_MAX_ROWS
+from tidewrack.operators.joins import small_side
+from tidewrack.operators.order import global_row_number
 
 POSTS_SCHEMA = T.StructType([
     T.StructField("id", T.StringType(), False),
@@ -46,31 +47,27 @@ def constraint_violations(table: DataFrame) -> DataFrame:
 
 
 def ordered_scan(table: DataFrame) -> DataFrame:
-    """All columns by date; ties by id (the original leaves them unspecified)."""
-    return table.orderBy("date", "id")
+    """All columns and ``seq``, the 1-based place by date; ties by id (the original
+    leaves them unspecified). A written table keeps the order only as a column."""
+    return global_row_number(table, ["date", "id"], "seq")
 
 
 def corpus_texts(table: DataFrame, column: str = "raw_text") -> DataFrame:
-    """The training corpus, one text per row, in date order (raw text by default)."""
-    return table.orderBy("date", "id").select(column)
+    """The training corpus, one text per row (raw text by default), with ``seq``."""
+    return ordered_scan(table.select("date", "id", column)).select(column, "seq")
 
 
 def probe_raw_text(table: DataFrame, probes: DataFrame, column: str = "raw_text") -> DataFrame:
     """S8 in bulk: ``probes`` rows with ``exists`` = some table row has this raw text.
 
-    The table is scanned once and semi-joined against the probe texts; the probe set is
-    broadcast only when its size has been checked, else the join shuffles."""
-    keys = probes.select(F.col(column).alias("_k")).distinct()
-    texts = table.select(F.col("raw_text").alias("_k"))
-    if keys.limit(BROADCAST_MAX_ROWS + 1).count() <= BROADCAST_MAX_ROWS:
-        # Probe set of checked size: broadcast it; the table is scanned without a shuffle.
-        hits = texts.join(F.broadcast(keys), "_k", "left_semi").distinct()
-    else:
-        # Large probe set: distinct texts first, so partial aggregation collapses a very
-        # common text to one row per task before the shuffle join.
-        hits = texts.distinct().join(keys, "_k", "left_semi")
-    hits = hits.withColumn("exists", F.lit(True))
-    out = probes.join(hits, probes[column] == hits["_k"], "left").drop("_k")
+    Both sides meet on the 32-byte digest of the text, so neither a broadcast nor a shuffle
+    moves whole texts twice. Digests of the probes are distinct (combined map-side), and
+    they are broadcast only if their bytes have been checked."""
+    probes = probes.withColumn("_h", F.unhex(F.sha2(F.col(column), 256)))
+    keys = small_side(probes.select(F.col("_h").alias("_k")).distinct(), row_bytes=64)
+    texts = table.select(F.unhex(F.sha2(F.col("raw_text"), 256)).alias("_k"))
+    hits = texts.join(keys, "_k", "left_semi").distinct().withColumn("exists", F.lit(True))
+    out = probes.join(hits, probes["_h"] == hits["_k"], "left").drop("_k", "_h")
     return out.withColumn("exists", F.coalesce(F.col("exists"), F.lit(False)))
 
 

@@ -19,7 +19,8 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
-def versions(spark: SparkSession, root: str) -> list[int]:
+def versions(spark: SparkSession, root: str, committed: bool = True) -> list[int]:
+    """Version numbers in order; ``committed=False`` includes aborted writes."""
     fs, p, jvm = _fs(spark, root)
     if not fs.exists(p):
         return []
@@ -27,7 +28,7 @@ def versions(spark: SparkSession, root: str) -> list[int]:
     for st in fs.listStatus(p):
         name = st.getPath().getName()
         if st.isDirectory() and name.startswith("v="):
-            if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            if not committed or fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
                 out.append(int(name[2:]))
     return sorted(out)
 
@@ -35,7 +36,7 @@ def versions(spark: SparkSession, root: str) -> list[int]:
 def create_if_absent(spark: SparkSession, root: str, schema=POSTS_SCHEMA) -> None:
     """CREATE TABLE IF NOT EXISTS - an empty first version with the schema."""
     if not versions(spark, root):
-        spark.createDataFrame([], schema).write.mode("errorifexists").parquet(f"{root}/v=00000001")
+        write(spark.createDataFrame([], schema), root)
 
 
 def read(spark: SparkSession, root: str, schema=POSTS_SCHEMA) -> DataFrame:
@@ -46,9 +47,10 @@ def read(spark: SparkSession, root: str, schema=POSTS_SCHEMA) -> DataFrame:
 
 
 def write(df: DataFrame, root: str) -> int:
-    """Write ``df`` as the next version; returns the version number."""
+    """Write ``df`` as the next version; returns the version number. It is above every
+    folder there is, so an aborted write does not block later ones."""
     spark = df.sparkSession
-    vs = versions(spark, root)
+    vs = versions(spark, root, committed=False)
     nxt = (vs[-1] + 1) if vs else 1
     df.write.mode("errorifexists").parquet(f"{root}/v={nxt:08d}")
     return nxt
