@@ -3,20 +3,21 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from tidewrack.llm import jaccard_join as J
 
 
-def sets_of(text):
+def sets_of(text, k=3):
     words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     if not words:
         return frozenset()
-    return frozenset(tuple(words[i : i + 3]) for i in range(max(1, len(words) - 2)))
+    return frozenset(tuple(words[i : i + k]) for i in range(max(1, len(words) - k + 1)))
 
 
-def brute(rows):
-    sets = [sets_of(t) for _, t in rows]
+def brute(rows, k=3, percent=90):
+    sets = [sets_of(t, k) for _, t in rows]
     parent = list(range(len(rows)))
 
     def root(i):
@@ -27,7 +28,7 @@ def brute(rows):
     for i in range(len(rows)):
         for j in range(i):
             both = len(sets[i] & sets[j])
-            if sets[i] and sets[j] and 100 * both >= 90 * len(sets[i] | sets[j]):
+            if sets[i] and sets[j] and 100 * both >= percent * len(sets[i] | sets[j]):
                 parent[root(i)] = root(j)
     least = {}
     for i, (doc, _) in enumerate(rows):
@@ -64,31 +65,56 @@ def fixture(seed):
     return rows
 
 
-@pytest.mark.parametrize("small", [64, 2])
-def test_matches_brute_force(spark, monkeypatch, small):
+@pytest.mark.parametrize("small,rule", [(256, J.Rule()), (2, J.Rule(5, 80))])
+def test_matches_brute_force(spark, monkeypatch, small, rule):
     monkeypatch.setattr(J, "SMALL", small)
     rows = fixture(small)
     df = spark.createDataFrame([(i, t, 7, 8) for i, t in rows], "doc_id long, text string, key int, n int").repartition(3)
-    got = [(r.doc_id, r.n_shingles, r.component_id) for r in J.jaccard_components(df).collect()]
-    assert sorted(got, key=repr) == brute(rows)
+    got = [(r.doc_id, r.n_shingles, r.component_id) for r in J.jaccard_components(df, rule).collect()]
+    want = brute(rows, rule.shingle, rule.percent)
+    assert sorted(got, key=repr) == want
+    if rule == J.Rule(5, 80):
+        kept = J.keep_one(df).collect()
+        assert sorted((r.doc_id, r.text) for r in kept if r.doc_id is not None) == sorted({(i, t) for i, t in rows for d, n, c in want if d == i and i is not None and (c == i or not n)})
+        assert {r.key for r in kept} == {7}
 
 
 def test_empty_table(spark):
-    assert J.jaccard_components(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert J.jaccard_components(empty).collect() == [] and J.keep_one(empty).collect() == []
 
 
 def test_linked_sets_share_a_list():
     """The list keys alone: every linked pair meets in a list."""
     rng = random.Random(3)
-    for n in [*range(9, 40), 77, 150]:
+    for rule, n in [(r, n) for r in (J.Rule(), J.Rule(5, 80)) for n in [*range(4, 40), 77, 150]]:
         for _ in range(20):
-            import numpy as np
-
             base = rng.sample(range(1, 10**9), n + 20)
             x = np.unique(np.array(base[:n], np.uint64))
-            drop = rng.randint(0, n // 9)
+            drop = rng.randint(0, n // 4)
             y = np.unique(np.array(base[drop // 2 : n + rng.randint(0, n // 18)], np.uint64))
             both = len(np.intersect1d(x, y))
             if len(x) != len(y) or both != len(x):
-                if 100 * both >= 90 * (len(x) + len(y) - both):
-                    assert set(J.list_keys(x).tolist()) & set(J.list_keys(y).tolist()), (n, len(y))
+                if rule.links(both, len(x), len(y)):
+                    assert set(J.list_keys(x, rule).tolist()) & set(J.list_keys(y, rule).tolist()), (n, len(y))
+
+
+def test_components_equal_union_find(spark):
+    from tidewrack.llm.components import connected_components, with_edges
+
+    rng = random.Random(8)
+    edges = [(i, i + 1) for i in range(40)] + [(100 + rng.randrange(60), 100 + rng.randrange(60)) for _ in range(45)] + [(7, 7), (300, 301), (301, 300)]
+    parent = {x: x for e in edges for x in e}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        parent[max(root(a), root(b))] = min(root(a), root(b))
+    want = {x: root(x) for x in parent if any(x in e and e[0] != e[1] for e in edges)}
+    df = spark.createDataFrame(edges, "a long, b long")
+    got = {r.node: r.label for r in connected_components(df).collect()}
+    later = with_edges(connected_components(df.where("a % 3 = 0")), df.where("a % 3 <> 0"))
+    assert got == want and {r.node: r.label for r in later.collect()} == want

@@ -47,6 +47,8 @@ def fixture(rng):
 @pytest.mark.parametrize("seed,buckets", [(1, 8), (2, 40)])
 def test_matches_brute_force(spark, seed, buckets, monkeypatch):
     monkeypatch.setattr(S, "PIECE", 64)  # long texts go in overlapping pieces
+    monkeypatch.setattr(S, "PER_BUCKET", 1500 // buckets)
+    monkeypatch.setattr(S, "PER_SPLIT", 10)
     rows = fixture(random.Random(seed))
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", str(buckets))

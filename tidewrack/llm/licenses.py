@@ -95,7 +95,7 @@ def bigrams(words: Column) -> Column:
 
 def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, min_dice: float = MIN_DICE, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, line, license, dice``: the best template of every matching unit."""
-    low, high = min_dice / (2 - min_dice), (2 - min_dice) / min_dice
+    low, high = min_dice / (2 - min_dice) - 1e-9, (2 - min_dice) / min_dice + 1e-9
     keys = strings(key_words(templates, min_dice))
     known = F.array(*[F.struct(F.lit(name).alias("id"), strings(bigrams_of(text)).alias("b")) for name, text in sorted(templates.items())])
     held = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).where(F.arrays_overlap(F.split(normal(F.col("text")), " "), keys))
