@@ -38,7 +38,7 @@ WEIGHTS = (3, 1, 2)
 BUDGET = 1.5
 MAX_EPOCHS = 2
 SLOPES = (0.5, 0.0, -0.5)
-DOCS_PER_SLICE = 50_000
+DOCS_PER_SLICE = 2_000
 WORD = "[^\\x20\\x09-\\x0D]+"
 
 
