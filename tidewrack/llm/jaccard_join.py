@@ -1,93 +1,120 @@
 """Size-aware heavy-light Jaccard join on word shingles, as linked components.
 
-A document's set holds its distinct ``SHINGLE``-word shingles. Two sets link when
-``100 * |x & y| >= 90 * |x | y|``, that is when their difference (shingles of one but not
-of the other) is at most ``(|x| + |y|) // 19``.
+A document's set holds its distinct word shingles. Two sets link when
+``100 * |x & y| >= percent * |x | y|``, that is when their difference (shingles of one but
+not of the other) is at most ``(|x| + |y|) * (100 - percent) // (100 + percent)``.
 
 Equal sets are one class (set hash and size); only classes are joined.
 
-*Light sets* (up to ``light_limit()`` shingles): a linked pair differs by one shingle, so
+*Light sets* (up to ``light_limit`` shingles): a linked pair differs by one shingle, so
 the smaller set is a subset of the larger one with one shingle left out. Sets enumerate
 these fixed-size subsets and meet on the subset's hash.
 
 *Heavy sets*: inverted lists. By ascending size, sets fall in classes such that a linked
 partner lies in the same or the next class; a class's pairs differ by at most H shingles.
-The shingles are dealt by hash to H + 1 blocks, so a linked pair agrees on at least one
-whole block, and the lists are keyed on a block's content (some nine shingles) instead of
-one shingle: a frequent phrase alone makes no list. A block with fewer than two shingles
-says little; its list is keyed together with each block of a second, independent deal, of
-which one must agree as well.
+The shingles are dealt by hash to m > H blocks, so a linked pair agrees on at least m - H
+whole blocks, and the lists are keyed on a block's content instead of one shingle: a
+frequent phrase alone makes no list. Blocks with fewer than two shingles say little. If a
+set has fewer than m - H of them, one of the agreeing blocks is a larger one, and only the
+larger ones are entered. Else the small ones are entered as well, each keyed together with
+the blocks of a second, independent deal, of which one must agree, too.
 
 The boundary is the size up to which enumeration costs less than list entries with their
-share of checks (``light_limit``).
-
-Lists are scanned in sorted order, and a list is not expanded into pairs: all members are
-checked against one centre (a star) and linked into components. In a light list the
-centre is the subset itself, and no two others can link. A heavy list that still lies in
-several components goes on: up to ``SMALL`` members, the pairs between its components are
-checked; a longer list is dealt anew, keyed with each block of a further independent deal,
-of which a linked pair agrees on one again. After ``DEALS`` deals the pairs between the
-components of what is left are checked, too, so no link is lost. All candidate pairs are
-checked on the texts' shingle sets.
+share of checks.
+
+A list is not expanded into pairs. Its members are checked against one centre, the one
+that stands in most lists (of a group of near copies, the least edited), and linked into
+components. In a light list the centre is the subset itself, and no two others can link. A
+heavy list that still lies in several components goes on: with up to ``SMALL`` members, the
+pairs between its components are checked. In a longer list, two members that link, not
+both of them with the centre c, have ``|(x ^ c) & (y ^ c)| > 0``: they share shingles in
+which they differ from the centre. With h the largest difference of linked sets of this
+size, the h + 1 smallest of a member's differing shingles hold a shared one (prefix
+filter). Members meet again in lists of centre and differing shingle, without the centre
+and without what is common to the list, and so on until no list is left. No link is lost,
+and no list is compared with itself. All candidate pairs are checked on the texts' sets.
 
 Defined results: null or word-less texts have the empty set, n_shingles 0 and link with
-nothing; with fewer words than SHINGLE the whole sequence is the one shingle; repeated
+nothing; with fewer words than a shingle the whole sequence is the one shingle; repeated
 rows are copies; a component's id is its smallest non-null doc_id; an empty table gives
 an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import cached_property
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewrack.llm.common import U64, map_rows, mix, shingle_hashes, texts, word_hashes
-from tidewrack.llm.components import connected_components
+from tidewrack.llm.components import connected_components, with_edges
 from tidewrack.session import stage
 
-SHINGLE = 3
 CHECK_COST = 4  # list entries that one check of a candidate is worth
 MAX_WORDS = 1 << 31
-SMALL = 64  # members of a list up to which pairs between its components are checked at once
-DEALS = 3
+SMALL = 24  # members of a list up to which pairs between its components are checked at once
 LIGHT_LISTS = 255  # a key's low byte: its heavy class, or this
 
 
-def max_difference(n: int, m: int) -> int:
-    return (n + m) // 19
+@dataclass(frozen=True)
+class Rule:
+    """When sets link: shingle length in words and Jaccard similarity in percent."""
 
+    shingle: int = 3
+    percent: int = 90
 
-def light_limit() -> int:
-    """Largest size whose pairs differ by one shingle at most and whose subsets cost
-    less than its lists."""
-    n = 9
-    while max_difference(n + 1, (n + 1) * 10 // 9) <= 1 and 2 + n <= 2 * ((n + 1) * 10 // 81 + 1) * (1 + CHECK_COST):
-        n += 1
-    return n
+    def links(self, both, n, m):
+        return 100 * both >= self.percent * (n + m - both)
 
+    def difference(self, n: int, m: int) -> int:
+        return (n + m) * (100 - self.percent) // (100 + self.percent)
 
-LIGHT = light_limit()
+    def partner(self, n: int) -> int:
+        """Largest size that links with size n."""
+        return n * 100 // self.percent
 
+    @cached_property
+    def least(self) -> int:
+        """Smallest size that links with a different set."""
+        n = 1
+        while self.difference(n, n + 1) < 1:
+            n += 1
+        return n
 
-def size_classes(limit: int = MAX_WORDS) -> np.ndarray:
-    """First sizes of the heavy classes."""
-    out = [LIGHT + 1]
-    while out[-1] < limit:
-        out.append(out[-1] * 10 // 9 + 1)
-    return np.array(out)
+    @cached_property
+    def light_limit(self) -> int:
+        """Largest size whose pairs differ by one shingle at most and whose subsets cost
+        less than its lists."""
+        n = self.least - 1
+        while self.difference(n + 1, self.partner(n + 1)) <= 1 and 2 + n <= 2 * blocks_for(self.difference(n + 1, self.partner(n + 1))) * (1 + CHECK_COST):
+            n += 1
+        return n
 
+    @cached_property
+    def classes(self) -> np.ndarray:
+        """First sizes of the heavy classes."""
+        out = [self.light_limit + 1]
+        while out[-1] < MAX_WORDS:
+            out.append(self.partner(out[-1]) + 1)
+        return np.array(out)
 
-CLASSES = size_classes()
+    def heavy(self, scheme: int) -> tuple[int, int]:
+        """H and the number of blocks for pairs whose smaller set is in the class."""
+        top = int(self.classes[scheme + 1]) - 1
+        h = self.difference(top, self.partner(top))
+        return h, blocks_for(h)
 
 
-def blocks_of(scheme: int) -> int:
-    top = int(CLASSES[scheme + 1]) - 1
-    return max_difference(top, top * 10 // 9) + 1
+def blocks_for(difference: int) -> int:
+    """Three tenths more than needed, so that small blocks can be passed over."""
+    return difference + 2 + 3 * difference // 10
 
 
-def shingle_set(text: bytes | None, k: int = SHINGLE) -> np.ndarray:
+def shingle_set(text: bytes | None, k: int) -> np.ndarray:
     """Distinct shingle hashes, sorted; ASCII letters in lower case."""
     return np.unique(shingle_hashes(word_hashes(np.frombuffer((text or b"").lower(), np.uint8)), k))
 
@@ -108,26 +135,26 @@ def tagged(key: np.ndarray, lists: int) -> np.ndarray:
     return (key & ~U64(255)) | U64(lists)
 
 
-def list_keys(x: np.ndarray) -> np.ndarray:
+def list_keys(x: np.ndarray, rule: Rule) -> np.ndarray:
     """Keys of the lists a set stands in."""
     n, out = len(x), []
-    if n < 9:
+    if n < rule.least:
         return np.zeros(0, U64)
-    if n <= LIGHT + 1:
+    if n <= rule.light_limit + 1:
         each = mix(x, 6)
         whole = each.sum(dtype=np.uint64)
-        if n <= LIGHT:
+        if n <= rule.light_limit:
             out.append(tagged(mix(np.array([whole + U64(n)], U64), 7), LIGHT_LISTS))
         out.append(tagged(mix(whole - each + U64(n - 1), 7), LIGHT_LISTS))
-    if n > LIGHT:
-        own = int(np.searchsorted(CLASSES, n, "right")) - 1
+    if n > rule.light_limit:
+        own = int(np.searchsorted(rule.classes, n, "right")) - 1
         for scheme in {own, max(0, own - 1)}:
-            m = blocks_of(scheme)
+            h, m = rule.heavy(scheme)
             key, count = deal(x, m, 10)
             key = mix(key + U64(scheme), 16)
             few = np.flatnonzero(count < 2)
             out.append(tagged(key[count >= 2], scheme))
-            if len(few):
+            if len(few) >= m - h:
                 other, _ = deal(x, m, 20)
                 out.append(tagged(mix(key[few][:, None] ^ (other[None, :] * U64(3)), 17).ravel(), scheme))
     return np.concatenate(out)
@@ -136,17 +163,17 @@ def list_keys(x: np.ndarray) -> np.ndarray:
 ENTRY = "key long, sk long, n int"
 
 
-def document_sets(docs: DataFrame) -> DataFrame:
+def document_sets(docs: DataFrame, rule: Rule) -> DataFrame:
     """``doc_id, th, n, sk``; sk is null for the empty set."""
 
     def make(batch: pa.RecordBatch) -> dict:
-        sets = [shingle_set(t) for t in texts(batch.column(2))]
+        sets = [shingle_set(t, rule.shingle) for t in texts(batch.column(2))]
         return {"doc_id": batch.column(0), "th": batch.column(1), "n": [len(x) for x in sets], "sk": [int(set_key(x).view(np.int64)) if len(x) else None for x in sets]}
 
     return map_rows(docs.select("doc_id", "th", "text"), "doc_id long, th long, n long, sk long", make)
 
 
-def postings(docs: DataFrame) -> DataFrame:
+def postings(docs: DataFrame, rule: Rule) -> DataFrame:
     """``key, sk, n`` for every list entry; equal sets of a task are entered once."""
 
     def run(batches):
@@ -154,13 +181,13 @@ def postings(docs: DataFrame) -> DataFrame:
         for batch in batches:
             keys, sks, sizes = [], [], []
             for t in texts(batch.column(0)):
-                x = shingle_set(t)
-                if len(x) < 9:
+                x = shingle_set(t, rule.shingle)
+                if len(x) < rule.least:
                     continue
                 sk = int(set_key(x).view(np.int64))
                 if sk not in seen:
                     seen.add(sk)
-                    keys.append(list_keys(x))
+                    keys.append(list_keys(x, rule))
                     sks.append(np.full(len(keys[-1]), sk))
                     sizes.append(np.full(len(keys[-1]), len(x), np.int32))
             if keys:
@@ -171,25 +198,30 @@ def postings(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, ENTRY)
 
 
-def dealt_anew(entries: DataFrame, sets: DataFrame, salt: int) -> DataFrame:
-    """Entries of long lists, keyed together with each block of another deal."""
+def difference_lists(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    """Entries ``key, sk, n`` of lists by (centre, differing shingle)."""
 
     def run(batches):
+        last, c = None, None
         for batch in batches:
-            for key, sk, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts(batch.column(2)), strict=True):
-                x, lists = shingle_set(text), key & 255
-                other, _ = deal(x, blocks_of(lists), salt)
-                keys = tagged(mix(np.array([key], np.int64).view(U64) ^ (other * U64(5)), salt), lists)
-                n = len(keys)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(np.full(n, sk)), pa.array(np.full(n, len(x), np.int32))], names=["key", "sk", "n"])
+            out = []
+            for a, sk, ta, tb in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts(batch.column(2)), texts(batch.column(3)), strict=True):
+                if a != last:
+                    last, c = a, shingle_set(ta, rule.shingle)
+                x = shingle_set(tb, rule.shingle)
+                differ = np.setxor1d(c, x, assume_unique=True)[: rule.difference(len(x), rule.partner(len(x))) + 1]
+                out.append((tagged(mix(differ ^ mix(np.array([a], np.int64).view(U64), 31), 32), 0).view(np.int64), sk, len(x)))
+            for lo in range(0, len(out), 500):
+                part = out[lo : lo + 500]
+                size = [len(k) for k, _, _ in part]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([k for k, _, _ in part])), pa.array(np.repeat([s for _, s, _ in part], size)), pa.array(np.repeat([n for _, _, n in part], size).astype(np.int32))], names=["key", "sk", "n"])
 
-    return entries.join(sets, "sk").select("key", "sk", "text").mapInArrow(run, ENTRY)
+    return with_texts(pairs, sets).mapInArrow(run, ENTRY)
 
 
 def scan_lists(entries: DataFrame) -> DataFrame:
-    """``key, sk, n, center, center_n`` of the lists with two or more different sets. The centre is
-    the smallest set, by size, then key. One task holds the 20-byte entries of one shuffle
-    partition."""
+    """``key, sk, n`` of the lists with two or more different sets. One task holds the
+    20-byte entries of one shuffle partition."""
 
     def run(batches):
         held = [[c.to_numpy() for c in b.columns] for b in batches]
@@ -203,17 +235,33 @@ def scan_lists(entries: DataFrame) -> DataFrame:
         key, sk, n, new_list = key[distinct], sk[distinct], n[distinct], new_list[distinct]
         at = np.flatnonzero(new_list)
         size = np.diff(np.append(at, len(key)))
-        center, least = np.repeat(sk[at], size), np.repeat(n[at], size)
         light = (key & 255) == LIGHT_LISTS
         # A light list without the subset itself holds no link.
-        keep = np.repeat(size > 1, size) & (~light | (np.repeat(n[at + size - 1], size) > least))
+        keep = np.repeat(size > 1, size) & (~light | np.repeat(n[at + size - 1] > n[at], size))
         for lo in range(0, int(keep.sum()), 200_000):
-            yield pa.RecordBatch.from_arrays([pa.array(x[keep][lo : lo + 200_000]) for x in (key, sk, n, center, least)], names=["key", "sk", "n", "center", "center_n"])
+            yield pa.RecordBatch.from_arrays([pa.array(x[keep][lo : lo + 200_000]) for x in (key, sk, n)], names=["key", "sk", "n"])
+
+    return entries.repartition("key").mapInArrow(run, ENTRY)
+
+
+def with_centers(lists: DataFrame) -> DataFrame:
+    """Adds ``center, center_n``: in a light list the smallest set, else the one in most
+    lists (ties: the smaller key)."""
+    weight = lists.groupBy(F.col("sk").alias("w_sk")).agg(F.count(F.lit(1)).alias("weight"))
+    light = F.col("key").bitwiseAND(255) == LIGHT_LISTS
+    first = F.min(F.struct(F.when(light, F.col("n")).otherwise(0).alias("size"), (-F.col("weight")).alias("w"), F.col("sk").alias("center"), F.col("n").alias("center_n")))
+    centers = lists.join(weight, F.col("sk") == F.col("w_sk")).groupBy(F.col("key").alias("c_key")).agg(first.alias("c")).select("c_key", "c.center", "c.center_n")
+    return lists.join(centers, F.col("key") == F.col("c_key")).select("key", "sk", "n", "center", "center_n")
 
-    return entries.repartition("key").mapInArrow(run, "key long, sk long, n int, center long, center_n int")
+
+def with_texts(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``a, b, text_a, text_b`` of the pairs ``a, b``; rows with one ``a`` stand together."""
+    with_b = pairs.join(sets.select(F.col("sk").alias("b"), F.col("text").alias("text_b")), "b")
+    with_a = with_b.join(sets.select(F.col("sk").alias("a"), F.col("text").alias("text_a")), "a")
+    return with_a.select("a", "b", "text_a", "text_b")
 
 
-def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def linked(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """The pairs ``(a, b)`` that link, checked on the texts ``sets(sk, text)``."""
 
     def run(batches):
@@ -222,63 +270,83 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             keep = []
             for a, ta, tb in zip(batch.column(0).to_pylist(), texts(batch.column(2)), texts(batch.column(3)), strict=True):
                 if a != last:
-                    last, x = a, shingle_set(ta)
-                y = shingle_set(tb)
+                    last, x = a, shingle_set(ta, rule.shingle)
+                y = shingle_set(tb, rule.shingle)
                 both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= 90 * (len(x) + len(y) - both))
+                keep.append(rule.links(both, len(x), len(y)))
             yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep)) for c in batch.columns[:2]], names=["a", "b"])
 
-    with_b = pairs.join(sets.select(F.col("sk").alias("b"), F.col("text").alias("text_b")), "b")
-    with_a = with_b.join(sets.select(F.col("sk").alias("a"), F.col("text").alias("text_a")), "a")
-    return with_a.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+    return with_texts(pairs, sets).mapInArrow(run, "a long, b long")
 
 
-def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: ``doc_id, n_shingles, component_id, component_size`` and
-    ``th``, the 64-bit hash of its text."""
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).select("doc_id", F.xxhash64("text").alias("th"), "text")
-    sets = stage(document_sets(docs), "jaccard-sets")
-    lists = stage(scan_lists(postings(docs)), "jaccard-lists")
+def components(docs: DataFrame, rule: Rule) -> DataFrame:
+    """``doc_id, th, n, label`` for ``doc_id, th, text``; label is null for empty sets."""
+    sets = stage(document_sets(docs, rule), "jaccard-sets")
+    lists = stage(scan_lists(postings(docs, rule)), "jaccard-lists")
     members = sets.where("sk IS NOT NULL").groupBy("sk").agg(F.min("th").alias("m_th"))
     wanted = members.join(lists.select("sk").distinct(), "sk", "left_semi")
     held = stage(docs.select("th", "text").join(wanted, F.col("th") == F.col("m_th"), "inner").dropDuplicates(["sk"]).select("sk", "text"), "jaccard-texts")
-    tested, edges, labels, salt = None, None, None, 30
-
-    def check(pairs: DataFrame):
-        nonlocal tested, edges, labels
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    tested = labels = pending = None
+    while pending is not None or not lists.isEmpty():
+        lists = stage(with_centers(lists), "jaccard-centers")
+        pairs = lists.select(F.col("center").alias("a"), F.col("sk").alias("b"), F.col("center_n").alias("n_a"), F.col("n").alias("n_b")).where("a <> b")
+        pairs = pairs if pending is None else pairs.unionByName(pending)
+        pairs = pairs.where(f"100 * least(n_a, n_b) >= {rule.percent} * greatest(n_a, n_b)").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         fresh = stage(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "jaccard-pairs")
-        more = stage(linked(fresh, held), "jaccard-links")
         tested = fresh if tested is None else tested.unionByName(fresh)
-        if labels is None or not more.isEmpty():
-            edges = more if edges is None else edges.unionByName(more)
-            labels = connected_components(edges)
-
-    def several(lists: DataFrame) -> DataFrame:
-        """The lists that still lie in several components, with their sizes."""
-        rows = lists.join(labels.select(F.col("node").alias("sk"), "label"), "sk", "left").select("key", "sk", "n", F.coalesce("label", "sk").alias("label"))
-        rows = stage(rows, "jaccard-open")
-        open_ = rows.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("members")).where("lo <> hi")
-        return stage(rows.join(open_.select("key", "members"), "key"), "jaccard-rest")
-
-    while True:
-        check(lists.where("sk <> center AND 10 * least(n, center_n) >= 9 * greatest(n, center_n)").select(F.col("center").alias("a"), F.col("sk").alias("b")))
-        rest = several(lists.where(F.col("key").bitwiseAND(255) != LIGHT_LISTS))
-        small = rest if salt >= 30 + 10 * DEALS else rest.where(F.col("members") <= SMALL)
-        one, two = small.select("key", F.col("sk").alias("a"), F.col("n").alias("n_a"), F.col("label").alias("l_a")), small.select("key", F.col("sk").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("l_b"))
-        check(one.join(two, "key").where("a < b AND l_a <> l_b AND 10 * least(n_a, n_b) >= 9 * greatest(n_a, n_b)").select("a", "b"))
-        long = rest.where(F.col("members") > SMALL)
-        if salt >= 30 + 10 * DEALS or long.isEmpty():
+        more = stage(linked(fresh, held, rule), "jaccard-links")
+        labels = connected_components(more) if labels is None else labels if more.isEmpty() else with_edges(labels, more)
+        heavy = lists.where(F.col("key").bitwiseAND(255) != LIGHT_LISTS)
+        rows = heavy.join(labels.select(F.col("node").alias("l_sk"), "label"), F.col("sk") == F.col("l_sk"), "left").select("key", "sk", "n", "center", F.coalesce("label", "sk").alias("label"))
+        rows = stage(rows, "jaccard-labels")
+        # Lists that still lie in several components.
+        several = rows.groupBy(F.col("key").alias("s_key")).agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("members")).where("lo <> hi")
+        rest = stage(rows.join(several.select("s_key", "members"), F.col("key") == F.col("s_key")).where("sk <> center").drop("s_key"), "jaccard-rest")
+        if rest.isEmpty():
             break
-        lists = stage(scan_lists(dealt_anew(long.select("key", "sk"), held, salt)), "jaccard-lists")
-        salt += 10
-    named = sets.join(labels.select(F.col("node").alias("sk"), "label"), "sk", "left").select("doc_id", "th", "n", F.coalesce("label", "sk").alias("label"))
-    groups = named.where("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("size")).withColumnRenamed("label", "g")
+        small = rest.where(F.col("members") <= SMALL)
+        one, two = (small.select("key", F.col("sk").alias(x), F.col("n").alias(f"n_{x}"), F.col("label").alias(f"l_{x}")) for x in "ab")
+        pending = stage(one.join(two, "key").where("a < b AND l_a <> l_b").select("a", "b", "n_a", "n_b").distinct(), "jaccard-pending")
+        long = rest.where(F.col("members") > SMALL).select(F.col("center").alias("a"), F.col("sk").alias("b")).distinct()
+        lists = stage(scan_lists(difference_lists(long, held, rule)), "jaccard-lists")
+        pending = None if pending.isEmpty() else pending
+    if labels is None:
+        return sets.select("doc_id", "th", "n", F.col("sk").alias("label"))
+    return sets.join(labels.select(F.col("node").alias("l_sk"), "label"), F.col("sk") == F.col("l_sk"), "left").select("doc_id", "th", "n", F.coalesce("label", "sk").alias("label"))
+
+
+def hashed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    return docs.select("doc_id", F.xxhash64("text").alias("th"), "text")
+
+
+def jaccard_components(docs: DataFrame, rule: Rule = Rule(), *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: ``doc_id, n_shingles, component_id, component_size``."""
+    named = components(hashed(docs, id_col, text_col), rule)
+    groups = named.where("label IS NOT NULL").groupBy(F.col("label").alias("g")).agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("size"))
     return named.join(groups, F.col("label") == F.col("g"), "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"), F.coalesce("size", F.lit(1)).alias("component_size"), "th")
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"), F.coalesce("size", F.lit(1)).alias("component_size"))
+
+
+def keep_one(docs: DataFrame, rule: Rule = Rule(5, 80)) -> DataFrame:
+    """The documents (with their own columns) without near duplicates: of each component
+    one row stays, that with the smallest id (null ids last), then text hash. Rows with
+    empty sets stay."""
+    named = stage(components(hashed(docs, "doc_id", "text"), rule), "jaccard-named").where("label IS NOT NULL")
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "th")
+    groups = named.groupBy(F.col("label").alias("g")).agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("size")).where("size > 1")
+    marked = named.join(groups, F.col("label") == F.col("g")).select(F.col("doc_id").alias("m_id"), F.col("th").alias("m_th"), (first == F.col("first")).alias("stays"))
+    verdicts = marked.groupBy("m_id", "m_th").agg(F.max("stays").alias("stays"), F.count(F.lit(1)).alias("rows"))
+    keyed = docs.withColumn("__th", F.xxhash64(F.coalesce("text", F.lit(""))))
+    same = (F.col("__th") == F.col("m_th")) & F.col("doc_id").eqNullSafe(F.col("m_id"))
+    left = keyed.join(verdicts.where("NOT stays"), same, "left_anti")
+    repeated = verdicts.where("stays AND rows > 1")
+    if not repeated.isEmpty():
+        left = left.join(repeated, same, "left_anti").unionByName(left.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "__th"]))
+    return left.drop("__th")
 
 
 def op7_jaccard_join(spark, sf_dir: str) -> DataFrame:
     from tidewrack.llm.common import table
 
-    return jaccard_components(table(spark, sf_dir, "documents")).drop("th")
+    return jaccard_components(table(spark, sf_dir, "documents"))
