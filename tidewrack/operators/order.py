@@ -44,7 +44,8 @@ def range_blocks(df: DataFrame, order: Order, num_blocks: int | None = None) ->
     """Add ``_blk``: contiguous ranges of the global order, about equal in size."""
     n = num_blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = _sort_cols(_spec(order))
-    dealt = df.repartitionByRange(max(1, int(n)), *keys).sortWithinPartitions(*keys)
+    # Staged first: the key sampling would otherwise run the work behind ``df`` once more.
+    dealt = stage(df, "range-input").repartitionByRange(max(1, int(n)), *keys).sortWithinPartitions(*keys)
     return stage(dealt.withColumn("_blk", F.spark_partition_id()), "blocks")
 
 
