@@ -14,16 +14,16 @@ window's own bytes only, so two equal windows have an anchor at the same offset
    takes no further part. (A hash collision keeps a needless candidate, never loses one.)
 2. *Suffix buckets.* A remaining anchor carries its context: up to WINDOW - SEED bytes
    before and WINDOW bytes from the anchor on. Equal contexts are combined per task.
-   ``repartitionByRange`` samples splitters and range-partitions the contexts by the
-   suffix's bytes. Each bucket sorts its suffixes, and its reversed prefixes, by
+   Sampled splitters range-partition the contexts by the suffix's bytes into buckets of
+   bounded size. Each bucket sorts its suffixes, and its reversed prefixes, by
    multikey quicksort (8-byte keys, only ties go on to the next key) and takes the common
    lengths of neighbours. For each ``d``, two contexts hold the same window iff they are in
    one class of prefixes at depth d and one class of suffixes at depth WINDOW - d; the
    classes follow from the neighbours' common lengths, so no pair is ever formed.
 3. *Boundaries.* Only contexts with equal seeds can match, and a seed's run is contiguous
-   in suffix order. The first and the last run of a bucket may go on in its neighbours
-   (a very common passage fills many buckets): their windows are combined inside the bucket
-   and compared across buckets by 128-bit digests, dealt out by digest.
+   in suffix order, so bounds are moved to the beginning of a run. A run that is longer
+   than a bucket (a very common passage) is split: its windows are combined inside each
+   bucket and compared across buckets by 128-bit digests, dealt out by digest.
 4. The windows found at an anchor all contain it, so their union is one span; spans are
    merged per document and cut out.
 
@@ -39,10 +39,13 @@ before they move.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -65,14 +68,12 @@ def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(backward[: n - w + 1], forward[w - 1 : n])
 
 
-def anchors(b: np.ndarray, starts: np.ndarray, window: int = WINDOW, seed: int = SEED) -> np.ndarray:
-    """Anchor positions in ``b``, which holds texts that begin at ``starts`` (the last
-    entry is the end of ``b``). Windows that cross a text's end have no anchor."""
-    n, w = len(b), window - seed + 1
+def anchors(p: np.ndarray, starts: np.ndarray, window: int = WINDOW, seed: int = SEED) -> np.ndarray:
+    """Anchor positions in a run of texts that begin at ``starts`` (the last entry is the
+    end), from its prefix hash. Windows that cross a text's end have no anchor."""
+    n, w = len(p) - 1, window - seed + 1
     if n < window:
         return np.zeros(0, np.int64)
-    p = np.zeros(n + 1, U64)
-    np.cumsum(BYTE_CODE[b] * _powers("up", BASE, n)[:n], out=p[1:])
     h = mix((p[seed:] - p[:-seed]) * _powers("down", BASE_INV, n)[: n - seed + 1]) >> U64(1)
     least = sliding_min(h, w)
     room = np.repeat(starts[1:], np.diff(starts))[: n - window + 1] - np.arange(n - window + 1)
@@ -104,23 +105,13 @@ def pieces(sizes: list[int], window: int = WINDOW, piece: int = PIECE):
         yield group
 
 
-_half_codes = mix(np.arange(WINDOW, dtype=np.uint64), 77) | U64(1)
-
-
-def half_keys(b: np.ndarray, at: np.ndarray, window: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Keys of the half windows right and left of the anchors, and which of them exist."""
+def half_keys(p: np.ndarray, at: np.ndarray, low: np.ndarray, high: np.ndarray, window: int, seed: int):
+    """For the half windows right and left of the anchors that lie in their text, [low, high):
+    which anchors have one, and its key."""
     half = window // 2
-    out = []
     for salt, first in ((1, at), (2, at + seed - half)):
-        ok = (first >= 0) & (first + half <= len(b))
-        key = np.zeros(len(at), U64)
-        for lo in range(0, int(ok.sum()), 4096):
-            f = first[ok][lo : lo + 4096]
-            rows = BYTE_CODE[b[f[:, None] + np.arange(half)]]
-            part = (rows * _half_codes[:half]).sum(axis=1, dtype=np.uint64)
-            key[np.flatnonzero(ok)[lo : lo + 4096]] = mix(part, salt)
-        out += [key, ok]
-    return tuple(out)
+        has = np.flatnonzero((first >= low) & (first + half <= high))
+        yield has, mix(span(p, first[has], first[has] + half), salt)
 
 
 def anchor_keys(docs: DataFrame, window: int, seed: int) -> DataFrame:
@@ -128,32 +119,25 @@ def anchor_keys(docs: DataFrame, window: int, seed: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            col = list(texts(batch.column(2)))
-            sizes = [len(t) if t else 0 for t in col]
-            for group in pieces(sizes, window):
-                b = np.frombuffer(b"".join(col[i][s:e] for i, s, e in group), np.uint8)
+            col = batch.column(2).cast(pa.binary())
+            for group in pieces(pc.binary_length(col).to_pylist(), window):
+                p = prefix_hash(np.frombuffer(b"".join(col[i].as_py()[s:e] for i, s, e in group), np.uint8))
                 starts = np.concatenate([[0], np.cumsum([e - s for _, s, e in group])])
-                at = anchors(b, starts, window, seed)
+                at = anchors(p, starts, window, seed)
                 which = np.searchsorted(starts, at, "right") - 1
-                keys, rows, poss = [], [], []
-                for g in np.unique(which):
-                    i, s, _ = group[g]
-                    pos = at[which == g] - starts[g] + s
-                    kr, okr, kl, okl = half_keys(np.frombuffer(col[i], np.uint8), pos, window, seed)
-                    keys.append(np.concatenate([kr[okr], kl[okl]]))
-                    poss.append(np.concatenate([pos[okr], pos[okl]]))
-                    rows.append(np.full(len(keys[-1]), i))
-                if not keys:
-                    continue
-                rows = pa.array(np.concatenate(rows))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(keys).view(np.int64)), batch.column(0).take(rows), batch.column(1).take(rows), pa.array(np.concatenate(poss).astype(np.int64))],
-                    names=["key", "doc_id", "th", "pos"])
+                row, begin = (np.array(x)[which] for x in zip(*((i, s) for i, s, _ in group), strict=True))
+                for has, key in half_keys(p, at, starts[which], starts[which + 1], window, seed):
+                    rows = pa.array(row[has])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(key.view(np.int64)), batch.column(0).take(rows), batch.column(1).take(rows), pa.array((at - starts[which] + begin)[has].astype(np.int64))],
+                        names=["key", "doc_id", "th", "pos"])
 
     return docs.mapInArrow(run, "key long, doc_id long, th long, pos long")
 
 
-CONTEXT = "ctx binary, n long, suffix binary, prefix binary"
+CONTEXT = "bucket int, ctx binary, n long, suffix binary, prefix binary"
+PER_BUCKET = 12_000  # anchors for which a bucket is planned
+PER_SPLIT = 40  # sampled contexts for one splitter
 
 
 def contexts_of(text: bytes, at: list[int], window: int, seed: int):
@@ -162,20 +146,65 @@ def contexts_of(text: bytes, at: list[int], window: int, seed: int):
         yield xxhash.xxh3_128_digest(len(left).to_bytes(4, "big") + left + right), right, left[::-1]
 
 
-def distinct_contexts(hits: DataFrame, window: int, seed: int) -> DataFrame:
-    """Contexts of the anchors, equal ones combined within an input batch."""
+def splitters(hits: DataFrame, window: int, seed: int, per_bucket: int) -> tuple[list[tuple[bytes, bytes]], frozenset[bytes]]:
+    """Bucket bounds (suffix, reversed prefix) from a sample of documents, one for about
+    every ``per_bucket`` anchors, and the seeds whose run is split.
+
+    A bound moves back to the beginning of its seed's run, so that the run stays in one
+    bucket. Only a run that several bounds fall into is split inside, there by whole
+    strings, so equal suffixes split by their prefixes."""
+    total = hits.agg(F.sum(F.size("at"))).first()[0] or 0
+    buckets = max(1, -(-total // per_bucket))
+    if buckets == 1:
+        return [], frozenset()
 
     def run(batches):
         for batch in batches:
-            found: dict[bytes, list] = {}
+            found = {(r, left) for t, at in zip(texts(batch.column(0)), batch.column(1), strict=True) for _, r, left in contexts_of(t, at.as_py()[::4], window, seed)}
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*found, strict=True)], names=["suffix", "prefix"])
+
+    share = min(1.0, 4 * PER_SPLIT * buckets / total)
+    rows = hits.select("text", "at").sample(share, 7).mapInArrow(run, "suffix binary, prefix binary").distinct().toArrow()
+    sample = sorted(zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True))
+    picked = sorted({sample[i * len(sample) // buckets] for i in range(1, buckets)}) if sample else []
+    bounds, split, last = [], set(), None
+    for suffix, prefix in picked:
+        start = suffix[:seed]
+        if start == last:
+            split.add(start)
+            bounds.append((suffix, prefix))
+        else:
+            bounds.append((start, b""))
+        last = start
+    return bounds, frozenset(split)
+
+
+def distinct_contexts(hits: DataFrame, bounds: list[tuple[bytes, bytes]], window: int, seed: int) -> DataFrame:
+    """Contexts of the anchors with their buckets, equal ones combined within a few
+    thousand."""
+    held = hits.sparkSession.sparkContext.broadcast(bounds)
+    names = ["bucket", "ctx", "n", "suffix", "prefix"]
+    kinds = (pa.int32(), pa.binary(), pa.int64(), pa.binary(), pa.binary())
+
+    def packed(found: dict) -> pa.RecordBatch:
+        rows = [(bisect.bisect_right(held.value, (r, left)), ctx, n, r, left) for ctx, (n, r, left) in found.items()]
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+
+    def run(batches):
+        found: dict[bytes, list] = {}
+        for batch in batches:
             for text, at in zip(texts(batch.column(0)), batch.column(1), strict=True):
                 for ctx, right, left in contexts_of(text, at.as_py(), window, seed):
                     if ctx in found:
-                        found[ctx][1] += 1
+                        found[ctx][0] += 1
                     else:
-                        found[ctx] = [ctx, 1, right, left]
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*found.values(), strict=True), (pa.binary(), pa.int64(), pa.binary(), pa.binary()), strict=True)], names=["ctx", "n", "suffix", "prefix"])
+                        found[ctx] = [1, right, left]
+                if len(found) >= 8192:
+                    yield packed(found)
+                    found = {}
+        if found:
+            yield packed(found)
 
     return hits.select("text", "at").mapInArrow(run, CONTEXT)
 
@@ -294,27 +323,36 @@ def first_of(rows: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def sort_buckets(contexts: DataFrame, window: int, seed: int, targets: int) -> DataFrame:
-    """One pass over the range-partitioned contexts: the offsets found inside the bucket
-    (``ctx, low, high``), and packed window digests of its first and last seed run
-    (``target, digests``) for comparison with other buckets."""
+DIGESTS_AT_ONCE = 200_000
+
+
+def sort_buckets(contexts: DataFrame, split: frozenset[bytes], window: int, seed: int, targets: int) -> DataFrame:
+    """One pass over the range-partitioned contexts, bucket by bucket: the offsets found
+    inside the bucket (``ctx, low, high``), and packed window digests of the runs that are
+    split over buckets (``target, digests``) for comparison with the others."""
 
     def run(batches):
         found: dict[bytes, list] = {}
+        now = None
         for batch in batches:
-            for c, n, s, p in zip(*(x.to_pylist() for x in batch.columns), strict=True):
+            for bucket, c, n, s, p in zip(*(x.to_pylist() for x in batch.columns), strict=True):
+                if bucket != now and found:
+                    yield from solved(found)
+                    found = {}
+                now = bucket
                 if c in found:
                     found[c][0] += n
                 else:
                     found[c] = [n, s, p]
-        if not found:
-            return
+        if found:
+            yield from solved(found)
+
+    def solved(found: dict):
         ctx = list(found)
         suffix, s_len = byte_matrix([found[c][1] for c in ctx], window)
         prefix, p_len = byte_matrix([found[c][2] for c in ctx], window - seed)
         copies = np.array([found[c][0] for c in ctx])
         low, high = solve(suffix, s_len, prefix, p_len, window, seed)
-        first, last = min(found[c][1][:seed] for c in ctx), max(found[c][1][:seed] for c in ctx)
         # A context that occurs twice repeats all its windows.
         whole = copies > 1
         low[whole] = np.maximum(0, window - s_len[whole])
@@ -323,11 +361,11 @@ def sort_buckets(contexts: DataFrame, window: int, seed: int, targets: int) -> D
         none = pa.nulls(len(sure))
         names = ["ctx", "low", "high", "target", "digests"]
         yield pa.RecordBatch.from_arrays([pa.array([ctx[i] for i in sure], pa.binary()), pa.array(low[sure], pa.int32()), pa.array(high[sure], pa.int32()), none.cast(pa.int32()), none.cast(pa.binary())], names=names)
-        edge = [i for i, c in enumerate(ctx) if found[c][1][:seed] in (first, last)]
         rows = np.zeros(0, DIGEST)
-        for k in range(0, len(edge), 256):
+        edge = [i for i, c in enumerate(ctx) if found[c][1][:seed] in split]
+        for k in range(0, len(edge), 128):
             parts = [rows]
-            for i in edge[k : k + 256]:
+            for i in edge[k : k + 128]:
                 d = np.arange(max(0, window - s_len[i]), p_len[i] + 1)
                 part = np.zeros(len(d), DIGEST)
                 part["a"], part["b"] = window_digests(found[ctx[i]][2][::-1] + found[ctx[i]][1], p_len[i] - d, window)
@@ -335,14 +373,19 @@ def sort_buckets(contexts: DataFrame, window: int, seed: int, targets: int) -> D
                 part["a"] = mix(part["a"] + d.astype(U64))
                 part["n"], part["d"], part["ctx"] = min(2, copies[i]), d, ctx[i]
                 parts.append(part)
+            # Equal windows of the bucket go out once; that they repeat is known from above.
             rows = combined(np.concatenate(parts))
-        # Windows that occur twice in the bucket are already known for their owners.
+            if len(rows) >= DIGESTS_AT_ONCE:
+                yield from packs(rows, names)
+                rows = rows[:0]
+        yield from packs(rows, names)
+
+    def packs(rows: np.ndarray, names: list[str]):
         to = (rows["a"] >> U64(32)).astype(np.int64) * targets >> 32
-        order = np.argsort(to, kind="stable")
-        cuts = np.flatnonzero(np.diff(to[order], prepend=-1))
-        for lo, hi in zip(cuts, np.append(cuts[1:], len(order)), strict=True):
-            part = np.ascontiguousarray(rows[order[lo:hi]]).tobytes()
-            yield pa.RecordBatch.from_arrays([pa.array([None], pa.binary()), pa.array([None], pa.int32()), pa.array([None], pa.int32()), pa.array([int(to[order[lo]])], pa.int32()), pa.array([part], pa.binary())], names=names)
+        cuts = [*np.flatnonzero(np.diff(to, prepend=-1)), len(to)]  # sorted by digest, so by target
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            part = np.ascontiguousarray(rows[lo:hi]).tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([None], pa.binary()), pa.array([None], pa.int32()), pa.array([None], pa.int32()), pa.array([int(to[lo])], pa.int32()), pa.array([part], pa.binary())], names=names)
 
     return contexts.mapInArrow(run, BUCKET)
 
@@ -404,6 +447,19 @@ def cut(text: bytes, spans: list[tuple[int, int]]) -> tuple[list[tuple[int, int]
     return [tuple(m) for m in merged], b"".join(keep)
 
 
+@contextmanager
+def small_batches(spark, rows: int = 1000):
+    """Python tasks started inside get at most ``rows`` rows at once: texts and contexts are
+    wide, and a batch is held by the executor and by its worker."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def repeated_spans(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
     """``(hits, spans)``: the documents that hold candidates with their texts, and the
     byte spans ``doc_id, th, spans`` to remove (they may overlap)."""
@@ -412,8 +468,9 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> t
     common = keys.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(F.col("key").alias("k"))
     at = keys.join(common, F.col("key") == F.col("k"), "left_semi").groupBy(F.col("doc_id").alias("a_id"), F.col("th").alias("a_th")).agg(F.sort_array(F.collect_set("pos")).alias("at"))
     hits = stage(docs.join(at, (F.col("th") == F.col("a_th")) & F.col("doc_id").eqNullSafe(F.col("a_id")), "inner").select("doc_id", "th", "text", "at"), "hit-docs")
-    contexts = distinct_contexts(hits, window, seed).repartitionByRange(partitions, "suffix", "prefix")
-    buckets = stage(sort_buckets(contexts, window, seed, partitions), "suffix-buckets")
+    bounds, split = splitters(hits, window, seed, PER_BUCKET)
+    contexts = distinct_contexts(hits, bounds, window, seed).repartition("bucket").sortWithinPartitions("bucket")
+    buckets = stage(sort_buckets(contexts, split, window, seed, partitions), "suffix-buckets")
     across = compare_boundaries(buckets.where("target IS NOT NULL").select("target", "digests"), partitions)
     found = (
         buckets.where("target IS NULL").select("ctx", "low", "high").unionByName(across)
@@ -422,14 +479,15 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> t
     where = occurrences(hits, window, seed).join(found, F.col("ctx") == F.col("f_ctx"), "inner")
     spans = where.groupBy(F.col("doc_id").alias("s_id"), F.col("th").alias("s_th")).agg(
         F.collect_list(F.struct((F.col("pos") - F.col("high")).alias("s"), (F.col("pos") - F.col("low") + window).alias("e"))).alias("spans"))
-    return hits, spans
+    return hits, stage(spans, "repeated-spans")
 
 
 def suffix_dedup(docs: DataFrame, *, window: int = WINDOW, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept`` where
     ``kept`` is the text that is left, null where nothing was removed."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).select("doc_id", F.xxhash64("text").alias("th"), "text")
-    hits, spans = repeated_spans(docs, window, seed)
+    with small_batches(docs.sparkSession):
+        hits, spans = repeated_spans(docs, window, seed)
 
     def make(batch: pa.RecordBatch) -> dict:
         out = {"c_id": batch.column(0), "c_th": batch.column(1), "n_removed": [], "n_spans": [], "sha": [], "kept": []}
