@@ -67,5 +67,20 @@ def test_matches_plain_loops(spark):
         assert (r.base_failed, r.n_words_left, r.kept) == (failed, left, not failed and left >= 0.5 * n)
 
 
+def test_repeated_and_null_ids_of_one_host(spark):
+    """Words are removed per row; a line's documents are counted, not its rows."""
+    own = lambda i: " ".join(f"w{i}x{j}" for j in range(70))
+    common, copied = " ".join(f"c{j}" for j in range(30)), " ".join(f"d{j}" for j in range(40))
+    rows = [(i, f"{own(i)}\n{common}", "h") for i in range(6)] + [(3, f"{own(3)}\n{common}", "h"), (3, own(300), "h")]
+    rows += [(None, f"{own(20 + i)}\n{common}", "h") for i in range(8)] + [(None, own(40), "h"), (3, own(41), "other")]
+    rows += [(50, f"{own(50)}\n{copied}", "h")] * 9
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    got = sorted(((r.doc_id, r.n_words, r.n_words_left, r.kept) for r in L.quality_rules(df, min_docs=5, share=0.0).collect()), key=repr)
+    want = [(i, 70 + (30 if common in t else 40 if copied in t else 0), 110 if copied in t else 70, True) for i, t, _ in rows]
+    assert got == sorted(want, key=repr)
+    alone = spark.createDataFrame([(None, f"{own(i)}\n{common}", None) for i in range(6)], "doc_id long, text string, source string")
+    assert [r.n_words_left for r in L.quality_rules(alone, min_docs=5, share=0.0).collect()] == [70] * 6
+
+
 def test_empty_table(spark):
     assert L.quality_rules(spark.createDataFrame([], "doc_id long, text string, source string")).collect() == []

@@ -8,14 +8,16 @@ documents of its host is boilerplate and is removed; a document that keeps fewer
 ``min_left`` of its words is depleted and rejected.
 
 Defined results: a null text counts as empty and fails the base rule; a null host is a
-host of its own; documents with equal ids are counted as one document per (host, line)
-only if their lines meet in one task, otherwise each row counts; an empty table gives an
-empty result; extra columns are ignored.
-
-Scale: lines are reduced to (host, hash, words) before the shuffle and summed map-side,
-so a line held by a third of all documents is one row per task. Only lines above the
-limit are joined back, and that join has one row per key on its right side, so a hot key
-can be split.
+host of its own; rows of a host with equal ids are one document, which holds the lines of
+all of them, and each row with a null id is a document of its own; words are removed and
+judged per row; an empty table gives an empty result; extra columns are ignored.
+
+Scale: lines are reduced to (host, hash, words) before the shuffle and their rows counted
+map-side, so a line held by a third of all documents is one row per task. A line's rows
+are at least its documents, so only lines in more than ``min_docs`` rows are joined back
+and their documents counted, after a distinct that spreads one line by its documents. The
+joins have one row per key on their right side, so a hot key can be split. Rows carry the
+number they were staged with; sums and the last join are by that number.
 """
 
 from __future__ import annotations
@@ -90,25 +92,27 @@ def line_metrics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def quality_rules(docs: DataFrame, *, min_docs: int = MIN_DOCS, share: float = SHARE, min_left: float = MIN_LEFT, **columns: str) -> DataFrame:
     """One row per document: counts, words left after line removal, base rule and verdict."""
-    m = stage(line_metrics(docs, **columns), "line-metrics")
-    base = m.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-    lines = m.select("doc_id", "host", F.explode("lines").alias("l")).select("doc_id", "host", "l.h", "l.w")
-    limits = m.groupBy("host").agg(F.count(F.lit(1)).alias("docs")).select(
+    m = stage(line_metrics(docs, **columns).withColumn("row", F.monotonically_increasing_id()), "line-metrics")
+    document = F.struct("doc_id", F.when(F.col("doc_id").isNull(), F.col("row")).alias("no_id")).alias("document")
+    base = m.select("row", "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    lines = m.select("row", document, "host", F.explode("lines").alias("l")).select("row", "document", "host", "l.h", "l.w")
+    limits = m.select("host", document).distinct().groupBy("host").agg(F.count(F.lit(1)).alias("docs")).select(
         F.col("host").alias("limit_host"), F.greatest(F.lit(float(min_docs)), F.col("docs") * share).alias("limit"))
+    in_rows = lines.groupBy("host", "h").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > min_docs).select(F.col("host").alias("f_host"), F.col("h").alias("f_h"))
+    same = (F.col("h") == F.col("f_h")) & F.col("host").eqNullSafe(F.col("f_host"))
+    held = stage(lines.join(in_rows, same, "inner").select("row", "document", "host", "h", "w"), "line-held")
     frequent = (
-        lines.groupBy("host", "h").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") > min_docs)
+        held.select("host", "h", "document").distinct()
+        .groupBy("host", "h").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") > min_docs)
         .join(limits, F.col("host").eqNullSafe(F.col("limit_host")), "inner")
         .where(F.col("df") > F.col("limit"))
         .select(F.col("host").alias("f_host"), F.col("h").alias("f_h"))
     )
-    removed = (
-        lines.join(frequent, (F.col("h") == F.col("f_h")) & F.col("host").eqNullSafe(F.col("f_host")), "inner")
-        .groupBy(F.col("doc_id").alias("r_id"), F.col("host").alias("r_host")).agg(F.sum("w").alias("removed"))
-    )
+    removed = held.join(frequent, same, "inner").groupBy(F.col("row").alias("r_row")).agg(F.sum("w").alias("removed"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     left = F.col("n_words") - F.coalesce(F.col("removed"), F.lit(0))
     return (
-        base.join(removed.groupBy("r_id").agg(F.max("removed").alias("removed")), F.col("doc_id").eqNullSafe(F.col("r_id")), "left")
+        base.join(removed, F.col("row") == F.col("r_row"), "left")
         .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                 failed.alias("base_failed"), left.alias("n_words_left"),
                 (~failed & (left >= min_left * F.col("n_words"))).alias("kept"))
