@@ -99,6 +99,32 @@ def test_linked_sets_share_a_list():
                     assert set(J.list_keys(x, rule).tolist()) & set(J.list_keys(y, rule).tolist()), (n, len(y))
 
 
+@pytest.mark.parametrize("rule", [J.Rule(), J.Rule(5, 80), J.Rule(5, 70)])
+def test_list_entries_are_linear_in_the_set(rule):
+    rng = np.random.default_rng(11)
+    for n in (200, 500, 1000, 3000, 8677, 13000, 18000, 60000):
+        x = np.unique(rng.integers(1, 2**63, n, dtype=np.uint64))
+        assert len(J.list_keys(x, rule)) <= 4 * n, n
+    last = rule.classes[1:] - 1
+    ahead = np.searchsorted(rule.classes, [rule.partner(int(n)) for n in last[: -rule.steps]], "right") - 1 - np.arange(len(last) - rule.steps)
+    assert ahead.max() <= rule.steps and len(rule.classes) < J.LIGHT_LISTS
+
+
+def test_linked_long_sets_share_a_list():
+    """At the very limit of a link, for sizes at which few blocks can be passed over."""
+    rng = np.random.default_rng(12)
+    for rule in (J.Rule(), J.Rule(5, 80), J.Rule(5, 70)):
+        for n in (60, 100, 137, 250, 400, 1000, 2011):
+            for _ in range(20):
+                all_ = np.unique(rng.integers(1, 2**63, 2 * n, dtype=np.uint64))
+                rng.shuffle(all_)
+                more = int(rng.integers(0, n * (100 - rule.percent) // 100))
+                both = -(-rule.percent * (n + more) // 100)
+                x, y = np.sort(all_[:n]), np.sort(np.concatenate([all_[n - both : n], all_[n : n + more]]))
+                assert rule.links(len(np.intersect1d(x, y)), len(x), len(y))
+                assert set(J.list_keys(x, rule).tolist()) & set(J.list_keys(y, rule).tolist()), (rule, n, more)
+
+
 def test_components_equal_union_find(spark):
     from tidewrack.llm.components import connected_components, with_edges
 

@@ -11,13 +11,19 @@ the smaller set is a subset of the larger one with one shingle left out. Sets en
 these fixed-size subsets and meet on the subset's hash.
 
 *Heavy sets*: inverted lists. By ascending size, sets fall in classes such that a linked
-partner lies in the same or the next class; a class's pairs differ by at most H shingles.
+partner lies in the same or one of the next ``steps`` classes; the pairs whose smaller set
+is in a class differ by at most H shingles.
 The shingles are dealt by hash to m > H blocks, so a linked pair agrees on at least m - H
 whole blocks, and the lists are keyed on a block's content instead of one shingle: a
-frequent phrase alone makes no list. Blocks with fewer than two shingles say little. If a
-set has fewer than m - H of them, one of the agreeing blocks is a larger one, and only the
-larger ones are entered. Else the small ones are entered as well, each keyed together with
-the blocks of a second, independent deal, of which one must agree, too.
+frequent phrase alone makes no list. Blocks with fewer than two shingles say little and
+are not entered. If a set has fewer than m - H of them, its deal is good: one of the blocks
+it shares with any partner is a larger one. Else it enters the larger blocks of the next
+deal as well, and so on up to its first good one of ``DEALS``. A linked pair meets in the
+earlier of its first good deals, which both have entered. Only pairs of sets without a good
+deal are left: these enter the small blocks of the first deal, each keyed together with the
+blocks of another, independent one, of which one must agree, too. ``layout`` picks steps
+and m so that a deal is good with a margin that grows with the size: entries are linear in
+the size, and only small sets are without a good deal.
 
 The boundary is the size up to which enumeration costs less than list entries with their
 share of checks.
@@ -42,6 +48,7 @@ an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -57,6 +64,7 @@ from tidewrack.session import stage
 CHECK_COST = 4  # list entries that one check of a candidate is worth
 MAX_WORDS = 1 << 31
 SMALL = 24  # members of a list up to which pairs between its components are checked at once
+DEALS = 12  # deals that a set tries for one in which few blocks are small
 LIGHT_LISTS = 255  # a key's low byte: its heavy class, or this
 
 
@@ -94,24 +102,43 @@ class Rule:
             n += 1
         return n
 
+    @cached_property
+    def layout(self) -> tuple[int, int, int]:
+        """Classes that a partner may lie ahead, tenths of blocks more than needed, and the
+        shingles below which a block is small: the cheapest by which small blocks are rarer
+        than spare ones in the smallest set of a class. Single-shingle blocks are entered
+        only where it does not go without (some 70 percent); further down, where a block
+        mostly is empty, the ones that come nearest, and long sets cost their square."""
+        def margin(steps: int, spare: int, small: int) -> float:
+            per_block = 1 / ((1 + 100 / self.percent) * (100 - self.percent) / (100 + self.percent) * (1 + spare / 10) * (100 / self.percent) ** (1 / steps))
+            return spare / (10 + spare) - math.exp(-per_block) * (1 + per_block * (small - 1))
+
+        options = sorted(((k, c, small) for k in (1, 2, 3, 4) for c in (3, 5, 8, 10) for small in (1, 2)), key=lambda o: (-o[2], (o[0] + 1) * (10 + o[1]), o))
+        return next((o for o in options if margin(*o) >= 0.03), max(options, key=lambda o: margin(*o)))
+
+    @property
+    def steps(self) -> int:
+        return self.layout[0]
+
     @cached_property
     def classes(self) -> np.ndarray:
-        """First sizes of the heavy classes."""
-        out = [self.light_limit + 1]
-        while out[-1] < MAX_WORDS:
-            out.append(self.partner(out[-1]) + 1)
-        return np.array(out)
+        """First sizes of the heavy classes: ``steps`` of them from one size to its partner."""
+        first, out = self.light_limit + 1, []
+        while first < MAX_WORDS:
+            out += [int(first * (100 / self.percent) ** (i / self.steps)) for i in range(self.steps)]
+            first = self.partner(first) + 1
+        return np.array([*sorted({*out}), first])
 
     def heavy(self, scheme: int) -> tuple[int, int]:
         """H and the number of blocks for pairs whose smaller set is in the class."""
         top = int(self.classes[scheme + 1]) - 1
         h = self.difference(top, self.partner(top))
-        return h, blocks_for(h)
+        return h, blocks_for(h, self.layout[1])
 
 
-def blocks_for(difference: int) -> int:
-    """Three tenths more than needed, so that small blocks can be passed over."""
-    return difference + 2 + 3 * difference // 10
+def blocks_for(difference: int, spare: int = 3) -> int:
+    """``spare`` tenths more than needed, so that small blocks can be passed over."""
+    return difference + 2 + spare * difference // 10
 
 
 def shingle_set(text: bytes | None, k: int) -> np.ndarray:
@@ -147,16 +174,20 @@ def list_keys(x: np.ndarray, rule: Rule) -> np.ndarray:
             out.append(tagged(mix(np.array([whole + U64(n)], U64), 7), LIGHT_LISTS))
         out.append(tagged(mix(whole - each + U64(n - 1), 7), LIGHT_LISTS))
     if n > rule.light_limit:
-        own = int(np.searchsorted(rule.classes, n, "right")) - 1
-        for scheme in {own, max(0, own - 1)}:
+        own, small = int(np.searchsorted(rule.classes, n, "right")) - 1, rule.layout[2]
+        for scheme in range(max(0, own - rule.steps), own + 1):
             h, m = rule.heavy(scheme)
-            key, count = deal(x, m, 10)
-            key = mix(key + U64(scheme), 16)
-            few = np.flatnonzero(count < 2)
-            out.append(tagged(key[count >= 2], scheme))
-            if len(few) >= m - h:
+            for turn in range(DEALS):
+                key, count = deal(x, m, 10 if not turn else 40 + 10 * turn)
+                key = mix(key + U64(scheme), 16)
+                out.append(tagged(key[count >= small], scheme))
+                if (count < small).sum() < m - h:
+                    break
+            else:
+                key, count = deal(x, m, 10)
+                few = mix(key + U64(scheme), 16)[count < small]
                 other, _ = deal(x, m, 20)
-                out.append(tagged(mix(key[few][:, None] ^ (other[None, :] * U64(3)), 17).ravel(), scheme))
+                out.append(tagged(mix(few[:, None] ^ (other[None, :] * U64(3)), 17).ravel(), scheme))
     return np.concatenate(out)
 
 
@@ -180,6 +211,12 @@ def postings(docs: DataFrame, rule: Rule) -> DataFrame:
         seen = set()
         for batch in batches:
             keys, sks, sizes = [], [], []
+
+            def entries():
+                columns = np.concatenate(keys).view(np.int64), np.concatenate(sks), np.concatenate(sizes)
+                for lo in range(0, len(columns[0]), 200_000):
+                    yield pa.RecordBatch.from_arrays([pa.array(c[lo : lo + 200_000]) for c in columns], names=["key", "sk", "n"])
+
             for t in texts(batch.column(0)):
                 x = shingle_set(t, rule.shingle)
                 if len(x) < rule.least:
@@ -190,10 +227,11 @@ def postings(docs: DataFrame, rule: Rule) -> DataFrame:
                     keys.append(list_keys(x, rule))
                     sks.append(np.full(len(keys[-1]), sk))
                     sizes.append(np.full(len(keys[-1]), len(x), np.int32))
+                if sum(map(len, keys)) >= 200_000:
+                    yield from entries()
+                    keys, sks, sizes = [], [], []
             if keys:
-                columns = np.concatenate(keys).view(np.int64), np.concatenate(sks), np.concatenate(sizes)
-                for lo in range(0, len(columns[0]), 200_000):
-                    yield pa.RecordBatch.from_arrays([pa.array(c[lo : lo + 200_000]) for c in columns], names=["key", "sk", "n"])
+                yield from entries()
 
     return docs.select("text").mapInArrow(run, ENTRY)
 
