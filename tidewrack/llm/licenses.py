@@ -11,7 +11,12 @@ Pruning is exact:
 * Key words: dice >= t needs at least t / (2 - t) of the template's bigrams. ``key_words``
   picks words, the longest first, until fewer bigrams than that are free of them, so a
   unit without any of them cannot match. A text without key words is dropped whole, before
-  it is cut into lines.
+  it is cut into lines. Templates above ``LONG`` bigrams have key words of their own, which
+  count only in a unit or text of as many words as the shortest of them needs.
+
+``TEMPLATES`` holds notices and first paragraphs; the SQL is of these. The query scans
+``COMPLETE`` as well, the whole published texts (``resources/licences``): a ``-text``
+template matches a document or line that is the licence itself.
 
 Everything is one projection of the scan: no shuffle, no join. The templates are
 configuration, a literal of fixed size.
@@ -24,6 +29,7 @@ rows report each; an empty table gives an empty result; extra columns are ignore
 from __future__ import annotations
 
 import re
+from importlib.resources import files
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,6 +58,10 @@ TEMPLATES = {
 }
 # End of fixed values.
 
+#: Whole texts as published, without copyright lines.
+COMPLETE = {f"{p.name.removesuffix('.txt')}-text": p.read_text("utf-8") for p in sorted((files("tidewrack.resources") / "licences").iterdir(), key=lambda p: p.name)}
+LONG = 128
+
 OTHER = r"[^\p{L}\p{N}]+"
 
 
@@ -96,13 +106,23 @@ def bigrams(words: Column) -> Column:
 def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, min_dice: float = MIN_DICE, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, line, license, dice``: the best template of every matching unit."""
     low, high = min_dice / (2 - min_dice) - 1e-9, (2 - min_dice) / min_dice + 1e-9
-    keys = strings(key_words(templates, min_dice))
+    sizes = {name: len(bigrams_of(text)) for name, text in templates.items()}
+
+    def may_match(words: Column) -> Column:
+        out = F.lit(False)
+        for group in ([n for n in templates if sizes[n] <= LONG], [n for n in templates if sizes[n] > LONG]):
+            if group:
+                enough = F.size(words) - 1 >= low * min(sizes[n] for n in group)
+                out = out | (enough & F.arrays_overlap(words, strings(key_words({n: templates[n] for n in group}, min_dice))))
+        return out
+
     known = F.array(*[F.struct(F.lit(name).alias("id"), strings(bigrams_of(text)).alias("b")) for name, text in sorted(templates.items())])
-    held = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).where(F.arrays_overlap(F.split(normal(F.col("text")), " "), keys))
+    held = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    held = held.select("doc_id", "text", once(F.split(normal(F.col("text")), " ")).alias("all")).where(may_match(F.col("all"))).select("doc_id", "text")
     lines = F.split(F.col("text"), "\n")
     whole = F.when(F.size(lines) > 1, F.array(F.struct(F.lit(-1).alias("line"), F.col("text").alias("unit")))).otherwise(F.array().cast("array<struct<line:int,unit:string>>"))
     units = held.select("doc_id", F.explode(F.concat(F.transform(lines, lambda x, i: F.struct(i.alias("line"), x.alias("unit"))), whole)).alias("u"))
-    words = units.select("doc_id", F.col("u.line").alias("line"), once(F.split(normal(F.col("u.unit")), " ")).alias("words")).where(F.arrays_overlap("words", keys))
+    words = units.select("doc_id", F.col("u.line").alias("line"), once(F.split(normal(F.col("u.unit")), " ")).alias("words")).where(may_match(F.col("words")))
     sized = words.select("doc_id", "line", once(bigrams(F.col("words"))).alias("a")).where(F.size("a") > 0)
     near = sized.select("doc_id", "line", "a", once(F.filter(known, lambda t: (F.size("a") >= low * F.size(t["b"])) & (F.size("a") <= high * F.size(t["b"])))).alias("near")).where(F.size("near") > 0)
     # The largest dice, then the first template: the negated place breaks ties.
@@ -119,7 +139,7 @@ def once(value: Column) -> Column:
 
 
 def op1_license_scan(spark, sf_dir: str) -> DataFrame:
-    return scan(table(spark, sf_dir, "documents"))
+    return scan(table(spark, sf_dir, "documents"), TEMPLATES | COMPLETE)
 
 
 def _quoted(values: list[str]) -> str:
