@@ -77,3 +77,16 @@ def test_redaction(spark):
 def test_empty_table(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert P.detect(empty).collect() == [] and P.redact(empty).collect() == []
+
+
+def test_long_secrets_are_covered_whole_and_long_numbers_pass(spark):
+    from tidewrack.llm import pii
+
+    token, digits = "eyJ" + "aB3_-x." * 90, "0123456789abcdef" * 20
+    ends = {k: {m.group() for m in p.finditer(f"token={token} and {digits} end")} for k, p in pii.LOOSE if k in ("secret", "hex")}
+    assert any(token in m for k, p in pii.LOOSE if k == "secret" for m in p.findall(f"token={token} and") if isinstance(m, str)) and ends["hex"] == {digits}
+    long = "0" * 5000 + ".1.1.1"
+    assert [ok for _, _, ok in pii.ips(long)] == [True]
+    rows = [(1, f"host {long} here", "en", "s", 3), (2, f"mail a.b@example.com token={token} end", "en", "s", 4)]
+    out = {r.doc_id: r.text for r in pii.redact(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_words int")).collect()}
+    assert len(out) == 2 and "aB3_-x." not in out[2]

@@ -56,8 +56,8 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 WORTH = re.compile(r"[0-9@]")
 LOOSE = (
     ("secret", re.compile(r"AKIA[0-9A-Z]{16}(?![0-9A-Z])")),
-    ("secret", re.compile(r"(?i)(?:password|passwd|pwd|token|secret|api_?key)[\x20\t]{0,3}[=:][\x20\t]{0,3}\"?[^\s\"]{8,200}\"?")),
-    ("hex", re.compile(r"(?<![0-9a-fA-F])[0-9a-f]{32,128}(?![0-9a-fA-F])")),
+    ("secret", re.compile(r"(?i)(?:password|passwd|pwd|token|secret|api_?key)[\x20\t]{0,3}[=:][\x20\t]{0,3}\"?[^\s\"]{8,}\"?")),
+    ("hex", re.compile(r"(?<![0-9a-fA-F])[0-9a-f]{32,}(?![0-9a-fA-F])")),
     ("national", re.compile(r"(?<![0-9+])(?:\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}|0[0-9]{2,4}[ /-][0-9]{5,8})(?![0-9])")),
     ("ssn", re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")),
 )
@@ -110,7 +110,7 @@ def ips(text: str):
         for i in range(0, len(parts) - 3, 4):
             four = parts[i : i + 4]
             end = at + sum(map(len, four)) + 3
-            yield at, end, all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in four)
+            yield at, end, all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in four)
             at = end + 1
 
 
@@ -154,7 +154,7 @@ def votes(text: str, s: int, e: int, k: int, base: bool) -> tuple[int, ...]:
     elif kind == "ip":
         parts = span.split(".")
         strict = 1 if all(p == "0" or p[0] != "0" for p in parts) and all(len(p) < 4 for p in parts) else -1
-        gazetteer = 1 if base and 1 <= int(parts[0]) <= 223 else 0
+        gazetteer = 1 if base and 1 <= int(parts[0].lstrip("0") or 0) <= 223 else 0
         negative = -1 if span in ("0.0.0.0", "1.1.1.1", "1.2.3.4") or parts[0] in ("0", "127", "255") else 0
     elif kind == "card":
         strict = 1 if 13 <= len(digits) <= 19 and luhn(digits) else -1
