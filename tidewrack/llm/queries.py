@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidewrack.llm import chat, decontaminate, jaccard_join, licenses, line_rules, lm_score, mixing, pii, quality, suffix_dedup
+from tidewrack.llm import chat, decontaminate, jaccard_join, licenses, line_rules, lm_score, mixing, pii, piece_tokens, quality, reversed_search, suffix_dedup, vector_codes
 
 QUERIES = {
     "op1_license_scan": licenses.op1_license_scan,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_quality_rules": line_rules.op8_quality_rules,
     "op9_mixing": mixing.op9_mixing,
     "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
+    "op11_reversed_search": reversed_search.op11_reversed_search,
+    "op12_piece_tokens": piece_tokens.op12_piece_tokens,
+    "op13_vector_codes": vector_codes.op13_vector_codes,
 }
 ORACLES = {
     "op1_license_scan": licenses.ORACLE,
@@ -22,4 +25,6 @@ ORACLES = {
     "op4_lm_score": lm_score.ORACLE,
     "op5_chat_format": chat.ORACLE,
     "op9_mixing": mixing.ORACLE,
+    "op11_reversed_search": reversed_search.ORACLE,
+    "op13_vector_codes": vector_codes.ORACLE,
 }
