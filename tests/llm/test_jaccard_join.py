@@ -65,10 +65,10 @@ def fixture(seed):
     return rows
 
 
-@pytest.mark.parametrize("small,rule", [(256, J.Rule()), (2, J.Rule(5, 80))])
-def test_matches_brute_force(spark, monkeypatch, small, rule):
-    monkeypatch.setattr(J, "SMALL", small)
-    rows = fixture(small)
+@pytest.mark.parametrize("group,rule", [(J.GROUP, J.Rule()), (30, J.Rule(5, 80))])
+def test_matches_brute_force(spark, monkeypatch, group, rule):
+    monkeypatch.setattr(J, "GROUP", group)
+    rows = fixture(group)
     df = spark.createDataFrame([(i, t, 7, 8) for i, t in rows], "doc_id long, text string, key int, n int").repartition(3)
     got = [(r.doc_id, r.n_shingles, r.component_id) for r in J.jaccard_components(df, rule).collect()]
     want = brute(rows, rule.shingle, rule.percent)
@@ -144,3 +144,74 @@ def test_components_equal_union_find(spark):
     got = {r.node: r.label for r in connected_components(df).collect()}
     later = with_edges(connected_components(df.where("a % 3 = 0")), df.where("a % 3 <> 0"))
     assert got == want and {r.node: r.label for r in later.collect()} == want
+
+
+def family(seed, members):
+    """Copies of one text that share edits, so that many link with some others only."""
+    rng = random.Random(seed)
+    base = [f"b{i}" for i in range(120)]
+    edits = [(rng.randrange(120), f"e{k}") for k in range(30)]
+    rows = []
+    for i in range(members):
+        words = list(base)
+        for at, word in rng.sample(edits, rng.randint(0, 9)):
+            words[at] = word
+        rows.append((i, " ".join(words)))
+    return rows
+
+
+@pytest.mark.parametrize("group, tile", [(J.GROUP, J.TILE), (J.GROUP, 15), (60, 15)])
+def test_families_that_share_edits(spark, monkeypatch, group, tile):
+    monkeypatch.setattr(J, "GROUP", group)
+    monkeypatch.setattr(J, "TILE", tile)
+    rows = family(1, 90) + [(1000 + i, t.replace("b", "c")) for i, t in family(2, 40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r.doc_id, r.n_shingles, r.component_id) for r in J.jaccard_components(df).collect()]
+    assert sorted(got, key=repr) == brute(rows)
+
+
+def test_settled_group_equals_union_find():
+    rng = random.Random(6)
+    for rule in (J.Rule(), J.Rule(5, 80)):
+        for _ in range(20):
+            pool = np.array(rng.sample(range(1, 10**9), 90), np.uint64)
+            center = np.unique(pool[:70])
+            sets = [np.unique(pool[rng.sample(range(90), rng.randint(55, 90))]) for _ in range(12)]
+            labels = [rng.choice([1, 2, 3, 4, 5, 6]) for _ in sets]
+            found = J.joining_links([(i, label, len(x), np.setxor1d(center, x)) for i, (label, x) in enumerate(zip(labels, sets, strict=True))], rule)
+            comp = {}
+
+            def root(x, comp=comp):
+                while comp.setdefault(x, x) != x:
+                    x = comp[x]
+                return x
+
+            links = [(i, j) for i in range(12) for j in range(i) if rule.links(len(np.intersect1d(sets[i], sets[j])), len(sets[i]), len(sets[j]))]
+            for i, j in links:
+                comp[root(labels[i])] = root(labels[j])
+            want = [[root(labels[i]) == root(labels[j]) for j in range(12)] for i in range(12)]
+            comp.clear()
+            for i, j in found:
+                assert (i, j) in links or (j, i) in links
+                assert root(labels[i]) != root(labels[j])
+                comp[root(labels[i])] = root(labels[j])
+            assert want == [[root(labels[i]) == root(labels[j]) for j in range(12)] for i in range(12)]
+
+
+def test_long_words_built_by_doubling_differ():
+    """Words that a polynomial hash modulo 2^64 cannot tell apart."""
+    from tidewrack.llm.common import word_hashes
+
+    a, b = "a", "b"
+    while len(a) < 4096:
+        a, b = a + b, b + a
+        assert len(np.unique(word_hashes(np.frombuffer(f"{a} {b}".encode(), np.uint8)))) == 2
+
+
+def test_keep_one_with_clashing_names(spark):
+    names = ["k_id", "k_th", "row", "m_id", "m_th", "__th", "stays", "rows", "th", "label", "g"]
+    text = "one two three four five six seven eight nine ten"
+    df = spark.createDataFrame([(i, t, *range(len(names))) for i, t in ((1, text), (2, text), (2, text), (None, text), (3, "other words"), (3, "other words"))], "doc_id long, text string, " + ", ".join(f"{n} int" for n in names))
+    kept = J.keep_one(df)
+    assert kept.columns == df.columns
+    assert sorted(map(tuple, kept.collect())) == [(1, text, *range(len(names))), (3, "other words", *range(len(names)))]

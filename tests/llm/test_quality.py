@@ -39,3 +39,18 @@ def test_odd_rows(spark):
     assert Q.score(docs, model).where("kept").count() == 5 and Q.select_quality(docs, model).columns == docs.columns
     empty = docs.limit(0)
     assert Q.score(empty, model).collect() == [] and Q.select_quality(empty, model).collect() == []
+
+
+def test_the_sample_leaves_out_long_texts_and_keeps_its_bounds(spark):
+    import pytest
+
+    rows = [(i, ("good words here " if i % 2 else "bad stuff !!! ") * 3 + str(i)) for i in range(60)]
+    docs = spark.createDataFrame([*rows, (100, "x" * 5000), (5, rows[5][1] + " longer"), (101, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in [*range(60), 100, 101]], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r.text for r in Q.fit_sample(docs, labels, 1000, 64_000_000, max_text=1000).collect()}
+    assert got == dict(rows)  # the long text is left out, of the repeated id the shorter text stays
+    few = Q.fit_sample(docs, labels, 1000, 700, max_text=1000).collect()
+    assert 0 < sum(len(r.text) for r in few) <= 700
+    assert len(Q.fit_sample(docs, labels, 10, 64_000_000).collect()) <= 10
+    with pytest.raises(ValueError, match="bounds"):
+        Q.fit(docs, labels, max_bytes=10)

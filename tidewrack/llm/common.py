@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewrack.session import spread
@@ -64,10 +65,18 @@ def runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edge[0::2], edge[1::2]
 
 
+LONG_WORD = 64
+
+
 def word_hashes(b: np.ndarray) -> np.ndarray:
-    """One 64-bit hash for each word of the text, in order."""
+    """One 64-bit hash for each word of the text, in order. The polynomial hash is weak for
+    long words (modulo 2^64, words built by doubling can agree), so words of more than
+    ``LONG_WORD`` bytes are hashed from their bytes."""
     s, e = runs(NOT_WS[b])
-    return span(prefix_hash(b), s, e)
+    out = span(prefix_hash(b), s, e)
+    for i in np.flatnonzero(e - s > LONG_WORD):
+        out[i] = xxhash.xxh3_64_intdigest(b[s[i] : e[i]].tobytes())
+    return out
 
 
 def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:

@@ -30,15 +30,20 @@ share of checks.
 
 A list is not expanded into pairs. Its members are checked against one centre, the one
 that stands in most lists (of a group of near copies, the least edited), and linked into
-components. In a light list the centre is the subset itself, and no two others can link. A
-heavy list that still lies in several components goes on: with up to ``SMALL`` members, the
-pairs between its components are checked. In a longer list, two members that link, not
-both of them with the centre c, have ``|(x ^ c) & (y ^ c)| > 0``: they share shingles in
-which they differ from the centre. With h the largest difference of linked sets of this
-size, the h + 1 smallest of a member's differing shingles hold a shared one (prefix
-filter). Members meet again in lists of centre and differing shingle, without the centre
-and without what is common to the list, and so on until no list is left. No link is lost,
-and no list is compared with itself. All candidate pairs are checked on the texts' sets.
+components. In a light list the centre is the subset itself, and no two others can link. The
+heavy lists that still lie in several components are taken together by their centre. What
+the members of such a group differ in from the centre is worked out once. Groups of up to
+``GROUP`` members are settled by these differences: ``|x ^ y| = |(x ^ c) ^ (y ^ c)|``. A group
+is cut into tiles of about ``TILE`` members; a task gets two tiles, holds the members of each
+component against those of the others with an inverted index over the differences, and
+gives a link for every pair of components that it joins. In a larger group, two members that
+link, not both of them with the centre c, have ``|(x ^ c) & (y ^ c)| > 0``: they share
+shingles in which they differ from the centre. With h the largest difference of linked sets
+of this size, the h + 1 smallest of a member's differing shingles hold a shared one (prefix
+filter). The members meet again in lists of centre and differing shingle, without the centre
+and without what is common to the group; lists inside one component are dropped, the others
+go through the same steps. No link between components is lost, and no list is expanded into
+pairs.
 
 Defined results: null or word-less texts have the empty set, n_shingles 0 and link with
 nothing; with fewer words than a shingle the whole sequence is the one shingle; repeated
@@ -63,7 +68,8 @@ from tidewrack.session import stage
 
 CHECK_COST = 4  # list entries that one check of a candidate is worth
 MAX_WORDS = 1 << 31
-SMALL = 24  # members of a list up to which pairs between its components are checked at once
+GROUP = 4_000  # members of a centre's lists up to which they are settled tile by tile
+TILE = 120
 DEALS = 12  # deals that a set tries for one in which few blocks are small
 LIGHT_LISTS = 255  # a key's low byte: its heavy class, or this
 
@@ -191,7 +197,7 @@ def list_keys(x: np.ndarray, rule: Rule) -> np.ndarray:
     return np.concatenate(out)
 
 
-ENTRY = "key long, sk long, n int"
+ENTRY = "key long, sk long, n int, label long"
 
 
 def document_sets(docs: DataFrame, rule: Rule) -> DataFrame:
@@ -204,8 +210,14 @@ def document_sets(docs: DataFrame, rule: Rule) -> DataFrame:
     return map_rows(docs.select("doc_id", "th", "text"), "doc_id long, th long, n long, sk long", make)
 
 
+def entry_batches(*columns: np.ndarray):
+    for lo in range(0, len(columns[0]), 200_000):
+        yield pa.RecordBatch.from_arrays([pa.array(c[lo : lo + 200_000]) for c in columns], names=["key", "sk", "n", "label"])
+
+
 def postings(docs: DataFrame, rule: Rule) -> DataFrame:
-    """``key, sk, n`` for every list entry; equal sets of a task are entered once."""
+    """``key, sk, n, label`` for every list entry, labelled by the set itself; equal sets of a
+    task are entered once."""
 
     def run(batches):
         seen = set()
@@ -213,9 +225,8 @@ def postings(docs: DataFrame, rule: Rule) -> DataFrame:
             keys, sks, sizes = [], [], []
 
             def entries():
-                columns = np.concatenate(keys).view(np.int64), np.concatenate(sks), np.concatenate(sizes)
-                for lo in range(0, len(columns[0]), 200_000):
-                    yield pa.RecordBatch.from_arrays([pa.array(c[lo : lo + 200_000]) for c in columns], names=["key", "sk", "n"])
+                sk = np.concatenate(sks)
+                yield from entry_batches(np.concatenate(keys).view(np.int64), sk, np.concatenate(sizes), sk)
 
             for t in texts(batch.column(0)):
                 x = shingle_set(t, rule.shingle)
@@ -237,47 +248,51 @@ def postings(docs: DataFrame, rule: Rule) -> DataFrame:
 
 
 def difference_lists(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
-    """Entries ``key, sk, n`` of lists by (centre, differing shingle)."""
+    """Entries of lists by (centre ``a``, differing shingle) for the members ``b``."""
 
     def run(batches):
         last, c = None, None
         for batch in batches:
-            out = []
-            for a, sk, ta, tb in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts(batch.column(2)), texts(batch.column(3)), strict=True):
+            keys, sks, sizes, labels, held = [], [], [], [], 0
+            for a, sk, label, ta, tb in zip(*(batch.column(i).to_pylist() for i in range(3)), texts(batch.column(3)), texts(batch.column(4)), strict=True):
                 if a != last:
                     last, c = a, shingle_set(ta, rule.shingle)
                 x = shingle_set(tb, rule.shingle)
                 differ = np.setxor1d(c, x, assume_unique=True)[: rule.difference(len(x), rule.partner(len(x))) + 1]
-                out.append((tagged(mix(differ ^ mix(np.array([a], np.int64).view(U64), 31), 32), 0).view(np.int64), sk, len(x)))
-            for lo in range(0, len(out), 500):
-                part = out[lo : lo + 500]
-                size = [len(k) for k, _, _ in part]
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([k for k, _, _ in part])), pa.array(np.repeat([s for _, s, _ in part], size)), pa.array(np.repeat([n for _, _, n in part], size).astype(np.int32))], names=["key", "sk", "n"])
+                keys.append(tagged(mix(differ ^ mix(np.array([a], np.int64).view(U64), 31), 32), 0).view(np.int64))
+                for column, value in ((sks, sk), (sizes, len(x)), (labels, label)):
+                    column.append(np.full(len(differ), value, np.int32 if column is sizes else np.int64))
+                held += len(differ)
+                if held >= 200_000:
+                    yield from entry_batches(*map(np.concatenate, (keys, sks, sizes, labels)))
+                    keys, sks, sizes, labels, held = [], [], [], [], 0
+            if held:
+                yield from entry_batches(*map(np.concatenate, (keys, sks, sizes, labels)))
 
     return with_texts(pairs, sets).mapInArrow(run, ENTRY)
 
 
 def scan_lists(entries: DataFrame) -> DataFrame:
-    """``key, sk, n`` of the lists with two or more different sets. One task holds the
-    20-byte entries of one shuffle partition."""
+    """The entries of the lists whose sets have two or more labels. One task holds the
+    28-byte entries of one shuffle partition."""
 
     def run(batches):
         held = [[c.to_numpy() for c in b.columns] for b in batches]
         if not held:
             return
-        key, sk, n = (np.concatenate(x) for x in zip(*held, strict=True))
+        key, sk, n, label = (np.concatenate(x) for x in zip(*held, strict=True))
         order = np.lexsort((sk, n, key))
-        key, sk, n = key[order], sk[order], n[order]
+        key, sk, n, label = key[order], sk[order], n[order], label[order]
         new_list = np.append(True, key[1:] != key[:-1])
         distinct = new_list | np.append(True, sk[1:] != sk[:-1])
-        key, sk, n, new_list = key[distinct], sk[distinct], n[distinct], new_list[distinct]
+        key, sk, n, label, new_list = key[distinct], sk[distinct], n[distinct], label[distinct], new_list[distinct]
         at = np.flatnonzero(new_list)
         size = np.diff(np.append(at, len(key)))
         light = (key & 255) == LIGHT_LISTS
+        several = np.repeat(np.minimum.reduceat(label, at) != np.maximum.reduceat(label, at), size)
         # A light list without the subset itself holds no link.
-        keep = np.repeat(size > 1, size) & (~light | np.repeat(n[at + size - 1] > n[at], size))
-        for lo in range(0, int(keep.sum()), 200_000):
-            yield pa.RecordBatch.from_arrays([pa.array(x[keep][lo : lo + 200_000]) for x in (key, sk, n)], names=["key", "sk", "n"])
+        keep = several & (~light | np.repeat(n[at + size - 1] > n[at], size))
+        yield from entry_batches(*(x[keep] for x in (key, sk, n, label)))
 
     return entries.repartition("key").mapInArrow(run, ENTRY)
 
@@ -293,10 +308,11 @@ def with_centers(lists: DataFrame) -> DataFrame:
 
 
 def with_texts(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``a, b, text_a, text_b`` of the pairs ``a, b``; rows with one ``a`` stand together."""
-    with_b = pairs.join(sets.select(F.col("sk").alias("b"), F.col("text").alias("text_b")), "b")
-    with_a = with_b.join(sets.select(F.col("sk").alias("a"), F.col("text").alias("text_a")), "a")
-    return with_a.select("a", "b", "text_a", "text_b")
+    """The pairs ``a, b, ...`` with ``text_a, text_b``; rows with one ``a`` stand together."""
+    one, two = (sets.select(F.col("sk").alias(f"sk_{x}"), F.col("text").alias(f"text_{x}")) for x in "ab")
+    with_b = pairs.join(two.hint("shuffle_merge"), F.col("b") == F.col("sk_b"))
+    with_a = with_b.join(one.hint("shuffle_merge"), F.col("a") == F.col("sk_a"))
+    return with_a.select(*pairs.columns, "text_a", "text_b")
 
 
 def linked(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
@@ -317,39 +333,109 @@ def linked(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     return with_texts(pairs, sets).mapInArrow(run, "a long, b long")
 
 
+def differences(rest: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    """``center, sk, label, members, n, d``: the set's size, and the shingles in which it
+    differs from the centre's set, packed."""
+
+    def run(batches):
+        last, c = None, None
+        for batch in batches:
+            sizes, packed = [], []
+            for a, ta, tb in zip(batch.column(0).to_pylist(), texts(batch.column(4)), texts(batch.column(5)), strict=True):
+                if a != last:
+                    last, c = a, shingle_set(ta, rule.shingle)
+                x = shingle_set(tb, rule.shingle)
+                sizes.append(len(x))
+                packed.append(np.setxor1d(c, x, assume_unique=True).tobytes())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(sizes, pa.int32()), pa.array(packed, pa.binary())], names=["center", "sk", "label", "members", "n", "d"])
+
+    pairs = rest.select(F.col("center").alias("a"), F.col("sk").alias("b"), "label", "members")
+    return with_texts(pairs, sets).mapInArrow(run, "center long, sk long, label long, members long, n int, d binary")
+
+
+def settle(groups: DataFrame, rule: Rule) -> DataFrame:
+    """Links ``a, b`` that join components, from the differences of whole groups."""
+
+    def run(batches):
+        last, held = None, []
+        for batch in batches:
+            columns = [c.to_pylist() for c in batch.columns]
+            for *key, sk, label, n, d in zip(*columns, strict=True):
+                if key != last:
+                    yield from links(held)
+                    last, held = key, []
+                held.append((sk, label, n, np.frombuffer(d, U64)))
+        yield from links(held)
+
+    def links(held):
+        found = joining_links(held, rule) if held else []
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found, strict=True)], names=["a", "b"])
+
+    # A member is in every pair of tiles that holds its own; a group of one tile is one task.
+    tiles = F.when(F.col("members") <= 2 * TILE, 1).otherwise(F.ceil(F.col("members") / TILE))
+    placed = groups.withColumn("tiles", tiles.cast("int")).withColumn("own", F.pmod(F.xxhash64("sk"), F.col("tiles")).cast("int"))
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).where("tiles = 1 OR own <> other")
+    pairs = placed.select("center", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "sk", "label", "n", "d")
+    return pairs.repartition("center", "i", "j").sortWithinPartitions("center", "i", "j").mapInArrow(run, "a long, b long")
+
+
+def joining_links(members: list[tuple[int, int, int, np.ndarray]], rule: Rule) -> list[tuple[int, int]]:
+    """At most one link for each pair of components that the members' links join. Members are
+    (set, component, size, differences from the common centre)."""
+    sk = [m[0] for m in members]
+    size = np.array([m[2] for m in members])
+    apart = np.array([len(m[3]) for m in members])
+    comp = np.unique([m[1] for m in members], return_inverse=True)[1]
+    owner = np.repeat(np.arange(len(members)), apart)
+    shingle = np.unique(np.concatenate([m[3] for m in members]), return_inverse=True)[1]
+    order = np.argsort(shingle, kind="stable")
+    holders, first = owner[order], np.append(0, np.cumsum(np.bincount(shingle)))
+    begin = np.append(0, np.cumsum(apart))
+    out = []
+    for i in range(len(members)):
+        if not (comp != comp[i]).any():
+            break
+        own = shingle[begin[i] : begin[i + 1]]
+        count = first[own + 1] - first[own]
+        at = np.repeat(first[own] - np.cumsum(count) + count, count) + np.arange(count.sum())
+        shared = np.bincount(holders[at], minlength=len(members))
+        both = (size[i] + size - (apart[i] + apart - 2 * shared)) // 2
+        for j in np.flatnonzero((comp != comp[i]) & rule.links(both, size[i], size)):
+            if comp[j] != comp[i]:
+                out.append((sk[i], sk[j]))
+                comp[comp == comp[j]] = comp[i]
+    return out
+
+
 def components(docs: DataFrame, rule: Rule) -> DataFrame:
     """``doc_id, th, n, label`` for ``doc_id, th, text``; label is null for empty sets."""
     sets = stage(document_sets(docs, rule), "jaccard-sets")
     lists = stage(scan_lists(postings(docs, rule)), "jaccard-lists")
     members = sets.where("sk IS NOT NULL").groupBy("sk").agg(F.min("th").alias("m_th"))
-    wanted = members.join(lists.select("sk").distinct(), "sk", "left_semi")
+    wanted = members.join(lists.select(F.col("sk").alias("w_sk")).distinct(), F.col("sk") == F.col("w_sk"), "left_semi")
     held = stage(docs.select("th", "text").join(wanted, F.col("th") == F.col("m_th"), "inner").dropDuplicates(["sk"]).select("sk", "text"), "jaccard-texts")
-    tested = labels = pending = None
-    while pending is not None or not lists.isEmpty():
+    labels = None
+    while labels is None or not lists.isEmpty():
         lists = stage(with_centers(lists), "jaccard-centers")
-        pairs = lists.select(F.col("center").alias("a"), F.col("sk").alias("b"), F.col("center_n").alias("n_a"), F.col("n").alias("n_b")).where("a <> b")
-        pairs = pairs if pending is None else pairs.unionByName(pending)
-        pairs = pairs.where(f"100 * least(n_a, n_b) >= {rule.percent} * greatest(n_a, n_b)").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        fresh = stage(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "jaccard-pairs")
-        tested = fresh if tested is None else tested.unionByName(fresh)
-        more = stage(linked(fresh, held, rule), "jaccard-links")
-        labels = connected_components(more) if labels is None else labels if more.isEmpty() else with_edges(labels, more)
+        pairs = lists.select(F.col("center").alias("a"), F.col("sk").alias("b"), F.col("center_n").alias("n_a"), F.col("n").alias("n_b"))
+        pairs = pairs.where(f"a <> b AND 100 * least(n_a, n_b) >= {rule.percent} * greatest(n_a, n_b)").select("a", "b").distinct()
+        links = stage(linked(pairs, held, rule), "jaccard-links")
+        labels = connected_components(links) if labels is None else with_edges(labels, links)
         heavy = lists.where(F.col("key").bitwiseAND(255) != LIGHT_LISTS)
-        rows = heavy.join(labels.select(F.col("node").alias("l_sk"), "label"), F.col("sk") == F.col("l_sk"), "left").select("key", "sk", "n", "center", F.coalesce("label", "sk").alias("label"))
-        rows = stage(rows, "jaccard-labels")
-        # Lists that still lie in several components.
-        several = rows.groupBy(F.col("key").alias("s_key")).agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("members")).where("lo <> hi")
-        rest = stage(rows.join(several.select("s_key", "members"), F.col("key") == F.col("s_key")).where("sk <> center").drop("s_key"), "jaccard-rest")
-        if rest.isEmpty():
-            break
-        small = rest.where(F.col("members") <= SMALL)
-        one, two = (small.select("key", F.col("sk").alias(x), F.col("n").alias(f"n_{x}"), F.col("label").alias(f"l_{x}")) for x in "ab")
-        pending = stage(one.join(two, "key").where("a < b AND l_a <> l_b").select("a", "b", "n_a", "n_b").distinct(), "jaccard-pending")
-        long = rest.where(F.col("members") > SMALL).select(F.col("center").alias("a"), F.col("sk").alias("b")).distinct()
-        lists = stage(scan_lists(difference_lists(long, held, rule)), "jaccard-lists")
-        pending = None if pending.isEmpty() else pending
-    if labels is None:
-        return sets.select("doc_id", "th", "n", F.col("sk").alias("label"))
+        rows = heavy.join(labels.select(F.col("node").alias("l_sk"), "label"), F.col("sk") == F.col("l_sk"), "left").select("key", "sk", "center", F.coalesce("label", "sk").alias("label"))
+        # Lists that still lie in several components; together by their centre.
+        several = rows.groupBy(F.col("key").alias("s_key")).agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
+        rest = rows.join(several, F.col("key") == F.col("s_key"), "left_semi").select("center", "sk", "label").distinct()
+        rest = stage(rest, "jaccard-rest")
+        sizes = rest.groupBy(F.col("center").alias("g_center")).agg(F.count(F.lit(1)).alias("members"))
+        rest = stage(rest.join(sizes, F.col("center") == F.col("g_center")).where("sk <> center").drop("g_center"), "jaccard-groups")
+        groups = stage(differences(rest.where(F.col("members") <= GROUP), held, rule), "jaccard-differences")
+        labels = with_edges(labels, stage(settle(groups, rule), "jaccard-settled"))
+        large = rest.where(F.col("members") > GROUP).select(F.col("center").alias("a"), F.col("sk").alias("b"))
+        now = labels.select(F.col("node").alias("l_sk"), "label")
+        large = large.join(now, F.col("b") == F.col("l_sk"), "left").select("a", "b", F.coalesce("label", "b").alias("label"))
+        lists = stage(scan_lists(difference_lists(large, held, rule)), "jaccard-lists")
     return sets.join(labels.select(F.col("node").alias("l_sk"), "label"), F.col("sk") == F.col("l_sk"), "left").select("doc_id", "th", "n", F.coalesce("label", "sk").alias("label"))
 
 
@@ -375,13 +461,14 @@ def keep_one(docs: DataFrame, rule: Rule = Rule(5, 80)) -> DataFrame:
     groups = named.groupBy(F.col("label").alias("g")).agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("size")).where("size > 1")
     marked = named.join(groups, F.col("label") == F.col("g")).select(F.col("doc_id").alias("m_id"), F.col("th").alias("m_th"), (first == F.col("first")).alias("stays"))
     verdicts = marked.groupBy("m_id", "m_th").agg(F.max("stays").alias("stays"), F.count(F.lit(1)).alias("rows"))
-    keyed = docs.withColumn("__th", F.xxhash64(F.coalesce("text", F.lit(""))))
-    same = (F.col("__th") == F.col("m_th")) & F.col("doc_id").eqNullSafe(F.col("m_id"))
+    # The documents' own columns travel in one struct: no name of theirs meets one of ours.
+    keyed = docs.select(F.col("doc_id").alias("k_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("k_th"), F.struct("*").alias("row"))
+    same = (F.col("k_th") == F.col("m_th")) & F.col("k_id").eqNullSafe(F.col("m_id"))
     left = keyed.join(verdicts.where("NOT stays"), same, "left_anti")
     repeated = verdicts.where("stays AND rows > 1")
     if not repeated.isEmpty():
-        left = left.join(repeated, same, "left_anti").unionByName(left.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "__th"]))
-    return left.drop("__th")
+        left = left.join(repeated, same, "left_anti").unionByName(left.join(repeated, same, "left_semi").dropDuplicates(["k_id", "k_th"]))
+    return left.select("row.*")
 
 
 def op7_jaccard_join(spark, sf_dir: str) -> DataFrame:

@@ -13,8 +13,9 @@ significantly between good and other documents are left out, so a long clean tex
 not collect noise.
 
 The fit uses a bounded sample of the labelled rows: at most ``MAX_FIT`` documents and
-``MAX_FIT_BYTES`` bytes of text, those with the smallest hash of their id. Scoring covers
-every row and the whole text.
+``MAX_FIT_BYTES`` bytes of text, none above ``MAX_TEXT_BYTES``, those with the smallest hash
+of their id. If the bounds leave fewer than two grades of several, ``fit`` raises. Scoring
+covers every row and the whole text.
 
 Defined results: a null text has no token and gets the score of its shape features; rows
 with a null id are scored like others (they cannot carry a label); a document with
@@ -27,7 +28,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewrack.llm.common import U64, as_u8, map_rows, prefix_hash, runs, span, table, texts
@@ -37,6 +38,7 @@ BUCKETS = 1 << BITS
 SHAPES = 24
 MAX_FIT = 12_000
 MAX_FIT_BYTES = 64_000_000
+MAX_TEXT_BYTES = 2_000_000  # of one text in the fit's sample
 MIN_TAIL = 0.5
 MIN_Z = 4.5
 EPOCHS = 200
@@ -75,16 +77,24 @@ def features(text: bytes | None) -> np.ndarray:
     return np.unique(np.concatenate([*ids, np.array(shape) + BUCKETS]))
 
 
-def fit_sample(docs: DataFrame, labels: DataFrame, max_rows: int, max_bytes: int) -> DataFrame:
-    """Bounded sample of labelled rows: ``doc_id, grade, text``."""
-    grade = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).otherwise(2)
-    graded = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min(grade).alias("grade"))
+def grade_of() -> Column:
+    return F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).otherwise(2)
+
+
+def fit_sample(docs: DataFrame, labels: DataFrame, max_rows: int, max_bytes: int, max_text: int = MAX_TEXT_BYTES) -> DataFrame:
+    """Bounded sample of labelled rows: ``doc_id, grade, text``.
+
+    It is chosen from ids and sizes: of a repeated id the smallest text (then by hash), no
+    text above ``max_text``, then by the ids' hash while the sum of bytes is within
+    ``max_bytes``. At most ``max_rows`` rows without texts go through the window; the texts of
+    the chosen ids are joined after it."""
+    graded = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min(grade_of()).alias("grade"))
     some = graded.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-    joined = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id", "inner").where("text IS NOT NULL").dropDuplicates(["doc_id"])
-    return (
-        joined.select("doc_id", "grade", "text", F.sum(F.octet_length("text")).over(Window.orderBy(F.xxhash64("doc_id"), "doc_id")).alias("bytes"))
-        .where(F.col("bytes") <= max_bytes).select("doc_id", "grade", "text")
-    )
+    keyed = docs.where("text IS NOT NULL").select("doc_id", F.octet_length("text").alias("bytes"), F.xxhash64("text").alias("th"), "text")
+    sizes = keyed.drop("text").where(F.col("bytes") <= max_text).join(F.broadcast(some), "doc_id").groupBy("doc_id", "grade").agg(F.min(F.struct("bytes", "th")).alias("t"))
+    order = Window.orderBy(F.xxhash64("doc_id"), "doc_id")
+    chosen = sizes.select("doc_id", "grade", "t.bytes", "t.th", F.sum("t.bytes").over(order).alias("sum")).where(F.col("sum") <= max_bytes).select("doc_id", "grade", "th")
+    return keyed.join(F.broadcast(chosen), ["doc_id", "th"]).select("doc_id", "grade", "text").dropDuplicates(["doc_id"])
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT, max_bytes: int = MAX_FIT_BYTES) -> dict | None:
@@ -96,6 +106,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT, max_bytes:
     rows = map_rows(fit_sample(docs, labels, max_rows, max_bytes), "doc_id long, grade int, ids binary", make).toArrow().sort_by("doc_id")
     grade = rows.column("grade").to_numpy()
     if len(np.unique(grade)) < 2:
+        there = labels.where("quality IS NOT NULL").join(docs.where("text IS NOT NULL").select("doc_id"), "doc_id", "left_semi").select(grade_of().alias("grade")).distinct()
+        if there.count() > max(1, len(np.unique(grade))):
+            raise ValueError("labelled documents of several grades, but the bounded sample has one at most: raise its bounds")
         return None
     parts = [np.frombuffer(x.as_py(), "<i4") for x in rows.column("ids")]
     return cumulative_link(parts, grade)
