@@ -141,3 +141,10 @@ def test_guards_are_exact(spark, texts):
     finally:
         R.GUARDS = saved
     assert guarded == plain
+
+
+def test_invariant_report(spark):
+    from tidewrack.functions import rules as R
+    rows = [("a b", "a b"), ("@CamelName says", "Camel Name says my"), ("a", "a fact"), ("x", "fact x fact New"), (None, "all new"), ("a", None), ("naïve Ünder", "ünder NAÏVE")]
+    df = spark.createDataFrame(rows, "s string, o string").select(R.new_words("s", "o").alias("w"))
+    assert [r.w for r in df.collect()] == [[], [], ["fact"], ["fact", "new"], ["all", "new"], [], []]

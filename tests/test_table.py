@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewrack.operators import table as TB
+from tidewrack.operators.joins import small_side
 from tidewrack.session import scratch_path
 from tidewrack.sources import table_store as TS
 
@@ -56,6 +57,8 @@ def test_probe_large_path_matches(spark, monkeypatch):
     t = spark.createDataFrame([("a", "d", "A", None)] * 5 + [("b", "d", "B", None)], SCHEMA)
     probes = spark.createDataFrame([("A",), ("Q",), ("B",)], "raw_text string")
     small = {r.raw_text: r.exists for r in TB.probe_raw_text(t, probes).collect()}
-    monkeypatch.setattr(TB, "BROADCAST_MAX_ROWS", 1)
+    hinted = []
+    monkeypatch.setattr(TB, "small_side", lambda df, **kw: hinted.append(small_side(df, max_bytes=1, **kw)) or hinted[-1])
     large = {r.raw_text: r.exists for r in TB.probe_raw_text(t, probes).collect()}
+    assert "ResolvedHint" not in hinted[0]._jdf.queryExecution().analyzed().toString()
     assert small == large == {"A": True, "Q": False, "B": True}

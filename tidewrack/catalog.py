@@ -7,6 +7,7 @@ types agree between the two.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -277,9 +278,35 @@ def q_update_clean_text(spark, sf):
     return TB.update_clean_text(table, _updates(spark, sf, table))
 
 
-# --- pages: sink, scan, validation, backlog, paging, facets --------------------------
+# The same writes on a bucketed table: only the touched buckets are rewritten.
 
 from tidewrack.session import scratch_path  # noqa: E402
+from tidewrack.sources import bucketed_table as BT  # noqa: E402
+
+
+def _bucketed(spark, sf):
+    table, root = _posts_table(spark, sf), scratch_path(spark, "bucketed-posts")
+    BT.create(table, root, 16)
+    return table, root
+
+
+@register("bucketed_insert", ORACLES["insert_or_ignore"])
+def q_bucketed_insert(spark, sf):
+    table, root = _bucketed(spark, sf)
+    BT.insert_or_ignore(spark, root, _insert_batch(spark, sf, table))
+    return BT.read(spark, root)
+
+
+@register("bucketed_update", ORACLES["update_clean_text"])
+def q_bucketed_update(spark, sf):
+    table, root = _bucketed(spark, sf)
+    BT.update_clean_text(spark, root, _updates(spark, sf, table))
+    return BT.read(spark, root)
+
+
+# --- pages: sink, scan, validation, backlog, paging, facets --------------------------
+
+from tidewrack.sources import page_files as PGF  # noqa: E402
 from tidewrack.sources import pages as PG  # noqa: E402
 
 
@@ -295,6 +322,14 @@ def q_page_scan(spark, sf):
     return items.select("page", "pos", "date", "platform", "deleted_flag", "text")
 
 
+@register("page_files", ORACLES["page_scan"])
+def q_page_files(spark, sf):
+    """S2 and S1 with one file ``NNNN.json`` for each page."""
+    path = scratch_path(spark, "page-files")
+    PGF.write_page_files(PG.build_pages(PG.feed_item_json(load_feed(spark, sf))), path)
+    return PGF.scan_page_files(spark, path).select("page", "pos", "date", "platform", "deleted_flag", "text")
+
+
 @register("page_sink", f"""WITH {O.FEED},
 num AS (SELECT page + 1 AS page, row_number() OVER (ORDER BY page, pos) AS rn FROM feed),
 pp AS (SELECT page, CAST(count(*) AS BIGINT) AS n_items, CAST(min(rn) AS BIGINT) AS "from" FROM num GROUP BY page)
@@ -371,6 +406,7 @@ def q_facet_counts(spark, sf):
 
 # --- rules, prompts, inference --------------------------------------------------------
 
+from tidewrack.functions import rules as RU  # noqa: E402
 from tidewrack.operators import infer as INF  # noqa: E402
 from tidewrack.operators import prompts as PR  # noqa: E402
 
@@ -404,6 +440,15 @@ def q_model_normalise(spark, sf):
     return INF.normalise(posts, backend=INF.ModelBackend(upper_model)).select("id", "clean_text")
 
 
+@register("model_normalise_reuse", ORACLES["model_normalise"])
+def q_model_normalise_reuse(spark, sf):
+    """The same through the answer store; a first run has answered for some of the posts."""
+    posts = stage(corpus.feed_to_posts(load_feed(spark, sf), sort=False).select("id", "raw_text"), "posts")
+    store, backend = scratch_path(spark, "answers"), INF.ModelBackend(upper_model)
+    INF.normalise(posts.where(F.length("raw_text") % 2 == 0), backend=backend, posts=posts, answers=store)
+    return INF.normalise(posts, backend=backend, answers=store).select("id", "clean_text")
+
+
 @register("rule_normalise", _w(*_NP) + f"\nSELECT id, clean_text FROM {_NP_LAST}")
 def q_rule_normalise(spark, sf):
     posts = corpus.feed_to_posts(load_feed(spark, sf), sort=False)
@@ -419,6 +464,17 @@ def q_rule_normalise_documents(spark, sf):
     return INF.normalise(d, "text").select("doc_id", "clean_text")
 
 
+@register("rule_invariant", "WITH " + ",\n".join(_ND) + f""",
+pairs AS (SELECT d.doc_id, d.text AS source, n.clean_text AS out FROM documents d JOIN {_ND_LAST} n ON d.doc_id = n.doc_id),
+found AS (SELECT doc_id, list_sort(list_filter(list_distinct(regexp_extract_all(lower(out), {O.lit(RU.WORD)})),
+    lambda w: NOT contains(regexp_replace(lower(coalesce(source, '')), {O.lit(RU.NO_WORD)}, '', 'g'), w) AND w NOT IN ({", ".join(map(O.lit, RU.LITERALS))}))) AS new FROM pairs)
+SELECT doc_id, CAST(len(new) AS BIGINT) AS n_new, array_to_string(new, ' ') AS new_words FROM found""")
+def q_rule_invariant(spark, sf):
+    d = read_table(spark, sf, "documents").select("doc_id", "text")
+    new = INF.normalise(d, "text").select("doc_id", RU.new_words("text", "clean_text").alias("new"))
+    return new.select("doc_id", F.size("new").cast("long").alias("n_new"), F.array_join("new", " ").alias("new_words"))
+
+
 def _block_sql(cfg: PR.PromptConfig, examples_sql: str) -> str:
     ex_line = (f"'{chr(10)}{chr(10)}' || {O.lit(PR.RAW_LABEL)} || e.raw_text || '`{chr(10)}' || "
                f"{O.lit(PR.NORMALISED_LABEL)} || e.output || '`{chr(10)}'")
@@ -644,6 +700,41 @@ def q_lm_rows(spark, sf):
     return rows.select("id", s("input_ids"), s("attention_mask"), s("labels"))
 
 
+# Pretrained subword vocabulary (a public rank file).
+
+from tidewrack.operators import subword as SW  # noqa: E402
+
+RANKS_PATH = os.environ.get("TIDEWRACK_RANKS", "/opt/tokenizers/byte_bpe_50k.tiktoken")
+_PAD = 50256  # the first id that this vocabulary leaves free
+
+
+@register("bpe_encode", f"""WITH RECURSIVE {O.bpe('documents', 'doc_id', 'text', RANKS_PATH)}
+SELECT doc_id, CAST(len(ids) AS BIGINT) AS n_ids, array_to_string(ids, ',') AS ids FROM bpe_ids""")
+def q_bpe_encode(spark, sf):
+    enc = SW.encode(read_table(spark, sf, "documents").select("doc_id", "text"), SW.load_ranks(RANKS_PATH))
+    return enc.select("doc_id", F.size("input_ids").cast("long").alias("n_ids"),
+                      F.array_join(F.col("input_ids").cast("array<string>"), ",").alias("ids"))
+
+
+@register("bpe_round_trip", "SELECT doc_id, coalesce(text, '') AS text FROM documents")
+def q_bpe_round_trip(spark, sf):
+    ranks = SW.load_ranks(RANKS_PATH)
+    docs = read_table(spark, sf, "documents").select("doc_id", "text")
+    return SW.decode(SW.encode(docs, ranks), ranks, out="back").select("doc_id", F.col("back").alias("text"))
+
+
+@register("bpe_lm_rows", _w(O.bpe("posts", "id", "raw_text", RANKS_PATH)).replace("WITH ", "WITH RECURSIVE ", 1) + f"""
+SELECT id, array_to_string(list_resize(ids, 128, {_PAD}), ',') AS input_ids,
+       array_to_string(list_resize(list_transform(ids, lambda x: 1), 128, 0), ',') AS attention_mask,
+       array_to_string(list_resize(ids, 128, {_PAD}), ',') AS labels FROM bpe_ids""")
+def q_bpe_lm_rows(spark, sf):
+    ranks = SW.load_ranks(RANKS_PATH)
+    posts = corpus.feed_to_posts(load_feed(spark, sf), sort=False).select("id", "raw_text")
+    rows = LM.lm_rows(SW.encode(posts, ranks, "raw_text"), "id", pad_id=SW.pad_id(ranks))
+    s = lambda c: F.array_join(F.col(c).cast("array<string>"), ",").alias(c)
+    return rows.select("id", s("input_ids"), s("attention_mask"), s("labels"))
+
+
 # --- streaming ingest -------------------------------------------------------------------
 
 from tidewrack.streaming import ingest as ST  # noqa: E402
@@ -671,16 +762,96 @@ def q_stream_feed_posts(spark, sf):
     return corpus.sort_posts(ST.landed_posts(_landed(spark, sf))).select("id", "date", "raw_text")
 
 
-# --- preference scorer (rows-only check: an iterative fit has no SQL spelling) ----------
+# --- incremental merge: changed pages and their thread islands only ------------------------
 
-@register("preference_scorer")
-def q_preference_scorer(spark, sf):
-    from tidewrack.operators import score as SC
+from tidewrack.plans import incremental as IN  # noqa: E402
+
+
+def _written_in_rounds(spark, sf, after):
+    """Page files in four rounds: odd pages; even pages in a first, wrong revision; their
+    second revision, wrong in another way; their right one. ``after(path, pages)`` follows
+    every round."""
+    path = scratch_path(spark, "pages")
+    documents = stage(PG.build_pages(PG.feed_item_json(load_feed(spark, sf))), "page-documents")
+    even = documents.where("page % 2 = 0")
+    wrong = even.withColumn("body", F.regexp_replace("body", '"text":"', '"text":"...'))
+    other = even.withColumn("body", F.regexp_replace("body", '"text":"[.]+', '"text":"A head '))
+    for part, revision in ((documents.where("page % 2 = 1"), ""), (wrong, ""), (other, "-1"), (even, "-2")):
+        PG.write_pages(part.withColumn("file_key", F.concat("file_key", F.lit(revision))), path)
+        after(path, part.select("page"))
+
+
+@register("incremental_posts", O.with_posts() + "\nSELECT id, date, raw_text, page + 1 AS page, pos FROM posts")
+def q_incremental_posts(spark, sf):
+    root = scratch_path(spark, "merged-feed")
+    _written_in_rounds(spark, sf, lambda path, pages: IN.refresh(spark, path, root, [r.page for r in pages.collect()], 16))
+    return IN.posts(spark, root)
+
+
+@register("stream_thread_merge", O.with_posts() + "\nSELECT page + 1 AS page, pos, date, text, n_parts FROM merged")
+def q_stream_thread_merge(spark, sf):
+    root, checkpoint = scratch_path(spark, "merged-feed"), scratch_path(spark, "stream-ckpt")
+
+    def stream(path, pages):
+        q = IN.start_merge(spark, path, root, checkpoint, max_files_per_trigger=40, pages_per_range=16)
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+
+    _written_in_rounds(spark, sf, stream)
+    return IN.merged_feed(spark, root)
+
+
+# --- preference scorer (F13) ------------------------------------------------------------
+
+from tidewrack.operators import score as SC  # noqa: E402
+
+
+def _reward_sql() -> str:
+    k = range(1, len(SC.FEATURES) + 1)
+
+    def features(t: str) -> str:
+        counts = [f"ln(1 + len(regexp_extract_all({t}, {O.lit(p)}))::DOUBLE)" for p in SC.COUNTED.values()]
+        return f"[{', '.join(counts)}, CASE WHEN regexp_matches({t}, {O.lit(SC.FINAL_MARK)}) THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END]"
+
+    gradient = ", ".join(f"(sum(x[{j}] / (1 + exp(dot))) - {SC.RIDGE} * any_value(w[{j}])) / ({SC.RIDGE} + any_value(b[{j}]) / 4)" for j in k)
+    bounds = ", ".join(f"sum(abs(x[{j}]) * list_sum(list_transform(x, lambda v: abs(v))))" for j in k)
+    dot = lambda a, b: " + ".join(f"{a}[{j}] * {b}[{j}]" for j in k)
+    return f"""{_PAIRS_SQL.replace("WITH ", "WITH RECURSIVE ", 1)},
+rows AS (SELECT accepted AS chosen, rejected[1] AS rejected FROM pairs WHERE accepted <> '' AND len(rejected) > 0),
+f AS MATERIALIZED (SELECT chosen, rejected, {features('chosen')} AS fc, {features("coalesce(rejected, '')")} AS fr FROM rows),
+x AS MATERIALIZED (SELECT list_transform(list_zip(fc, fr), lambda z: z[1] - z[2]) AS x FROM f),
+b AS MATERIALIZED (SELECT [{bounds}] AS b FROM x),
+fit AS (
+  SELECT 0 AS step, [{', '.join(['0.0::DOUBLE'] * len(SC.FEATURES))}] AS w
+  UNION ALL
+  SELECT step + 1, list_transform(list_zip(w, up), lambda z: z[1] + z[2]) FROM (
+    SELECT step, any_value(w) AS w, [{gradient}] AS up
+    FROM (SELECT step, w, x, b, {dot("w", "x")} AS dot FROM fit, x, b WHERE step < {SC.STEPS}) GROUP BY step)),
+scored AS MATERIALIZED (SELECT chosen, rejected, round({dot("w", "fc")}, 6) + 0 AS score_chosen, round({dot("w", "fr")}, 6) + 0 AS score_rejected
+  FROM f, (SELECT w FROM fit WHERE step = {SC.STEPS}))"""
+
+
+def _scored(spark, sf):
     _, pairs = _pairs(spark, sf)
-    rows = PF.reward_rows(pairs)
-    model = SC.train(rows)
-    scored = SC.score(model, SC.score(model, rows, "chosen", "score_chosen"), "rejected", "score_rejected")
-    return scored.select("chosen", "rejected", "score_chosen", "score_rejected")
+    rows = stage(PF.reward_rows(pairs), "reward-rows")
+    weights = SC.fit(rows)
+    return rows.select("chosen", "rejected", *((F.round(SC.score(weights, c), 6) + F.lit(0.0)).alias(f"score_{c}") for c in ("chosen", "rejected")))
+
+
+@register("preference_scorer", _reward_sql() + "\nSELECT chosen, rejected, score_chosen, score_rejected FROM scored")
+def q_preference_scorer(spark, sf):
+    return _scored(spark, sf)
+
+
+@register("preference_ranking", _reward_sql() + """,
+sides AS (SELECT score_chosen AS s, 1 AS good FROM scored UNION ALL SELECT score_rejected, 0 FROM scored),
+ranked AS (SELECT good, rank() OVER (ORDER BY s) + (count(*) OVER (PARTITION BY s) - 1) / 2.0 AS r FROM sides)
+SELECT (SELECT CAST(count(*) AS BIGINT) FROM scored) AS pairs,
+  (SELECT round(avg(CASE WHEN score_chosen > score_rejected THEN 1.0 WHEN score_chosen = score_rejected THEN 0.5 ELSE 0.0 END), 9) FROM scored) AS accuracy,
+  (SELECT round((sum(r) - count(*) * (count(*) + 1) / 2.0) / count(*) / (SELECT count(*) FROM scored), 9) FROM ranked WHERE good = 1) AS auc""")
+def q_preference_ranking(spark, sf):
+    return SC.ranking(stage(_scored(spark, sf), "scored")).select("pairs", F.round("accuracy", 9).alias("accuracy"), F.round("auc", 9).alias("auc"))
 
 
 # --- L3: preference data -> training sets ----------------------------------------------

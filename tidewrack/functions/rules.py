@@ -160,6 +160,23 @@ def _guard(c: Column, lits: tuple[str, ...]) -> Column:
     return out
 
 
+# --- fixed values: the words that the rules themselves may put in (R13) ----------------
+LITERALS = ("me", "my", "at", "with")
+# ----------------------------------------------------------------------------------------
+WORD = r"[\p{L}\p{N}]+"
+NO_WORD = r"[^\p{L}\p{N}]+"
+
+
+def new_words(source: str, out: str) -> Column:
+    """R13 (no new facts): the distinct words of ``out``, sorted, that neither stand in
+    ``source``, whole or inside its run of letters and digits (``@CamelName``), nor among
+    ``LITERALS``. Only words that are not whole words of the source are looked up in it."""
+    words = lambda c: F.regexp_extract_all(F.lower(F.coalesce(F.col(c), F.lit(""))), F.lit(WORD), F.lit(0))
+    letters = F.regexp_replace(F.lower(F.coalesce(F.col(source), F.lit(""))), NO_WORD, "")
+    left = F.array_except(words(out), F.concat(words(source), F.array(*map(F.lit, LITERALS))))
+    return F.array_sort(F.filter(left, lambda w: ~F.contains(letters, w)))
+
+
 def apply_rules(df: DataFrame, text: str, out: str = "clean_text") -> DataFrame:
     """Run the rule chain on ``text`` into ``out``. One projection per step; Spark keeps
     them separate where collapsing would repeat an expensive expression."""

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from tidewrack.functions.rules import apply_rules
 from tidewrack.functions.text import is_blank, trim_backticks
+from tidewrack.operators import answers as answer_service
 from tidewrack.operators import model_cache
 from tidewrack.operators import table as TB
 from tidewrack.operators.prompts import ChatTemplate, PromptConfig, instruction_block, user_chat, with_prompts
@@ -48,8 +49,10 @@ def _generate(backend: ModelBackend, prompt_col: str, out: str):
 
 
 def normalise(rows: DataFrame, text: str = "raw_text", out: str = "clean_text",
-              backend: ModelBackend | None = None, posts: DataFrame | None = None) -> DataFrame:
-    """F4 over a DataFrame: adds ``out`` (the normalised text) to every row."""
+              backend: ModelBackend | None = None, posts: DataFrame | None = None, answers: str | None = None) -> DataFrame:
+    """F4 over a DataFrame: adds ``out`` (the normalised text) to every row. With ``answers``,
+    a folder of the model's, equal prompts are asked once and answers are kept in it
+    (``operators.answers``)."""
     if backend is None:
         ruled = apply_rules(rows, text, out)
         return ruled.withColumn(out, F.when(is_blank(text), F.lit("")).otherwise(F.col(out)))
@@ -58,6 +61,9 @@ def normalise(rows: DataFrame, text: str = "raw_text", out: str = "clean_text",
     blank = rows.where(is_blank(text)).withColumn(out, F.lit(""))
     todo = with_prompts(rows.where(~is_blank(text)), block, text, "_prompt")
     todo = todo.withColumn("_prompt", backend.template.render(user_chat(F.col("_prompt"))))
+    if answers is not None:
+        answered = answer_service.answered(todo, backend, answers, "_prompt", out).drop("_prompt")
+        return answered.withColumn(out, trim_backticks(out)).unionByName(blank)
     schema = todo.drop("_prompt").schema.add(out, "string")
     answered = todo.mapInPandas(_generate(backend, "_prompt", out), schema)
     answered = answered.withColumn(out, trim_backticks(out))

@@ -1,10 +1,8 @@
 """Token datasets (F10-F12): corpus vocabulary, encoding, fixed-length LM rows.
 
-The pretrained tokenizer of the original is not part of this project, so the token ids
-come from a vocabulary built over the corpus itself: tokens (P12) counted, ranked by
-(count desc, token asc), with reserved ids first (F12: ``[PAD]`` = 0, ``[UNK]`` = 1).
-An external tokenizer can still be used through ``mapInPandas``; this module keeps the
-default path on the JVM.
+Two vocabularies: a pretrained subword one (``operators.subword``, as the original uses),
+or, here, one built over the corpus itself: tokens (P12) counted, ranked by (count desc,
+token asc), with reserved ids first (F12: ``[PAD]`` = 0, ``[UNK]`` = 1); it stays on the JVM.
 """
 
 from __future__ import annotations
@@ -73,6 +71,6 @@ def fixed_length(ids: Column, length: int = MAX_LENGTH, pad_id: int = 0):
     return padded, mask
 
 
-def lm_rows(encoded: DataFrame, key: str, length: int = MAX_LENGTH) -> DataFrame:
-    padded, mask = fixed_length(F.col("input_ids"), length)
+def lm_rows(encoded: DataFrame, key: str, length: int = MAX_LENGTH, pad_id: int = 0) -> DataFrame:
+    padded, mask = fixed_length(F.col("input_ids"), length, pad_id)
     return encoded.select(key, padded.alias("input_ids"), mask.alias("attention_mask"), padded.alias("labels"))

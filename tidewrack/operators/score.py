@@ -1,47 +1,87 @@
-"""preference scorer (re-aim of the reward model: one scalar score per text,
-learned from chosen/rejected pairs).
+"""preference scorer (re-aim of the reward model: one scalar score per text, learned
+from chosen/rejected pairs), and how well it ranks.
 
-Pairwise logistic model on hashed word counts, all in MLlib: each pair gives the
-assembled vector [tf(chosen), tf(rejected)] with label 1 and the swapped vector with
-label 0, fitted without intercept. The score of a single text is the margin of
-[tf(text), 0]. Training is distributed (executors compute gradients per partition).
+A Bradley-Terry model: the chance that ``chosen`` is preferred is
+``sigmoid(score(chosen) - score(rejected))`` with ``score(text) = w . features(text)``. The
+features are counts of what the normalisation changes (words, mentions, tags, links,
+capitals ...), as column expressions.
+
+The fit maximises the ridge-penalised likelihood by ``STEPS`` steps of
+
+    w_j += (sum_i (1 - p_i) x_ij - RIDGE w_j) / (RIDGE + sum_i |x_ij| sum_k |x_ik| / 4)
+
+The denominator bounds the second derivatives for every w, so the likelihood rises at each
+step without a step size, and a step is one aggregate over the pairs: ``len(FEATURES)`` sums
+are all that reaches the driver. Equal difference vectors are one row with a count first.
+
+Defined results: null texts count as empty; pairs of equal features move nothing; without
+pairs all weights are 0. ``ranking`` is null where there is nothing to rank.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import HashingTF, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewrack.functions.text import word_tokens
+from tidewrack.operators.order import global_running_sum
+from tidewrack.session import stage
+
+#: name -> pattern whose matches are counted (both Java's engine and RE2 read it the same way)
+COUNTED = {
+    "words": r"[^ \n\t\r]+",
+    "mentions": r"@[A-Za-z0-9_]",
+    "tags": r"#[A-Za-z0-9_]",
+    "links": r"://",
+    "capitals": r"[A-Z][A-Z]",
+    "digits": r"[0-9]",
+    "marks": r"[!?]",
+    "dashes": r"--|–|—|…",
+}
+FEATURES = (*COUNTED, "final_mark")
+FINAL_MARK = r"[.!?]$"
+STEPS = 12
+RIDGE = 1.0
+
 
-NUM_FEATURES = 1 << 12
+def features(text: Column | str) -> Column:
+    """``array<double>``: ln(1 + count) of every pattern, and whether the text ends in a mark."""
+    t = F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
+    counts = [F.log1p(F.regexp_count(t, F.lit(p)).cast("double")) for p in COUNTED.values()]
+    return F.array(*counts, F.when(t.rlike(FINAL_MARK.replace("$", r"\z")), 1.0).otherwise(0.0))
 
 
-def _features(df: DataFrame, first: str, second: str, num_features: int) -> DataFrame:
-    a = HashingTF(inputCol="_ta", outputCol="_fa", numFeatures=num_features)
-    b = HashingTF(inputCol="_tb", outputCol="_fb", numFeatures=num_features)
-    d = df.withColumn("_ta", word_tokens(first)).withColumn("_tb", word_tokens(second))
-    d = b.transform(a.transform(d))
-    return VectorAssembler(inputCols=["_fa", "_fb"], outputCol="features").transform(d).drop("_ta", "_tb", "_fa", "_fb")
+def fit(reward_rows: DataFrame, steps: int = STEPS, ridge: float = RIDGE) -> list[float]:
+    """Weights from ``(chosen, rejected)`` rows."""
+    k = len(FEATURES)
+    x = F.zip_with(features("chosen"), features("rejected"), lambda a, b: a - b)
+    pairs = stage(reward_rows.select(x.alias("x")).groupBy("x").agg(F.count(F.lit(1)).alias("n")), "preference-pairs")
+    each = [F.col("x")[j] for j in range(k)]
+    reach = sum((F.abs(c) for c in each), F.lit(0.0))
+    bounds = pairs.agg(*(F.sum(F.col("n") * F.abs(c) * reach) for c in each)).first()
+    w = [0.0] * k
+    for _ in range(steps):
+        margin = sum((c * F.lit(v) for c, v in zip(each, w, strict=True)), F.lit(0.0))
+        miss = F.col("n") / (1 + F.exp(margin))
+        slopes = pairs.agg(*(F.sum(miss * c) for c in each)).first()
+        w = [v + ((g or 0.0) - ridge * v) / (ridge + (b or 0.0) / 4) for v, g, b in zip(w, slopes, bounds, strict=True)]
+    return w
 
 
-def train(reward_rows: DataFrame, num_features: int = NUM_FEATURES, max_iter: int = 20,
-          reg: float = 0.01) -> LogisticRegressionModel:
-    """``reward_rows`` (chosen, rejected) -> fitted pairwise model."""
-    pos = _features(reward_rows, "chosen", "rejected", num_features).withColumn("label", F.lit(1.0))
-    neg = _features(reward_rows, "rejected", "chosen", num_features).withColumn("label", F.lit(0.0))
-    lr = LogisticRegression(fitIntercept=False, maxIter=max_iter, regParam=reg, standardization=False)
-    return lr.fit(pos.unionByName(neg).select("features", "label"))
+def score(weights: list[float], text: Column | str) -> Column:
+    """The score of a text, as a column."""
+    parts = F.zip_with(features(text), F.array(*map(F.lit, weights)), lambda a, b: a * b)
+    return F.aggregate(parts, F.lit(0.0), lambda s, x: s + x)
 
 
-def score(model: LogisticRegressionModel, texts: DataFrame, text: str, out: str = "score",
-          num_features: int = NUM_FEATURES) -> DataFrame:
-    """Adds ``out`` = the model's margin for ``text`` alone."""
-    d = texts.withColumn("_empty", F.lit(""))
-    d = _features(d, text, "_empty", num_features).drop("_empty")
-    scored = model.transform(d)
-    return scored.withColumn(out, vector_to_array("rawPrediction")[1]).drop(
-        "features", "rawPrediction", "probability", "prediction")
+def ranking(scored: DataFrame, chosen: str = "score_chosen", rejected: str = "score_rejected") -> DataFrame:
+    """One row: ``pairs``, ``accuracy`` (pairs whose chosen text scores higher, ties half) and
+    ``auc``, the chance that any chosen text scores higher than any rejected one (rank sum,
+    ties half). Scores are grouped first; their order is a global running sum over range
+    blocks, so no task holds them all."""
+    one = F.when(F.col(chosen) > F.col(rejected), 1.0).when(F.col(chosen) == F.col(rejected), 0.5).otherwise(0.0)
+    pairs = scored.agg(F.count(F.lit(1)).alias("pairs"), F.avg(one).alias("accuracy"))
+    sides = scored.select(F.explode(F.array(F.struct(F.col(chosen).alias("s"), F.lit(1).alias("good")), F.struct(F.col(rejected).alias("s"), F.lit(0).alias("good")))).alias("x"))
+    by_score = sides.groupBy("x.s").agg(F.sum("x.good").alias("good"), F.sum(1 - F.col("x.good")).alias("bad"))
+    below = global_running_sum(by_score, ["s"], "bad", "upto")
+    auc = below.agg((F.sum(F.col("good") * (F.col("upto") - F.col("bad") / 2)) / F.sum("good") / F.sum("bad")).alias("auc"))
+    return pairs.select("pairs", "accuracy", auc.scalar().alias("auc"))

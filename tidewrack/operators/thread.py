@@ -33,32 +33,48 @@ def _strip_dots(c):
     return F.regexp_replace(c, f"^\\.+[{WS}]*", "")
 
 
-def thread_merge(feed: DataFrame, order: Sequence[str] = ("page", "pos"), text: str = "text",
-                 carry: Sequence[str] = ("date",), num_blocks: int | None = None) -> DataFrame:
-    """Returns one row per merged post: ``order`` columns and ``carry`` columns of the
-    head row, the merged ``text`` and ``n_parts`` (rows merged)."""
-    heads = feed.withColumn("_head", F.when(F.col(text).startswith("..."), 0).otherwise(1))
-    numbered = global_running_sum(heads, list(order), "_head", "_island", num_blocks)
-    order = list(order)
-    extra = [c for c in dict.fromkeys(carry) if c not in order]
+def heads(feed: DataFrame, text: str = "text") -> DataFrame:
+    """The feed with ``_head``: 1 where a row starts a post, 0 where it goes on."""
+    return feed.withColumn("_head", F.when(F.col(text).startswith("..."), 0).otherwise(1))
+
+
+def partials(rows: DataFrame, by: Sequence[str], order: Sequence[str], text: str, extra: Sequence[str]) -> DataFrame:
+    """``by`` and ``_p``: the rows of each group, in order, as one partial of a thread: its
+    first row (raw and stripped text, head columns) and the joined tail."""
     # Sorting the structs orders the rows by the feed order (the leading fields).
     row = F.struct(*[F.col(c) for c in order], F.col(text).alias("_t"), *[F.col(c) for c in extra])
-    in_block = numbered.groupBy("_island", "_blk").agg(F.array_sort(F.collect_list(row)).alias("_rows"))
+    grouped = rows.groupBy(*by).agg(F.array_sort(F.collect_list(row)).alias("_rows"))
     first = F.col("_rows")[0]
     tail = F.array_join(F.transform(F.slice("_rows", 2, F.size("_rows")),
                                     lambda x: F.concat(F.lit(" "), _strip_dots(x["_t"]))), "")
-    partial = in_block.select(
-        "_island",
+    return grouped.select(
+        *by,
         F.struct(*[first[c].alias(c) for c in order], first["_t"].alias("_raw"),
                  _strip_dots(first["_t"]).alias("_stripped"), tail.alias("_tail"),
                  F.size("_rows").cast("long").alias("_n"), *[first[c].alias(c) for c in extra]).alias("_p"),
     )
-    merged = partial.groupBy("_island").agg(F.array_sort(F.collect_list("_p")).alias("_ps"))
+
+
+def joined(parts: DataFrame, by: Sequence[str], order: Sequence[str], text: str, extra: Sequence[str]) -> DataFrame:
+    """One row for each thread ``by`` of partials: ``by``, head columns, ``text``, ``n_parts``."""
+    merged = parts.groupBy(*by).agg(F.array_sort(F.collect_list("_p")).alias("_ps"))
     head = F.col("_ps")[0]
     later = F.array_join(F.transform(F.slice("_ps", 2, F.size("_ps")),
                                      lambda x: F.concat(F.lit(" "), x["_stripped"], x["_tail"])), "")
     return merged.select(
+        *by,
         *[head[c].alias(c) for c in [*order, *extra]],
         F.concat(head["_raw"], head["_tail"], later).alias(text),
         F.aggregate("_ps", F.lit(0).cast("long"), lambda acc, x: acc + x["_n"]).alias("n_parts"),
     )
+
+
+def thread_merge(feed: DataFrame, order: Sequence[str] = ("page", "pos"), text: str = "text",
+                 carry: Sequence[str] = ("date",), num_blocks: int | None = None) -> DataFrame:
+    """Returns one row per merged post: ``order`` columns and ``carry`` columns of the
+    head row, the merged ``text`` and ``n_parts`` (rows merged)."""
+    order = list(order)
+    numbered = global_running_sum(heads(feed, text), order, "_head", "_island", num_blocks)
+    extra = [c for c in dict.fromkeys(carry) if c not in order]
+    parts = partials(numbered, ["_island", "_blk"], order, text, extra)
+    return joined(parts, ["_island"], order, text, extra).drop("_island")

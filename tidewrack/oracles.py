@@ -187,3 +187,33 @@ def normalised(src: str, keys: str, text_expr: str, prefix: str = "rr") -> tuple
     ctes, last = rules_ctes(src, keys, text_expr, prefix)
     ctes.append(f"{prefix}_out AS (SELECT {keys}, CASE WHEN {is_blank('src_text')} THEN '' ELSE t END AS clean_text FROM {last})")
     return ctes, f"{prefix}_out"
+
+
+# --- subword ids (F10): pair merges by rank as a recursive CTE over the distinct pretokens ---
+
+#: Unicode white space, as a class of RE2.
+SPACE = r"\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+_EDGE = "\x1f"  # stands before the last of several white-space characters in front of a word
+_WORDS = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\x1f\p{{L}}\p{{N}}]+|[{SPACE}]+|\x1f"
+
+
+def bpe(src: str, key: str, text: str, ranks_path: str) -> str:
+    """CTEs ending in ``bpe_ids(key, ids)``. Bytes are hexadecimal strings here. The text's
+    own U+001F takes the place of U+001E meanwhile, which is split alike."""
+    marked = f"regexp_replace(replace(coalesce({text}, ''), chr(31), chr(30)), {lit(f'([{SPACE}]+)([{SPACE}])([^{SPACE}])')}, {lit(chr(92) + '1' + _EDGE + chr(92) + '2' + chr(92) + '3')}, 'g')"
+    return f"""ranks AS MATERIALIZED (SELECT hex(from_base64(token)) AS token, rank FROM read_csv({lit(ranks_path)}, delim=' ', header=false, quote='', escape='', columns={{'token': 'VARCHAR', 'rank': 'BIGINT'}})),
+pre AS MATERIALIZED (SELECT {key}, list_filter(regexp_extract_all({marked}, {lit(_WORDS)}), lambda w: w <> chr(31)) AS words FROM {src}),
+word AS (SELECT DISTINCT unnest(words) AS word FROM pre),
+merging AS (
+  SELECT word, regexp_extract_all(hex(encode(word)), '..') AS parts, 0 AS n FROM word
+  UNION ALL
+  SELECT word, parts[:best.i - 1] || [parts[best.i] || parts[best.i + 1]] || parts[best.i + 2:], n + 1 FROM (
+    SELECT word, any_value(parts) AS parts, any_value(n) AS n, min({{'rank': rank, 'i': i}}) AS best FROM (
+      SELECT word, parts, n, unnest(range(1, len(parts))) AS i FROM merging) p
+    JOIN ranks ON ranks.token = p.parts[i] || p.parts[i + 1] GROUP BY word)),
+last_parts AS (SELECT word, arg_max(parts, n) AS parts FROM merging GROUP BY word),
+part AS (SELECT word, unnest(parts) AS token, generate_subscripts(parts, 1) AS i FROM last_parts),
+word_ids AS MATERIALIZED (SELECT word, list(rank ORDER BY i) AS ids FROM part JOIN ranks USING (token) GROUP BY word),
+placed AS (SELECT {key}, unnest(words) AS word, generate_subscripts(words, 1) AS p FROM pre),
+bpe_found AS (SELECT {key}, flatten(list(ids ORDER BY p)) AS ids FROM placed JOIN word_ids USING (word) GROUP BY {key}),
+bpe_ids AS (SELECT pre.{key}, coalesce(ids, []) AS ids FROM pre LEFT JOIN bpe_found ON pre.{key} = bpe_found.{key})"""
