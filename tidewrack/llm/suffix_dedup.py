@@ -7,13 +7,15 @@ document included) is removed. Exact, on whole texts; matches never cross docume
 input. Instead a document is anchored at the positions whose ``SEED``-byte hash is the
 smallest among the seeds of some window (ties all count). The choice depends on the
 window's own bytes only, so two equal windows have an anchor at the same offset ``d``,
-0 <= d <= WINDOW - SEED. About one byte in 190 is an anchor.
+0 <= d <= WINDOW - SEED. About one byte in 120 is an anchor.
 
 1. *Candidates.* Equal windows share ``WINDOW / 2`` bytes to the right or to the left of
    their anchor. The hashes of these two strings are counted; an anchor with both unique
    takes no further part. (A hash collision keeps a needless candidate, never loses one.)
 2. *Suffix buckets.* A remaining anchor carries its context: up to WINDOW - SEED bytes
-   before and WINDOW bytes from the anchor on. Equal contexts are combined per task.
+   before and WINDOW bytes from the anchor on. Of documents with one text only one gives
+   contexts, counted twice; equal contexts are combined per task, and those of a bucket are
+   packed into one row before they move.
    Sampled splitters range-partition the contexts by the suffix's bytes into buckets of
    bounded size. Each bucket sorts its suffixes, and its reversed prefixes, by
    multikey quicksort (8-byte keys, only ties go on to the next key) and takes the common
@@ -40,8 +42,9 @@ before they move.
 from __future__ import annotations
 
 import bisect
+import ctypes
 import hashlib
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
 import numpy as np
 import pyarrow as pa
@@ -135,9 +138,10 @@ def anchor_keys(docs: DataFrame, window: int, seed: int) -> DataFrame:
     return docs.mapInArrow(run, "key long, doc_id long, th long, pos long")
 
 
-CONTEXT = "bucket int, ctx binary, n long, suffix binary, prefix binary"
+CONTEXT = "bucket int, contexts binary"
 PER_BUCKET = 12_000  # anchors for which a bucket is planned
 PER_SPLIT = 40  # sampled contexts for one splitter
+IN_PACK = 20  # contexts in one row, at most
 
 
 def contexts_of(text: bytes, at: list[int], window: int, seed: int):
@@ -180,33 +184,49 @@ def splitters(hits: DataFrame, window: int, seed: int, per_bucket: int) -> tuple
     return bounds, frozenset(split)
 
 
+def pack_contexts(rows: list[tuple[bytes, int, bytes, bytes]]) -> bytes:
+    """(context digest, count, suffix, prefix) rows as one string."""
+    head = np.array([[n, len(r), len(left)] for _, n, r, left in rows], "<i4")
+    return len(rows).to_bytes(4, "little") + head.tobytes() + b"".join(c + r + left for c, _, r, left in rows)
+
+
+def unpack_contexts(data: bytes):
+    n = int.from_bytes(data[:4], "little")
+    at = 4 + 12 * n
+    for copies, right, left in np.frombuffer(data, "<i4", 3 * n, 4).reshape(-1, 3).tolist():
+        mid, end = at + 16 + right, at + 16 + right + left
+        yield data[at : at + 16], copies, data[at + 16 : mid], data[mid:end]
+        at = end
+
+
 def distinct_contexts(hits: DataFrame, bounds: list[tuple[bytes, bytes]], window: int, seed: int) -> DataFrame:
-    """Contexts of the anchors with their buckets, equal ones combined within a few
-    thousand."""
+    """Contexts of the anchors, packed by their buckets, equal ones combined within a few
+    thousand. ``hits`` has ``text, at, copies``."""
     held = hits.sparkSession.sparkContext.broadcast(bounds)
-    names = ["bucket", "ctx", "n", "suffix", "prefix"]
-    kinds = (pa.int32(), pa.binary(), pa.int64(), pa.binary(), pa.binary())
 
     def packed(found: dict) -> pa.RecordBatch:
-        rows = [(bisect.bisect_right(held.value, (r, left)), ctx, n, r, left) for ctx, (n, r, left) in found.items()]
-        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+        by: dict[int, list] = {}
+        for ctx, (n, r, left) in found.items():
+            by.setdefault(bisect.bisect_right(held.value, (r, left)), []).append((ctx, min(n, 2), r, left))
+        packs = [(b, pack_contexts(rows[i : i + IN_PACK])) for b, rows in by.items() for i in range(0, len(rows), IN_PACK)]
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*packs, strict=True), (pa.int32(), pa.binary()), strict=True)], names=["bucket", "contexts"])
 
     def run(batches):
         found: dict[bytes, list] = {}
         for batch in batches:
-            for text, at in zip(texts(batch.column(0)), batch.column(1), strict=True):
+            for text, at, copies in zip(texts(batch.column(0)), batch.column(1), batch.column(2).to_pylist(), strict=True):
                 for ctx, right, left in contexts_of(text, at.as_py(), window, seed):
                     if ctx in found:
-                        found[ctx][0] += 1
+                        found[ctx][0] += copies
                     else:
-                        found[ctx] = [1, right, left]
+                        found[ctx] = [copies, right, left]
                 if len(found) >= 8192:
                     yield packed(found)
                     found = {}
         if found:
             yield packed(found)
 
-    return hits.select("text", "at").mapInArrow(run, CONTEXT)
+    return hits.select("text", "at", "copies").mapInArrow(run, CONTEXT)
 
 
 def byte_matrix(strings: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -332,18 +352,20 @@ def sort_buckets(contexts: DataFrame, split: frozenset[bytes], window: int, seed
     split over buckets (``target, digests``) for comparison with the others."""
 
     def run(batches):
+        give_back()
         found: dict[bytes, list] = {}
         now = None
         for batch in batches:
-            for bucket, c, n, s, p in zip(*(x.to_pylist() for x in batch.columns), strict=True):
+            for bucket, contexts in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 if bucket != now and found:
                     yield from solved(found)
                     found = {}
                 now = bucket
-                if c in found:
-                    found[c][0] += n
-                else:
-                    found[c] = [n, s, p]
+                for c, n, s, p in unpack_contexts(contexts.as_py()):
+                    if c in found:
+                        found[c][0] += n
+                    else:
+                        found[c] = [n, s, p]
         if found:
             yield from solved(found)
 
@@ -460,6 +482,23 @@ def small_batches(spark, rows: int = 1000):
         spark.conf.set(key, before)
 
 
+def give_back() -> None:
+    """Workers are used again: what earlier stages freed goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def with_copies(docs: DataFrame, at: DataFrame) -> DataFrame:
+    """``at`` with ``copies`` for one of the documents of each text: how many have it, up to
+    2. Null for the others, whose contexts are the same."""
+    rows = docs.select("doc_id", "th", F.md5("text").alias("md"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "th")).alias("first")
+    texts_ = rows.groupBy(F.col("md").alias("m_md")).agg(first, F.least(F.count(F.lit(1)), F.lit(2)).cast("int").alias("copies"))
+    chosen = texts_.select(F.col("first.doc_id").alias("c_id"), F.col("first.th").alias("c_th"), "copies")
+    return at.join(chosen.groupBy("c_id", "c_th").agg(F.max("copies").alias("copies")), (F.col("a_th") == F.col("c_th")) & F.col("a_id").eqNullSafe(F.col("c_id")), "left").drop("c_id", "c_th")
+
+
 def repeated_spans(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
     """``(hits, spans)``: the documents that hold candidates with their texts, and the
     byte spans ``doc_id, th, spans`` to remove (they may overlap)."""
@@ -467,9 +506,11 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> t
     keys = stage(anchor_keys(docs.select("doc_id", "th", "text"), window, seed), "anchor-keys")
     common = keys.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(F.col("key").alias("k"))
     at = keys.join(common, F.col("key") == F.col("k"), "left_semi").groupBy(F.col("doc_id").alias("a_id"), F.col("th").alias("a_th")).agg(F.sort_array(F.collect_set("pos")).alias("at"))
-    hits = stage(docs.join(at, (F.col("th") == F.col("a_th")) & F.col("doc_id").eqNullSafe(F.col("a_id")), "inner").select("doc_id", "th", "text", "at"), "hit-docs")
-    bounds, split = splitters(hits, window, seed, PER_BUCKET)
-    contexts = distinct_contexts(hits, bounds, window, seed).repartition("bucket").sortWithinPartitions("bucket")
+    at = with_copies(docs, at)
+    hits = stage(docs.join(at, (F.col("th") == F.col("a_th")) & F.col("doc_id").eqNullSafe(F.col("a_id")), "inner").select("doc_id", "th", "text", "at", "copies"), "hit-docs")
+    single = hits.where("copies IS NOT NULL")
+    bounds, split = splitters(single, window, seed, PER_BUCKET)
+    contexts = distinct_contexts(single, bounds, window, seed).repartition("bucket").sortWithinPartitions("bucket")
     buckets = stage(sort_buckets(contexts, split, window, seed, partitions), "suffix-buckets")
     across = compare_boundaries(buckets.where("target IS NOT NULL").select("target", "digests"), partitions)
     found = (
