@@ -65,10 +65,10 @@ def fixture(seed):
     return rows
 
 
-@pytest.mark.parametrize("group,rule", [(J.GROUP, J.Rule()), (30, J.Rule(5, 80))])
-def test_matches_brute_force(spark, monkeypatch, group, rule):
-    monkeypatch.setattr(J, "GROUP", group)
-    rows = fixture(group)
+@pytest.mark.parametrize("tile,rule", [(J.TILE, J.Rule()), (10, J.Rule(5, 80))])
+def test_matches_brute_force(spark, monkeypatch, tile, rule):
+    monkeypatch.setattr(J, "TILE", tile)
+    rows = fixture(tile)
     df = spark.createDataFrame([(i, t, 7, 8) for i, t in rows], "doc_id long, text string, key int, n int").repartition(3)
     got = [(r.doc_id, r.n_shingles, r.component_id) for r in J.jaccard_components(df, rule).collect()]
     want = brute(rows, rule.shingle, rule.percent)
@@ -160,11 +160,12 @@ def family(seed, members):
     return rows
 
 
-@pytest.mark.parametrize("group, tile", [(J.GROUP, J.TILE), (J.GROUP, 15), (60, 15)])
-def test_families_that_share_edits(spark, monkeypatch, group, tile):
+@pytest.mark.parametrize("group, members", [(J.GROUP, 90), (30, 40)])
+def test_families_that_share_edits(spark, monkeypatch, group, members):
+    """With few members a group, the larger family goes through lists of differences."""
     monkeypatch.setattr(J, "GROUP", group)
-    monkeypatch.setattr(J, "TILE", tile)
-    rows = family(1, 90) + [(1000 + i, t.replace("b", "c")) for i, t in family(2, 40)]
+    monkeypatch.setattr(J, "TILE", 12)
+    rows = family(1, members) + [(1000 + i, t.replace("b", "c")) for i, t in family(2, 20)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = [(r.doc_id, r.n_shingles, r.component_id) for r in J.jaccard_components(df).collect()]
     assert sorted(got, key=repr) == brute(rows)

@@ -1,7 +1,9 @@
 """Whole licences, typed here and not taken from the templates, wrapped as published."""
 
+import re
 import textwrap
 
+import duckdb
 from pyspark.sql import functions as F
 
 from tidewrack.llm import licenses as L
@@ -25,8 +27,20 @@ def test_whole_licences_are_found(spark, tmp_path):
         words[::40] = ["changed"] * len(words[::40])
         rows.append((200 + i, "A title\n" + " ".join(words)))
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
-    got = {r.doc_id: r.license for r in L.op1_license_scan(spark, str(tmp_path)).where(F.col("line") == -1).collect()}
-    assert got == dict(enumerate(WHOLE)) | {200 + i: n for i, n in enumerate(long)}
+    found = L.op1_license_scan(spark, str(tmp_path)).collect()
+    assert {r.doc_id: r.license for r in found if r.line == -1} == dict(enumerate(WHOLE)) | {200 + i: n for i, n in enumerate(long)}
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert sorted(con.execute(L.ORACLE).fetchall()) == sorted((r.doc_id, r.line, r.license, r.dice) for r in found)
+
+
+def test_wrapped_notices_at_the_head_of_a_file(spark):
+    code = "\n".join(f"int value_{i} = call_{i}({i});" for i in range(30))
+    notices = [n for n, t in L.TEMPLATES.items() if len(L.bigrams_of(t)) > 20]
+    rows = [(i, "\n".join(" * " + x for x in textwrap.wrap(L.TEMPLATES[n], 78)) + "\n\n" + code) for i, n in enumerate(notices)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.license for r in L.scan(df).where(F.col("line") == -2).collect()}
+    assert len(notices) >= 4 and got == dict(enumerate(notices))
 
 
 def test_pruning_is_exact_with_long_templates(spark):
@@ -34,7 +48,8 @@ def test_pruning_is_exact_with_long_templates(spark):
     rows = [(i, "\n\n".join(textwrap.fill(p, 78) for p in text[k:])) for i, text in enumerate(WHOLE.values()) for k in (0, 1, 2)]
     want = []
     for doc, text in rows:
-        for n, unit in [*enumerate(text.split("\n")), (-1, text)]:
+        blocks = re.split(L.PARAGRAPHS, text)
+        for n, unit in [*enumerate(text.split("\n")), (-1, text), *((-2 - k, b) for k, b in enumerate(blocks) if len(blocks) > 1 and "\n" in b)]:
             a = {*L.bigrams_of(unit)}
             best = max(((2 * len(a & {*L.bigrams_of(b)}) / (len(a) + len({*L.bigrams_of(b)})), k) for k, b in sorted(known.items()) if a), key=lambda x: x[0], default=(0, ""))
             if best[0] >= 0.8:

@@ -1,6 +1,7 @@
 """Dice over bigrams against plain sets; exact pruning."""
 
 import random
+import re
 
 from tidewrack.llm import licenses as L
 
@@ -10,7 +11,8 @@ def plain(rows):
     out = []
     for doc, text in rows:
         lines = (text or "").split("\n") if text is not None else []
-        for n, unit in [*enumerate(lines), *([(-1, text)] if len(lines) > 1 else [])]:
+        blocks = re.split(L.PARAGRAPHS, text or "")
+        for n, unit in [*enumerate(lines), *([(-1, text)] if len(lines) > 1 else []), *((-2 - k, b) for k, b in enumerate(blocks) if len(blocks) > 1 and "\n" in b)]:
             a = set(L.bigrams_of(unit))
             best = max(((2 * len(a & b) / (len(a) + len(b)), k) for k, b in sorted(templates.items()) if a), key=lambda x: x[0], default=(0, ""))
             if best[0] >= 0.8:

@@ -1,6 +1,7 @@
 """Licence scan: Dice coefficient over word bigrams against templates (SQL functions only).
 
-A *unit* is a line of a text, or a whole text of several lines. Normalised text is in
+A *unit* is a line of a text, a paragraph of several lines (between blank lines, where there
+are several paragraphs), or a whole text of several lines. Normalised text is in
 lower case with every run of other characters than letters and digits as one space. With
 A and B the distinct word bigrams of unit and template, ``dice = 2 |A & B| / (|A| + |B|)``;
 a unit reports its best template with ``dice >= MIN_DICE`` (ties: the smaller id).
@@ -14,15 +15,15 @@ Pruning is exact:
   it is cut into lines. Templates above ``LONG`` bigrams have key words of their own, which
   count only in a unit or text of as many words as the shortest of them needs.
 
-``TEMPLATES`` holds notices and first paragraphs; the SQL is of these. The query scans
-``COMPLETE`` as well, the whole published texts (``resources/licences``): a ``-text``
-template matches a document or line that is the licence itself.
+``TEMPLATES`` holds notices and first paragraphs, ``COMPLETE`` the whole published texts
+(``resources/licences``): a ``-text`` template matches a document or line that is the licence
+itself. Query and SQL are of both.
 
 Everything is one projection of the scan: no shuffle, no join. The templates are
 configuration, a literal of fixed size.
 
 Defined results: a null or empty text has no unit; a unit of fewer than two words has no
-bigram and matches nothing; line numbers count from 0, the whole text is line -1; repeated
+bigram and matches nothing; line numbers count from 0, the whole text is line -1, paragraph k (from 0) is -2 - k; repeated
 rows report each; an empty table gives an empty result; extra columns are ignored.
 """
 
@@ -62,6 +63,7 @@ TEMPLATES = {
 COMPLETE = {f"{p.name.removesuffix('.txt')}-text": p.read_text("utf-8") for p in sorted((files("tidewrack.resources") / "licences").iterdir(), key=lambda p: p.name)}
 LONG = 128
 
+PARAGRAPHS = r"\n[ \t\r]*\n"
 OTHER = r"[^\p{L}\p{N}]+"
 
 
@@ -121,7 +123,10 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, min_dice: float
     held = held.select("doc_id", "text", once(F.split(normal(F.col("text")), " ")).alias("all")).where(may_match(F.col("all"))).select("doc_id", "text")
     lines = F.split(F.col("text"), "\n")
     whole = F.when(F.size(lines) > 1, F.array(F.struct(F.lit(-1).alias("line"), F.col("text").alias("unit")))).otherwise(F.array().cast("array<struct<line:int,unit:string>>"))
-    units = held.select("doc_id", F.explode(F.concat(F.transform(lines, lambda x, i: F.struct(i.alias("line"), x.alias("unit"))), whole)).alias("u"))
+    blocks = F.split(F.col("text"), PARAGRAPHS)
+    several = F.filter(F.transform(blocks, lambda x, i: F.struct((-2 - i).alias("line"), x.alias("unit"))), lambda x: F.contains(x["unit"], F.lit("\n")))
+    blocks = F.when(F.size(blocks) > 1, several).otherwise(F.array().cast("array<struct<line:int,unit:string>>"))
+    units = held.select("doc_id", F.explode(F.concat(F.transform(lines, lambda x, i: F.struct(i.alias("line"), x.alias("unit"))), whole, blocks)).alias("u"))
     words = units.select("doc_id", F.col("u.line").alias("line"), once(F.split(normal(F.col("u.unit")), " ")).alias("words")).where(may_match(F.col("words")))
     sized = words.select("doc_id", "line", once(bigrams(F.col("words"))).alias("a")).where(F.size("a") > 0)
     near = sized.select("doc_id", "line", "a", once(F.filter(known, lambda t: (F.size("a") >= low * F.size(t["b"])) & (F.size("a") <= high * F.size(t["b"])))).alias("near")).where(F.size("near") > 0)
@@ -147,13 +152,17 @@ def _quoted(values: list[str]) -> str:
 
 
 ORACLE = rf"""
-WITH templates AS (SELECT * FROM (VALUES {', '.join(f"('{name}', {_quoted(bigrams_of(text))})" for name, text in sorted(TEMPLATES.items()))}) AS v(license, b)),
+WITH templates AS (SELECT * FROM (VALUES {', '.join(f"('{name}', {_quoted(bigrams_of(text))})" for name, text in sorted((TEMPLATES | COMPLETE).items()))}) AS v(license, b)),
 lines AS (SELECT row_number() OVER () AS r, doc_id, text, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL),
 units AS (SELECT r, doc_id, generate_subscripts(l, 1) - 1 AS line, unnest(l) AS unit FROM lines
-          UNION ALL SELECT r, doc_id, -1, text FROM lines WHERE len(l) > 1),
+          UNION ALL SELECT r, doc_id, -1, text FROM lines WHERE len(l) > 1
+          UNION ALL SELECT r, doc_id, line, unit FROM (
+            SELECT r, doc_id, len(b) AS n, -1 - generate_subscripts(b, 1) AS line, unnest(b) AS unit
+            FROM (SELECT r, doc_id, regexp_split_to_array(text, '{PARAGRAPHS}') AS b FROM lines)) WHERE n > 1 AND contains(unit, chr(10))),
 words AS (SELECT r, doc_id, line, string_split(trim(regexp_replace(lower(unit), '[^\p{{L}}\p{{N}}]+', ' ', 'g')), ' ') AS w FROM units),
 sized AS (SELECT r, doc_id, line, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS a FROM words WHERE len(w) > 1),
-scored AS (SELECT r, doc_id, line, license, 2.0::DOUBLE * len(list_intersect(a, b)) / (len(a) + len(b)) AS dice FROM sized, templates),
+scored AS (SELECT r, doc_id, line, license, 2.0::DOUBLE * len(list_intersect(a, b)) / (len(a) + len(b)) AS dice
+           FROM sized JOIN templates ON len(a) BETWEEN 2.0 / 3 * len(b) - 1e-9 AND 1.5 * len(b) + 1e-9),
 best AS (SELECT *, row_number() OVER (PARTITION BY r, line ORDER BY dice DESC, license) AS n FROM scored WHERE dice >= 0.8)
 SELECT doc_id, line::BIGINT AS line, license, dice FROM best WHERE n = 1
 """
