@@ -68,3 +68,18 @@ def test_pair_document_export_roundtrip(spark):
     assert sorted(back) == sorted(tuple(r)[:5] for r in pairs.collect())
     with pytest.raises(ValueError):
         PF.export_pairs_document(pairs, scratch_path(spark, "pairs-doc2"), max_pairs=1)
+
+
+def test_replacing_the_stored_set_from_itself_and_failing(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    path = str(tmp_path / "pairs")
+    df = spark.createDataFrame([(str(i), "in", "acc", ["r"]) for i in range(9)], "id string, input string, accepted string, rejected array<string>")
+    PF.write_pairs(df, path)
+    PF.write_pairs(PF.read_pairs(spark, path).where("id >= '4'"), path)
+    assert sorted((r.id, r.seq) for r in PF.read_pairs(spark, path).collect()) == [(str(i), i - 3) for i in range(4, 9)]
+    broken = F.udf(lambda x: str(1 / 0), "string")
+    with pytest.raises(Exception, match="ZeroDivisionError"):
+        PF.write_pairs(PF.read_pairs(spark, path).withColumn("input", broken("id")), path)
+    assert PF.read_pairs(spark, path).count() == 5
+    assert [p.name for p in tmp_path.iterdir() if ".old-" in p.name] == []

@@ -465,9 +465,9 @@ def q_rule_normalise_documents(spark, sf):
 
 
 @register("rule_invariant", "WITH " + ",\n".join(_ND) + f""",
-pairs AS (SELECT d.doc_id, d.text AS source, n.clean_text AS out FROM documents d JOIN {_ND_LAST} n ON d.doc_id = n.doc_id),
-found AS (SELECT doc_id, list_sort(list_filter(list_distinct(regexp_extract_all(lower(out), {O.lit(RU.WORD)})),
-    lambda w: NOT contains(regexp_replace(lower(coalesce(source, '')), {O.lit(RU.NO_WORD)}, '', 'g'), w) AND w NOT IN ({", ".join(map(O.lit, RU.LITERALS))}))) AS new FROM pairs)
+pairs AS MATERIALIZED (SELECT d.doc_id, regexp_replace(lower(coalesce(d.text, '')), {O.lit(RU.NO_WORD)}, '', 'g') AS letters,
+    list_distinct(regexp_extract_all(lower(n.clean_text), {O.lit(RU.WORD)})) AS words FROM documents d JOIN {_ND_LAST} n ON d.doc_id = n.doc_id),
+found AS (SELECT doc_id, list_sort(list_filter(words, lambda w: NOT contains(letters, w) AND w NOT IN ({", ".join(map(O.lit, RU.LITERALS))}))) AS new FROM pairs)
 SELECT doc_id, CAST(len(new) AS BIGINT) AS n_new, array_to_string(new, ' ') AS new_words FROM found""")
 def q_rule_invariant(spark, sf):
     d = read_table(spark, sf, "documents").select("doc_id", "text")
@@ -537,6 +537,31 @@ def q_conversation_chats(spark, sf):
     return PR.conversation_chats(read_table(spark, sf, "conversations"), _TPL)
 
 
+from tidewrack.operators import chat_shapes as CS  # noqa: E402
+
+
+def _shape_sql(name: str, shape: CS.ChatShape) -> str:
+    content = O.strip("coalesce(text, '')") if shape.strip else "coalesce(text, '')"
+    parts = " ".join(f"WHEN {O.lit(r)} THEN {O.lit(a)} || lead || content || {O.lit(b)}" for r, (a, b) in shape.roles.items())
+    other = shape.roles["user"]
+    lead = f"CASE WHEN folded AND t = first_user THEN {O.lit(shape.system[0])} || system || {O.lit(shape.system[1])} ELSE '' END" if shape.system else "''"
+    folded = "first_role = 'system'" if shape.system else "false"
+    return f"""SELECT conv_id, {O.lit(name)} AS shape, {O.lit(shape.begin)} || string_agg(CASE role {parts} ELSE {O.lit(other[0])} || lead || content || {O.lit(other[1])} END, '' ORDER BY turn) || {O.lit(shape.generation)} AS chat
+FROM (SELECT *, {lead} AS lead FROM (
+  SELECT *, {content} AS content, {folded} AND first_user IS NOT NULL AS folded, turn AS t, {O.strip("coalesce(first_text, '')") if shape.strip else "coalesce(first_text, '')"} AS system FROM (
+    SELECT *, first(role) OVER w AS first_role, first(text) OVER w AS first_text, min(CASE WHEN role = 'user' THEN turn END) OVER (PARTITION BY conv_id) AS first_user,
+           row_number() OVER w AS place FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)))
+  WHERE NOT (folded AND place = 1)) GROUP BY conv_id"""
+
+
+@register("chat_shapes", "\nUNION ALL ".join(f"({_shape_sql(n, s)})" for n, s in CS.SHAPES.items()))
+def q_chat_shapes(spark, sf):
+    """F3 in the shapes that public instruction models are trained on."""
+    turns = read_table(spark, sf, "conversations")
+    out = [CS.chats(turns, shape).select("conv_id", F.lit(name).alias("shape"), "chat") for name, shape in CS.SHAPES.items()]
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
 def _table_after_updates(spark, sf):
     table = _posts_table(spark, sf)
     return TB.update_clean_text(table, _updates(spark, sf, table))
@@ -846,10 +871,10 @@ def q_preference_scorer(spark, sf):
 
 @register("preference_ranking", _reward_sql() + """,
 sides AS (SELECT score_chosen AS s, 1 AS good FROM scored UNION ALL SELECT score_rejected, 0 FROM scored),
-ranked AS (SELECT good, rank() OVER (ORDER BY s) + (count(*) OVER (PARTITION BY s) - 1) / 2.0 AS r FROM sides)
+scores AS (SELECT good, rank() OVER (ORDER BY s) + (count(*) OVER (PARTITION BY s) - 1) / 2.0 AS r FROM sides)
 SELECT (SELECT CAST(count(*) AS BIGINT) FROM scored) AS pairs,
   (SELECT round(avg(CASE WHEN score_chosen > score_rejected THEN 1.0 WHEN score_chosen = score_rejected THEN 0.5 ELSE 0.0 END), 9) FROM scored) AS accuracy,
-  (SELECT round((sum(r) - count(*) * (count(*) + 1) / 2.0) / count(*) / (SELECT count(*) FROM scored), 9) FROM ranked WHERE good = 1) AS auc""")
+  (SELECT round((sum(r) - count(*) * (count(*) + 1) / 2.0) / count(*) / (SELECT count(*) FROM scored), 9) FROM scores WHERE good = 1) AS auc""")
 def q_preference_ranking(spark, sf):
     return SC.ranking(stage(_scored(spark, sf), "scored")).select("pairs", F.round("accuracy", 9).alias("accuracy"), F.round("auc", 9).alias("auc"))
 

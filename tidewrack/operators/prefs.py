@@ -5,6 +5,7 @@ A comparison pair is ``(id, input, accepted, rejected: array<string>)``.
 
 from __future__ import annotations
 
+import uuid
 import warnings
 from collections.abc import Sequence
 
@@ -14,7 +15,6 @@ from pyspark.sql import functions as F
 from tidewrack.functions.text import strip
 from tidewrack.operators.order import global_row_number
 from tidewrack.schemas import PAIR, STORED_PAIR
-from tidewrack.session import stage
 
 
 class SampleTooLargeError(ValueError):
@@ -105,10 +105,20 @@ def _explode_document(doc: DataFrame) -> DataFrame:
 
 
 def write_pairs(pairs: DataFrame, path: str, order: Sequence[str] = ("id",)) -> None:
-    """Replace the stored set by one batch. ``pairs`` may come from ``path`` itself:
-    they are staged before the old files go."""
-    staged = stage(_numbered(pairs, order), "pairs")
-    staged.withColumn("batch", F.lit(1)).write.mode("overwrite").partitionBy("batch").json(path)
+    """Replace the stored set by one batch. The new set is written beside the old one,
+    which it may have been read from, and takes its place when it is complete: the old files
+    go last. A job that fails before leaves the stored set as it was."""
+    spark = pairs.sparkSession
+    mark = uuid.uuid4().hex[:12]
+    _numbered(pairs, order).withColumn("batch", F.lit(1)).write.partitionBy("batch").json(f"{path}.new-{mark}")
+    jvm = spark.sparkContext._jvm
+    place, fresh, old = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path}.new-{mark}", f"{path}.old-{mark}"))
+    fs = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(place) and not fs.rename(place, old):
+        raise OSError(f"{path} cannot be moved away")
+    if not fs.rename(fresh, place):
+        raise OSError(f"{path}.new-{mark} cannot be moved to {path}")
+    fs.delete(old, True)
 
 
 # A one-document export holds every pair in one JSON object, so it is only written for

@@ -127,6 +127,11 @@ def conversation_chats(turns: DataFrame, template: ChatTemplate = ChatTemplate()
     through the shuffle."""
     head, mid, tail = template._pieces()
     msg = turns.select(key, order, F.concat(F.lit(head), "role", F.lit(mid), F.coalesce("text", F.lit("")), F.lit(tail)).alias("_m"))
+    return joined_chats(msg, key, order, template.generation)
+
+
+def joined_chats(msg: DataFrame, key: str, order: str, generation: str) -> DataFrame:
+    """``key, n_messages, chat`` from rendered messages ``key, order, _m``."""
     # Two levels: messages are joined per (conversation, turn bucket) first, so a very
     # long conversation is spread over many tasks; then the buckets are joined in order.
     bucket = F.floor(F.col(order) / CHAT_BUCKET).cast("long").alias("_b")
@@ -135,7 +140,7 @@ def conversation_chats(turns: DataFrame, template: ChatTemplate = ChatTemplate()
                                      F.size("_ms").cast("long").alias("_n")).alias("_p"))
     chats = part.groupBy(key).agg(F.array_sort(F.collect_list("_p")).alias("_ps"))
     return chats.select(key, F.aggregate("_ps", F.lit(0).cast("long"), lambda a, x: a + x["_n"]).alias("n_messages"),
-                        F.concat(F.array_join(F.transform("_ps", lambda x: x["_s"]), ""), F.lit(template.generation)).alias("chat"))
+                        F.concat(F.array_join(F.transform("_ps", lambda x: x["_s"]), ""), F.lit(generation)).alias("chat"))
 
 
 __all__ = ["PromptConfig", "ChatTemplate", "instruction_block", "cleaning_prompt", "with_prompts", "user_chat",

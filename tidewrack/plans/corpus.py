@@ -85,10 +85,13 @@ def feed_to_posts_observed(feed: DataFrame, num_blocks: int | None = None):
 
 
 def funnel(feed: DataFrame, num_blocks: int | None = None) -> DataFrame:
-    """M6: rows per stage of L1, as one small table (stage, seq, rows)."""
-    cleaned = clean_feed(feed)
-    kept = filter_feed(cleaned)
-    merged = thread_merge(kept, carry=("date",), num_blocks=num_blocks)
+    """M6: rows per stage of L1, as one small table (stage, seq, rows). The cleaned feed and
+    the merged posts are staged, so the chain runs once; the counts scan what is staged."""
+    from tidewrack.session import stage
+
+    cleaned = stage(clean_feed(feed).withColumn("_keep", keep_feed_text("text")), "cleaned")
+    kept = cleaned.where("_keep").drop("_keep")
+    merged = stage(thread_merge(kept, carry=("date",), num_blocks=num_blocks), "merged")
     keyed = keyed_posts(merged)
     stages = [
         ("feed", feed), ("with_text", cleaned), ("kept", kept), ("merged", merged),
