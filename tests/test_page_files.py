@@ -60,3 +60,4 @@ def test_missing_pages_and_bad_documents_raise(spark, tmp_path):
     with pytest.raises(Exception, match="(?i)malformed"):
         PF.scan_page_files(spark, root).collect()
     assert PF.read_page_files(spark, str(tmp_path / "nowhere")).collect() == []
+    assert {PF.file_system(p)[1] for p in ("/a/b", "file:/a/b", "file:///a/b")} == {"/a/b"}

@@ -38,7 +38,9 @@ def file_system(path: str):
     """``(file system, path in it)`` of a URI or a plain path."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+    if "://" in path and not path.startswith("file:"):
+        return fs.FileSystem.from_uri(path)
+    return fs.LocalFileSystem(), re.sub("^file:(//)?(?=/)", "", path)
 
 
 def page_names(path: str) -> list[str]:
