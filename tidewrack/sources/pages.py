@@ -5,6 +5,12 @@ A page is one JSON document ``{"meta": {...}, "data": [item, ...], "stats": {...
 Pages are stored one file per page under ``file_key=NNNN/`` (page number with at least
 four digits). A refreshed page may come as a revision of its own, ``file_key=NNNN-R/``;
 the highest R counts (none: 0).
+
+A feed of many small pages is stored in *packs*: ``pack=K/`` holds the pages from
+``K * pages_per_pack`` on, a line ``{"file_key": "NNNN-R", "body": document}`` for each. Files,
+listings and the files of a stream's trigger then follow the bytes of the feed, not its
+number of pages. A file ``_packed`` in the folder holds ``pages_per_pack``; every reader here
+looks for it and gives the same rows for both layouts.
 """
 
 from __future__ import annotations
@@ -17,6 +23,10 @@ from pyspark.sql import types as T
 
 from tidewrack import schemas
 from tidewrack.operators.order import global_row_number, global_running_sum
+from tidewrack.sources.table_store import _fs
+
+PAGES_PER_PACK = 512
+_PACK = "file_key string, body string, pack long"
 
 
 class MissingPagesError(RuntimeError):
@@ -110,12 +120,78 @@ def write_pages(pages: DataFrame, path: str, mode: str = "overwrite") -> None:
      .option("partitionOverwriteMode", "dynamic").partitionBy("file_key").mode(mode).text(path))
 
 
+def write_packs(pages: DataFrame, path: str, pages_per_pack: int = PAGES_PER_PACK) -> None:
+    """S2 for many pages: adds files of up to ``pages_per_pack`` pages each (a folder keeps the
+    number it began with). Files are never replaced: a refreshed page comes as a revision."""
+    spark = pages.sparkSession
+    held = pack_size(spark, path)
+    if held is None:
+        fs, root, jvm = _fs(spark, path)
+        fs.mkdirs(root)
+        out = fs.create(jvm.org.apache.hadoop.fs.Path(root, "_packed"), False)
+        out.writeInt(pages_per_pack)
+        out.close()
+    number, _ = page_revision()
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = pages.select("file_key", "body", F.floor(number / (held or pages_per_pack)).alias("pack"))
+    rows.repartition(n, "pack").write.partitionBy("pack").mode("append").json(path)
+
+
+def pack_size(spark: SparkSession, path: str) -> int | None:
+    """``pages_per_pack`` of a folder of packs; None for one file per page."""
+    fs, root, jvm = _fs(spark, path)
+    mark = jvm.org.apache.hadoop.fs.Path(root, "_packed")
+    if not fs.exists(mark):
+        return None
+    held = fs.open(mark)
+    try:
+        return held.readInt()
+    finally:
+        held.close()
+
+
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
+    """The page documents as they are: ``value, file_key`` (and ``pack``)."""
+    if pack_size(spark, path):
+        return spark.read.schema(_PACK).option("mode", "FAILFAST").json(path).withColumnRenamed("body", "value")
+    return spark.read.schema("value string, file_key string").option("wholetext", True).text(path)
+
+
+def _typed(documents: DataFrame, mode: str) -> DataFrame:
+    page = F.from_json("value", schemas.PAGE, {"mode": mode})
+    return documents.select(page.alias("_page"), "file_key", "pack").select("_page.*", "file_key", "pack")
+
+
 def read_pages(spark: SparkSession, path: str, mode: str = "FAILFAST") -> DataFrame:
-    """S1 reader: typed pages, one document per file (multi-line JSON allowed)."""
+    """S1 reader: typed pages, one document per file (multi-line JSON allowed) or packs."""
+    if pack_size(spark, path):
+        return _typed(read_documents(spark, path), mode)
     schema = T.StructType([*schemas.PAGE.fields, T.StructField("file_key", T.StringType())])
     return spark.read.schema(schema).option("multiLine", True).option("mode", mode).json(path)
 
 
+def _trigger(reader, max_files: int | None):
+    return reader.option("maxFilesPerTrigger", max_files) if max_files else reader
+
+
+def stream_names(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """The ``file_key`` of every new page."""
+    reader = _trigger(spark.readStream, max_files_per_trigger)
+    if pack_size(spark, path):
+        return reader.schema(_PACK).option("mode", "FAILFAST").json(path).select("file_key")
+    return reader.schema("value string, file_key string").option("wholetext", True).text(path).select("file_key")
+
+
+def stream_pages(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """New pages, typed."""
+    reader = _trigger(spark.readStream, max_files_per_trigger)
+    if pack_size(spark, path):
+        packs = reader.schema(_PACK).option("mode", "FAILFAST").json(path)
+        return _typed(packs.withColumnRenamed("body", "value"), "PERMISSIVE")
+    schema = T.StructType([*schemas.PAGE.fields, T.StructField("file_key", T.StringType())])
+    return reader.schema(schema).option("multiLine", True).json(path)
+
+
 def page_items(pages: DataFrame) -> DataFrame:
     """Concatenate ``data`` in (page, position) order -> one row per item."""
     exploded = pages.select(F.col("meta.page").alias("page"), F.posexplode("data").alias("pos", "item"))

@@ -1,7 +1,7 @@
 """Incremental page ingest with Structured Streaming.
 
-New page files (``file_key=NNNN/...``, or ``NNNN-R`` for a refreshed page) are picked up
-by the file source; each micro-batch runs the stateless part of the feed cleaner (P1, P2,
+New page files (``file_key=NNNN/...``, or ``NNNN-R`` for a refreshed page; or packs of many
+pages, ``sources.pages``) are picked up by the file source; each micro-batch runs the stateless part of the feed cleaner (P1, P2,
 and the P4-P6 keep flag) and lands its rows, those without a text included.
 
 Landing is append-only and idempotent: micro-batch ``b`` writes ``batch=<b>/`` with
@@ -18,14 +18,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidewrack import schemas
 from tidewrack.functions.text import clean_feed_text, keep_feed_text
 from tidewrack.operators.thread import thread_merge
 from tidewrack.plans.corpus import dedupe_posts, keyed_posts
-from tidewrack.sources.pages import page_revision
+from tidewrack.sources.pages import page_revision, stream_pages
 
 LANDED_COLUMNS = ("item_id", "page", "pos", "date", "platform", "deleted_flag", "text", "keep")
 
@@ -42,11 +40,7 @@ def clean_items(pages: DataFrame) -> DataFrame:
 
 def start_ingest(spark: SparkSession, pages_dir: str, landed_dir: str, checkpoint_location: str,
                  max_files_per_trigger: int | None = None, available_now: bool = True) -> StreamingQuery:
-    schema = T.StructType([*schemas.PAGE.fields, T.StructField("file_key", T.StringType())])
-    reader = spark.readStream.schema(schema).option("multiLine", True)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    pages = reader.json(pages_dir)
+    pages = stream_pages(spark, pages_dir, max_files_per_trigger)
     cleaned = clean_items(pages)
 
     def land(batch: DataFrame, batch_id: int) -> None:
