@@ -58,3 +58,12 @@ def test_query_pages_are_packed(spark):
     """100 pages are one file, not 100."""
     path = catalog._written_pages(spark, SF001)
     assert len(data_files(path)) == 1 and PG.read_pages(spark, path).count() == 100
+
+
+def test_streamed_posts_of_packs(spark, both):
+    posts = []
+    for path in both:
+        landed = scratch_path(spark, "landed")
+        ST.start_ingest(spark, path, landed, scratch_path(spark, "ckpt"), max_files_per_trigger=64).awaitTermination()
+        posts.append(rows(ST.landed_posts(ST.read_landed(spark, landed))))
+    assert posts[0] == posts[1] and posts[0]
