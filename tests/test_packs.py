@@ -4,8 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewrack import catalog
+from tidewrack.plans import corpus
 from tidewrack.session import scratch_path
 from tidewrack.sources import pages as PG
+from tidewrack.sources import table_store
 from tidewrack.sources.feed import load_feed
 from tidewrack.streaming import ingest as ST
 from conftest import SF001
@@ -60,6 +62,17 @@ def test_query_pages_are_packed(spark):
     assert len(data_files(path)) == 1 and PG.read_pages(spark, path).count() == 100
 
 
+def test_posts_table_of_packs(spark, both):
+    """The feed job over packs, with and without validation."""
+    tables = []
+    for path in both:
+        for validation in ("off", "quarantine"):
+            root = scratch_path(spark, "posts-table")
+            corpus.refresh_posts_table(spark, path, root, validation=validation, quarantine_dir=scratch_path(spark, "bad"))
+            tables.append(rows(table_store.read(spark, root)))
+    assert tables[0] == tables[2] and tables[1] == tables[3] and len(tables[0]) > len(tables[1]) > 0
+
+
 def test_streamed_posts_of_packs(spark, both):
     posts = []
     for path in both:

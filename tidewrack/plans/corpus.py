@@ -122,7 +122,7 @@ def refresh_posts_table(spark, pages_dir: str, table_root: str, total_pages: int
     from tidewrack.sources import table_store
 
     if validation != "off":
-        raw = PG.newest_revisions(spark.read.schema("value string, file_key string").option("wholetext", True).text(pages_dir))
+        raw = PG.newest_revisions(PG.read_documents(spark, pages_dir))
         checked = stage(PG.validate_items(raw).select("page", "pos", "item", "missing", "wrong", "valid", "page_valid"), "validated")
     if validation == "failfast":
         PG.failfast(checked)
