@@ -62,6 +62,22 @@ def test_query_pages_are_packed(spark):
     assert len(data_files(path)) == 1 and PG.read_pages(spark, path).count() == 100
 
 
+def test_validation_of_packed_documents(spark, both):
+    """A document stays one document: bad ones and those of several lines, too."""
+    bad = spark.createDataFrame([(7, "0007-9", '{"meta": {"page": 7}, "da'), (8, "0008-9", '{"meta":\n {"page": 8},\n "data": []}')], "page long, file_key string, body string")
+    path = scratch_path(spark, "packs")
+    PG.write_packs(bad, path)
+    assert rows(PG.read_documents(spark, path).select("file_key", "value")) == [("0007-9", bad.collect()[0].body), ("0008-9", bad.collect()[1].body)]
+    found = PG.validate_items(PG.read_documents(spark, path)).select("page", "wrong", "valid").collect()
+    assert len(found) == 2 and not any(r.valid for r in found) and "document" in {r.wrong for r in found}
+    single, packs = both
+    raw = [PG.validate_items(PG.newest_revisions(PG.read_documents(spark, p).select("value", "file_key"))) for p in (single, packs)]
+    assert rows(raw[0]) == rows(raw[1])
+    with pytest.raises(Exception):
+        PG.read_pages(spark, path).collect()
+    assert rows(PG.read_pages(spark, path, "PERMISSIVE").select("file_key")) == [("0007-9",), ("0008-9",)]
+
+
 def test_posts_table_of_packs(spark, both):
     """The feed job over packs, with and without validation."""
     tables = []
