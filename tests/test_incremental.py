@@ -146,3 +146,21 @@ def test_nothing_changed_and_empty(spark, tmp_path):
     assert [r.op for r in IN.refresh(spark, str(tmp_path / "pages"), root, [3]).collect()] == [1]
     assert [r.raw_text for r in IN.posts(spark, root).collect()] == ["...first row is a post"]
     assert IN.merged_feed(spark, root).select(F.max("n_parts")).first()[0] == 1
+
+
+def test_packs_give_the_same_feed(spark, tmp_path):
+    """Pages in packs: the stream takes them in fewer batches and merges the same posts."""
+    single, packs, rng = tmp_path / "pages", str(tmp_path / "packs"), random.Random(5)
+    roots = [str(tmp_path / "merged"), str(tmp_path / "merged-packs")]
+    for round_ in range(2):
+        texts = {page: some_texts(rng, 1) for page in rng.sample(range(1, 40), 24)}
+        revision = f"-{round_}" if round_ else ""
+        for page, t in texts.items():
+            save(single, page, t, revision)
+        PG.write_packs(spark.createDataFrame([(p, f"{p:04d}{revision}", document(p, t)) for p, t in texts.items()], "page long, file_key string, body string"), packs, 8)
+        for path, root in zip((str(single), packs), roots, strict=True):
+            IN.start_merge(spark, path, root, str(tmp_path / f"ckpt-{root[-5:]}"), max_files_per_trigger=4, pages_per_range=3).awaitTermination()
+    assert rows(IN.merged_feed(spark, roots[0])) == rows(IN.merged_feed(spark, roots[1]))
+    batches = [len(list((tmp_path / f"ckpt-{root[-5:]}" / "commits").glob("[0-9]*"))) for root in roots]
+    assert batches[0] >= 12 and batches[1] <= 4
+    assert files_read(IN.page_files(spark, packs, [0], 3).select("meta.page", "file_key"))[1] <= 2

@@ -24,7 +24,7 @@ When pages change (new, revised, or gone), ``refresh``
 The rows before the first head of all belong to one post, whatever they look like; its head
 is the first row of the first range with rows.
 
-Pages are files ``file_key=NNNN[-R]`` (``sources.pages``); files without a page number in
+Pages are files ``file_key=NNNN[-R]``, or packs of them (``sources.pages``); files without a page number in
 their name are not part of the feed. Work follows the number of changed ranges, not the
 feed; the one scan over all ranges is over ``ranges``, a row for each. A range is worked on
 by one task: choose ``pages_per_range`` so that its rows fit (64 pages by default), and keep
@@ -35,7 +35,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -53,10 +54,20 @@ PARTS = "_local long, _p struct<page: long, pos: long, _raw: string, _stripped:
 MERGED = "page long, pos long, date string, text string, n_parts long, id string, date_utc string, `range` long"
 
 
+def _numbers(spark: SparkSession, values: Iterable[int], name: str = "range") -> DataFrame:
+    return spark.createDataFrame(pa.table({name: pa.array(list(values), pa.int64())}))
+
+
+def _one_of(column: str, values: Iterable[int]) -> Column:
+    """``column IN (values)``, read as one expression."""
+    values = ",".join(map(str, values))
+    return F.expr(f"`{column}` IN ({values})") if values else F.lit(False)
+
+
 def _replace(rows: DataFrame, ranges: list[int], path: str) -> None:
     """Replace the partitions of ``ranges``; an empty one keeps a row of nulls, since dynamic
     overwrite only touches partitions that get rows."""
-    empty = rows.sparkSession.createDataFrame([(r,) for r in ranges], "`range` long")
+    empty = _numbers(rows.sparkSession, ranges)
     for c, kind in rows.dtypes:
         if c != "range":
             empty = empty.withColumn(c, F.lit(None).cast(kind))
@@ -64,11 +75,13 @@ def _replace(rows: DataFrame, ranges: list[int], path: str) -> None:
 
 
 def _read(spark: SparkSession, path: str, schema: str, ranges: list[int] | None) -> DataFrame:
+    """The table, or the partitions of ``ranges``: only their folders are listed, and they
+    must be there."""
     fs, p, _ = table_store._fs(spark, path)
-    if not fs.exists(p):
+    if not fs.exists(p) or ranges == []:
         return spark.createDataFrame([], schema)
-    rows = spark.read.schema(schema).parquet(path)
-    return rows if ranges is None else rows.where(F.col("range").isin(ranges))
+    reader = spark.read.schema(schema).option("basePath", path)
+    return reader.parquet(path) if ranges is None else reader.parquet(*(f"{path}/range={r}" for r in ranges))
 
 
 def read_ranges(spark: SparkSession, root: str) -> DataFrame:
@@ -77,9 +90,12 @@ def read_ranges(spark: SparkSession, root: str) -> DataFrame:
 
 def page_files(spark: SparkSession, pages_dir: str, ranges: list[int], pages_per_range: int) -> DataFrame:
     """The pages of these ranges in all revisions. The filter is on the folder names, so
-    other pages are not opened."""
-    number, _ = PG.page_revision()
-    return PG.read_pages(spark, pages_dir).where(F.floor(number / pages_per_range).isin(ranges))
+    other pages (of packs: other packs) are not opened."""
+    pages, number = PG.read_pages(spark, pages_dir), PG.page_revision()[0]
+    size = PG.pack_size(spark, pages_dir)
+    if size:
+        pages = pages.where(_one_of("pack", sorted({p // size for r in ranges for p in range(r * pages_per_range, (r + 1) * pages_per_range)})))
+    return pages.withColumn("_range", F.floor(number / pages_per_range)).where(_one_of("_range", ranges)).drop("_range")
 
 
 def range_parts(spark: SparkSession, pages_dir: str, ranges: list[int], pages_per_range: int) -> DataFrame:
@@ -107,12 +123,14 @@ def closure(old: DataFrame, new: DataFrame, changed: list[int]) -> tuple[list[in
     make these posts up. Both follow the changed ranges (and headless runs next to them)."""
     leads = stage(with_leads(new), "range-leads")
     first = [r[0] for t in (old, new) if (r := t.where("n_rows > 0").agg(F.min("range")).first())[0] is not None]
-    # The nearest range with a head before each changed one, whether that has rows or not.
+    # The nearest range with a head before each changed one, whether that has rows or not:
+    # the last head in one order of heads and points, a point before the head of its range.
     spark = new.sparkSession
-    points = spark.createDataFrame([(r,) for r in changed], "at long")
-    near = leads.where("n_heads > 0").join(F.broadcast(points), F.col("range") < F.col("at")).groupBy("at").agg(F.max("range").alias("r"))
+    at = leads.where("n_heads > 0").select(F.col("range").alias("at"), F.lit(1).alias("kind"), "range")
+    at = at.unionByName(_numbers(spark, changed, "at").select("at", F.lit(0).alias("kind"), F.lit(None).cast("long").alias("range")))
+    near = at.withColumn("r", F.last("range", ignorenulls=True).over(Window.orderBy("at", "kind"))).where("kind = 0 AND r IS NOT NULL").select("r").distinct()
     owners = sorted({*changed, *first, *(x.r for x in near.collect())})
-    own = F.broadcast(spark.createDataFrame([(r,) for r in owners], "own long"))
+    own = F.broadcast(_numbers(spark, owners, "own"))
     follow = leads.join(own, F.col("lead_range") == F.col("own"), "left_semi").select("range").collect()
     return owners, sorted({*owners, *(r["range"] for r in follow)})
 
@@ -124,19 +142,26 @@ def refresh(spark: SparkSession, pages_dir: str, root: str, changed_pages: Itera
     old = stage(read_ranges(spark, root), "ranges-before")
     if not changed:
         return _posts(spark.createDataFrame([], MERGED)).select(F.lit(1).alias("op"), "*")
-    _replace(range_parts(spark, pages_dir, changed, pages_per_range), changed, f"{root}/parts")
-    fresh = _read(spark, f"{root}/parts", PARTS, changed).groupBy("range").agg(
-        F.coalesce(F.sum("_p._n"), F.lit(0)).cast("long").alias("n_rows"), F.coalesce(F.max("_local"), F.lit(0)).cast("long").alias("n_heads"))
-    new = stage(old.where(~F.col("range").isin(changed)).unionByName(fresh), "ranges-after")
+    numbers = F.broadcast(_numbers(spark, changed))
+    # Staged: written, counted and merged; the closure's other ranges are read from the table.
+    mine = stage(range_parts(spark, pages_dir, changed, pages_per_range), "range-parts")
+    _replace(mine, changed, f"{root}/parts")
+    fresh = mine.groupBy("range").agg(F.sum("_p._n").alias("n_rows"), F.max("_local").alias("n_heads"))
+    fresh = numbers.join(fresh, "range", "left").select("range", *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_rows", "n_heads")))
+    new = stage(old.join(numbers, "range", "left_anti").unionByName(fresh), "ranges-after")
     owners, read = closure(old, new, changed)
     leads = with_leads(new).select(F.col("range").alias("l_range"), "lead_range", "lead_local")
-    parts = _read(spark, f"{root}/parts", PARTS, read).where("_local IS NOT NULL").join(leads, F.col("range") == F.col("l_range"))
+    parts = mine.unionByName(_read(spark, f"{root}/parts", PARTS, sorted(set(read) - set(changed))))
+    parts = parts.where("_local IS NOT NULL").join(leads, F.col("range") == F.col("l_range"))
     lead = F.col("_local") == 0
     parts = parts.select(F.when(lead, F.col("lead_range")).otherwise(F.col("range")).alias("t_range"), F.when(lead, F.col("lead_local")).otherwise(F.col("_local")).alias("t_local"), "_p")
-    posts = joined(parts.where(F.col("t_range").isin(owners)), ["t_range", "t_local"], ORDER, "text", EXTRA)
+    own = _numbers(spark, owners)
+    posts = joined(parts.join(F.broadcast(own), F.col("t_range") == own["range"], "left_semi"), ["t_range", "t_local"], ORDER, "text", EXTRA)
     blank = is_blank("text")
     posts = stage(posts.select(*ORDER, "date", "text", "n_parts", F.when(~blank, content_id("date", "text")).alias("id"), F.when(~blank, to_utc_iso("date")).alias("date_utc"), F.col("t_range").alias("range")), "merged-new")
-    before = stage(_posts(_read(spark, f"{root}/merged", MERGED, owners)), "merged-old")
+    # A range that no refresh has committed has no posts to give back.
+    had = sorted(r["range"] for r in old.join(F.broadcast(own), "range", "left_semi").collect())
+    before = stage(_posts(_read(spark, f"{root}/merged", MERGED, had)), "merged-old")
     _replace(posts, owners, f"{root}/merged")
     table_store.write(new, f"{root}/ranges")
     sides = before.select(F.lit(-1).alias("op"), "*").unionByName(_posts(posts).select(F.lit(1).alias("op"), "*"))
@@ -163,11 +188,7 @@ def start_merge(spark: SparkSession, pages_dir: str, root: str, checkpoint_locat
     """S16 with M1 in the stream: every micro-batch of new page files refreshes the merged
     feed. A batch that is retried replaces its own output; the order and size of batches
     make no difference to the result, and a page may be revised any number of times."""
-    reader = spark.readStream.schema("value string, file_key string").option("wholetext", True)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    number, _ = PG.page_revision()
-    names = reader.text(pages_dir).select(number.alias("page"))
+    names = PG.stream_names(spark, pages_dir, max_files_per_trigger).select(PG.page_revision()[0].alias("page"))
 
     def merge(batch: DataFrame, _: int) -> None:
         # A row for each changed range: bounded by the files of a trigger.
