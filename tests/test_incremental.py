@@ -164,3 +164,11 @@ def test_packs_give_the_same_feed(spark, tmp_path):
     batches = [len(list((tmp_path / f"ckpt-{root[-5:]}" / "commits").glob("[0-9]*"))) for root in roots]
     assert batches[0] >= 12 and batches[1] <= 4
     assert files_read(IN.page_files(spark, packs, [0], 3).select("meta.page", "file_key"))[1] <= 2
+
+
+def test_closure_of_many_ranges_joins_no_pairs(spark):
+    """The nearest head before each range comes from one order, not from all pairs."""
+    n = 4000
+    ranges = spark.range(n).select(F.col("id").alias("range"), F.lit(2).cast("long").alias("n_rows"), F.when(F.col("id") % 10 == 0, 1).otherwise(0).cast("long").alias("n_heads"))
+    owners, read = IN.closure(ranges, ranges, [15, 20, 3999])
+    assert owners == [0, 10, 15, 20, 3990, 3999] and read == [*range(11), *range(11, 31), *range(3990, 4000)]
