@@ -65,3 +65,20 @@ def test_a_vocabulary_without_all_bytes_is_refused(tmp_path):
 
 def test_words_are_forgotten_without_changing_ids(spark, ranks, library, monkeypatch):
     assert [subword.merge(w.encode(), ranks) for w in [" the", "zqxj", "=" * 77]] == [library.encode_ordinary(w) for w in [" the", "zqxj", "=" * 77]]
+
+
+def test_slices_and_flat_arrays_match_the_single_merge():
+    """Rows cut anywhere, empty rows and a sliced array; each different pretoken is merged once."""
+    import numpy as np
+    import pyarrow as pa
+
+    ranks = {bytes([b]): b for b in range(256)} | {b"ab": 256, b"abc": 257, b" ab": 258}
+    rows = [["ab", " ab", "abcab"], [], ["ab"] * 7, ["é", "xabc"], []]
+    array = pa.array([["cut"], *rows], pa.list_(pa.string())).slice(1)
+    want = [[i for w in row for i in subword.merge(w.encode(), ranks)] for row in rows]
+    for most in (1, 3, 100):
+        cuts = list(subword._slices(array.offsets.to_numpy(), most))
+        assert [c[0] for c in cuts] + [len(rows)] == [0] + [c[1] for c in cuts]
+        seen = {}
+        assert [r for a, b in cuts for r in subword.encode_words(array.slice(a, b - a), ranks, seen).to_pylist()] == want
+    assert subword._gather(np.arange(10), np.array([8, 0, 3]), np.array([2, 0, 3])).tolist() == [8, 9, 3, 4, 5]
