@@ -82,3 +82,15 @@ def test_slices_and_flat_arrays_match_the_single_merge():
         seen = {}
         assert [r for a, b in cuts for r in subword.encode_words(array.slice(a, b - a), ranks, seen).to_pylist()] == want
     assert subword._gather(np.arange(10), np.array([8, 0, 3]), np.array([2, 0, 3])).tolist() == [8, 9, 3, 4, 5]
+
+
+def test_short_and_long_merges_agree(monkeypatch):
+    """Stepwise merges and the queue give the same ids, ties to the left included."""
+    rng = random.Random(4)
+    ranks = {bytes([b]): b for b in range(256)}
+    for i in range(60):
+        ranks.setdefault(bytes(rng.choice(b"ab") for _ in range(rng.randint(2, 5))), 256 + i)
+    words = [bytes(rng.choice(b"abc") for _ in range(rng.randint(1, subword.SHORT))) for _ in range(400)]
+    short = [subword.merge(w, ranks) for w in words]
+    monkeypatch.setattr(subword, "SHORT", 0)
+    assert short == [subword.merge(w, ranks) for w in words]

@@ -35,7 +35,9 @@ from pyspark.sql import functions as F
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # --------------------------------------------------------------------------------------------
 MAX_TOKENS = 1_000_000
-KEPT_WORDS = 50_000  # pretokens whose ids a task remembers
+KEPT_WORDS = 200_000  # pretokens whose ids a task remembers
+SHORT = 24  # bytes
+MAX_RANK = 1 << 62
 AT_ONCE = 250_000  # pretokens or ids that a task works on at a time (and one text at least)
 
 Ranks = dict[bytes, int]
@@ -61,10 +63,22 @@ def pretokens(text: Column | str) -> Column:
 
 
 def merge(word: bytes, ranks: Ranks) -> list[int]:
-    """Ids of one pretoken: a queue of joinable neighbours by (rank, place)."""
+    """Ids of one pretoken. A short one looks at all its pairs in every step; a longer one
+    keeps a queue of joinable neighbours by (rank, place)."""
     if word in ranks:
         return [ranks[word]]
     n = len(word)
+    if n <= SHORT:
+        cuts = list(range(n + 1))
+        pairs = [ranks.get(word[i : i + 2], MAX_RANK) for i in range(n - 1)]
+        while pairs and (least := min(pairs)) < MAX_RANK:
+            at = pairs.index(least)
+            del cuts[at + 1], pairs[at]
+            if at < len(pairs):
+                pairs[at] = ranks.get(word[cuts[at] : cuts[at + 2]], MAX_RANK)
+            if at:
+                pairs[at - 1] = ranks.get(word[cuts[at - 1] : cuts[at + 1]], MAX_RANK)
+        return [ranks[word[i:j]] for i, j in pairwise(cuts)]
     end = list(range(1, n + 1))  # of the part that begins here
     before = list(range(-1, n - 1))  # beginning of the part before it
     alive = [True] * n
