@@ -87,3 +87,13 @@ def test_query_over_documents(spark, library):
     for i, t in rows:
         ids = library.encode(t or "")
         assert got[i] == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(library.decode(ids).encode()).hexdigest())
+
+
+def test_texts_are_encoded_in_runs_of_bounded_bytes():
+    import pyarrow as pa
+
+    texts = ["é" * 3, None, "", "a" * 20, "b", "c" * 5]
+    array = pa.array(["cut", *texts]).slice(1)
+    parts = [p.to_pylist() for p in T.runs(array, 6)]
+    assert parts == [["é" * 3, None, ""], ["a" * 20], ["b", "c" * 5]]
+    assert list(T.runs(pa.array([], pa.string()), 6)) == []

@@ -43,14 +43,15 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6  # kinds of the file format
 ROUNDS = 256
-AT_ONCE = 1 << 20  # characters encoded together; a longer text goes in slices
-KEPT = 4_000_000  # ids of encoded words that a task remembers
+AT_ONCE = 1 << 18  # characters encoded together; a longer text goes in slices
+KEPT = 500_000  # ids of encoded words that a task remembers
 WORDS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 NONE = np.iinfo(np.int64).max
 
@@ -403,6 +404,17 @@ def valid_or_replaced(run: bytes) -> bytes:
     return b"".join(out)
 
 
+def runs(texts: pa.Array, most: int) -> Iterator[pa.Array]:
+    """The texts in runs of at most ``most`` bytes; a longer text is a run of its own."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < len(texts):
+        before = int(ends[at - 1]) if at else 0
+        stop = max(at + 1, int(np.searchsorted(ends, before + most, "right")))
+        yield texts.slice(at, stop - at)
+        at = stop
+
+
 def encode(docs: DataFrame, model_path: str, text_col: str = "text", out_col: str = "ids") -> DataFrame:
     """``docs`` with the ids of the text as ``array<int>``. The model file is read by the
     driver."""
@@ -412,9 +424,12 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", out_col: st
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = Encoder(held.value.tables)
         for batch in batches:
-            got = encoder.encode([x or "" for x in batch.to_pylist()])
-            ends = np.cumsum([0] + [len(x) for x in got]).astype(np.int32)
-            yield pa.ListArray.from_arrays(ends, np.concatenate(got) if got else np.zeros(0, np.int32))
+            rows = [pa.array([], pa.list_(pa.int32()))]
+            for part in runs(batch, 4 * AT_ONCE):
+                got = encoder.encode([x or "" for x in part.to_pylist()])
+                ends = np.cumsum([0] + [len(x) for x in got]).astype(np.int32)
+                rows.append(pa.ListArray.from_arrays(ends, np.concatenate(got)))
+            yield pa.concat_arrays(rows)
 
     return docs.withColumn(out_col, ids(F.coalesce(F.col(text_col), F.lit(""))))
 
