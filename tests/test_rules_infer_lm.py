@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from tidewrack.operators import infer as INF
 from tidewrack.operators import lm as LM
 from tidewrack.operators import prompts as PR
+from tidewrack.operators.joins import small_side
 
 
 def norm(spark, texts):
@@ -107,6 +108,22 @@ def test_vocabulary_reserves_pad(spark):
     assert v == {"[PAD]": (0, 0), "[UNK]": (1, 0), "a": (2, 2), "b": (3, 1), "c": (4, 1)}
 
 
+def test_encode_joins_words_of_packs_not_tokens(spark, monkeypatch):
+    texts = [("a", "x y x. " * 500), ("b", None), ("c", ""), ("d", "Y new x"), (None, "y"), ("d", "x x")]
+    df = spark.createDataFrame(texts, "k string, text string").coalesce(1)
+    vocab = LM.vocabulary(df.where("k <> 'd'"))
+    ids = {r.token: r.id for r in vocab.collect()}
+    tok = lambda t: (t or "").lower().replace(".", " .").split()
+    for length, small in ((None, 64_000_000), (2, 0)):
+        monkeypatch.setattr(LM, "small_side", lambda v, n=small: small_side(v, n))
+        rows = [(r.k, r.input_ids) for r in LM.encode(df, vocab, "k", length=length).collect()]
+        assert sorted(rows, key=str) == sorted(((k, [ids.get(w, 1) for w in tok(t)][:length]) for k, t in texts), key=str)
+    many = spark.createDataFrame([(i, "x y z") for i in range(2500)], "k int, text string").coalesce(1)
+    packs = LM.token_packs(many, "k", F.split("text", " "), 1000).collect()
+    assert sorted((p.words, len(p.refs) // 12) for p in packs) == [(["x", "y", "z"], n) for n in (500, 1000, 1000)]
+    assert len({p["_pack"] for p in packs}) == 3
+
+
 from hypothesis import given, settings  # noqa: E402
 from hypothesis import strategies as st  # noqa: E402
 
