@@ -172,3 +172,30 @@ def test_closure_of_many_ranges_joins_no_pairs(spark):
     ranges = spark.range(n).select(F.col("id").alias("range"), F.lit(2).cast("long").alias("n_rows"), F.when(F.col("id") % 10 == 0, 1).otherwise(0).cast("long").alias("n_heads"))
     owners, read = IN.closure(ranges, ranges, [15, 20, 3999])
     assert owners == [0, 10, 15, 20, 3990, 3999] and read == [*range(11), *range(11, 31), *range(3990, 4000)]
+
+
+def test_files_follow_rows_not_ranges(spark, tmp_path):
+    """Many ranges share bundles; a small refresh adds a folder and leaves the others as they
+    are; folders without rows in use go."""
+    packs, root = str(tmp_path / "packs"), tmp_path / "merged"
+
+    def put(pages, text, revision=""):
+        PG.write_packs(spark.createDataFrame([(p, f"{p:04d}{revision}", document(p, [text, "...more"])) for p in pages], "page long, file_key string, body string"), packs, 100)
+
+    def equal():
+        merged, _ = full(spark, packs)
+        assert rows(IN.merged_feed(spark, str(root))) == rows(merged)
+
+    put(range(600), "A post")
+    IN.refresh(spark, packs, str(root), range(600), 1)
+    assert len(list(root.glob("parts/v=1/bundle=*/*.parquet"))) == len(list(root.glob("merged/v=1/bundle=*/*.parquet"))) == 200
+    put([7, 300], "...on", "-1")
+    IN.refresh(spark, packs, str(root), [7, 300], 1)
+    assert len(list(root.glob("parts/v=2/bundle=*/*.parquet"))) == 2 and files_read(IN._read(spark, f"{root}/parts", IN.PARTS, [6, 7, 8]).select("_p", "range")) == ({6, 7, 8}, 2)
+    equal()
+    put(range(600), "Again", "-2")
+    IN.refresh(spark, packs, str(root), range(600), 1)
+    assert {p.name for p in root.glob("*/v=[0-9]")} == {"v=1", "v=2", "v=3"}
+    IN.refresh(spark, packs, str(root), [5], 1)
+    assert {p.name for p in root.glob("*/v=[0-9]")} == {"v=3", "v=4"}
+    equal()

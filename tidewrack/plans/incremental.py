@@ -2,12 +2,18 @@
 
 The feed is cut into *ranges* of ``pages_per_range`` pages. Three tables stand in a folder:
 
-``parts``    partitioned by range: the thread partials of the range's own rows. ``_local``
-             counts the heads inside the range; 0 is the *lead*, the rows before its first
-             head, which go on a thread of an earlier range.
-``merged``   partitioned by the range of the head row: the merged posts (M1), with their
-             content id and UTC date, null ids for blank ones.
-``ranges``   one row for each range with its numbers of rows and heads, in versions.
+``parts``    by range: the thread partials of the range's own rows. ``_local`` counts the
+             heads inside the range; 0 is the *lead*, the rows before its first head, which
+             go on a thread of an earlier range.
+``merged``   by the range of the head row: the merged posts (M1), with their content id and
+             UTC date, null ids for blank ones.
+``ranges``   one row for each range with its numbers of rows and heads, and the places of its
+             rows in the other two, in versions.
+
+A refresh writes the rows of its ranges to a folder of its own, ``v=N/bundle=B/``: a bundle for
+each range if they are few, else up to ``RANGES_PER_BUNDLE`` ranges in one, so that files follow
+the rows and not the ranges. Nothing is written over: rows that ``ranges`` no longer points to
+are not read, and a folder without others is deleted, one refresh later.
 
 When pages change (new, revised, or gone), ``refresh``
 
@@ -19,7 +25,7 @@ When pages change (new, revised, or gone), ``refresh``
 3. reads the partials of the closure only, joins them, and replaces the ``merged`` posts of
    the ranges whose posts can have changed;
 4. writes the next version of ``ranges``: the commit. Whatever failed before is done again
-   with the same pages and replaces its own output.
+   with the same pages, and has changed nothing that is read.
 
 The rows before the first head of all belong to one post, whatever they look like; its head
 is the first row of the first range with rows.
@@ -49,7 +55,8 @@ from tidewrack.sources import table_store
 
 PAGES_PER_RANGE = 64
 ORDER, EXTRA = ["page", "pos"], ["date"]
-RANGES = "`range` long, n_rows long, n_heads long"
+RANGES_PER_BUNDLE, BUNDLES = 64, 256  # ranges in a bundle, at most; bundles up to which it holds fewer
+RANGES = "`range` long, n_rows long, n_heads long, parts_v long, parts_b long, merged_v long, merged_b long"
 PARTS = "_local long, _p struct<page: long, pos: long, _raw: string, _stripped: string, _tail: string, _n: long, date: string>, `range` long"
 MERGED = "page long, pos long, date string, text string, n_parts long, id string, date_utc string, `range` long"
 
@@ -59,29 +66,65 @@ def _numbers(spark: SparkSession, values: Iterable[int], name: str = "range") ->
 
 
 def _one_of(column: str, values: Iterable[int]) -> Column:
-    """``column IN (values)``, read as one expression."""
-    values = ",".join(map(str, values))
-    return F.expr(f"`{column}` IN ({values})") if values else F.lit(False)
+    """``column IN (values)``, read as one expression; a few runs of numbers as such."""
+    runs: list[list[int]] = []
+    for v in sorted(set(values)):
+        if runs and v == runs[-1][1] + 1:
+            runs[-1][1] = v
+        else:
+            runs.append([v, v])
+    if not runs:
+        return F.lit(False)
+    if len(runs) <= 32:
+        return F.expr(" OR ".join(f"`{column}` BETWEEN {a} AND {b}" for a, b in runs))
+    return F.expr(f"`{column}` IN ({','.join(str(v) for a, b in runs for v in range(a, b + 1))})")
+
+
+def _places(spark: SparkSession, ranges: list[int]) -> DataFrame:
+    """``at, bundle``: the bundles of these ranges, in order."""
+    size = min(RANGES_PER_BUNDLE, -(-len(ranges) // BUNDLES)) or 1
+    return spark.createDataFrame(pa.table({"at": pa.array(ranges, pa.int64()), "bundle": pa.array([i // size for i in range(len(ranges))], pa.int64())}))
 
 
 def _replace(rows: DataFrame, ranges: list[int], path: str) -> None:
-    """Replace the partitions of ``ranges``; an empty one keeps a row of nulls, since dynamic
-    overwrite only touches partitions that get rows."""
+    """Write the rows of ``ranges`` by bundles; an empty range keeps a row of nulls, so that
+    every bundle is there."""
     empty = _numbers(rows.sparkSession, ranges)
     for c, kind in rows.dtypes:
         if c != "range":
             empty = empty.withColumn(c, F.lit(None).cast(kind))
-    rows.unionByName(empty).repartition("range").write.option("partitionOverwriteMode", "dynamic").partitionBy("range").mode("overwrite").parquet(path)
+    placed = rows.unionByName(empty).join(F.broadcast(_places(rows.sparkSession, ranges)), F.col("range") == F.col("at")).drop("at")
+    placed.repartition("bundle").sortWithinPartitions("bundle", "range").write.partitionBy("bundle").mode("overwrite").parquet(path)
 
 
 def _read(spark: SparkSession, path: str, schema: str, ranges: list[int] | None) -> DataFrame:
-    """The table, or the partitions of ``ranges``: only their folders are listed, and they
-    must be there."""
-    fs, p, _ = table_store._fs(spark, path)
-    if not fs.exists(p) or ranges == []:
+    """The rows of ``ranges`` (None: of all) that ``ranges`` points to: only the bundles that
+    hold them are listed."""
+    root, name = path.rsplit("/", 1)
+    known = read_ranges(spark, root)
+    known = known if ranges is None else known.where(_one_of("range", ranges))
+    found: dict[int, dict[int, int]] = {}
+    for r, v, b in known.select("range", f"{name}_v", f"{name}_b").collect():
+        found.setdefault(v, {})[r] = b
+    if not found:
         return spark.createDataFrame([], schema)
-    reader = spark.read.schema(schema).option("basePath", path)
-    return reader.parquet(path) if ranges is None else reader.parquet(*(f"{path}/range={r}" for r in ranges))
+    folders = [f"{path}/v={v}/bundle={b}" for v, held in found.items() for b in sorted(set(held.values()))]
+    rows = spark.read.schema(f"{schema}, v long, bundle long").option("basePath", path).parquet(*folders)
+    live = F
+    for v, held in found.items():
+        live = live.when(F.col("v") == v, _one_of("range", held))
+    return rows.where(live).drop("v", "bundle")
+
+
+def _clear(spark: SparkSession, root: str, *tables: DataFrame) -> None:
+    """Delete the folders of ``parts`` and ``merged`` that none of these versions of ``ranges``
+    points to."""
+    for name in ("parts", "merged"):
+        held = {r[0] for t in tables for r in t.select(f"{name}_v").distinct().collect()}
+        for v in table_store.versions(spark, f"{root}/{name}", committed=False):
+            if v not in held:
+                fs, p, _ = table_store._fs(spark, f"{root}/{name}/v={v}")
+                fs.delete(p, True)
 
 
 def read_ranges(spark: SparkSession, root: str) -> DataFrame:
@@ -143,12 +186,15 @@ def refresh(spark: SparkSession, pages_dir: str, root: str, changed_pages: Itera
     if not changed:
         return _posts(spark.createDataFrame([], MERGED)).select(F.lit(1).alias("op"), "*")
     numbers = F.broadcast(_numbers(spark, changed))
+    version = max([0, *table_store.versions(spark, f"{root}/ranges", committed=False)]) + 1
     # Staged: written, counted and merged; the closure's other ranges are read from the table.
     mine = stage(range_parts(spark, pages_dir, changed, pages_per_range), "range-parts")
-    _replace(mine, changed, f"{root}/parts")
+    _replace(mine, changed, f"{root}/parts/v={version}")
     fresh = mine.groupBy("range").agg(F.sum("_p._n").alias("n_rows"), F.max("_local").alias("n_heads"))
     fresh = numbers.join(fresh, "range", "left").select("range", *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_rows", "n_heads")))
-    new = stage(old.join(numbers, "range", "left_anti").unionByName(fresh), "ranges-after")
+    places = _places(spark, changed).select(F.col("at").alias("range"), F.lit(version).cast("long").alias("parts_v"), F.col("bundle").alias("parts_b"))
+    fresh = fresh.join(F.broadcast(places), "range")
+    new = stage(old.join(numbers, "range", "left_anti").unionByName(fresh, allowMissingColumns=True), "ranges-after")
     owners, read = closure(old, new, changed)
     leads = with_leads(new).select(F.col("range").alias("l_range"), "lead_range", "lead_local")
     parts = mine.unionByName(_read(spark, f"{root}/parts", PARTS, sorted(set(read) - set(changed))))
@@ -162,8 +208,12 @@ def refresh(spark: SparkSession, pages_dir: str, root: str, changed_pages: Itera
     # A range that no refresh has committed has no posts to give back.
     had = sorted(r["range"] for r in old.join(F.broadcast(own), "range", "left_semi").collect())
     before = stage(_posts(_read(spark, f"{root}/merged", MERGED, had)), "merged-old")
-    _replace(posts, owners, f"{root}/merged")
-    table_store.write(new, f"{root}/ranges")
+    _replace(posts, owners, f"{root}/merged/v={version}")
+    merged = new.join(F.broadcast(_places(spark, owners)), F.col("range") == F.col("at"), "left")
+    owned = F.col("at").isNotNull()
+    merged = merged.withColumn("merged_v", F.when(owned, version).otherwise(F.col("merged_v"))).withColumn("merged_b", F.when(owned, F.col("bundle")).otherwise(F.col("merged_b")))
+    table_store.write(merged.select(*old.columns), f"{root}/ranges")
+    _clear(spark, root, old, read_ranges(spark, root))
     sides = before.select(F.lit(-1).alias("op"), "*").unionByName(_posts(posts).select(F.lit(1).alias("op"), "*"))
     columns = ["id", "date", "raw_text", "page", "pos"]
     return sides.groupBy(*columns).agg(F.sum("op").cast("int").alias("op")).where("op <> 0").select("op", *columns)
