@@ -216,3 +216,70 @@ def test_keep_one_with_clashing_names(spark):
     kept = J.keep_one(df)
     assert kept.columns == df.columns
     assert sorted(map(tuple, kept.collect())) == [(1, text, *range(len(names))), (3, "other words", *range(len(names)))]
+
+
+def test_keys_of_many_sets_are_those_of_each():
+    """Sets and lists made for many texts at once, short and odd ones among them."""
+    rng = random.Random(4)
+    many = [(t or "").encode() if t is not None else None for _, t in fixture(2)]
+    many += [" ".join(rng.choice(["a", "b", f"c{rng.randrange(60)}"]) for _ in range(rng.randrange(90))).encode() for _ in range(300)]
+    for rule in (J.Rule(), J.Rule(5, 80), J.Rule(5, 70)):
+        x, begin = J.shingle_sets(many, rule.shingle)
+        keys, of = J.keys_of_sets(x, begin, rule)
+        for i, text in enumerate(many):
+            alone = J.shingle_set(text, rule.shingle)
+            assert np.array_equal(x[begin[i] : begin[i + 1]], alone)
+            assert J.set_keys(x, begin)[i] == J.set_key(alone)
+            assert sorted(keys[of == i].tolist()) == sorted(J.list_keys(alone, rule).tolist()), (rule, i)
+
+
+def test_a_good_deal_enters_one_block_more_than_partners_can_change():
+    rng = np.random.default_rng(14)
+    for rule in (J.Rule(), J.Rule(5, 80)):
+        for n in (500, 2000, 9000):
+            own = int(np.searchsorted(rule.classes, n, "right")) - 1
+            most = sum(rule.heavy(own - back)[0] + 1 for back in range(rule.steps + 1))
+            assert len(J.list_keys(np.unique(rng.integers(1, 2**63, n, dtype=np.uint64)), rule)) <= most
+
+
+def test_lists_of_the_same_sets_become_one():
+    entries = [(key, sk, 30, sk) for key, sets in ((256, (1, 2)), (512, (2, 1)), (768, (1, 2, 3)), (1024, (4,)), (1280, (5, 5))) for sk in sets]
+    key, sk, n, lists = J.several_sets(*(np.array(c, np.int64) for c in zip(*entries, strict=True)))
+    found = sorted(sorted((int(s), int(c)) for s, c in zip(sk[key == k], lists[key == k], strict=True)) for k in np.unique(key))
+    assert found == [[(1, 1), (2, 1), (3, 1)], [(1, 2), (2, 2)]] and set(n.tolist()) == {30}
+
+
+def test_pairs_of_tiles_equal_the_whole_group():
+    rng = random.Random(9)
+    for rule in (J.Rule(), J.Rule(5, 80)):
+        pool = np.array(rng.sample(range(1, 10**9), 90), np.uint64)
+        center = np.unique(pool[:70])
+        sets = [np.unique(pool[rng.sample(range(90), rng.randint(55, 90))]) for _ in range(40)]
+        members = [(i, i, len(x), np.setxor1d(center, x)) for i, x in enumerate(sets)]
+        tile = np.array([rng.randrange(3) for _ in members])
+
+        def components(links):
+            label = list(range(len(members)))
+            for a, b in links:
+                label = [label[a] if v == label[b] else v for v in label]
+            return [[x == y for y in label] for x in label]
+
+        parts = []
+        for i in range(3):
+            for j in range(i, 3):
+                at = [k for k in range(len(members)) if tile[k] in (i, j)]
+                parts += J.joining_links([members[k] for k in at], rule, tile[at])
+        assert components(parts) == components(J.joining_links(members, rule))
+
+
+def test_a_family_of_thousands_is_settled_in_one_round(spark, monkeypatch):
+    """Different texts around one passage, most of them without a link."""
+    rng = random.Random(10)
+    passage = " ".join(f"p{i}" for i in range(40))
+    rows = [(i, passage + " " + " ".join(f"w{rng.randrange(10**6)}" for _ in range(20))) for i in range(4100)]
+    rows.append((5000, rows[7][1] + " more"))
+    dealt_anew = []
+    lists = J.difference_lists
+    monkeypatch.setattr(J, "difference_lists", lambda pairs, *a: dealt_anew.append(pairs.count()) or lists(pairs, *a))
+    got = {r.doc_id: r.component_id for r in J.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: 7 if i == 5000 else i for i, _ in rows} and sum(dealt_anew) == 0

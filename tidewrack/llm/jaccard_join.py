@@ -62,16 +62,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewrack.llm.common import U64, map_rows, mix, shingle_hashes, texts, word_hashes
+from tidewrack.llm.common import NOT_WS, U64, mix, runs, shingle_hashes, texts, word_hashes
 from tidewrack.llm.components import connected_components, with_edges
 from tidewrack.session import stage
 
 CHECK_COST = 4  # list entries that one check of a candidate is worth
 MAX_WORDS = 1 << 31
-GROUP = 4_000  # members of a centre's lists up to which they are settled tile by tile
-TILE = 120
+GROUP = 64_000  # members of a centre's lists up to which they are settled tile by tile
+TILE = 1_000
+TILE_BYTES = 4_000_000  # of differences
+DENSE = 8  # a shingle in which one member of so many differs is worth a column of a matrix
 DEALS = 12  # deals that a set tries for one in which few blocks are small
 LIGHT_LISTS = 255  # a key's low byte: its heavy class, or this
+CHUNK = 200_000  # bytes of text whose sets are made together
+FLUSH = 400_000  # list entries that are packed together
+SLOTS = 1 << 22  # by which keys that stand alone are found
+ENTRY = np.dtype([("key", "<i8"), ("sk", "<i8"), ("n", "<i4")])
 
 
 @dataclass(frozen=True)
@@ -141,6 +147,11 @@ class Rule:
         h = self.difference(top, self.partner(top))
         return h, blocks_for(h, self.layout[1])
 
+    @cached_property
+    def all_heavy(self) -> np.ndarray:
+        """``heavy`` of every class."""
+        return np.array([self.heavy(i) for i in range(len(self.classes) - 1)], np.int64)
+
 
 def blocks_for(difference: int, spare: int = 3) -> int:
     """``spare`` tenths more than needed, so that small blocks can be passed over."""
@@ -152,8 +163,39 @@ def shingle_set(text: bytes | None, k: int) -> np.ndarray:
     return np.unique(shingle_hashes(word_hashes(np.frombuffer((text or b"").lower(), np.uint8)), k))
 
 
+def shingle_sets(many: list[bytes | None], k: int) -> tuple[np.ndarray, np.ndarray]:
+    """``shingle_set`` of each text, one after the other, and where each begins (and the last
+    ends)."""
+    b = np.frombuffer(b" ".join([t or b"" for t in many]).lower(), np.uint8)
+    starts = np.cumsum([0, *(len(t or b"") + 1 for t in many)])
+    spans = runs(NOT_WS.take(b))
+    hashes, at = word_hashes(b, spans), np.searchsorted(spans[0], starts)
+    words = np.diff(at)
+    count = np.where(words < k, np.minimum(words, 1), words - k + 1)
+    begin = np.append(0, np.cumsum(count))
+    flat = np.zeros(begin[-1], U64)
+    for i in np.flatnonzero((words > 0) & (words < k)):
+        flat[begin[i]] = shingle_hashes(hashes[at[i] : at[i + 1]], k)[0]
+    if (words >= k).any():
+        long = np.repeat(words >= k, count)
+        flat[long] = shingle_hashes(hashes, k)[(np.arange(begin[-1]) + np.repeat(at[:-1] - begin[:-1], count))[long]]
+    for lo, hi in zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True):
+        flat[lo:hi].sort()
+    new = np.append(True, flat[1:] != flat[:-1]) if len(flat) else np.zeros(0, bool)
+    new[begin[:-1][count > 0]] = True
+    return flat[new], np.append(0, np.cumsum(new))[begin]
+
+
 def set_key(x: np.ndarray) -> np.uint64:
-    return mix(np.array([mix(x, 3).sum(dtype=np.uint64) + U64(len(x))], U64), 4)[0]
+    return set_keys(x, np.array([0, len(x)]))[0]
+
+
+def set_keys(x: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    total = np.append(U64(0), np.cumsum(mix(x, 3)))[begin]
+    return mix(np.diff(total) + np.diff(begin).astype(U64), 4)
+
+
+BLOCK = U64(0x9E3779B97F4A7C15)
 
 
 def deal(x: np.ndarray, blocks: int, salt: int) -> tuple[np.ndarray, np.ndarray]:
@@ -161,11 +203,11 @@ def deal(x: np.ndarray, blocks: int, salt: int) -> tuple[np.ndarray, np.ndarray]
     to = ((mix(x, salt) >> U64(32)) * U64(blocks) >> U64(32)).astype(np.int64)
     content = np.zeros(blocks, U64)
     np.add.at(content, to, mix(x, salt + 1))
-    return mix(content + np.arange(blocks).astype(U64) * U64(0x9E3779B97F4A7C15), salt + 2), np.bincount(to, minlength=blocks)
+    return mix(content + np.arange(blocks).astype(U64) * BLOCK, salt + 2), np.bincount(to, minlength=blocks)
 
 
-def tagged(key: np.ndarray, lists: int) -> np.ndarray:
-    return (key & ~U64(255)) | U64(lists)
+def tagged(key: np.ndarray, lists: int | np.ndarray) -> np.ndarray:
+    return (key & ~U64(255)) | np.asarray(lists).astype(U64)
 
 
 def list_keys(x: np.ndarray, rule: Rule) -> np.ndarray:
@@ -180,34 +222,83 @@ def list_keys(x: np.ndarray, rule: Rule) -> np.ndarray:
             out.append(tagged(mix(np.array([whole + U64(n)], U64), 7), LIGHT_LISTS))
         out.append(tagged(mix(whole - each + U64(n - 1), 7), LIGHT_LISTS))
     if n > rule.light_limit:
-        own, small = int(np.searchsorted(rule.classes, n, "right")) - 1, rule.layout[2]
+        own = int(np.searchsorted(rule.classes, n, "right")) - 1
         for scheme in range(max(0, own - rule.steps), own + 1):
-            h, m = rule.heavy(scheme)
-            for turn in range(DEALS):
-                key, count = deal(x, m, 10 if not turn else 40 + 10 * turn)
-                key = mix(key + U64(scheme), 16)
-                out.append(tagged(key[count >= small], scheme))
-                if (count < small).sum() < m - h:
-                    break
-            else:
-                key, count = deal(x, m, 10)
-                few = mix(key + U64(scheme), 16)[count < small]
-                other, _ = deal(x, m, 20)
-                out.append(tagged(mix(few[:, None] ^ (other[None, :] * U64(3)), 17).ravel(), scheme))
+            out += scheme_keys(x, rule, scheme)
     return np.concatenate(out)
 
 
-ENTRY = "key long, sk long, n int, label long"
-
-
-def document_sets(docs: DataFrame, rule: Rule) -> DataFrame:
-    """``doc_id, th, n, sk``; sk is null for the empty set."""
-
-    def make(batch: pa.RecordBatch) -> dict:
-        sets = [shingle_set(t, rule.shingle) for t in texts(batch.column(2))]
-        return {"doc_id": batch.column(0), "th": batch.column(1), "n": [len(x) for x in sets], "sk": [int(set_key(x).view(np.int64)) if len(x) else None for x in sets]}
-
-    return map_rows(docs.select("doc_id", "th", "text"), "doc_id long, th long, n long, sk long", make)
+def scheme_keys(x: np.ndarray, rule: Rule, scheme: int, first: int = 0) -> list[np.ndarray]:
+    """Keys of a set's lists of a heavy class, from deal ``first`` on. Of a good deal the first
+    ``h + 1`` larger blocks are entered, h being the largest difference: one of them is shared
+    with any partner, and no later one of the partner's first ``h + 1``."""
+    h, m = rule.all_heavy[scheme].tolist()
+    out, small = [], rule.layout[2]
+    for turn in range(first, DEALS):
+        key, count = deal(x, m, 10 if not turn else 40 + 10 * turn)
+        large = np.flatnonzero(count >= small)
+        out.append(tagged(mix(key[large[: h + 1]] + U64(scheme), 16), scheme))
+        if len(large) > h:
+            return out
+    key, count = deal(x, m, 10)
+    few = mix(key + U64(scheme), 16)[count < small]
+    other, _ = deal(x, m, 20)
+    return [*out, tagged(mix(few[:, None] ^ (other[None, :] * U64(3)), 17).ravel(), scheme)]
+
+
+def keys_of_sets(x: np.ndarray, begin: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
+    """``list_keys`` of many sets, and the number of the set that each key is of. Only the sets
+    that need a second deal are taken one by one."""
+    n, keys, of = np.diff(begin), [], []
+
+    def add(i, more):
+        for key in more:
+            keys.append(key)
+            of.append(np.full(len(key), i))
+
+    for i in np.flatnonzero((n >= rule.least) & (n <= rule.light_limit + 1)):
+        add(i, [list_keys(x[begin[i] : begin[i + 1]], rule)])
+    to_block, content = mix(x, 10) >> U64(32), mix(x, 11)
+    own = np.searchsorted(rule.classes, n, "right") - 1
+    for back in range(rule.steps + 1):
+        sets = np.flatnonzero((n > rule.light_limit + 1) & (own >= back))
+        if not len(sets):
+            continue
+        scheme = own[sets] - back
+        h, m = rule.all_heavy[scheme].T
+        first = np.append(0, np.cumsum(m))
+        inside = np.repeat(np.isin(np.arange(len(n)), sets), n)
+        block = (to_block[inside] * np.repeat(m, n[sets]).astype(U64) >> U64(32)).astype(np.int64) + np.repeat(first[:-1], n[sets])
+        total = np.zeros(first[-1], U64)
+        np.add.at(total, block, content[inside])
+        large = np.flatnonzero(np.bincount(block, minlength=first[-1]) >= rule.layout[2])
+        upto = np.searchsorted(large, first)
+        held = np.diff(upto)
+        entered = np.minimum(held, h + 1)
+        set_ = np.repeat(np.arange(len(sets)), entered)
+        large = large[np.arange(len(set_)) + np.repeat(upto[:-1] - np.cumsum(entered) + entered, entered)]
+        key = mix(total[large] + (large - first[set_]).astype(U64) * BLOCK, 12)
+        keys.append(tagged(mix(key + scheme[set_].astype(U64), 16), scheme[set_]))
+        of.append(sets[set_])
+        for i in np.flatnonzero(held <= h):
+            add(sets[i], scheme_keys(x[begin[sets[i]] : begin[sets[i] + 1]], rule, int(scheme[i]), 1))
+    return (np.concatenate(keys), np.concatenate(of)) if keys else (np.zeros(0, U64), np.zeros(0, np.int64))
+
+
+ROWS = "key long, sk long, n int, label long"
+LISTS = "doc_id long, th long, n int, sk long, key long, lists long"
+
+
+def chunks(batches, column: int):
+    """A few rows of a batch at a time: the rows, and their texts (``CHUNK`` bytes or one)."""
+    for batch in batches:
+        first, held, size = 0, [], 0
+        for i, t in enumerate(texts(batch.column(column))):
+            held.append(t)
+            size += len(t or b"")
+            if size >= CHUNK or i + 1 == batch.num_rows:
+                yield batch.slice(first, i + 1 - first), held
+                first, held, size = i + 1, [], 0
 
 
 def entry_batches(*columns: np.ndarray):
@@ -215,36 +306,77 @@ def entry_batches(*columns: np.ndarray):
         yield pa.RecordBatch.from_arrays([pa.array(c[lo : lo + 200_000]) for c in columns], names=["key", "sk", "n", "label"])
 
 
-def postings(docs: DataFrame, rule: Rule) -> DataFrame:
-    """``key, sk, n, label`` for every list entry, labelled by the set itself; equal sets of a
-    task are entered once."""
+def packed(entries: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """The entries of each bucket of keys as one binary value."""
+    to = (entries["key"].view(U64) >> U64(32)) * U64(buckets) >> U64(32)
+    order = np.argsort(to.astype(np.uint16 if buckets < 1 << 16 else np.int64), kind="stable")
+    size = np.bincount(to.astype(np.int64), minlength=buckets)
+    held = np.flatnonzero(size)
+    ends = np.append(0, np.cumsum(size[held] * ENTRY.itemsize)).astype(np.int32)
+    values = pa.Array.from_buffers(pa.binary(), len(held), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(entries[order]))])
+    none = pa.nulls(len(held), pa.int64())
+    return pa.RecordBatch.from_arrays([pa.array(held, pa.int32()), none, none, none.cast(pa.int32()), none, values], names=["bucket", "doc_id", "th", "n", "sk", "entries"])
+
+
+def postings(docs: DataFrame, rule: Rule, buckets: int) -> DataFrame:
+    """A row ``doc_id, th, n, sk`` for each document (sk is null for the empty set), in any
+    bucket; and the list entries, packed by ``bucket`` of their key. Equal sets of a task are
+    entered once."""
 
     def run(batches):
-        seen = set()
+        seen, held, size = set(), [], 0
+        for batch, many in chunks(batches, 2):
+            x, begin = shingle_sets(many, rule.shingle)
+            n, sk = np.diff(begin).astype(np.int32), set_keys(x, begin).view(np.int64)
+            to = mix(batch.column(1).to_numpy().view(U64) + np.arange(len(n)).astype(U64), 34) % U64(buckets)
+            yield pa.RecordBatch.from_arrays([pa.array(to.astype(np.int32)), *batch.columns[:2], pa.array(n), pa.array(sk, mask=n == 0), pa.nulls(len(n), pa.binary())], names=["bucket", "doc_id", "th", "n", "sk", "entries"])
+            new = np.zeros(len(n), bool)
+            for i in np.flatnonzero(n >= rule.least):
+                new[i] = (key := int(sk[i])) not in seen
+                seen.add(key)
+            if not new.any():
+                continue
+            keys, of = keys_of_sets(x[np.repeat(new, n)], np.append(0, np.cumsum(n[new])), rule)
+            entries = np.empty(len(keys), ENTRY)
+            entries["key"], entries["sk"], entries["n"] = keys.view(np.int64), sk[new][of], n[new][of]
+            held.append(entries)
+            size += len(entries)
+            if size >= FLUSH:
+                yield packed(np.concatenate(held), buckets)
+                held, size = [], 0
+        if size:
+            yield packed(np.concatenate(held), buckets)
+
+    return docs.select("doc_id", "th", "text").mapInArrow(run, "bucket int, doc_id long, th long, n int, sk long, entries binary")
+
+
+def scan_postings(postings: DataFrame, buckets: int) -> DataFrame:
+    """The documents' rows, and the lists of several sets. One task holds the entries of one
+    bucket."""
+
+    def run(batches):
+        held = []
         for batch in batches:
-            keys, sks, sizes = [], [], []
-
-            def entries():
-                sk = np.concatenate(sks)
-                yield from entry_batches(np.concatenate(keys).view(np.int64), sk, np.concatenate(sizes), sk)
-
-            for t in texts(batch.column(0)):
-                x = shingle_set(t, rule.shingle)
-                if len(x) < rule.least:
-                    continue
-                sk = int(set_key(x).view(np.int64))
-                if sk not in seen:
-                    seen.add(sk)
-                    keys.append(list_keys(x, rule))
-                    sks.append(np.full(len(keys[-1]), sk))
-                    sizes.append(np.full(len(keys[-1]), len(x), np.int32))
-                if sum(map(len, keys)) >= 200_000:
-                    yield from entries()
-                    keys, sks, sizes = [], [], []
-            if keys:
-                yield from entries()
-
-    return docs.select("text").mapInArrow(run, ENTRY)
+            entries = batch.column(5)
+            held += [np.frombuffer(e.as_buffer(), ENTRY) for e in entries if e.is_valid]
+            rows = batch.filter(entries.is_null())
+            if rows.num_rows:
+                none = pa.nulls(rows.num_rows, pa.int64())
+                yield pa.RecordBatch.from_arrays([*rows.columns[1:5], none, none], names=["doc_id", "th", "n", "sk", "key", "lists"])
+        if held:
+            all_ = np.concatenate(held)
+            held.clear()
+            key, sk, n = (np.ascontiguousarray(all_[c]) for c in ENTRY.names)
+            yield from list_batches(*several_sets(key, sk, n, sk))
+
+    return postings.repartitionById(buckets, "bucket").mapInArrow(run, LISTS)
+
+
+def list_batches(key: np.ndarray, sk: np.ndarray, n: np.ndarray, lists: np.ndarray):
+    for lo in range(0, len(key), 200_000):
+        at = slice(lo, lo + 200_000)
+        none = pa.nulls(len(key[at]), pa.int64())
+        yield pa.RecordBatch.from_arrays([none, none, *(pa.array(c[at]) for c in (n, sk, key, lists))], names=["doc_id", "th", "n", "sk", "key", "lists"])
 
 
 def difference_lists(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
@@ -254,10 +386,10 @@ def difference_lists(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame
         last, c = None, None
         for batch in batches:
             keys, sks, sizes, labels, held = [], [], [], [], 0
-            for a, sk, label, ta, tb in zip(*(batch.column(i).to_pylist() for i in range(3)), texts(batch.column(3)), texts(batch.column(4)), strict=True):
+            for a, sk, label, xa, xb in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
                 if a != last:
-                    last, c = a, shingle_set(ta, rule.shingle)
-                x = shingle_set(tb, rule.shingle)
+                    last, c = a, np.frombuffer(xa, U64)
+                x = np.frombuffer(xb, U64)
                 differ = np.setxor1d(c, x, assume_unique=True)[: rule.difference(len(x), rule.partner(len(x))) + 1]
                 keys.append(tagged(mix(differ ^ mix(np.array([a], np.int64).view(U64), 31), 32), 0).view(np.int64))
                 for column, value in ((sks, sk), (sizes, len(x)), (labels, label)):
@@ -269,173 +401,210 @@ def difference_lists(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame
             if held:
                 yield from entry_batches(*map(np.concatenate, (keys, sks, sizes, labels)))
 
-    return with_texts(pairs, sets).mapInArrow(run, ENTRY)
+    return with_sets(pairs, sets).mapInArrow(run, ROWS)
+
+
+def several_sets(key: np.ndarray, sk: np.ndarray, n: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, ...]:
+    """``key, sk, n, lists``: the lists whose sets have two or more labels. Lists of the same
+    sets become one, with a key of these sets and the number of such ``lists``."""
+    # Most lists hold one entry: before the sort, out with keys that are alone in their slot.
+    for shift in (40, 16):
+        slot = (key.view(U64) >> U64(shift) & U64(SLOTS - 1)).astype(np.int64)
+        again = np.bincount(slot, minlength=SLOTS)[slot] > 1
+        key, sk, n, label = key[again], sk[again], n[again], label[again]
+    if not len(key):
+        return key, sk, n, key
+    order = np.lexsort((sk, n, key))
+    key, sk, n, label = key[order], sk[order], n[order], label[order]
+    new_list = np.append(True, key[1:] != key[:-1])
+    distinct = new_list | np.append(True, sk[1:] != sk[:-1])
+    key, sk, n, label, new_list = key[distinct], sk[distinct], n[distinct], label[distinct], new_list[distinct]
+    at = np.flatnonzero(new_list)
+    size = np.diff(np.append(at, len(key)))
+    light = (key[at] & 255) == LIGHT_LISTS
+    # A light list without the subset itself holds no link.
+    keep = (np.minimum.reduceat(label, at) != np.maximum.reduceat(label, at)) & (~light | (n[at + size - 1] > n[at]))
+    same = mix(np.add.reduceat(mix(sk.view(U64), 33), at) + size.astype(U64), 35)
+    same = tagged(same, np.where(light, LIGHT_LISTS, 0)).view(np.int64)
+    _, first, lists = np.unique(same[keep], return_index=True, return_counts=True)
+    one = np.flatnonzero(keep)[first]
+    rows = np.arange(size[one].sum()) + np.repeat(at[one] - np.cumsum(size[one]) + size[one], size[one])
+    return np.repeat(same[one], size[one]), sk[rows], n[rows], np.repeat(lists, size[one])
 
 
 def scan_lists(entries: DataFrame) -> DataFrame:
-    """The entries of the lists whose sets have two or more labels. One task holds the
-    28-byte entries of one shuffle partition."""
+    """``several_sets`` of list entries. One task holds those of one shuffle partition."""
 
     def run(batches):
-        held = [[c.to_numpy() for c in b.columns] for b in batches]
-        if not held:
-            return
-        key, sk, n, label = (np.concatenate(x) for x in zip(*held, strict=True))
-        order = np.lexsort((sk, n, key))
-        key, sk, n, label = key[order], sk[order], n[order], label[order]
-        new_list = np.append(True, key[1:] != key[:-1])
-        distinct = new_list | np.append(True, sk[1:] != sk[:-1])
-        key, sk, n, label, new_list = key[distinct], sk[distinct], n[distinct], label[distinct], new_list[distinct]
-        at = np.flatnonzero(new_list)
-        size = np.diff(np.append(at, len(key)))
-        light = (key & 255) == LIGHT_LISTS
-        several = np.repeat(np.minimum.reduceat(label, at) != np.maximum.reduceat(label, at), size)
-        # A light list without the subset itself holds no link.
-        keep = several & (~light | np.repeat(n[at + size - 1] > n[at], size))
-        yield from entry_batches(*(x[keep] for x in (key, sk, n, label)))
-
-    return entries.repartition("key").mapInArrow(run, ENTRY)
+        held = [[c.to_numpy() for c in b.columns] for b in batches if b.num_rows]
+        if held:
+            yield from list_batches(*several_sets(*(np.concatenate(x) for x in zip(*held, strict=True))))
+
+    return entries.repartition("key").mapInArrow(run, LISTS)
 
 
 def with_centers(lists: DataFrame) -> DataFrame:
     """Adds ``center, center_n``: in a light list the smallest set, else the one in most
     lists (ties: the smaller key)."""
-    weight = lists.groupBy(F.col("sk").alias("w_sk")).agg(F.count(F.lit(1)).alias("weight"))
+    weight = lists.groupBy(F.col("sk").alias("w_sk")).agg(F.sum("lists").alias("weight"))
     light = F.col("key").bitwiseAND(255) == LIGHT_LISTS
     first = F.min(F.struct(F.when(light, F.col("n")).otherwise(0).alias("size"), (-F.col("weight")).alias("w"), F.col("sk").alias("center"), F.col("n").alias("center_n")))
     centers = lists.join(weight, F.col("sk") == F.col("w_sk")).groupBy(F.col("key").alias("c_key")).agg(first.alias("c")).select("c_key", "c.center", "c.center_n")
     return lists.join(centers, F.col("key") == F.col("c_key")).select("key", "sk", "n", "center", "center_n")
 
 
-def with_texts(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs ``a, b, ...`` with ``text_a, text_b``; rows with one ``a`` stand together."""
-    one, two = (sets.select(F.col("sk").alias(f"sk_{x}"), F.col("text").alias(f"text_{x}")) for x in "ab")
-    with_b = pairs.join(two.hint("shuffle_merge"), F.col("b") == F.col("sk_b"))
-    with_a = with_b.join(one.hint("shuffle_merge"), F.col("a") == F.col("sk_a"))
-    return with_a.select(*pairs.columns, "text_a", "text_b")
+def packed_sets(wanted: DataFrame, rule: Rule) -> DataFrame:
+    """``sk, x`` of ``sk, text``: the set's shingles, sorted and packed."""
 
+    def run(batches):
+        for batch, many in chunks(batches, 1):
+            x, begin = shingle_sets(many, rule.shingle)
+            values = [x[lo:hi].tobytes() for lo, hi in zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.binary())], names=["sk", "x"])
 
-def linked(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
-    """The pairs ``(a, b)`` that link, checked on the texts ``sets(sk, text)``."""
+    return wanted.select("sk", "text").mapInArrow(run, "sk long, x binary")
 
-    def run(batches):
-        last, x = None, None
-        for batch in batches:
-            keep = []
-            for a, ta, tb in zip(batch.column(0).to_pylist(), texts(batch.column(2)), texts(batch.column(3)), strict=True):
-                if a != last:
-                    last, x = a, shingle_set(ta, rule.shingle)
-                y = shingle_set(tb, rule.shingle)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(rule.links(both, len(x), len(y)))
-            yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep)) for c in batch.columns[:2]], names=["a", "b"])
 
-    return with_texts(pairs, sets).mapInArrow(run, "a long, b long")
+def with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs ``a, b, ...`` with ``x_a, x_b``; rows with one ``a`` stand together."""
+    one, two = (sets.select(F.col("sk").alias(f"sk_{x}"), F.col("x").alias(f"x_{x}")) for x in "ab")
+    with_b = pairs.join(two.hint("shuffle_merge"), F.col("b") == F.col("sk_b"))
+    with_a = with_b.join(one.hint("shuffle_merge"), F.col("a") == F.col("sk_a"))
+    return with_a.select(*pairs.columns, "x_a", "x_b")
 
 
-def differences(rest: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
-    """``center, sk, label, members, n, d``: the set's size, and the shingles in which it
-    differs from the centre's set, packed."""
+def differences(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    """``a, b, links, n, d`` of the pairs ``a, b``: whether they link, the size of b, and the
+    shingles in which it differs from a, packed."""
 
     def run(batches):
         last, c = None, None
         for batch in batches:
-            sizes, packed = [], []
-            for a, ta, tb in zip(batch.column(0).to_pylist(), texts(batch.column(4)), texts(batch.column(5)), strict=True):
+            links, sizes, apart = [], [], []
+            for a, xa, xb in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3)), strict=True):
                 if a != last:
-                    last, c = a, shingle_set(ta, rule.shingle)
-                x = shingle_set(tb, rule.shingle)
+                    last, c = a, np.frombuffer(xa, U64)
+                x = np.frombuffer(xb, U64)
+                d = np.setxor1d(c, x, assume_unique=True)
+                links.append(bool(rule.links((len(c) + len(x) - len(d)) // 2, len(c), len(x))))
                 sizes.append(len(x))
-                packed.append(np.setxor1d(c, x, assume_unique=True).tobytes())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(sizes, pa.int32()), pa.array(packed, pa.binary())], names=["center", "sk", "label", "members", "n", "d"])
+                apart.append(d.tobytes())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(links, pa.bool_()), pa.array(sizes, pa.int32()), pa.array(apart, pa.binary())], names=["a", "b", "links", "n", "d"])
 
-    pairs = rest.select(F.col("center").alias("a"), F.col("sk").alias("b"), "label", "members")
-    return with_texts(pairs, sets).mapInArrow(run, "center long, sk long, label long, members long, n int, d binary")
+    return with_sets(pairs, sets).mapInArrow(run, "a long, b long, links boolean, n int, d binary")
 
 
 def settle(groups: DataFrame, rule: Rule) -> DataFrame:
-    """Links ``a, b`` that join components, from the differences of whole groups."""
+    """Links ``a, b`` that join components, from the differences of whole groups
+    (``center, sk, label, n, d``)."""
 
     def run(batches):
         last, held = None, []
         for batch in batches:
             columns = [c.to_pylist() for c in batch.columns]
-            for *key, sk, label, n, d in zip(*columns, strict=True):
+            for *key, own, sk, label, n, d in zip(*columns, strict=True):
                 if key != last:
                     yield from links(held)
                     last, held = key, []
-                held.append((sk, label, n, np.frombuffer(d, U64)))
+                held.append((sk, label, n, np.frombuffer(d, U64), own))
         yield from links(held)
 
     def links(held):
-        found = joining_links(held, rule) if held else []
+        found = joining_links([m[:4] for m in held], rule, np.array([m[4] for m in held])) if held else []
         if found:
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found, strict=True)], names=["a", "b"])
 
-    # A member is in every pair of tiles that holds its own; a group of one tile is one task.
-    tiles = F.when(F.col("members") <= 2 * TILE, 1).otherwise(F.ceil(F.col("members") / TILE))
-    placed = groups.withColumn("tiles", tiles.cast("int")).withColumn("own", F.pmod(F.xxhash64("sk"), F.col("tiles")).cast("int"))
-    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).where("tiles = 1 OR own <> other")
-    pairs = placed.select("center", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "sk", "label", "n", "d")
+    # Each tile is held against itself and every other: a member is in every pair with its own.
+    sizes = groups.groupBy(F.col("center").alias("g_center")).agg(F.count(F.lit(1)).alias("members"), F.sum(F.octet_length("d")).alias("bytes"))
+    sizes = sizes.select("g_center", F.ceil(F.greatest(F.col("members") / TILE, F.col("bytes") / TILE_BYTES, F.lit(1))).cast("int").alias("tiles"))
+    placed = groups.join(sizes, F.col("center") == F.col("g_center")).withColumn("own", F.pmod(F.xxhash64("sk"), F.col("tiles")).cast("int"))
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    pairs = placed.select("center", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "sk", "label", "n", "d")
     return pairs.repartition("center", "i", "j").sortWithinPartitions("center", "i", "j").mapInArrow(run, "a long, b long")
 
 
-def joining_links(members: list[tuple[int, int, int, np.ndarray]], rule: Rule) -> list[tuple[int, int]]:
+def joining_links(members: list[tuple[int, int, int, np.ndarray]], rule: Rule, tile: np.ndarray | None = None) -> list[tuple[int, int]]:
     """At most one link for each pair of components that the members' links join. Members are
-    (set, component, size, differences from the common centre)."""
+    (set, component, size, differences from the common centre). Those of two tiles are held
+    against the other tile's only.
+
+    What two members share of their differences is counted by a product of 0-1 matrices for
+    the shingles in which many differ, and by an inverted index for the others."""
     sk = [m[0] for m in members]
     size = np.array([m[2] for m in members])
     apart = np.array([len(m[3]) for m in members])
     comp = np.unique([m[1] for m in members], return_inverse=True)[1]
+    rows = cols = np.arange(len(members))
+    if tile is not None and (tile != tile[0]).any():
+        rows, cols = np.flatnonzero(tile == tile[0]), np.flatnonzero(tile != tile[0])
+    if not len(cols) or comp.max() == 0:
+        return []
+    place = np.full(len(members), -1)
+    place[cols] = np.arange(len(cols))
     owner = np.repeat(np.arange(len(members)), apart)
     shingle = np.unique(np.concatenate([m[3] for m in members]), return_inverse=True)[1]
-    order = np.argsort(shingle, kind="stable")
-    holders, first = owner[order], np.append(0, np.cumsum(np.bincount(shingle)))
-    begin = np.append(0, np.cumsum(apart))
+    kinds = int(shingle.max(initial=-1)) + 1
+    held = np.bincount(shingle[place[owner] >= 0], minlength=kinds)
+    many = held * DENSE > len(cols)
+    wide = np.zeros((len(members), int(many.sum())), np.float32)
+    column, often = np.cumsum(many) - 1, many[shingle]
+    wide[owner[often], column[shingle[often]]] = 1
+    rest = ~often & (held[shingle] > 0)
+    owner, shingle = owner[rest], shingle[rest]
+    begin = np.searchsorted(owner, np.arange(len(members) + 1))
+    inside = np.flatnonzero(place[owner] >= 0)
+    holders = place[owner[inside[np.argsort(shingle[inside], kind="stable")]]]
+    first = np.append(0, np.cumsum(np.bincount(shingle[inside], minlength=kinds)))
+    across = wide[cols].T
     out = []
-    for i in range(len(members)):
-        if not (comp != comp[i]).any():
-            break
-        own = shingle[begin[i] : begin[i + 1]]
-        count = first[own + 1] - first[own]
-        at = np.repeat(first[own] - np.cumsum(count) + count, count) + np.arange(count.sum())
-        shared = np.bincount(holders[at], minlength=len(members))
-        both = (size[i] + size - (apart[i] + apart - 2 * shared)) // 2
-        for j in np.flatnonzero((comp != comp[i]) & rule.links(both, size[i], size)):
-            if comp[j] != comp[i]:
-                out.append((sk[i], sk[j]))
-                comp[comp == comp[j]] = comp[i]
+    for lo in range(0, len(rows), 256):
+        for i, common in zip(rows[lo : lo + 256].tolist(), (wide[rows[lo : lo + 256]] @ across).astype(np.int64), strict=True):
+            if not (comp[cols] != comp[i]).any():
+                continue
+            own = shingle[begin[i] : begin[i + 1]]
+            count = first[own + 1] - first[own]
+            at = np.repeat(first[own] - np.cumsum(count) + count, count) + np.arange(count.sum())
+            shared = common + np.bincount(holders[at], minlength=len(cols))
+            both = (size[i] + size[cols] - (apart[i] + apart[cols] - 2 * shared)) // 2
+            for j in cols[np.flatnonzero((comp[cols] != comp[i]) & rule.links(both, size[i], size[cols]))].tolist():
+                if comp[j] != comp[i]:
+                    out.append((sk[i], sk[j]))
+                    comp[comp == comp[j]] = comp[i]
     return out
 
 
 def components(docs: DataFrame, rule: Rule) -> DataFrame:
     """``doc_id, th, n, label`` for ``doc_id, th, text``; label is null for empty sets."""
-    sets = stage(document_sets(docs, rule), "jaccard-sets")
-    lists = stage(scan_lists(postings(docs, rule)), "jaccard-lists")
-    members = sets.where("sk IS NOT NULL").groupBy("sk").agg(F.min("th").alias("m_th"))
-    wanted = members.join(lists.select(F.col("sk").alias("w_sk")).distinct(), F.col("sk") == F.col("w_sk"), "left_semi")
-    held = stage(docs.select("th", "text").join(wanted, F.col("th") == F.col("m_th"), "inner").dropDuplicates(["sk"]).select("sk", "text"), "jaccard-texts")
-    labels = None
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    scanned = stage(scan_postings(postings(docs, rule, buckets), buckets), "jaccard-sets")
+    sets, lists = scanned.where("key IS NULL").select("doc_id", "th", "n", "sk"), scanned.where("key IS NOT NULL")
+    held, labels = None, None
     while labels is None or not lists.isEmpty():
-        lists = stage(with_centers(lists), "jaccard-centers")
-        pairs = lists.select(F.col("center").alias("a"), F.col("sk").alias("b"), F.col("center_n").alias("n_a"), F.col("n").alias("n_b"))
-        pairs = pairs.where(f"a <> b AND 100 * least(n_a, n_b) >= {rule.percent} * greatest(n_a, n_b)").select("a", "b").distinct()
-        links = stage(linked(pairs, held, rule), "jaccard-links")
+        lists = lists.groupBy("key", "sk").agg(F.min("n").alias("n"), F.sum("lists").alias("lists"))
+        lists = stage(with_centers(stage(lists, "jaccard-lists")), "jaccard-centers")
+        if held is None:
+            members = sets.where("sk IS NOT NULL").groupBy("sk").agg(F.min("th").alias("m_th"))
+            wanted = members.join(lists.select(F.col("sk").alias("w_sk")).distinct(), F.col("sk") == F.col("w_sk"), "left_semi")
+            texts_ = docs.select("th", "text").join(wanted, F.col("th") == F.col("m_th"), "inner").dropDuplicates(["sk"])
+            held = stage(packed_sets(texts_, rule), "jaccard-held")
+        pairs = lists.select(F.col("center").alias("a"), F.col("sk").alias("b")).where("a <> b").distinct()
+        compared = stage(differences(pairs, held, rule), "jaccard-differences")
+        links = compared.where("links").select("a", "b")
         labels = connected_components(links) if labels is None else with_edges(labels, links)
         heavy = lists.where(F.col("key").bitwiseAND(255) != LIGHT_LISTS)
         rows = heavy.join(labels.select(F.col("node").alias("l_sk"), "label"), F.col("sk") == F.col("l_sk"), "left").select("key", "sk", "center", F.coalesce("label", "sk").alias("label"))
         # Lists that still lie in several components; together by their centre.
         several = rows.groupBy(F.col("key").alias("s_key")).agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
-        rest = rows.join(several, F.col("key") == F.col("s_key"), "left_semi").select("center", "sk", "label").distinct()
+        rest = rows.join(several, F.col("key") == F.col("s_key"), "left_semi").where("sk <> center").select("center", "sk", "label").distinct()
         rest = stage(rest, "jaccard-rest")
         sizes = rest.groupBy(F.col("center").alias("g_center")).agg(F.count(F.lit(1)).alias("members"))
-        rest = stage(rest.join(sizes, F.col("center") == F.col("g_center")).where("sk <> center").drop("g_center"), "jaccard-groups")
-        groups = stage(differences(rest.where(F.col("members") <= GROUP), held, rule), "jaccard-differences")
-        labels = with_edges(labels, stage(settle(groups, rule), "jaccard-settled"))
-        large = rest.where(F.col("members") > GROUP).select(F.col("center").alias("a"), F.col("sk").alias("b"))
+        small = rest.join(sizes.where(F.col("members") <= GROUP), F.col("center") == F.col("g_center"), "left_semi")
+        groups = small.join(compared, (F.col("center") == F.col("a")) & (F.col("sk") == F.col("b"))).select("center", "sk", "label", "n", "d")
+        labels = with_edges(labels, stage(settle(stage(groups, "jaccard-groups"), rule), "jaccard-settled"))
+        large = rest.join(sizes.where(F.col("members") > GROUP), F.col("center") == F.col("g_center"), "left_semi").select(F.col("center").alias("a"), F.col("sk").alias("b"))
         now = labels.select(F.col("node").alias("l_sk"), "label")
         large = large.join(now, F.col("b") == F.col("l_sk"), "left").select("a", "b", F.coalesce("label", "b").alias("label"))
-        lists = stage(scan_lists(difference_lists(large, held, rule)), "jaccard-lists")
+        lists = stage(scan_lists(difference_lists(large, held, rule)), "jaccard-scanned")
     return sets.join(labels.select(F.col("node").alias("l_sk"), "label"), F.col("sk") == F.col("l_sk"), "left").select("doc_id", "th", "n", F.coalesce("label", "sk").alias("label"))
 
 
@@ -449,7 +618,7 @@ def jaccard_components(docs: DataFrame, rule: Rule = Rule(), *, id_col: str = "d
     named = components(hashed(docs, id_col, text_col), rule)
     groups = named.where("label IS NOT NULL").groupBy(F.col("label").alias("g")).agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("size"))
     return named.join(groups, F.col("label") == F.col("g"), "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"), F.coalesce("size", F.lit(1)).alias("component_size"))
+        "doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"), F.coalesce("size", F.lit(1)).alias("component_size"))
 
 
 def keep_one(docs: DataFrame, rule: Rule = Rule(5, 80)) -> DataFrame:
