@@ -283,3 +283,13 @@ def test_a_family_of_thousands_is_settled_in_one_round(spark, monkeypatch):
     monkeypatch.setattr(J, "difference_lists", lambda pairs, *a: dealt_anew.append(pairs.count()) or lists(pairs, *a))
     got = {r.doc_id: r.component_id for r in J.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {i: 7 if i == 5000 else i for i, _ in rows} and sum(dealt_anew) == 0
+
+
+def test_batches_are_bounded_by_bytes(spark, monkeypatch):
+    """Texts and packed lists are wide: the session's 64 MB a batch count twice in an executor."""
+    key, seen = "spark.sql.execution.arrow.maxBytesPerBatch", []
+    before, make = spark.conf.get(key), J.postings
+    monkeypatch.setattr(J, "postings", lambda *a: seen.append(int(spark.conf.get(key))) or make(*a))
+    df = spark.createDataFrame([(i, "some words of a text " * 5) for i in range(3)], "doc_id long, text string")
+    assert {r.doc_id for r in J.keep_one(df).collect()} == {0}
+    assert seen and max(seen) <= J.BATCH and spark.conf.get(key) == before

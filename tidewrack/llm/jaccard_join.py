@@ -23,20 +23,26 @@ earlier of its first good deals, which both have entered. Only pairs of sets wit
 deal are left: these enter the small blocks of the first deal, each keyed together with the
 blocks of another, independent one, of which one must agree, too. ``layout`` picks steps
 and m so that a deal is good with a margin that grows with the size: entries are linear in
-the size, and only small sets are without a good deal.
+the size, and only small sets are without a good deal. Of a good deal H + 1 larger blocks are
+entered, those that come first: at most H differ, so a shared one is among them.
 
 The boundary is the size up to which enumeration costs less than list entries with their
 share of checks.
 
+The sets and their keys are made for many texts at once. A task packs its entries by bucket
+of the key, and the lists of one bucket are gathered in a task; lists of the same sets are
+kept once, with their number.
+
 A list is not expanded into pairs. Its members are checked against one centre, the one
 that stands in most lists (of a group of near copies, the least edited), and linked into
 components. In a light list the centre is the subset itself, and no two others can link. The
 heavy lists that still lie in several components are taken together by their centre. What
 the members of such a group differ in from the centre is worked out once. Groups of up to
 ``GROUP`` members are settled by these differences: ``|x ^ y| = |(x ^ c) ^ (y ^ c)|``. A group
-is cut into tiles of about ``TILE`` members; a task gets two tiles, holds the members of each
-component against those of the others with an inverted index over the differences, and
-gives a link for every pair of components that it joins. In a larger group, two members that
+is cut into tiles of about ``TILE`` members; two tiles at a time, the members of each
+component are held against those of the others (frequent differences by a product of 0-1
+matrices, rare ones by an inverted index), which gives a link for every pair of components
+joined. This takes the square of the group in quick steps. In a larger group, two members that
 link, not both of them with the centre c, have ``|(x ^ c) & (y ^ c)| > 0``: they share
 shingles in which they differ from the centre. With h the largest difference of linked sets
 of this size, the h + 1 smallest of a member's differing shingles hold a shared one (prefix
@@ -64,7 +70,7 @@ from pyspark.sql import functions as F
 
 from tidewrack.llm.common import NOT_WS, U64, mix, runs, shingle_hashes, texts, word_hashes
 from tidewrack.llm.components import connected_components, with_edges
-from tidewrack.session import stage
+from tidewrack.session import small_batches, stage
 
 CHECK_COST = 4  # list entries that one check of a candidate is worth
 MAX_WORDS = 1 << 31
@@ -74,6 +80,7 @@ TILE_BYTES = 4_000_000  # of differences
 DENSE = 8  # a shingle in which one member of so many differs is worth a column of a matrix
 DEALS = 12  # deals that a set tries for one in which few blocks are small
 LIGHT_LISTS = 255  # a key's low byte: its heavy class, or this
+BATCH = 4_000_000  # bytes of rows that a Python task gets at once
 CHUNK = 200_000  # bytes of text whose sets are made together
 FLUSH = 400_000  # list entries that are packed together
 SLOTS = 1 << 22  # by which keys that stand alone are found
@@ -575,6 +582,11 @@ def joining_links(members: list[tuple[int, int, int, np.ndarray]], rule: Rule, t
 
 def components(docs: DataFrame, rule: Rule) -> DataFrame:
     """``doc_id, th, n, label`` for ``doc_id, th, text``; label is null for empty sets."""
+    with small_batches(docs.sparkSession, 10_000, BATCH):
+        return joined(docs, rule)
+
+
+def joined(docs: DataFrame, rule: Rule) -> DataFrame:
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     scanned = stage(scan_postings(postings(docs, rule, buckets), buckets), "jaccard-sets")
     sets, lists = scanned.where("key IS NULL").select("doc_id", "th", "n", "sk"), scanned.where("key IS NOT NULL")
