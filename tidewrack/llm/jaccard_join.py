@@ -501,9 +501,9 @@ def differences(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     return with_sets(pairs, sets).mapInArrow(run, "a long, b long, links boolean, n int, d binary")
 
 
-def settle(groups: DataFrame, rule: Rule) -> DataFrame:
-    """Links ``a, b`` that join components, from the differences of whole groups
-    (``center, sk, label, n, d``)."""
+def settle(groups: DataFrame, compared: DataFrame, rule: Rule) -> DataFrame:
+    """Links ``a, b`` that join components, for whole groups ``center, sk, label`` from their
+    differences ``a, b, n, d``; these are wide and move only once before they are dealt."""
 
     def run(batches):
         last, held = None, []
@@ -522,9 +522,11 @@ def settle(groups: DataFrame, rule: Rule) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found, strict=True)], names=["a", "b"])
 
     # Each tile is held against itself and every other: a member is in every pair with its own.
-    sizes = groups.groupBy(F.col("center").alias("g_center")).agg(F.count(F.lit(1)).alias("members"), F.sum(F.octet_length("d")).alias("bytes"))
+    apart = (F.col("center") == F.col("a")) & (F.col("sk") == F.col("b"))
+    wide = compared.select("a", "b", F.octet_length("d").alias("wide"))
+    sizes = stage(groups.join(wide, apart).groupBy(F.col("center").alias("g_center")).agg(F.count(F.lit(1)).alias("members"), F.sum("wide").alias("bytes")), "jaccard-sizes")
     sizes = sizes.select("g_center", F.ceil(F.greatest(F.col("members") / TILE, F.col("bytes") / TILE_BYTES, F.lit(1))).cast("int").alias("tiles"))
-    placed = groups.join(sizes, F.col("center") == F.col("g_center")).withColumn("own", F.pmod(F.xxhash64("sk"), F.col("tiles")).cast("int"))
+    placed = groups.join(sizes, F.col("center") == F.col("g_center")).join(compared.select("a", "b", "n", "d"), apart).withColumn("own", F.pmod(F.xxhash64("sk"), F.col("tiles")).cast("int"))
     placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     pairs = placed.select("center", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "sk", "label", "n", "d")
     return pairs.repartition("center", "i", "j").sortWithinPartitions("center", "i", "j").mapInArrow(run, "a long, b long")
@@ -611,8 +613,7 @@ def joined(docs: DataFrame, rule: Rule) -> DataFrame:
         rest = stage(rest, "jaccard-rest")
         sizes = rest.groupBy(F.col("center").alias("g_center")).agg(F.count(F.lit(1)).alias("members"))
         small = rest.join(sizes.where(F.col("members") <= GROUP), F.col("center") == F.col("g_center"), "left_semi")
-        groups = small.join(compared, (F.col("center") == F.col("a")) & (F.col("sk") == F.col("b"))).select("center", "sk", "label", "n", "d")
-        labels = with_edges(labels, stage(settle(stage(groups, "jaccard-groups"), rule), "jaccard-settled"))
+        labels = with_edges(labels, stage(settle(small, compared, rule), "jaccard-settled"))
         large = rest.join(sizes.where(F.col("members") > GROUP), F.col("center") == F.col("g_center"), "left_semi").select(F.col("center").alias("a"), F.col("sk").alias("b"))
         now = labels.select(F.col("node").alias("l_sk"), "label")
         large = large.join(now, F.col("b") == F.col("l_sk"), "left").select("a", "b", F.coalesce("label", "b").alias("label"))
